@@ -36,108 +36,114 @@ def json_struct(df: DataFrame, raw: str, schema: T.StructType | str, alias: str
 
 # ----------------------------------------------------------------- P04-P06
 SEARCH_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
-    ("numero_controle_pncp", T.StringType()), ("description", T.StringType()),
-    ("title", T.StringType()), ("orgao_cnpj", T.StringType()), ("orgao_nome", T.StringType()),
+    ("numero_controle_pncp", T.StringType()), ("numeroControlePNCP", T.StringType()),
+    ("description", T.StringType()), ("objetoCompra", T.StringType()),
+    ("title", T.StringType()), ("titulo", T.StringType()),
+    ("ano", T.StringType()), ("anoCompra", T.StringType()),
+    ("numero_sequencial", T.StringType()), ("sequencialCompra", T.StringType()),
+    ("numero", T.StringType()),
+    ("orgao_cnpj", T.StringType()), ("orgao_nome", T.StringType()),
     ("uf", T.StringType()), ("municipio_nome", T.StringType()),
-    ("modalidade_licitacao_id", T.StringType()), ("modalidade_licitacao_nome", T.StringType()),
-    ("situacao_nome", T.StringType()), ("data_publicacao_pncp", T.StringType()),
-    ("data_atualizacao_pncp", T.StringType()), ("data_fim_vigencia", T.StringType()),
-    ("valor_global", T.StringType()), ("item_url", T.StringType()),
+    ("modalidade_licitacao_id", T.StringType()), ("modalidadeId", T.StringType()),
+    ("modalidade_licitacao_nome", T.StringType()), ("modalidadeNome", T.StringType()),
+    ("situacao_nome", T.StringType()), ("situacaoCompraNome", T.StringType()),
+    ("data_publicacao_pncp", T.StringType()), ("dataPublicacaoPncp", T.StringType()),
+    ("data_atualizacao_pncp", T.StringType()), ("dataAtualizacaoPncp", T.StringType()),
+    ("data_inicio_vigencia", T.StringType()), ("data_fim_vigencia", T.StringType()),
+    ("valor_global", T.StringType()), ("item_url", T.StringType()), ("itemUrl", T.StringType()),
     ("document_type", T.StringType()), ("tem_resultado", T.BooleanType()),
     ("cancelado", T.BooleanType()),
 ]])
 
 CONSULTA_SCHEMA = T.StructType([
-    T.StructField("numeroControlePNCP", T.StringType()),
-    T.StructField("objetoCompra", T.StringType()),
-    T.StructField("anoCompra", T.StringType()),
-    T.StructField("sequencialCompra", T.StringType()),
-    T.StructField("modalidadeId", T.StringType()),
-    T.StructField("modalidadeNome", T.StringType()),
-    T.StructField("situacaoCompraNome", T.StringType()),
-    T.StructField("valorTotalEstimado", T.StringType()),
-    T.StructField("valorTotalHomologado", T.StringType()),
-    T.StructField("dataPublicacaoPncp", T.StringType()),
-    T.StructField("dataAberturaProposta", T.StringType()),
-    T.StructField("dataEncerramentoProposta", T.StringType()),
-    T.StructField("dataAtualizacao", T.StringType()),
-    T.StructField("dataAtualizacaoGlobal", T.StringType()),
+    *[T.StructField(n, T.StringType()) for n in [
+        "numeroControlePNCP", "objetoCompra", "anoCompra", "sequencialCompra", "numeroCompra",
+        "processo", "modalidadeId", "modalidadeNome", "tipoInstrumentoConvocatorioNome",
+        "situacaoCompraNome", "valorTotalEstimado", "valorTotalHomologado", "dataPublicacaoPncp",
+        "dataAberturaProposta", "dataEncerramentoProposta", "dataAtualizacao",
+        "dataAtualizacaoGlobal", "linkSistemaOrigem"]],
     T.StructField("orgaoEntidade", T.StructType([
         T.StructField("cnpj", T.StringType()), T.StructField("razaoSocial", T.StringType())])),
     T.StructField("unidadeOrgao", T.StructType([
-        T.StructField("ufSigla", T.StringType()), T.StructField("municipioNome", T.StringType())])),
+        T.StructField("municipioNome", T.StringType()), T.StructField("ufSigla", T.StringType())])),
 ])
 
-# The common notice: one schema for both feeds after normalisation.
-COMMON_COLUMNS = ["numeroControlePNCP", "objetoCompra", "titulo", "processo", "modalidadeId",
-                  "modalidadeNome", "situacao", "valorTotalEstimado", "dataPublicacaoPncp",
-                  "dataEncerramentoProposta", "dataAtualizacao", "url", "orgao_cnpj",
-                  "orgao_razaoSocial", "unidade_ufSigla", "unidade_municipioNome", "_origem"]
+# The common notice (both feeds after normalisation), in column order.
+COMMON_COLUMNS = ["numeroControlePNCP", "objetoCompra", "titulo", "anoCompra", "sequencialCompra",
+                  "processo", "modalidadeId", "modalidadeNome", "situacaoCompraNome",
+                  "orgaoEntidade", "unidadeOrgao", "dataPublicacaoPncp", "dataAtualizacaoGlobal",
+                  "dataEncerramentoProposta", "valorTotalEstimado", "linkSistemaOrigem", "_origem"]
 
 
-def _nz(c: Column) -> Column:
-    return F.when(c != "", c)
+def _t(*cols):
+    return D.first_truthy(*cols)
 
 
 def normalize_search(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Search-feed JSON -> common notice (``_origem='search'``), URL made
-    absolute, organisation and unit as flat struct fields."""
-    r = F.from_json(F.col(raw), SEARCH_SCHEMA)
+    """Search-feed JSON -> common notice: snake_case names first, the
+    camelCase spelling as fallback (first truthy), organisation and unit as
+    structs, relative item URL made absolute, ``_origem = 'search'``."""
     keep = [c for c in df.columns if c != raw]
-    x = df.select(*keep, r.alias("r"))
+    x = df.select(*keep, F.from_json(F.col(raw), SEARCH_SCHEMA).alias("r"))
+    r = lambda n: F.col("r." + n)
     return x.select(
         *keep,
-        F.col("r.numero_controle_pncp").alias("numeroControlePNCP"),
-        F.col("r.description").alias("objetoCompra"),
-        F.col("r.title").alias("titulo"),
+        _t(r("numero_controle_pncp"), r("numeroControlePNCP")).alias("numeroControlePNCP"),
+        _t(r("description"), r("objetoCompra")).alias("objetoCompra"),
+        _t(r("title"), r("titulo")).alias("titulo"),
+        _t(r("ano"), r("anoCompra")).alias("anoCompra"),
+        _t(r("numero_sequencial"), r("sequencialCompra")).alias("sequencialCompra"),
         F.lit(None).cast("string").alias("processo"),
-        F.col("r.modalidade_licitacao_id").alias("modalidadeId"),
-        F.col("r.modalidade_licitacao_nome").alias("modalidadeNome"),
-        F.col("r.situacao_nome").alias("situacao"),
-        D.safe_double(F.col("r.valor_global")).alias("valorTotalEstimado"),
-        F.col("r.data_publicacao_pncp").alias("dataPublicacaoPncp"),
-        F.col("r.data_fim_vigencia").alias("dataEncerramentoProposta"),
-        F.col("r.data_atualizacao_pncp").alias("dataAtualizacao"),
-        D.absolute_url(F.col("r.item_url")).alias("url"),
-        F.col("r.orgao_cnpj").alias("orgao_cnpj"),
-        F.col("r.orgao_nome").alias("orgao_razaoSocial"),
-        F.col("r.uf").alias("unidade_ufSigla"),
-        F.col("r.municipio_nome").alias("unidade_municipioNome"),
+        _t(r("modalidade_licitacao_id"), r("modalidadeId")).alias("modalidadeId"),
+        _t(r("modalidade_licitacao_nome"), r("modalidadeNome")).alias("modalidadeNome"),
+        _t(r("situacao_nome"), r("situacaoCompraNome")).alias("situacaoCompraNome"),
+        F.struct(r("orgao_cnpj").alias("cnpj"), r("orgao_nome").alias("razaoSocial")).alias("orgaoEntidade"),
+        F.struct(r("municipio_nome").alias("municipioNome"), r("uf").alias("ufSigla")).alias("unidadeOrgao"),
+        _t(r("data_publicacao_pncp"), r("dataPublicacaoPncp")).alias("dataPublicacaoPncp"),
+        _t(r("data_atualizacao_pncp"), r("dataAtualizacaoPncp")).alias("dataAtualizacaoGlobal"),
+        r("data_fim_vigencia").alias("dataEncerramentoProposta"),
+        D.safe_double(r("valor_global")).alias("valorTotalEstimado"),
+        D.absolute_url(_t(r("item_url"), r("itemUrl"))).alias("linkSistemaOrigem"),
         F.lit("search").alias("_origem"),
     )
 
 
 def normalize_consulta(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Consulta-feed JSON -> common notice (``_origem='consulta'``).
-
-    The reference date is ``dataAtualizacaoGlobal`` else ``dataAtualizacao``
-    (first truthy); the URL is the portal link built from the key.
-    """
-    r = F.from_json(F.col(raw), CONSULTA_SCHEMA)
+    """Consulta-feed JSON -> common notice (``_origem = 'consulta'``);
+    reference date ``dataAtualizacaoGlobal`` else ``dataAtualizacao``."""
     keep = [c for c in df.columns if c != raw]
-    x = df.select(*keep, r.alias("r"))
+    x = df.select(*keep, F.from_json(F.col(raw), CONSULTA_SCHEMA).alias("r"))
+    r = lambda n: F.col("r." + n)
     return x.select(
         *keep,
-        F.col("r.numeroControlePNCP").alias("numeroControlePNCP"),
-        F.col("r.objetoCompra").alias("objetoCompra"),
-        F.lit(None).cast("string").alias("titulo"),
-        F.concat(F.lit("P"), F.col("r.sequencialCompra")).alias("processo"),
-        F.col("r.modalidadeId").alias("modalidadeId"),
-        F.col("r.modalidadeNome").alias("modalidadeNome"),
-        F.col("r.situacaoCompraNome").alias("situacao"),
-        D.safe_double(F.col("r.valorTotalEstimado")).alias("valorTotalEstimado"),
-        F.col("r.dataPublicacaoPncp").alias("dataPublicacaoPncp"),
-        F.col("r.dataEncerramentoProposta").alias("dataEncerramentoProposta"),
-        D.first_truthy(F.col("r.dataAtualizacaoGlobal"), F.col("r.dataAtualizacao")).alias("dataAtualizacao"),
-        D.portal_link(F.col("r.numeroControlePNCP")).alias("url"),
-        F.col("r.orgaoEntidade.cnpj").alias("orgao_cnpj"),
-        F.col("r.orgaoEntidade.razaoSocial").alias("orgao_razaoSocial"),
-        F.col("r.unidadeOrgao.ufSigla").alias("unidade_ufSigla"),
-        F.col("r.unidadeOrgao.municipioNome").alias("unidade_municipioNome"),
+        r("numeroControlePNCP").alias("numeroControlePNCP"),
+        r("objetoCompra").alias("objetoCompra"),
+        r("tipoInstrumentoConvocatorioNome").alias("titulo"),
+        r("anoCompra").alias("anoCompra"),
+        r("sequencialCompra").alias("sequencialCompra"),
+        r("processo").alias("processo"),
+        r("modalidadeId").alias("modalidadeId"),
+        r("modalidadeNome").alias("modalidadeNome"),
+        r("situacaoCompraNome").alias("situacaoCompraNome"),
+        F.struct(r("orgaoEntidade.cnpj").alias("cnpj"),
+                 r("orgaoEntidade.razaoSocial").alias("razaoSocial")).alias("orgaoEntidade"),
+        F.struct(r("unidadeOrgao.municipioNome").alias("municipioNome"),
+                 r("unidadeOrgao.ufSigla").alias("ufSigla")).alias("unidadeOrgao"),
+        r("dataPublicacaoPncp").alias("dataPublicacaoPncp"),
+        _t(r("dataAtualizacaoGlobal"), r("dataAtualizacao")).alias("dataAtualizacaoGlobal"),
+        r("dataEncerramentoProposta").alias("dataEncerramentoProposta"),
+        D.safe_double(r("valorTotalEstimado")).alias("valorTotalEstimado"),
+        r("linkSistemaOrigem").alias("linkSistemaOrigem"),
         F.lit("consulta").alias("_origem"),
     )
 
 
+def reference_date(prefix: str = "") -> Column:
+    """J01 reference date: update, else publication, else closing, else ''."""
+    return D.first_truthy(F.col(prefix + "dataAtualizacaoGlobal"), F.col(prefix + "dataPublicacaoPncp"),
+                          F.col(prefix + "dataEncerramentoProposta"), default="")
+
+
 def normalize_search_flat(df: DataFrame, raw: str = "raw", term: str | None = None) -> DataFrame:
     """Search-feed JSON -> flat snake_case notice (optionally tagged with
     the search term)."""

@@ -17,5 +17,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> dict:
-    from . import notice_jobs  # noqa: F401
+    from . import notice_jobs, record_jobs  # noqa: F401
     return REGISTRY

@@ -90,7 +90,9 @@ def consulta_struct(n: DataFrame) -> Column:
     """The consulta-feed record (camelCase, nested) of a silver notice row."""
     return F.struct(
         F.col("numeroControlePNCP"), F.col("objetoCompra"), F.col("anoCompra"),
-        F.col("sequencialCompra"), F.col("modalidadeId"), F.col("modalidadeNome"),
+        F.col("sequencialCompra"),
+        F.concat(F.lit("PROC-"), F.col("sequencialCompra").cast("string")).alias("processo"),
+        F.col("modalidadeId"), F.col("modalidadeNome"),
         F.col("situacaoCompraNome"), F.col("valorTotalEstimado"),
         F.col("dataPublicacaoPncp"), F.col("dataAberturaProposta"),
         F.col("dataEncerramentoProposta"), F.col("dataAtualizacaoGlobal"),
@@ -108,6 +110,7 @@ def search_struct(n: DataFrame) -> Column:
         F.col("objetoCompra").alias("description"),
         F.concat(F.lit("Edital "), F.col("sequencialCompra").cast("string"), F.lit("/"),
                  F.col("anoCompra").cast("string")).alias("title"),
+        F.col("anoCompra").alias("ano"), F.col("sequencialCompra").alias("numero_sequencial"),
         F.col("orgao_cnpj"), F.col("orgao_razao").alias("orgao_nome"),
         F.col("uf_sigla").alias("uf"), F.col("municipio_nome"),
         F.col("modalidadeId").alias("modalidade_licitacao_id"),
@@ -156,27 +159,67 @@ def search_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items packed per order as ``Arquivos`` and ``Itens`` arrays.
+    """Line items packed per order as ``Itens`` and ``Arquivos`` arrays.
 
-    Groups are the lines of one order (bounded by the order size); the
-    aggregation is partial on the map side.  The order inside an array is
+    A group is the lines of one order (bounded by the order size, at most 7
+    in TPC-H); the aggregation is partial on the map side.  Array order is
     total: (linenumber, partkey, suppkey, extendedprice).
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate", "l_returnflag")
+    ln, pk, sk = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     item = F.struct(
-        F.col("l_linenumber").alias("sequencialItem"),
-        F.col("l_partkey"), F.col("l_suppkey"),
-        F.concat(F.lit("item "), F.col("l_partkey").cast("string")).alias("descricao"),
+        ln.alias("sequencialItem"), pk.alias("l_partkey"), sk.alias("l_suppkey"),
+        F.col("l_extendedprice").alias("valorTotal"),
         F.col("l_quantity").alias("quantidade"),
+        F.concat(F.lit("item "), pk.cast("string")).alias("descricao"),
         F.col("l_returnflag").alias("unidade"),
         F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("valorUnitario"),
-        F.col("l_extendedprice").alias("valorTotal"),
         F.date_format("l_shipdate", ISO).alias("dataPublicacaoPncp"),
     )
-    g = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("Itens"))
-    return g
+    att = F.struct(
+        ln.alias("_ln"), pk.alias("_pk"), sk.alias("_sk"), F.col("l_extendedprice").alias("_ep"),
+        F.when(ln % 3 != 0, ln).alias("sequencialDocumento"),
+        F.when(ln % 2 == 1, F.concat(F.lit("Edital parte "), ln.cast("string"))).alias("titulo"),
+        F.concat(F.lit("arquivo_"), pk.cast("string"), F.lit(".pdf")).alias("nome"),
+        F.when(pk % 2 == 0, F.lit("Edital")).alias("tipoDocumentoNome"),
+        F.lit("Anexo").alias("tipoDocumentoDescricao"),
+        F.date_format("l_shipdate", ISO).alias("dataPublicacaoPncp"),
+        F.when(sk % 2 == 0, F.concat(F.lit("https://pncp.gov.br/pncp-api/v1/arquivos/"), pk.cast("string")))
+         .alias("url"),
+        F.concat(F.lit("https://pncp.gov.br/uri/"), pk.cast("string")).alias("uri"),
+    )
+    g = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("Itens"),
+                                     F.array_sort(F.collect_list(att)).alias("_att"))
+    keep = ["sequencialDocumento", "titulo", "nome", "tipoDocumentoNome",
+            "tipoDocumentoDescricao", "dataPublicacaoPncp", "url", "uri"]
+    return g.select("l_orderkey", "Itens", F.transform("_att", lambda a: F.struct(
+        *[a[k].alias(k) for k in keep])).alias("Arquivos"))
+
+
+def notice_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full consulta documents: ``pncp_id, ingest_seq, raw`` where the JSON
+    carries the attachments (under ``Arquivos`` for even orders, lower-case
+    ``arquivos`` for odd ones) and, for orders divisible by 4, its own
+    ``Itens``.  Orders without line items carry no attachment key."""
+    n = notices(spark, sf_dir)
+    la = line_arrays(spark, sf_dir)
+    j = n.join(la, n.ingest_seq == la.l_orderkey, "left")
+    even = F.col("ingest_seq") % 2 == 0
+    base = consulta_struct(n)
+    rec = F.struct(
+        *[base[f].alias(f) for f in [
+            "numeroControlePNCP", "objetoCompra", "anoCompra", "sequencialCompra", "processo",
+            "modalidadeId", "modalidadeNome", "situacaoCompraNome", "valorTotalEstimado",
+            "dataPublicacaoPncp", "dataAberturaProposta", "dataEncerramentoProposta",
+            "dataAtualizacaoGlobal", "orgaoEntidade", "unidadeOrgao"]],
+        F.when(even, F.col("Arquivos")).alias("Arquivos"),
+        F.when(~even, F.col("Arquivos")).alias("arquivos"),
+        F.when(F.col("ingest_seq") % 4 == 0, F.col("Itens")).alias("Itens"),
+    )
+    return j.select(F.col("numeroControlePNCP").alias("pncp_id"), "ingest_seq",
+                    F.to_json(rec).alias("raw"))
 
 
 NOTICES_SQL = r"""
@@ -214,18 +257,46 @@ notices AS (
 ITEMS_SQL = r"""
 itens AS (
   SELECT l_orderkey,
-         list({'sequencialItem': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey,
-               'descricao': 'item ' || CAST(l_partkey AS VARCHAR), 'quantidade': l_quantity,
-               'unidade': l_returnflag, 'valorUnitario': round(l_extendedprice / l_quantity, 2),
-               'valorTotal': l_extendedprice,
-               'dataPublicacaoPncp': strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')}
-              ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS Itens
+    list({'sequencialItem': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey,
+          'valorTotal': l_extendedprice, 'quantidade': l_quantity,
+          'descricao': 'item ' || CAST(l_partkey AS VARCHAR), 'unidade': l_returnflag,
+          'valorUnitario': round(l_extendedprice / l_quantity, 2),
+          'dataPublicacaoPncp': strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')}
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS Itens,
+    list({'sequencialDocumento': CASE WHEN l_linenumber % 3 <> 0 THEN l_linenumber END,
+          'titulo': CASE WHEN l_linenumber % 2 = 1 THEN 'Edital parte ' || CAST(l_linenumber AS VARCHAR) END,
+          'nome': 'arquivo_' || CAST(l_partkey AS VARCHAR) || '.pdf',
+          'tipoDocumentoNome': CASE WHEN l_partkey % 2 = 0 THEN 'Edital' END,
+          'tipoDocumentoDescricao': 'Anexo',
+          'dataPublicacaoPncp': strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S'),
+          'url': CASE WHEN l_suppkey % 2 = 0 THEN 'https://pncp.gov.br/pncp-api/v1/arquivos/' || CAST(l_partkey AS VARCHAR) END,
+          'uri': 'https://pncp.gov.br/uri/' || CAST(l_partkey AS VARCHAR)}
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS Arquivos
   FROM lineitem GROUP BY l_orderkey
 )"""
 
+DOCS_SQL = r"""
+docs AS (
+  SELECT n.numeroControlePNCP AS pncp_id, n.ingest_seq,
+    json_object('numeroControlePNCP', numeroControlePNCP, 'objetoCompra', objetoCompra,
+      'anoCompra', anoCompra, 'sequencialCompra', sequencialCompra,
+      'processo', 'PROC-' || CAST(sequencialCompra AS VARCHAR), 'modalidadeId', modalidadeId,
+      'modalidadeNome', modalidadeNome, 'situacaoCompraNome', situacaoCompraNome,
+      'valorTotalEstimado', valorTotalEstimado, 'dataPublicacaoPncp', dataPublicacaoPncp,
+      'dataAberturaProposta', dataAberturaProposta, 'dataEncerramentoProposta', dataEncerramentoProposta,
+      'dataAtualizacaoGlobal', dataAtualizacaoGlobal,
+      'orgaoEntidade', {'cnpj': orgao_cnpj, 'razaoSocial': orgao_razao},
+      'unidadeOrgao', {'ufSigla': uf_sigla, 'municipioNome': municipio_nome},
+      'Arquivos', CASE WHEN n.ingest_seq % 2 = 0 THEN i.Arquivos END,
+      'arquivos', CASE WHEN n.ingest_seq % 2 = 1 THEN i.Arquivos END,
+      'Itens', CASE WHEN n.ingest_seq % 4 = 0 THEN i.Itens END)::VARCHAR AS raw
+  FROM notices n LEFT JOIN itens i ON i.l_orderkey = n.ingest_seq
+)"""
+
 
 CONSULTA_JSON_SQL = r"""to_json({'numeroControlePNCP': numeroControlePNCP, 'objetoCompra': objetoCompra,
-  'anoCompra': anoCompra, 'sequencialCompra': sequencialCompra, 'modalidadeId': modalidadeId,
+  'anoCompra': anoCompra, 'sequencialCompra': sequencialCompra,
+  'processo': 'PROC-' || CAST(sequencialCompra AS VARCHAR), 'modalidadeId': modalidadeId,
   'modalidadeNome': modalidadeNome, 'situacaoCompraNome': situacaoCompraNome,
   'valorTotalEstimado': valorTotalEstimado, 'dataPublicacaoPncp': dataPublicacaoPncp,
   'dataAberturaProposta': dataAberturaProposta, 'dataEncerramentoProposta': dataEncerramentoProposta,
@@ -235,6 +306,7 @@ CONSULTA_JSON_SQL = r"""to_json({'numeroControlePNCP': numeroControlePNCP, 'obje
 
 SEARCH_JSON_SQL = r"""to_json({'numero_controle_pncp': numeroControlePNCP, 'description': objetoCompra,
   'title': 'Edital ' || CAST(sequencialCompra AS VARCHAR) || '/' || CAST(anoCompra AS VARCHAR),
+  'ano': anoCompra, 'numero_sequencial': sequencialCompra,
   'orgao_cnpj': orgao_cnpj, 'orgao_nome': orgao_razao, 'uf': uf_sigla, 'municipio_nome': municipio_nome,
   'modalidade_licitacao_id': modalidadeId, 'modalidade_licitacao_nome': modalidadeNome,
   'situacao_nome': situacaoCompraNome, 'data_publicacao_pncp': dataPublicacaoPncp,
