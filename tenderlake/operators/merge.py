@@ -137,26 +137,38 @@ def enrich(df: DataFrame, lookup: DataFrame, own: str, key: str, lookup_key: str
 
 # ----------------------------------------------------------------- J06
 def match_pairs(df: DataFrame, kw: DataFrame, text: str, term: str = "term",
-                boundary_short: bool = True) -> DataFrame:
-    """All (record, keyword) hits for a keyword *table*.
-
-    Scales past any plan-time term list: single-word terms are matched by
-    equi-joining the record's distinct words with the terms (a shuffle join,
-    no nested loop); multi-word terms -- a small set -- go through a
-    broadcast nested-loop join on ``contains``.  Short single-word terms use
-    word boundaries; longer ones may also match inside words, so those are
-    matched with ``contains`` in the second branch.
+                boundary_short: bool = True, broadcast_limit: int = 10000) -> DataFrame:
+    """All (record, keyword) hits for a keyword *table* (T05 semantics).
+
+    * short one-word terms (<= 4 chars, word-bounded) are an equi-join of
+      the record's distinct words with the terms -- a shuffle join, no loop;
+    * substring terms: a broadcast nested-loop join on ``locate`` when the
+      term table is at most ``broadcast_limit`` rows (counted first, so the
+      broadcast has a checked bound); beyond that, an exact equi-join on the
+      term's first 5 characters against the record's distinct 5-grams,
+      verified with ``locate``.
     """
     t = F.lower(F.col(text))
-    kw = kw.select(F.col(term).alias("_term"), F.lower(F.col(term)).alias("_kl"))
-    word_kw = kw.where(~F.col("_kl").contains(" ") & (F.length("_kl") <= 4)) if boundary_short \
-        else kw.limit(0)
-    sub_kw = kw.where(F.col("_kl").contains(" ") | (F.length("_kl") > 4)) if boundary_short else kw
+    kw = kw.select(F.col(term).alias("keyword"), F.lower(F.col(term)).alias("_kl"))
+    is_word = F.col("_kl").rlike(r"^(?U)\w+$") & (F.length("_kl") <= 4)
+    word_kw = kw.where(is_word) if boundary_short else kw.where(F.lit(False))
+    sub_kw = kw.where(~is_word) if boundary_short else kw
     words = df.select("*", F.explode(F.array_distinct(
         F.regexp_extract_all(t, F.lit(r"(?U)\w+"), 0))).alias("_w"))
     a = words.join(word_kw, words["_w"] == word_kw["_kl"], "inner").drop("_w", "_kl")
-    b = df.join(F.broadcast(sub_kw), F.locate(F.col("_kl"), t) > 0, "inner").drop("_kl")
-    return a.unionByName(b).withColumnRenamed("_term", "keyword")
+    n_sub = sub_kw.count()
+    if n_sub <= broadcast_limit:
+        b = df.join(F.broadcast(sub_kw), t.contains(F.col("_kl")), "inner").drop("_kl")
+    else:
+        short = sub_kw.where(F.length("_kl") < 5)
+        long_ = sub_kw.where(F.length("_kl") >= 5).withColumn("_g", F.substring("_kl", 1, 5))
+        grams = df.select("*", F.explode(F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(t) - 4, F.lit(1))),
+            lambda i: F.substring(t, i, 5)))).alias("_g"))
+        b1 = grams.join(long_, "_g").where(t.contains(F.col("_kl"))).drop("_g", "_kl")
+        b2 = df.join(F.broadcast(short), t.contains(F.col("_kl")), "inner").drop("_kl")
+        b = b1.unionByName(b2)
+    return a.unionByName(b)
 
 
 # ----------------------------------------------------------------- J07
