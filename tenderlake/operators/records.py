@@ -277,3 +277,127 @@ def attachment_listing(att: DataFrame, key: str = "pncp_id") -> DataFrame:
                                    default="—"), 1, 27).alias("tipo"),
         D.first_truthy(a("url"), a("uri"), a("link"), default="").alias("link"),
     )
+
+
+def explode_items(df: DataFrame, raw: str = "raw", key: str = "pncp_id") -> DataFrame:
+    """``Itens`` array -> display rows: sequence, description, quantity,
+    unit, unit price and total (BRL), with field fallbacks and '—'."""
+    arr = F.from_json(F.get_json_object(F.col(raw), "$.Itens"), ITEM_SCHEMA)
+    x = df.select(F.col(key), F.posexplode_outer(arr).alias("pos", "i"))
+    i = lambda n: F.col("i." + n)
+    dash = "—"
+    return x.where(F.col("i").isNotNull()).select(
+        F.col(key),
+        D.first_truthy(i("sequencialItem"), i("sequencial"), (F.col("pos") + 1).cast("string")).alias("seq"),
+        D.first_truthy(i("descricao"), i("descricaoItem"), i("descricaoObjeto"), default=dash).alias("descricao"),
+        D.first_truthy(i("quantidade"), i("qtde"), default=dash).alias("quantidade"),
+        D.first_truthy(i("unidade"), i("unidadeMedida"), default=dash).alias("unidade"),
+        F.coalesce(D.fmt_brl(D.first_truthy(i("valorUnitario"), i("valor_unitario"), i("valor"))),
+                   F.lit(dash)).alias("valor_unitario"),
+        F.coalesce(D.fmt_brl(D.first_truthy(i("valorTotal"), i("valor_total"))), F.lit(dash)).alias("valor_total"),
+    )
+
+
+# ----------------------------------------------------------------- P07
+def top_keywords_inline(toks: Column, k: int = 8) -> Column:
+    """T08 for short texts, inside the row: distinct tokens ranked by count
+    desc then first occurrence; no shuffle (O(n^2) in the token count, so
+    long documents use ``summary.topk_tokens`` instead)."""
+    d = F.array_distinct(toks)
+    scored = F.transform(d, lambda x, i: F.struct(
+        (-F.size(F.filter(toks, lambda y: y == x))).alias("n"), i.alias("i"), x.alias("t")))
+    return F.transform(F.slice(F.array_sort(scored), 1, k), lambda s: s["t"])
+
+
+def normalize_premium(df: DataFrame, raw: str = "raw", categories=None) -> DataFrame:
+    """Consulta JSON -> premium record: snake_case, nested groups
+    (datas, orgao_entidade, unidade_orgao, links), object category (T09),
+    top-8 keywords (T08), safe floats (P09)."""
+    keep = [c for c in df.columns if c != raw]
+    x = df.select(*keep, F.from_json(F.col(raw), CONSULTA_SCHEMA).alias("r"))
+    r = lambda n: F.col("r." + n)
+    obj = r("objetoCompra")
+    return x.select(
+        *keep,
+        obj.alias("objeto_compra"),
+        r("numeroControlePNCP").alias("numero_controle_pncp"),
+        D.safe_double(r("valorTotalEstimado")).alias("valor_total_estimado"),
+        D.safe_double(r("valorTotalHomologado")).alias("valor_total_homologado"),
+        X.categorize(F.coalesce(obj, F.lit("")), categories).alias("categoria_objeto"),
+        top_keywords_inline(X.tokens(F.coalesce(obj, F.lit("")))).alias("palavras_chave"),
+        r("anoCompra").try_cast("int").alias("ano_compra"),
+        r("sequencialCompra").try_cast("long").alias("sequencial_compra"),
+        r("processo").alias("processo"),
+        r("modalidadeId").try_cast("int").alias("modalidade_id"),
+        r("modalidadeNome").alias("modalidade_nome"),
+        r("situacaoCompraNome").alias("situacao_compra_nome"),
+        F.struct(r("dataPublicacaoPncp").alias("publicacao_pncp"),
+                 r("dataAberturaProposta").alias("abertura_proposta"),
+                 r("dataEncerramentoProposta").alias("encerramento_proposta"),
+                 r("dataAtualizacao").alias("atualizacao"),
+                 r("dataAtualizacaoGlobal").alias("atualizacao_global")).alias("datas"),
+        F.struct(r("orgaoEntidade.cnpj").alias("cnpj"),
+                 r("orgaoEntidade.razaoSocial").alias("razao_social")).alias("orgao_entidade"),
+        F.struct(r("unidadeOrgao.ufSigla").alias("uf_sigla"),
+                 r("unidadeOrgao.municipioNome").alias("municipio_nome")).alias("unidade_orgao"),
+        F.struct(r("linkSistemaOrigem").alias("sistema_origem")).alias("links"),
+    )
+
+
+def premium_flat(p: DataFrame) -> DataFrame:
+    """Premium record with the nested groups lifted to top-level columns."""
+    return p.select("*", "datas.*", "orgao_entidade.*", "unidade_orgao.*").drop(
+        "datas", "orgao_entidade", "unidade_orgao", "links")
+
+
+# ----------------------------------------------------------------- P11
+def report_rows(df: DataFrame, json_col: str = "dados_json", today: str | None = None) -> DataFrame:
+    """Report-ready rows from a filtered table.
+
+    Field precedence follows the report code: JSON first for most fields;
+    the table column first for ``pncp_id``, ``uf_sigla`` and
+    ``objeto_compra``.  Attachments/items: the record's own arrays (their
+    sizes here; P13/P15 explode them).  Display forms use T12-T16.
+    """
+    cols = set(df.columns)
+    col = lambda n: F.col(n) if n in cols else F.lit(None).cast("string")
+    s = lambda *k: D.safe_path(F.col(json_col), *k)
+    t = D.first_truthy
+    orgao = t(s("orgaoEntidade", "razaoSocial"), col("orgao_nome"), s("unidadeOrgao", "nomeUnidade"), default="")
+    numero = t(s("numeroControlePNCP"), col("pncp_id"), col("numero_controle_pncp"), default="")
+    arq = F.from_json(F.get_json_object(F.col(json_col), "$.Arquivos"), ATTACHMENT_SCHEMA)
+    itn = F.from_json(F.get_json_object(F.col(json_col), "$.Itens"), ITEM_SCHEMA)
+    out = df.select(
+        t(col("pncp_id"), col("numero_controle_pncp"), s("numeroControlePNCP")).alias("pncp_id"),
+        numero.alias("numero_controle"),
+        s("anoCompra").alias("ano_compra"), s("sequencialCompra").alias("sequencial_compra"),
+        s("numeroCompra").alias("numero_compra"), s("processo").alias("processo"),
+        orgao.alias("orgao_nome"), s("orgaoEntidade", "cnpj").alias("cnpj"),
+        t(col("uf_sigla"), s("unidadeOrgao", "ufSigla"), default="").alias("uf_sigla"),
+        s("unidadeOrgao", "ufNome").alias("uf_nome"), s("unidadeOrgao", "municipioNome").alias("municipio"),
+        s("unidadeOrgao", "nomeUnidade").alias("unidade"),
+        t(col("objeto_compra"), s("objetoCompra"), default="").alias("objeto_compra"),
+        s("modalidadeNome").alias("modalidade"), s("modoDisputaNome").alias("modo_disputa"),
+        t(s("situacaoCompraNome"), col("situacao_nome"), default="").alias("situacao"),
+        s("tipoInstrumentoConvocatorioNome").alias("instrumento"),
+        t(s("valorTotalEstimado"), col("valor_estimado"), default="").alias("valor_estimado"),
+        s("valorTotalHomologado").alias("valor_homologado"),
+        s("dataAberturaProposta").alias("data_abertura"),
+        s("dataEncerramentoProposta").alias("data_encerramento"),
+        s("dataPublicacaoPncp").alias("data_publicacao"),
+        s("dataAtualizacao").alias("data_atualizacao"), s("dataInclusao").alias("data_inclusao"),
+        D.valid_link(s("linkSistemaOrigem")).alias("link_sistema"),
+        D.valid_link(s("linkProcessoEletronico")).alias("link_processo"),
+        D.portal_link(t(s("numeroControlePNCP"), col("pncp_id"))).alias("link_pncp"),
+        s("amparoLegal", "nome").alias("amparo_legal"), s("usuarioNome").alias("usuario"),
+        F.coalesce(F.when(col("categoria") != "", col("categoria")), F.lit("")).alias("categoria"),
+        F.coalesce(F.when(col("motivo") != "", col("motivo")), F.lit("")).alias("motivo"),
+        F.coalesce(F.size(arq), F.lit(0)).cast("bigint").alias("n_arquivos"),
+        F.coalesce(F.size(itn), F.lit(0)).cast("bigint").alias("n_itens"),
+    )
+    out = (out.withColumn("valor_estimado_fmt", D.fmt_brl("valor_estimado"))
+              .withColumn("data_encerramento_fmt", D.fmt_date("data_encerramento"))
+              .withColumn("cnpj_fmt", D.fmt_cnpj("cnpj")))
+    if today:
+        out = out.withColumn("prazo", D.deadline_status("data_encerramento", today))
+    return out
