@@ -94,20 +94,23 @@ def merge_feeds(df: DataFrame, key: str, ref: str, seq: str, origin: str = "_ori
 
 
 # ----------------------------------------------------------------- J03/J04/U04
+def _done_keys(done: DataFrame, dk: str) -> DataFrame:
+    d = done.select(F.col(dk).alias("_k")).where(F.col("_k").isNotNull())
+    if dict(d.dtypes)["_k"] == "string":
+        d = d.where(F.col("_k") != "")
+    return d
+
+
 def pending(df: DataFrame, done: DataFrame, key: str, done_key: str | None = None) -> DataFrame:
     """Rows whose key is not in the processed set (``''`` or NULL
     keys are never treated as done).  Anti-join; Spark broadcasts the done
     set only when its measured size is under the threshold."""
-    dk = done_key or key
-    d = done.select(F.col(dk).alias("_k")).where(F.col("_k").isNotNull() & (F.col("_k") != ""))
-    return df.join(d, df[key] == d["_k"], "left_anti")
+    return df.join(_done_keys(done, done_key or key), df[key] == F.col("_k"), "left_anti")
 
 
 def already_done(df: DataFrame, done: DataFrame, key: str, done_key: str | None = None) -> DataFrame:
     """Rows whose key is in the processed set (semi-join)."""
-    dk = done_key or key
-    d = done.select(F.col(dk).alias("_k")).where(F.col("_k").isNotNull() & (F.col("_k") != ""))
-    return df.join(d, df[key] == d["_k"], "left_semi")
+    return df.join(_done_keys(done, done_key or key), df[key] == F.col("_k"), "left_semi")
 
 
 # ----------------------------------------------------------------- U02/U03

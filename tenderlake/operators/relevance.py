@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from ..functions import fixed
 from ..functions import text as X
 
-NULL_INT = F.lit(None).cast("int")
 
 
 def _c(c) -> Column:
@@ -49,7 +48,7 @@ def rule_decision(df: DataFrame, text: str, pos=None, neg=None, boundary: bool =
     x = df.withColumn("_p", term_hits(t, pos, boundary)).withColumn("_n", term_hits(t, neg, boundary))
     p, n = F.size("_p") > 0, F.size("_n") > 0
     j = lambda a, k: F.array_join(F.slice(F.col(a), 1, k), ", ")
-    return (x.withColumn("classe_regra", F.when(n & ~p, F.lit(0)).when(p & ~n, F.lit(1)).otherwise(NULL_INT))
+    return (x.withColumn("classe_regra", F.when(n & ~p, F.lit(0)).when(p & ~n, F.lit(1)).otherwise(F.lit(None).cast("int")))
              .withColumn("status_regra", F.when(n & ~p, "nao_relevante").when(p & ~n, "relevante")
                          .when(p & n, "revisar").otherwise("sem_regra"))
              .withColumn("motivo_regra", F.when(n & ~p, F.concat(F.lit("Termos negativos fortes encontrados: "), j("_n", 5)))
@@ -70,7 +69,7 @@ def regex_decision(df: DataFrame, text: str, pos=None, neg=None) -> DataFrame:
     x = df.withColumn("_p", X.regex_hits(t, pos)).withColumn("_n", X.regex_hits(t, neg))
     p, n = F.size("_p") > 0, F.size("_n") > 0
     j = lambda a, k: F.array_join(F.slice(F.col(a), 1, k), ", ")
-    return (x.withColumn("classificacao_final", F.when(p & ~n, F.lit(1)).when(n & ~p, F.lit(0)).otherwise(NULL_INT))
+    return (x.withColumn("classificacao_final", F.when(p & ~n, F.lit(1)).when(n & ~p, F.lit(0)).otherwise(F.lit(None).cast("int")))
              .withColumn("status_final", F.when(p & ~n, "relevante").when(n & ~p, "nao_relevante")
                          .otherwise("revisar"))
              .withColumn("termos_positivos_batidos", F.when(p, j("_p", 10)).otherwise(""))
@@ -86,7 +85,7 @@ def regex_decision(df: DataFrame, text: str, pos=None, neg=None) -> DataFrame:
 def threshold_decision(p, hi: float = fixed.THRESHOLD_RELEVANT, lo: float = fixed.THRESHOLD_REVIEW):
     """(classificacao, status) from the relevant-class probability."""
     x = _c(p)
-    cls = F.when(x >= hi, F.lit(1)).when(x >= lo, NULL_INT).otherwise(F.lit(0))
+    cls = F.when(x >= hi, F.lit(1)).when(x >= lo, F.lit(None).cast("int")).otherwise(F.lit(0))
     st = F.when(x >= hi, F.lit("relevante")).when(x >= lo, F.lit("revisar")).otherwise(F.lit("nao_relevante"))
     return cls, st
 
@@ -97,7 +96,7 @@ def hybrid_decision(rule_status, p, hi: float = fixed.THRESHOLD_RELEVANT,
     (classificacao, status, origem)."""
     r, x = _c(rule_status), _c(p)
     cls = (F.when(r == "relevante", F.lit(1)).when(r == "nao_relevante", F.lit(0))
-            .when(x >= hi, F.lit(1)).when(x >= lo, NULL_INT).otherwise(F.lit(0)))
+            .when(x >= hi, F.lit(1)).when(x >= lo, F.lit(None).cast("int")).otherwise(F.lit(0)))
     st = (F.when(r == "relevante", F.lit("relevante")).when(r == "nao_relevante", F.lit("nao_relevante"))
            .when(x >= hi, F.lit("relevante")).when(x >= lo, F.lit("revisar")).otherwise(F.lit("nao_relevante")))
     org = (F.when(r == "relevante", F.lit("regra_forte_positiva"))
