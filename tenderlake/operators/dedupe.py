@@ -96,6 +96,11 @@ def with_index(df: DataFrame, order, name: str = "idx", num_partitions: int | No
            .withColumn("_mid", F.monotonically_increasing_id())
            .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
            .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)))
+    # Positions and per-partition counts must come from the SAME physical
+    # layout: range bounds are sampled and AQE may coalesce differently per
+    # evaluation, so the positioned rows are materialised once in the shared
+    # checkpoint folder (reliable checkpoint; survives executor loss).
+    s = s.checkpoint(eager=True)
     gcols = [c for c in gnames if c]
     counts = s.groupBy("_pid", *gcols).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = Window.partitionBy(*gcols).orderBy("_pid") if gcols else Window.orderBy("_pid")

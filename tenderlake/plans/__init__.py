@@ -17,5 +17,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> dict:
-    from . import label_jobs, notice_jobs, record_jobs, report_jobs, text_jobs  # noqa: F401
+    from . import io_jobs, label_jobs, notice_jobs, record_jobs, report_jobs, text_jobs  # noqa: F401
     return REGISTRY
