@@ -175,7 +175,7 @@ def line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("quantidade"),
         F.concat(F.lit("item "), pk.cast("string")).alias("descricao"),
         F.col("l_returnflag").alias("unidade"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("valorUnitario"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("valorUnitario"),
         F.date_format("l_shipdate", ISO).alias("dataPublicacaoPncp"),
     )
     att = F.struct(
@@ -260,7 +260,7 @@ itens AS (
     list({'sequencialItem': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey,
           'valorTotal': l_extendedprice, 'quantidade': l_quantity,
           'descricao': 'item ' || CAST(l_partkey AS VARCHAR), 'unidade': l_returnflag,
-          'valorUnitario': round(l_extendedprice / l_quantity, 2),
+          'valorUnitario': l_extendedprice / l_quantity,
           'dataPublicacaoPncp': strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')}
          ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS Itens,
     list({'sequencialDocumento': CASE WHEN l_linenumber % 3 <> 0 THEN l_linenumber END,

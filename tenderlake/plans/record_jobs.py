@@ -321,3 +321,160 @@ def q_explode_attachments(spark, sf_dir):
 def _explode_with_seq(d):
     x = R.explode_attachments(d.select(F.struct("pncp_id", "ingest_seq").alias("k"), "raw"), "raw", key="k")
     return x.select("k.pncp_id", "k.ingest_seq", "posicao", "titulo", "tipo", "data", "link")
+
+
+# ---------------------------------------------------------------- P14/P15/J05/P11/P08
+def _arr_sql(key):
+    return f"CASE WHEN json_type(raw, '$.{key}') = 'ARRAY' THEN json_extract(raw, '$.{key}') END"
+
+
+_ATT_SQL = f""",
+a AS (SELECT pncp_id, ingest_seq, coalesce({_arr_sql('Arquivos')}, {_arr_sql('arquivos')}) AS arr FROM docs),
+e AS (SELECT pncp_id, ingest_seq, unnest(range(CAST(json_array_length(arr) AS BIGINT))) AS i, arr FROM a WHERE arr IS NOT NULL),
+f AS (SELECT pncp_id, ingest_seq, i,
+  json_extract_string(arr, '$[' || i || '].sequencialDocumento') AS sd,
+  json_extract_string(arr, '$[' || i || '].titulo') AS titulo,
+  json_extract_string(arr, '$[' || i || '].tipoDocumentoNome') AS tnome,
+  json_extract_string(arr, '$[' || i || '].tipoDocumentoDescricao') AS tdesc,
+  json_extract_string(arr, '$[' || i || '].tipo') AS tipo,
+  json_extract_string(arr, '$[' || i || '].dataPublicacaoPncp') AS dpub,
+  json_extract_string(arr, '$[' || i || '].data') AS data,
+  json_extract_string(arr, '$[' || i || '].url') AS url,
+  json_extract_string(arr, '$[' || i || '].uri') AS uri,
+  json_extract_string(arr, '$[' || i || '].link') AS link FROM e)"""
+
+
+@query("attachment_listing", with_ctes(NOTICES_SQL, ITEMS_SQL, DOCS_SQL) + _ATT_SQL + """
+SELECT pncp_id, ingest_seq, CASE WHEN coalesce(sd, '') NOT IN ('', '0') THEN sd ELSE CAST(i + 1 AS VARCHAR) END AS seq,
+  substr(coalesce(nullif(titulo, ''), '—'), 1, 39) AS titulo,
+  CASE WHEN coalesce(nullif(dpub, ''), nullif(data, '')) IS NULL THEN '—'
+       ELSE strftime(strptime(coalesce(nullif(dpub, ''), nullif(data, '')), '%Y-%m-%dT%H:%M:%S'), '%d/%m/%Y - %H:%M:%S') END AS data,
+  substr(coalesce(nullif(tnome, ''), nullif(tdesc, ''), nullif(tipo, ''), '—'), 1, 27) AS tipo,
+  coalesce(nullif(url, ''), nullif(uri, ''), nullif(link, ''), '') AS link
+FROM f""")
+def q_attachment_listing(spark, sf_dir):
+    """Attachment listing rows (sequence, title <= 39, date, type <= 27, link)."""
+    d = notice_docs(spark, sf_dir)
+    arr = F.coalesce(F.from_json(F.get_json_object("raw", "$.Arquivos"), R.ATTACHMENT_SCHEMA),
+                     F.from_json(F.get_json_object("raw", "$.arquivos"), R.ATTACHMENT_SCHEMA))
+    x = d.select(F.struct("pncp_id", "ingest_seq").alias("k"), F.posexplode(arr).alias("pos", "a"))
+    x = x.withColumn("pos", F.col("pos") + 1)
+    out = R.attachment_listing(x, key="k")
+    return out.select("k.pncp_id", "k.ingest_seq", "seq", "titulo", "data", "tipo", "link")
+
+
+@query("explode_items", with_ctes(NOTICES_SQL, ITEMS_SQL, DOCS_SQL) + """,
+a AS (SELECT pncp_id, ingest_seq, json_extract(raw, '$.Itens') AS arr FROM docs WHERE json_type(raw, '$.Itens') = 'ARRAY'),
+e AS (SELECT pncp_id, ingest_seq, unnest(range(CAST(json_array_length(arr) AS BIGINT))) AS i, arr FROM a)
+SELECT pncp_id, ingest_seq,
+  coalesce(json_extract_string(arr, '$[' || i || '].sequencialItem'), CAST(i + 1 AS VARCHAR)) AS seq,
+  coalesce(nullif(json_extract_string(arr, '$[' || i || '].descricao'), ''), '—') AS descricao,
+  coalesce(nullif(json_extract_string(arr, '$[' || i || '].quantidade'), ''), '—') AS quantidade,
+  coalesce(nullif(json_extract_string(arr, '$[' || i || '].unidade'), ''), '—') AS unidade,
+  'R$ ' || translate(format('{:,.2f}', CAST(json_extract_string(arr, '$[' || i || '].valorUnitario') AS DOUBLE)), ',.', '.,') AS valor_unitario,
+  'R$ ' || translate(format('{:,.2f}', CAST(json_extract_string(arr, '$[' || i || '].valorTotal') AS DOUBLE)), ',.', '.,') AS valor_total
+FROM e""")
+def q_explode_items(spark, sf_dir):
+    """Own item arrays -> display rows with BRL money."""
+    d = notice_docs(spark, sf_dir)
+    x = R.explode_items(d.select(F.struct("pncp_id", "ingest_seq").alias("k"), "raw"), "raw", key="k")
+    return x.select("k.pncp_id", "k.ingest_seq", "seq", "descricao", "quantidade", "unidade",
+                    "valor_unitario", "valor_total")
+
+
+@query("enrich_left", with_ctes(NOTICES_SQL, ITEMS_SQL, DOCS_SQL) + r""",
+k AS (SELECT pncp_id, ingest_seq, raw,
+        CASE WHEN regexp_matches(pncp_id, '^(\d+)-1-(\d+)/(\d+)')
+             THEN CAST(regexp_extract(pncp_id, '^(\d+)-1-(\d+)/(\d+)', 2) AS BIGINT) END AS seqk FROM docs)
+SELECT k.pncp_id, k.ingest_seq,
+  CAST(CASE WHEN coalesce(json_array_length(json_extract(raw, '$.Itens')), 0) > 0 THEN json_array_length(json_extract(raw, '$.Itens'))
+       ELSE coalesce(len(i.Itens), 0) END AS BIGINT) AS n_itens,
+  CASE WHEN coalesce(json_array_length(json_extract(raw, '$.Itens')), 0) > 0 THEN 'proprio'
+       WHEN i.Itens IS NOT NULL THEN 'consulta' ELSE 'vazio' END AS origem
+FROM k LEFT JOIN itens i ON i.l_orderkey = k.seqk""")
+def q_enrich_left(spark, sf_dir):
+    """Own items win, else looked up by the parsed key, else empty."""
+    d = notice_docs(spark, sf_dir)
+    own = F.from_json(F.get_json_object("raw", "$.Itens"), "array<struct<sequencialItem:int>>")
+    x = d.select("pncp_id", "ingest_seq", own.alias("itens"),
+                 D.parse_control("pncp_id").seq.cast("bigint").alias("seqk"))
+    lk = line_arrays(spark, sf_dir).select(
+        "l_orderkey", F.transform("Itens", lambda i: F.struct(i["sequencialItem"].alias("sequencialItem")))
+        .alias("lookup"))
+    e = J.enrich(x.withColumn("_own_n", F.size("itens")), lk, "itens", "seqk", "l_orderkey", "lookup")
+    return e.select("pncp_id", "ingest_seq", F.size("itens").cast("bigint").alias("n_itens"),
+                    F.when(F.col("_own_n") > 0, "proprio").when(F.size("itens") > 0, "consulta")
+                     .otherwise("vazio").alias("origem"))
+
+
+def _safe_sql(path):
+    v = f"json_extract_string(dados_json, '$.{path}')"
+    return f"CASE WHEN {v} IS NULL OR lower(trim({v})) IN ('none', 'null', '') THEN '' ELSE trim({v}) END"
+
+
+FILTERED_SQL = """filt AS (SELECT pncp_id, CAST(NULL AS VARCHAR) AS orgao_nome,
+  json_extract_string(raw, '$.unidadeOrgao.ufSigla') AS uf_sigla,
+  upper(json_extract_string(raw, '$.objetoCompra')) AS objeto_compra, raw AS dados_json,
+  CASE WHEN ingest_seq % 2 = 0 THEN 'controle_acesso' ELSE '' END AS categoria, 'regra' AS motivo FROM docs)"""
+
+
+def filtered_table(spark, sf_dir):
+    """The filtered (classified) table shape: table columns + JSON."""
+    d = notice_docs(spark, sf_dir)
+    return d.select("pncp_id", F.lit(None).cast("string").alias("orgao_nome"),
+                    F.get_json_object("raw", "$.unidadeOrgao.ufSigla").alias("uf_sigla"),
+                    F.upper(F.get_json_object("raw", "$.objetoCompra")).alias("objeto_compra"),
+                    F.col("raw").alias("dados_json"),
+                    F.when(F.col("ingest_seq") % 2 == 0, "controle_acesso").otherwise("").alias("categoria"),
+                    F.lit("regra").alias("motivo"))
+
+
+@query("report_rows", with_ctes(NOTICES_SQL, ITEMS_SQL, DOCS_SQL, FILTERED_SQL) + f"""
+SELECT coalesce(nullif(pncp_id, ''), nullif({_safe_sql('numeroControlePNCP')}, '')) AS pncp_id,
+  coalesce(nullif({_safe_sql('numeroControlePNCP')}, ''), nullif(pncp_id, ''), '') AS numero_controle,
+  {_safe_sql('anoCompra')} AS ano_compra, {_safe_sql('processo')} AS processo,
+  coalesce(nullif({_safe_sql('orgaoEntidade.razaoSocial')}, ''), nullif(orgao_nome, ''), nullif({_safe_sql('unidadeOrgao.nomeUnidade')}, ''), '') AS orgao_nome,
+  {_safe_sql('orgaoEntidade.cnpj')} AS cnpj,
+  coalesce(nullif(uf_sigla, ''), nullif({_safe_sql('unidadeOrgao.ufSigla')}, ''), '') AS uf_sigla,
+  {_safe_sql('unidadeOrgao.municipioNome')} AS municipio, {_safe_sql('unidadeOrgao.ufNome')} AS uf_nome,
+  coalesce(nullif(objeto_compra, ''), nullif({_safe_sql('objetoCompra')}, ''), '') AS objeto_compra,
+  {_safe_sql('modalidadeNome')} AS modalidade, {_safe_sql('valorTotalEstimado')} AS valor_estimado,
+  {_safe_sql('dataEncerramentoProposta')} AS data_encerramento, {_safe_sql('amparoLegal.nome')} AS amparo_legal,
+  CASE WHEN regexp_matches(coalesce(nullif({_safe_sql('numeroControlePNCP')}, ''), pncp_id), '^(\\d+)-1-(\\d+)/(\\d+)')
+       THEN 'https://pncp.gov.br/editais/' || regexp_extract(coalesce(nullif({_safe_sql('numeroControlePNCP')}, ''), pncp_id), '^(\\d+)-1-(\\d+)/(\\d+)', 1)
+            || '/' || regexp_extract(coalesce(nullif({_safe_sql('numeroControlePNCP')}, ''), pncp_id), '^(\\d+)-1-(\\d+)/(\\d+)', 3) || '/'
+            || CAST(CAST(regexp_extract(coalesce(nullif({_safe_sql('numeroControlePNCP')}, ''), pncp_id), '^(\\d+)-1-(\\d+)/(\\d+)', 2) AS BIGINT) AS VARCHAR) END AS link_pncp,
+  coalesce(nullif(categoria, ''), '') AS categoria,
+  CAST(CASE WHEN json_type(dados_json, '$.Arquivos') = 'ARRAY' THEN json_array_length(dados_json, '$.Arquivos') ELSE 0 END AS BIGINT) AS n_arquivos,
+  CAST(CASE WHEN json_type(dados_json, '$.Itens') = 'ARRAY' THEN json_array_length(dados_json, '$.Itens') ELSE 0 END AS BIGINT) AS n_itens,
+  'R$ ' || translate(format('{{:,.2f}}', CAST({_safe_sql('valorTotalEstimado')} AS DOUBLE)), ',.', '.,') AS valor_estimado_fmt,
+  strftime(strptime({_safe_sql('dataEncerramentoProposta')}, '%Y-%m-%dT%H:%M:%S'), '%d/%m/%Y %H:%M') AS data_encerramento_fmt,
+  regexp_replace({_safe_sql('orgaoEntidade.cnpj')}, '^(\\d{{2}})(\\d{{3}})(\\d{{3}})(\\d{{4}})(\\d{{2}})$', '\\1.\\2.\\3/\\4-\\5') AS cnpj_fmt
+FROM filt""")
+def q_report_rows(spark, sf_dir):
+    """Report-ready rows (JSON first; table column first for id, UF and object)."""
+    r = R.report_rows(filtered_table(spark, sf_dir), "dados_json")
+    return r.select("pncp_id", "numero_controle", "ano_compra", "processo", "orgao_nome", "cnpj", "uf_sigla",
+                    "municipio", "uf_nome", "objeto_compra", "modalidade", "valor_estimado", "data_encerramento",
+                    "amparo_legal", "link_pncp", "categoria", "n_arquivos", "n_itens", "valor_estimado_fmt",
+                    "data_encerramento_fmt", "cnpj_fmt")
+
+
+@query("pruned_json", with_ctes(NOTICES_SQL, FEEDS_SQL) + """
+SELECT ingest_seq,
+  CAST(14 - (CASE WHEN json_extract_string(raw, '$.modalidadeId') IS NULL THEN 1 ELSE 0 END)
+          - (CASE WHEN json_extract_string(raw, '$.modalidadeNome') IS NULL THEN 1 ELSE 0 END)
+          - (CASE WHEN json_extract_string(raw, '$.numeroControlePNCP') IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_chaves,
+  CAST(4 AS BIGINT) AS n_datas, false AS tem_links
+FROM feeds WHERE feed = 'consulta'""")
+def q_pruned_json(spark, sf_dir):
+    """Premium record emitted as JSON with empty fields removed
+    (NULL, '', [], {} -- recursively)."""
+    f = feeds_raw(spark, sf_dir).where(F.col("feed") == "consulta").select("ingest_seq", "raw")
+    p = R.normalize_premium(f)
+    cols = [c for c in p.columns if c not in ("ingest_seq", "raw")]
+    j = R.to_pruned_json(p.select("ingest_seq", *cols), cols, "json").withColumn(
+        "ingest_seq", F.get_json_object("json", "$.sequencial_compra").cast("long"))
+    return j.select("ingest_seq", F.size(F.json_object_keys("json")).cast("bigint").alias("n_chaves"),
+                    F.size(F.json_object_keys(F.get_json_object("json", "$.datas"))).cast("bigint").alias("n_datas"),
+                    F.get_json_object("json", "$.links").isNotNull().alias("tem_links"))
