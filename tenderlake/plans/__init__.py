@@ -17,5 +17,6 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> dict:
-    from . import io_jobs, label_jobs, notice_jobs, range_jobs, record_jobs, report_jobs, text_jobs  # noqa: F401
+    from . import (io_jobs, label_jobs, notice_jobs, range_jobs, record_jobs, report_jobs,  # noqa: F401
+                   stream_jobs, text_jobs)
     return REGISTRY
