@@ -23,9 +23,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's str.isspace() accepts (built by rule, BMP).
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (a linear trim from both ends, no regex pass over the text)."""
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def squash(c) -> Column:

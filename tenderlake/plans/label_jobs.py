@@ -485,7 +485,10 @@ def _fit(spark, sf_dir):
     lab = labelled(spark, sf_dir).select("doc_id", "label")
     # Materialise the featurised label set in the shared checkpoint folder:
     # the optimiser makes many passes, none of which should redo the text work.
-    data = M.stratified_split(lab, "label", "doc_id").join(feats, "doc_id").checkpoint()
+    # A fixed layout (range partitions sorted by id) makes the optimiser's
+    # tree aggregation -- and so the model -- the same on every run.
+    data = (M.stratified_split(lab, "label", "doc_id").join(feats, "doc_id")
+             .repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").checkpoint())
     model = M.train_linear(data.where(~F.col("is_test")), "features", "label", max_iter=100)
     return model, vocab, data
 

@@ -288,3 +288,26 @@ def q_reason_text(spark, sf_dir):
     return d.where(F.size("p") > 0).select(
         "doc_id", X.reason_text("p", 1, "Padrões positivos encontrados: ").alias("motivo_curto"),
         X.reason_text("p", 10).alias("todos"))
+
+
+@query("topk_tokens", f"""WITH t AS (
+  SELECT conv_id, turn, {S.tokens('text', fixed.TOKEN_STOPWORDS)} AS toks FROM conversations
+), e AS (
+  SELECT conv_id, turn, unnest(toks) AS tok, unnest(range(CAST(len(toks) AS BIGINT))) AS pos FROM t
+), c AS (
+  SELECT conv_id, turn, tok, count(*) AS n, min(pos) AS first FROM e GROUP BY ALL
+)
+SELECT conv_id, turn, tok, CAST(n AS BIGINT) AS n,
+       row_number() OVER (PARTITION BY conv_id, turn ORDER BY n DESC, first) AS rk FROM c
+QUALIFY rk <= 3""")
+def q_topk_tokens(spark, sf_dir):
+    """The 3 most frequent tokens of every conversation turn (count
+    desc, first occurrence asc), one row per (turn, rank)."""
+    from pyspark.sql import Window
+    c = table(spark, sf_dir, "conversations").select(
+        F.struct("conv_id", "turn").alias("k"), X.tokens("text").alias("toks"))
+    e = c.select("k", F.posexplode("toks").alias("pos", "tok"))
+    g = e.groupBy("k", "tok").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    w = Window.partitionBy("k").orderBy(F.desc("n"), F.asc("first"))
+    top = g.withColumn("rk", F.row_number().over(w).cast("bigint")).where(F.col("rk") <= 3)
+    return top.select("k.conv_id", "k.turn", "tok", "n", "rk")
