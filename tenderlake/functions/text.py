@@ -73,12 +73,8 @@ def fold_raw(c) -> Column:
     """NFKD + drop non-ASCII, without lower/strip."""
     src, dst, multi = _fold_tables()
     x = _c(c)
-    if multi:
-        cls = "[" + "".join(re.escape(m) for m, _ in multi) + "]"
-        y = x
-        for m, d in multi:
-            y = F.replace(y, F.lit(m), F.lit(d))
-        x = F.when(x.rlike(cls), y).otherwise(x)
+    for m, d in multi:  # byte-level search; returns the input untouched when absent
+        x = F.replace(x, F.lit(m), F.lit(d))
     x = F.translate(x, src, dst)
     return F.regexp_replace(x, r"[^\x00-\x7F]", "")
 
@@ -104,11 +100,20 @@ def clean_text(c, stopwords=None) -> Column:
     return F.coalesce(F.array_join(keep, " "), F.lit(""))
 
 
+def raw_tokens(c) -> Column:
+    """Alphanumeric runs of the folded text (before the T04 token filter)."""
+    return F.regexp_extract_all(fold(c), F.lit(r"[a-zA-Z0-9]+"), 0)
+
+
+def token_keep(t: Column, stopwords=None) -> Column:
+    """T04 token filter as a row predicate (len > 2, not a stop-word)."""
+    sw = list(fixed.TOKEN_STOPWORDS if stopwords is None else stopwords)
+    return (F.length(t) > 2) & ~t.isin(sw)
+
+
 def tokens(c, stopwords=None) -> Column:
     """Tokens of the folded text: ``[a-zA-Z0-9]+``, len > 2, no stop-words."""
-    sw = list(fixed.TOKEN_STOPWORDS if stopwords is None else stopwords)
-    toks = F.regexp_extract_all(fold(c), F.lit(r"[a-zA-Z0-9]+"), 0)
-    return F.filter(toks, lambda t: (F.length(t) > 2) & ~t.isin(sw))
+    return F.filter(raw_tokens(c), lambda t: token_keep(t, stopwords))
 
 
 # ------------------------------------------------------------ keyword match

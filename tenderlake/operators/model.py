@@ -22,22 +22,24 @@ from .dedupe import with_index
 # ----------------------------------------------------------------- M01
 def grams(df: DataFrame, id_col: str, text: str, ngrams=(1, 2)) -> DataFrame:
     """(id, term) rows: word tokens of >= 2 word characters, lower-cased,
-    as 1..n-grams in token order."""
-    toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)\b\w\w+\b"), 0)
-    x = df.select(F.col(id_col), toks.alias("_t"))
-    parts = []
+    as lo..hi-grams in token order.
+
+    One pass, no per-element lambdas: the token array is zipped with its
+    shifted copies (``arrays_zip`` pads with NULL), exploded once, and each
+    position emits the k-grams that start there.
+    """
     lo, hi = ngrams
-    def ngram_at(n):
-        return lambda i: F.array_join(F.slice(F.col("_t"), i, n), " ")
-
-    for n in range(lo, hi + 1):
-        if n == 1:
-            parts.append(F.col("_t"))
-        else:
-            parts.append(F.transform(F.sequence(F.lit(1), F.size("_t") - n + 1), ngram_at(n)))
-    allg = F.flatten(F.array(*[F.when(F.size("_t") >= (k + lo), p).otherwise(F.array().cast("array<string>"))
-                               for k, p in enumerate(parts)]))
-    return x.select(F.col(id_col), F.explode(allg).alias("term"))
+    t = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)\b\w\w+\b"), 0)
+    x = df.select(F.col(id_col), t.alias("_t"))
+    shifted = [F.slice(F.col("_t"), i + 1, F.greatest(F.size("_t") - i, F.lit(0))).alias(f"g{i}")
+               for i in range(hi)]
+    e = x.select(F.col(id_col), F.explode(F.arrays_zip(*shifted)).alias("_z"))
+    members = [F.col(f"_z.g{i}") for i in range(hi)]
+    gs = []
+    for k in range(lo, hi + 1):
+        gs.append(F.when(members[k - 1].isNotNull(), F.concat_ws(" ", *members[:k])))
+    return (e.select(F.col(id_col), F.explode(F.array(*gs)).alias("term"))
+             .where(F.col("term").isNotNull()))
 
 
 def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = 1000, ngrams=(1, 2),

@@ -138,6 +138,58 @@ def normalize_consulta(df: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
+def normalize_feeds(df: DataFrame, raw: str = "raw", feed: str = "feed") -> DataFrame:
+    """P04 + P06 in ONE pass over a mixed bronze table: a single parse with
+    the union of both feed schemas, each output column picked per row by the
+    record's feed.  Same result as ``normalize_search`` ∪ ``normalize_consulta``
+    without scanning (and parsing) the bronze rows twice."""
+    fields = {f.name: f for f in list(SEARCH_SCHEMA.fields) + list(CONSULTA_SCHEMA.fields)}
+    schema = T.StructType(list(fields.values()))
+    keep = [c for c in df.columns if c != raw]
+    x = df.select(*keep, F.from_json(F.col(raw), schema).alias("r"))
+    s_cols = {c: e for c, e in zip(COMMON_COLUMNS, _search_exprs())}
+    c_cols = {c: e for c, e in zip(COMMON_COLUMNS, _consulta_exprs())}
+    is_s = F.col(feed) == "search"
+    return x.select(*keep, *[F.when(is_s, s_cols[c]).otherwise(c_cols[c]).alias(c) for c in COMMON_COLUMNS])
+
+
+def _search_exprs():
+    r = lambda n: F.col("r." + n)
+    return [
+        _t(r("numero_controle_pncp"), r("numeroControlePNCP")),
+        _t(r("description"), r("objetoCompra")),
+        _t(r("title"), r("titulo")),
+        _t(r("ano"), r("anoCompra")),
+        _t(r("numero_sequencial"), r("sequencialCompra")),
+        F.lit(None).cast("string"),
+        _t(r("modalidade_licitacao_id"), r("modalidadeId")),
+        _t(r("modalidade_licitacao_nome"), r("modalidadeNome")),
+        _t(r("situacao_nome"), r("situacaoCompraNome")),
+        F.struct(r("orgao_cnpj").alias("cnpj"), r("orgao_nome").alias("razaoSocial")),
+        F.struct(r("municipio_nome").alias("municipioNome"), r("uf").alias("ufSigla")),
+        _t(r("data_publicacao_pncp"), r("dataPublicacaoPncp")),
+        _t(r("data_atualizacao_pncp"), r("dataAtualizacaoPncp")),
+        r("data_fim_vigencia"),
+        D.safe_double(r("valor_global")),
+        D.absolute_url(_t(r("item_url"), r("itemUrl"))),
+        F.lit("search"),
+    ]
+
+
+def _consulta_exprs():
+    r = lambda n: F.col("r." + n)
+    return [
+        r("numeroControlePNCP"), r("objetoCompra"), r("tipoInstrumentoConvocatorioNome"), r("anoCompra"),
+        r("sequencialCompra"), r("processo"), r("modalidadeId"), r("modalidadeNome"), r("situacaoCompraNome"),
+        F.struct(r("orgaoEntidade.cnpj").alias("cnpj"), r("orgaoEntidade.razaoSocial").alias("razaoSocial")),
+        F.struct(r("unidadeOrgao.municipioNome").alias("municipioNome"),
+                 r("unidadeOrgao.ufSigla").alias("ufSigla")),
+        r("dataPublicacaoPncp"), _t(r("dataAtualizacaoGlobal"), r("dataAtualizacao")),
+        r("dataEncerramentoProposta"), D.safe_double(r("valorTotalEstimado")), r("linkSistemaOrigem"),
+        F.lit("consulta"),
+    ]
+
+
 def reference_date(prefix: str = "") -> Column:
     """J01 reference date: update, else publication, else closing, else ''."""
     return D.first_truthy(F.col(prefix + "dataAtualizacaoGlobal"), F.col(prefix + "dataPublicacaoPncp"),
@@ -351,23 +403,45 @@ def premium_flat(p: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- P11
+REPORT_SCHEMA = T.StructType([
+    *[T.StructField(n, T.StringType()) for n in [
+        "numeroControlePNCP", "anoCompra", "sequencialCompra", "numeroCompra", "processo", "objetoCompra",
+        "modalidadeNome", "modoDisputaNome", "situacaoCompraNome", "tipoInstrumentoConvocatorioNome",
+        "valorTotalEstimado", "valorTotalHomologado", "dataAberturaProposta", "dataEncerramentoProposta",
+        "dataPublicacaoPncp", "dataAtualizacao", "dataInclusao", "linkSistemaOrigem",
+        "linkProcessoEletronico", "usuarioNome"]],
+    T.StructField("orgaoEntidade", T.StructType([T.StructField(n, T.StringType()) for n in ["cnpj", "razaoSocial"]])),
+    T.StructField("unidadeOrgao", T.StructType([T.StructField(n, T.StringType()) for n in
+                                                ["ufSigla", "ufNome", "municipioNome", "nomeUnidade"]])),
+    T.StructField("amparoLegal", T.StructType([T.StructField("nome", T.StringType())])),
+    T.StructField("Arquivos", T.ArrayType(T.StringType())),
+    T.StructField("Itens", T.ArrayType(T.StringType())),
+])
+
+
+def _safe_str(v: Column, default: str = "") -> Column:
+    """P03 on an already parsed value: NULL / 'none' / 'null' / blank -> default; stripped."""
+    s = X.strip(v)
+    return F.when(v.isNull() | F.lower(s).isin("none", "null", ""), F.lit(default)).otherwise(s)
+
+
 def report_rows(df: DataFrame, json_col: str = "dados_json", today: str | None = None) -> DataFrame:
     """Report-ready rows from a filtered table.
 
-    Field precedence follows the report code: JSON first for most fields;
-    the table column first for ``pncp_id``, ``uf_sigla`` and
-    ``objeto_compra``.  Attachments/items: the record's own arrays (their
-    sizes here; P13/P15 explode them).  Display forms use T12-T16.
+    The JSON is parsed once (narrow schema).  Field precedence follows the
+    report code: JSON first for most fields; the table column first for
+    ``pncp_id``, ``uf_sigla`` and ``objeto_compra``.  Attachments/items: the
+    record's own arrays (their sizes here; P13/P15 explode them).  Display
+    forms use T12-T16.
     """
     cols = set(df.columns)
     col = lambda n: F.col(n) if n in cols else F.lit(None).cast("string")
-    s = lambda *k: D.safe_path(F.col(json_col), *k)
+    x = df.withColumn("_j", F.from_json(F.col(json_col), REPORT_SCHEMA))
+    s = lambda *k: _safe_str(F.col("_j." + ".".join(k)))
     t = D.first_truthy
     orgao = t(s("orgaoEntidade", "razaoSocial"), col("orgao_nome"), s("unidadeOrgao", "nomeUnidade"), default="")
     numero = t(s("numeroControlePNCP"), col("pncp_id"), col("numero_controle_pncp"), default="")
-    arq = F.from_json(F.get_json_object(F.col(json_col), "$.Arquivos"), ATTACHMENT_SCHEMA)
-    itn = F.from_json(F.get_json_object(F.col(json_col), "$.Itens"), ITEM_SCHEMA)
-    out = df.select(
+    out = x.select(
         t(col("pncp_id"), col("numero_controle_pncp"), s("numeroControlePNCP")).alias("pncp_id"),
         numero.alias("numero_controle"),
         s("anoCompra").alias("ano_compra"), s("sequencialCompra").alias("sequencial_compra"),
@@ -392,8 +466,8 @@ def report_rows(df: DataFrame, json_col: str = "dados_json", today: str | None =
         s("amparoLegal", "nome").alias("amparo_legal"), s("usuarioNome").alias("usuario"),
         F.coalesce(F.when(col("categoria") != "", col("categoria")), F.lit("")).alias("categoria"),
         F.coalesce(F.when(col("motivo") != "", col("motivo")), F.lit("")).alias("motivo"),
-        F.coalesce(F.size(arq), F.lit(0)).cast("bigint").alias("n_arquivos"),
-        F.coalesce(F.size(itn), F.lit(0)).cast("bigint").alias("n_itens"),
+        F.coalesce(F.size(F.col("_j.Arquivos")), F.lit(0)).cast("bigint").alias("n_arquivos"),
+        F.coalesce(F.size(F.col("_j.Itens")), F.lit(0)).cast("bigint").alias("n_itens"),
     )
     out = (out.withColumn("valor_estimado_fmt", D.fmt_brl("valor_estimado"))
               .withColumn("data_encerramento_fmt", D.fmt_date("data_encerramento"))

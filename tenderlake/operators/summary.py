@@ -233,15 +233,19 @@ def latest_n(df: DataFrame, order: str, n: int = 5, text: str = "objeto_compra",
                       F.substring(F.col(text), 1, preview).alias("preview")))
 
 
-def topk_tokens(df: DataFrame, key: str, toks: str, k: int = 8, name: str = "palavras_chave") -> DataFrame:
+def topk_tokens(df: DataFrame, key: str, toks: str, k: int = 8, name: str = "palavras_chave",
+                keep=None) -> DataFrame:
     """Per record, the ``k`` most frequent tokens (ties: first
     occurrence), as an array in rank order.
 
-    Tokens are exploded and counted per (record, token) with a partial
-    aggregate; the rank filter is a window-group limit, so at most ``k``
-    rows per record reach the final (bounded) collect.
+    Tokens are exploded (``keep`` -- a predicate on column ``tok`` -- filters
+    them as plain rows, inside codegen) and counted per (record, token) with
+    a partial aggregate; the rank filter is a window-group limit, so at most
+    ``k`` rows per record reach the final, bounded collect.
     """
     e = df.select(F.col(key), F.posexplode(F.col(toks)).alias("pos", "tok"))
+    if keep is not None:
+        e = e.where(keep)
     c = e.groupBy(key, "tok").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     w = Window.partitionBy(key).orderBy(F.desc("n"), F.asc("first"))
     top = c.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)

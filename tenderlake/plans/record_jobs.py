@@ -77,10 +77,8 @@ def _flat(df):
 
 
 def normalized_feeds(spark, sf_dir):
-    f = feeds_raw(spark, sf_dir)
-    s = R.normalize_search(f.where(F.col("feed") == "search"))
-    c = R.normalize_consulta(f.where(F.col("feed") == "consulta"))
-    return J.union_feeds(s, c)
+    """Both feeds normalised in one pass (P04 + P06, U01 by construction)."""
+    return R.normalize_feeds(feeds_raw(spark, sf_dir), "raw", "feed")
 
 
 NORM_BASE = with_ctes(NOTICES_SQL, FEEDS_SQL, NORM_SQL)
@@ -103,8 +101,11 @@ def q_normalize_consulta(spark, sf_dir):
 
 @query("union_feeds", NORM_BASE + f"SELECT feed, ingest_seq, seq, {_FLAT_SQL} FROM norm")
 def q_union_feeds(spark, sf_dir):
-    """Union by name of the two normalised feeds."""
-    return _flat(normalized_feeds(spark, sf_dir)).select("feed", "ingest_seq", "seq", *FLAT)
+    """Union by name of the two normalised feeds (missing columns NULL)."""
+    f = feeds_raw(spark, sf_dir)
+    s = R.normalize_search(f.where(F.col("feed") == "search"))
+    c = R.normalize_consulta(f.where(F.col("feed") == "consulta"))
+    return _flat(J.union_feeds(s, c)).select("feed", "ingest_seq", "seq", *FLAT)
 
 
 @query("normalize_search_flat", with_ctes(NOTICES_SQL, FEEDS_SQL) + f"""
