@@ -90,9 +90,10 @@ def with_index(df: DataFrame, order, name: str = "idx", num_partitions: int | No
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     groups = [F.col(g) if isinstance(g, str) else g for g in (partition_by or [])]
     gnames = [g if isinstance(g, str) else None for g in (partition_by or [])]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = groups + order
-    s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE sizes the range partitions from the data.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    s = (ranged.sortWithinPartitions(*keys)
            .withColumn("_mid", F.monotonically_increasing_id())
            .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
            .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)))

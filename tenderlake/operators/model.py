@@ -97,7 +97,7 @@ def hash_split(df: DataFrame, key: str, seed: int = 42, name: str = "is_test") -
 
 # ----------------------------------------------------------------- M02/M05
 def train_linear(train: DataFrame, features: str = "features", label: str = "label",
-                 max_iter: int = 100, balance: bool = True, reg: float = 0.0):
+                 max_iter: int = 100, balance: bool = True, reg: float = 1e-4):
     """Hinge-loss linear classifier; class weights inverse to class
     frequency when ``balance`` (the labelled sets are skewed)."""
     d = train

@@ -210,3 +210,50 @@ def score(df: DataFrame, text: str, scorer: Scorer | str = "terms", batch_size:
     if text not in keep:
         out_schema = T.StructType(list(src.schema.fields) + list(SCORE_SCHEMA.fields))
     return src.mapInPandas(run, out_schema)
+
+
+# ----------------------------------------------------------------- R07
+def run_relevance(df: DataFrame, done: DataFrame, key: str, text: str, scorer: Scorer | str = "terms",
+                  existing: DataFrame | None = None, batch_size: int = 15):
+    """Resumable relevance job.
+
+    pending rows (J03 against the processed-id log) -> score (R06) -> the
+    relevant ones inserted into the filtered table if absent (K01) -> every
+    scored id logged with its status (``ok`` or ``erro``; errors are logged
+    too and not retried, as in the reference).  Returns
+    ``(new_filtered_rows, log_rows)``; callers append both.
+    """
+    from ..sources.sinks import insert_if_absent
+    from .merge import pending
+    todo = pending(df, done, key)
+    s = score(todo.select(key, text), text, scorer, batch_size)
+    rel = s.where("serve_para_mim").select(key, "categoria", "motivo")
+    new = insert_if_absent(existing if existing is not None else rel.limit(0).select(key), rel, key, key)
+    log = s.select(key, F.when(F.col("categoria") == FALLBACK["categoria"], F.lit("erro"))
+                   .otherwise(F.lit("ok")).alias("status"))
+    return new, log
+
+
+# ----------------------------------------------------------------- R08
+def build_label_set(raw: DataFrame, text: str = "texto", flag: str = "serve_para_mim",
+                    category: str = "categoria", confidence: str = "confianca", reason: str = "motivo",
+                    exclude_low: bool = True, exclude_ambiguous: bool = True,
+                    check: bool = True) -> DataFrame:
+    """Pseudo-label set from raw scorer results: text clean-up and
+    null-text filter (F05), bool -> label (T18), ambiguity flag (F08),
+    training-row filter (F09), (text, label) dedupe (W04).  With ``check``,
+    an empty set or a single class raises (one small per-class count)."""
+    from .dedupe import dedupe_pairs
+    from .filters import drop_null_text, is_ambiguous, training_rows
+    r = drop_null_text(raw, text, "text")
+    r = r.select("text", X.bool_label(F.col(flag)).alias("label"), F.col(confidence).alias("confianca"),
+                 is_ambiguous(category, confidence, reason).alias("ambiguo"))
+    t = training_rows(r, "label", "confianca", "ambiguo", exclude_low, exclude_ambiguous)
+    out = dedupe_pairs(t.select("text", "label"), ("text", "label"))
+    if check:
+        classes = [row[0] for row in out.groupBy("label").count().select("label").collect()]
+        if not classes:
+            raise ValueError("label set is empty")
+        if len(classes) < 2:
+            raise ValueError(f"label set has a single class: {classes}")
+    return out

@@ -282,14 +282,21 @@ WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND serve_para_mim""")
 def q_relevance_job(spark, sf_dir):
     """Pending (J03) -> score (R06) -> keep relevant -> insert-if-absent
     into the filtered table (here: the labelled-relevant ids)."""
-    from ..sources.sinks import insert_if_absent
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = table(spark, sf_dir, "labels").select("doc_id")
-    todo = J.pending(d, done, "doc_id")
-    s = RV.score(todo, "text", doc_scorer())
-    rel = s.where("serve_para_mim").select("doc_id", "categoria", "motivo")
     existing = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return insert_if_absent(existing, rel, "doc_id", seq="doc_id")
+    new, _log = RV.run_relevance(d, done, "doc_id", "text", doc_scorer(), existing)
+    return new
+
+
+@query("relevance_log", f"""WITH {SCORE_SQL}
+SELECT doc_id, 'ok' AS status FROM scored WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def q_relevance_log(spark, sf_dir):
+    """The processed-id log of a run (every pending id, with status)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = table(spark, sf_dir, "labels").select("doc_id")
+    _new, log = RV.run_relevance(d, done, "doc_id", "text", doc_scorer())
+    return log
 
 
 @query("run_counters", f"""WITH {SCORE_SQL}, st AS (
@@ -351,8 +358,7 @@ def q_training_rows(spark, sf_dir):
 SELECT texto AS text, label FROM tr GROUP BY texto, label""")
 def q_label_set(spark, sf_dir):
     """R08 (+W04): pseudo-label set: clean, label, flag, filter, pair dedupe."""
-    t = FL.training_rows(clean_results(spark, sf_dir))
-    return W.dedupe_pairs(t.select(F.col("texto").alias("text"), "label"), ("text", "label"))
+    return RV.build_label_set(raw_results(spark, sf_dir))
 
 
 @query("run_summary", f"""WITH {RAW_SQL}, tr AS (SELECT * FROM clean WHERE lower(confianca) <> 'baixa' AND NOT ambiguo AND label IN (0, 1)),
@@ -485,10 +491,11 @@ def _fit(spark, sf_dir):
     lab = labelled(spark, sf_dir).select("doc_id", "label")
     # Materialise the featurised label set in the shared checkpoint folder:
     # the optimiser makes many passes, none of which should redo the text work.
-    # A fixed layout (range partitions sorted by id) makes the optimiser's
-    # tree aggregation -- and so the model -- the same on every run.
+    # A fixed layout (range partitions sorted by id, sized by AQE from the
+    # data) makes the optimiser's tree aggregation -- and so the model --
+    # the same on every run, and keeps per-iteration task counts small.
     data = (M.stratified_split(lab, "label", "doc_id").join(feats, "doc_id")
-             .repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").checkpoint())
+             .repartitionByRange("doc_id").sortWithinPartitions("doc_id").checkpoint())
     model = M.train_linear(data.where(~F.col("is_test")), "features", "label", max_iter=100)
     return model, vocab, data
 

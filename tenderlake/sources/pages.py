@@ -55,12 +55,14 @@ def read_pages(spark: SparkSession, path: str, source: str | None = None, wholet
 
 
 # ----------------------------------------------------------------- S02
-def total_pages(payload) -> int:
+def total_pages(payload, page_size: int | None = None) -> int:
     """Pages announced by a first page: ``totalPaginas``, else
-    ceil(totalRegistros / tamanhoPagina), else numeroPagina +
-    paginasRestantes, else 1 (never less than 1)."""
+    ceil(totalRegistros / tamanhoPagina) (``page_size`` when the page does
+    not say), else numeroPagina + paginasRestantes, else 1 (never < 1)."""
     if not isinstance(payload, dict):
         return 1
+    if page_size and not payload.get("tamanhoPagina"):
+        payload = dict(payload, tamanhoPagina=page_size)
     try:
         t = int(payload.get("totalPaginas") or 0)
         if t > 0:
@@ -119,6 +121,7 @@ class _PagePartition(InputPartition):
 class _PagedReader(DataSourceReader):
     def __init__(self, options):
         self.path = _local(options["path"])
+        self.page_size = int(options.get("page_size", 0) or 0) or None
         self.modalities = [m for m in options.get("modalities", "").split(",") if m]
         if not self.modalities:  # discover the landed modalities
             self.modalities = sorted(os.path.basename(d).split("=", 1)[1]
@@ -142,7 +145,7 @@ class _PagedReader(DataSourceReader):
     def partitions(self):
         parts = []
         for m in self.modalities:
-            n = total_pages(self._first_page(m))
+            n = total_pages(self._first_page(m), self.page_size)
             for p in range(1, n + 1):
                 parts.append(_PagePartition(m, p, self._page_files(m, p)))
         return parts or [_PagePartition("", 0, [])]

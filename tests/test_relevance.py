@@ -103,3 +103,23 @@ def test_scorer_fallback(spark):
     out = RV.score(df, "t", BadScorer(), batch_size=2).orderBy("id").collect()
     assert [r.categoria for r in out] == ["erro_classificacao", "erro_classificacao", "x"]
     assert not math.isnan(out[0].id)
+
+
+def test_build_label_set(spark):
+    import pytest
+    raw = spark.createDataFrame(
+        [("a  b", True, "x", "alta", "ok"), ("a b", True, "x", "alta", "ok"), ("c", False, "x", "alta", "ok"),
+         ("nan", True, "x", "alta", "ok"), ("d", True, "ambiguo", "alta", "ok"), ("e", False, "x", "baixa", "ok")],
+        "texto string, serve_para_mim boolean, categoria string, confianca string, motivo string")
+    out = sorted((r.text, r.label) for r in RV.build_label_set(raw).collect())
+    assert out == [("a b", 1), ("c", 0)]
+    with pytest.raises(ValueError):
+        RV.build_label_set(raw.where("serve_para_mim"))
+
+
+def test_run_relevance(spark):
+    df = spark.createDataFrame([(1, "controle de acesso"), (2, "medicamentos"), (3, "catraca")], "id long, t string")
+    done = spark.createDataFrame([(3,)], "id long")
+    new, log = RV.run_relevance(df, done, "id", "t", RV.TermScorer())
+    assert [r.id for r in new.collect()] == [1]
+    assert sorted((r.id, r.status) for r in log.collect()) == [(1, "ok"), (2, "ok")]
