@@ -8,12 +8,9 @@ through the operator under test.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import text as X
 from ..operators import dedupe as W
 from ..operators import merge as J
 from ..operators import relevance as RV
@@ -23,11 +20,10 @@ from ..sources import pages as PG
 from ..sources import sinks as K
 from ..tables import table
 from . import query
-from . import sqlfrag as S
 from .adapters import FEEDS_SQL, NOTICES_SQL, feeds_raw, notices, with_ctes
 from .label_jobs import LAB_SQL, SCORE_SQL, doc_scorer, labelled
 from .record_jobs import FLAT, NORM_SQL, _flat, normalized_feeds
-from .text_jobs import DOC_KEYWORDS, _PAIRS_SQL, kw_table
+from .text_jobs import _PAIRS_SQL, kw_table
 
 PAGE_SIZE = 50
 
@@ -100,7 +96,7 @@ def q_paged_source(spark, sf_dir):
     docs = page_docs(spark, sf_dir, by_modality=True)
     docs.write.partitionBy("modalidade", "pagina").text(path)
     PG.register_sources(spark)
-    df = spark.read.format("tenderlake_pages").option("path", path).load()
+    df = spark.read.format("tenderlake_pages").option("path", path).option("pages_per_task", 8).load()
     return df.select("modalidade", "pagina", "pos",
                      F.get_json_object("raw", "$.numeroControlePNCP").alias("numeroControlePNCP"))
 

@@ -114,14 +114,18 @@ def _local(path: str) -> str:
 
 
 class _PagePartition(InputPartition):
-    def __init__(self, modality, page, files):
-        self.modality, self.page, self.files = modality, page, files
+    """A run of consecutive pages of one modality: ``pages`` is a list of
+    (page number, files) pairs."""
+
+    def __init__(self, modality, pages):
+        self.modality, self.pages = modality, pages
 
 
 class _PagedReader(DataSourceReader):
     def __init__(self, options):
         self.path = _local(options["path"])
         self.page_size = int(options.get("page_size", 0) or 0) or None
+        self.pages_per_task = max(1, int(options.get("pages_per_task", 1) or 1))
         self.modalities = [m for m in options.get("modalities", "").split(",") if m]
         if not self.modalities:  # discover the landed modalities
             self.modalities = sorted(os.path.basename(d).split("=", 1)[1]
@@ -143,30 +147,35 @@ class _PagedReader(DataSourceReader):
         return {}
 
     def partitions(self):
+        """One input partition per run of ``pages_per_task`` pages (1 = one
+        task per page); page files are listed on the executor."""
         parts = []
+        k = self.pages_per_task
         for m in self.modalities:
             n = total_pages(self._first_page(m), self.page_size)
-            for p in range(1, n + 1):
-                parts.append(_PagePartition(m, p, self._page_files(m, p)))
-        return parts or [_PagePartition("", 0, [])]
+            for start in range(1, n + 1, k):
+                parts.append(_PagePartition(m, list(range(start, min(start + k, n + 1)))))
+        return parts or [_PagePartition("", [])]
 
     def read(self, partition):
-        for f in partition.files:
-            with open(f, encoding="utf-8") as fh:
-                for line in fh:
-                    if not line.strip():
-                        continue
-                    try:
-                        doc = json.loads(line)
-                    except json.JSONDecodeError:
-                        continue
-                    for i, rec in enumerate(_envelope_records(doc)):
-                        yield (partition.modality, partition.page, i, json.dumps(rec, ensure_ascii=False))
+        for page in partition.pages:
+            for f in self._page_files(partition.modality, page):
+                with open(f, encoding="utf-8") as fh:
+                    for line in fh:
+                        if not line.strip():
+                            continue
+                        try:
+                            doc = json.loads(line)
+                        except json.JSONDecodeError:
+                            continue
+                        for i, rec in enumerate(_envelope_records(doc)):
+                            yield (partition.modality, page, i, json.dumps(rec, ensure_ascii=False))
 
 
 class PagedNoticeSource(DataSource):
-    """Paged source connector -- one task per (modality, page); the
-    first page of each modality tells how many pages to read.  Pages are
+    """Paged source connector -- one task per (modality, page) or per
+    run of ``pages_per_task`` pages; the first page of each modality tells
+    how many pages to read.  Pages are
     landed files under ``path/modalidade=<m>/pagina=<p>/`` on shared
     storage (the HTTP fetcher of a live feed would be swapped in here)."""
 
