@@ -1,8 +1,9 @@
 """Streaming jobs: landed page files processed with ``availableNow`` triggers.
 
-Files are landed in chunks written one after another (so the file source
-sees them in arrival order, one chunk per micro-batch) below the shared
-checkpoint folder; each stream keeps its checkpoint there too.
+Files are landed in chunks written one after another (the file source
+takes them oldest first, a few files per micro-batch, so chunks arrive in
+order) below the shared checkpoint folder; each stream keeps its
+checkpoint there too.
 """
 
 from __future__ import annotations
@@ -18,18 +19,21 @@ from .label_jobs import SCORE_SQL, doc_scorer
 CHUNKS = [(1, 10), (11, 20), (21, 30)]
 
 
+PAGE_EVENTS = 500
+
+
 def _land_event_pages(spark, sf_dir, path, chunks):
-    """One page document per event day; each chunk of days is one append."""
+    """Page documents of at most PAGE_EVENTS events (a page never spans two
+    days); each chunk of days is landed by one append, in day order."""
     e = table(spark, sf_dir, "events")
     rec = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value"))
     day = F.dayofmonth("ts")
-    pages = (e.groupBy(day.alias("dia"))
+    pages = (e.groupBy(day.alias("dia"), F.floor(F.col("event_id") / PAGE_EVENTS).alias("_pg"))
               .agg(F.array_sort(F.collect_list(F.struct("event_id", rec.alias("j")))).alias("_l")))
     doc = F.concat(F.lit('{"data":['), F.array_join(F.transform("_l", lambda x: x["j"]), ","),
                    F.lit('],"numeroPagina":'), F.col("dia").cast("string"), F.lit("}"))
     for lo, hi in chunks:
-        (pages.where(F.col("dia").between(lo, hi)).select(doc.alias("value"))
-              .coalesce(1).write.mode("append").text(path))
+        pages.where(F.col("dia").between(lo, hi)).select(doc.alias("value")).write.mode("append").text(path)
 
 
 def _records(sdf):
@@ -48,7 +52,7 @@ def q_stream_ingest(spark, sf_dir):
     """ST1: landed event pages -> records, incremental (availableNow)."""
     land, out, ck = (scratch_path(spark, n) for n in ("ev_land", "ev_out", "ev_ck"))
     _land_event_pages(spark, sf_dir, land, CHUNKS)
-    sdf = _records(ST.stream_pages(spark, land, "events", max_files_per_trigger=1))
+    sdf = _records(ST.stream_pages(spark, land, "events", max_files_per_trigger=2))
     _await(ST.run_to_sink(sdf, out, ck))
     return spark.read.parquet(out)
 
@@ -58,7 +62,7 @@ def q_stream_dedupe(spark, sf_dir):
     """ST2: pages landed twice (days 1-5 re-sent) -> each id once."""
     land, out, ck = (scratch_path(spark, n) for n in ("dd_land", "dd_out", "dd_ck"))
     _land_event_pages(spark, sf_dir, land, CHUNKS + [(1, 5)])
-    sdf = ST.stream_dedupe(_records(ST.stream_pages(spark, land, "events", 1)), "event_id")
+    sdf = ST.stream_dedupe(_records(ST.stream_pages(spark, land, "events", 2)), "event_id")
     _await(ST.run_to_sink(sdf.select("event_id"), out, ck))
     return spark.read.parquet(out)
 
@@ -69,7 +73,7 @@ def q_stream_upsert(spark, sf_dir):
     across micro-batches."""
     land, out, ck = (scratch_path(spark, n) for n in ("up_land", "up_out", "up_ck"))
     _land_event_pages(spark, sf_dir, land, CHUNKS)
-    sdf = _records(ST.stream_pages(spark, land, "events", 1))
+    sdf = _records(ST.stream_pages(spark, land, "events", 2))
     _await(ST.stream_upsert(sdf, out, "user_id", "event_id", ck, mode="insert"))
     return spark.read.parquet(out).select("user_id", "event_id")
 
@@ -79,7 +83,7 @@ def q_stream_latest(spark, sf_dir):
     """ST3: streaming latest-wins table by user (merge-on-read)."""
     land, out, ck = (scratch_path(spark, n) for n in ("lt_land", "lt_out", "lt_ck"))
     _land_event_pages(spark, sf_dir, land, CHUNKS)
-    sdf = _records(ST.stream_pages(spark, land, "events", 1))
+    sdf = _records(ST.stream_pages(spark, land, "events", 2))
     _await(ST.stream_upsert(sdf, out, "user_id", "event_id", ck, mode="latest"))
     return ST.read_latest(spark, out, "user_id", "event_id").select("user_id", "event_id")
 
@@ -90,12 +94,12 @@ def q_stream_classify(spark, sf_dir):
     land, out, ck = (scratch_path(spark, n) for n in ("cl_land", "cl_out", "cl_ck"))
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     rec = F.to_json(F.struct("doc_id", "text"))
-    pages = (d.groupBy((F.col("doc_id") % 20).alias("pg"))
+    pages = (d.groupBy(F.floor(F.col("doc_id") / 50).alias("pg"))   # pages of at most 50 documents
               .agg(F.array_sort(F.collect_list(F.struct("doc_id", rec.alias("j")))).alias("_l")))
     doc = F.concat(F.lit("["), F.array_join(F.transform("_l", lambda x: x["j"]), ","), F.lit("]"))
-    for lo, hi in [(0, 9), (10, 19)]:
-        pages.where(F.col("pg").between(lo, hi)).select(doc.alias("value")).coalesce(1).write.mode("append").text(land)
-    sdf = ST.stream_pages(spark, land, "documents", 1).select(
+    for part in (0, 1):  # two landings: even pages, then odd pages
+        pages.where(F.col("pg") % 2 == part).select(doc.alias("value")).write.mode("append").text(land)
+    sdf = ST.stream_pages(spark, land, "documents", 2).select(
         F.from_json("raw", "doc_id long, text string").alias("r")).select("r.*")
     _await(ST.stream_relevance(sdf, out, "doc_id", "text", doc_scorer(), ck))
     return spark.read.parquet(out).select("doc_id", "categoria")
