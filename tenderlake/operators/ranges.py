@@ -1,9 +1,10 @@
 """Date windows and adaptive range bisection.
 
-Bisection is unrolled into at most ``max_depth + 1`` plan levels.  Each
-level expands the open ranges into their days (ranges of one level never
-overlap, so that is at most groups x days rows), equi-joins the daily
-counts and sums per range -- no nested-loop join, no driver loop over data.
+Bisection needs no iteration: the candidate ranges are fixed by halving,
+only the split decisions depend on the counts, so every day's chain of
+enclosing ranges is counted in one aggregate and each day picks the first
+range of its chain that is not split -- no nested-loop join, no driver
+loop, no per-level jobs.
 """
 
 from __future__ import annotations
@@ -47,32 +48,45 @@ def bisect_ranges(daily: DataFrame, lo: str, hi: str, cap: int, max_depth: int =
     Returns the leaves ``groups..., lo, hi, depth, n, overflow`` (overflow
     when a leaf still holds ``>= cap`` rows).  ``daily`` has
     ``groups..., dia, n``; ``starts`` gives the groups (default: those in
-    ``daily``)."""
+    ``daily``).
+
+    No iteration: the candidate ranges do not depend on the data (halving
+    is fixed), only the decision to split does.  Every calendar day carries
+    its chain of enclosing ranges (one per depth, computed by unrolled
+    column expressions), the chain is exploded and counted per range in one
+    aggregate, and each day's leaf is the first range of its chain that is
+    not split.  The calendar is groups x days -- bounded by the date span,
+    not by the data.
+    """
     g = list(groups)
     if starts is None:
         starts = daily.select(*g).distinct() if g else daily.sparkSession.range(1).select()
-    open_ = starts.select(*g, _d(lo).alias("lo"), _d(hi).alias("hi"), F.lit(0).alias("depth"))
-    leaves = None
-    for level in range(max_depth + 1):
-        days = open_.select(*g, "lo", "hi", "depth", F.explode(F.sequence("lo", "hi")).alias("dia"))
-        counted = (days.join(daily, [*g, "dia"], "left")
-                       .groupBy(*g, "lo", "hi", "depth")
-                       .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
-        # one small table per level (groups x 2^level ranges); materialised in
-        # the shared checkpoint folder so later levels do not recompute it
-        counted = counted.checkpoint(eager=True)
-        split = (F.col("n") >= cap) & (F.col("depth") < max_depth) & (F.col("hi") > F.col("lo"))
-        leaf = counted.where(~split).withColumn("overflow", F.col("n") >= cap)
-        leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        if level == max_depth:
-            break
-        mid = F.date_add("lo", F.floor(F.datediff("hi", "lo") / 2).cast("int"))
-        sp = counted.where(split).select(*g, "lo", "hi", "depth", mid.alias("mid"))
-        open_ = sp.select(*g, F.explode(F.array(
-            F.struct(F.col("lo").alias("lo"), F.col("mid").alias("hi")),
-            F.struct(F.date_add("mid", 1).alias("lo"), F.col("hi").alias("hi")))).alias("r"),
-            (F.col("depth") + 1).alias("depth")).select(*g, "r.lo", "r.hi", "depth")
-    return leaves
+    cal = starts.select(*g, F.explode(F.sequence(_d(lo), _d(hi))).alias("dia"))
+    cal = cal.join(daily.select(*g, "dia", "n"), [*g, "dia"], "left").select(
+        *g, "dia", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
+    # chain of enclosing ranges for each day: depth d -> (lo_d, hi_d), one
+    # column pair per depth (each step reads the previous columns, so the
+    # expressions stay small)
+    x = cal.select(*g, "dia", "n", _d(lo).alias("lo0"), _d(hi).alias("hi0"))
+    for d in range(1, max_depth + 1):
+        plo, phi = F.col(f"lo{d - 1}"), F.col(f"hi{d - 1}")
+        x = x.withColumn("_mid", F.date_add(plo, F.floor(F.datediff(phi, plo) / 2).cast("int")))
+        left = F.col("dia") <= F.col("_mid")
+        x = (x.withColumn(f"lo{d}", F.when(left, plo).otherwise(F.date_add(F.col("_mid"), 1)))
+              .withColumn(f"hi{d}", F.when(left, F.col("_mid")).otherwise(phi)).drop("_mid"))
+    chain = [F.struct(F.lit(d).alias("depth"), F.col(f"lo{d}").alias("lo"), F.col(f"hi{d}").alias("hi"))
+             for d in range(max_depth + 1)]
+    rows = x.select(*g, "dia", "n", F.explode(F.array(*chain)).alias("r")).select(
+        *g, "dia", "n", "r.depth", "r.lo", "r.hi")
+    counts = rows.groupBy(*g, "depth", "lo", "hi").agg(F.sum("n").cast("bigint").alias("n"))
+    split = (F.col("n") >= cap) & (F.col("depth") < max_depth) & (F.col("hi") > F.col("lo"))
+    flags = counts.select(*g, "depth", "lo", "hi", "n", split.alias("_split"))
+    per_day = rows.select(*g, "dia", "depth", "lo", "hi").join(flags, [*g, "depth", "lo", "hi"])
+    leaf = (per_day.where(~F.col("_split"))
+                   .groupBy(*g, "dia")
+                   .agg(F.min_by(F.struct("depth", "lo", "hi", "n"), F.col("depth")).alias("leaf")))
+    return (leaf.select(*g, "leaf.depth", "leaf.lo", "leaf.hi", "leaf.n").distinct()
+                .withColumn("overflow", F.col("n") >= cap))
 
 
 def collect_by_state(df: DataFrame, date_col: str, key: str, uf: str, lo: str, hi: str,
