@@ -312,4 +312,4 @@ def q_batch_checkpoint(spark, sf_dir):
     K.save_batch_results(RV.score(first, "text", doc_scorer()).select("doc_id", "serve_para_mim", "batch_id"), path)
     todo = K.pending_batches(d, K.finished_batches(spark, path))   # run 2 resumes
     K.save_batch_results(RV.score(todo, "text", doc_scorer()).select("doc_id", "serve_para_mim", "batch_id"), path)
-    return K.load_results(spark, path).select("doc_id", "batch_id", "serve_para_mim")
+    return K.load_results(spark, path).select("doc_id", F.col("batch_id").cast("bigint"), "serve_para_mim")

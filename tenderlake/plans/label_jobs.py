@@ -169,10 +169,10 @@ per AS (SELECT c, (SELECT count(*) FROM pr WHERE y = c) AS support, (SELECT coun
 r AS (SELECT CAST(c AS VARCHAR) AS classe, coalesce(tp / nullif(predicted, 0), 0.0) AS precision,
         coalesce(tp / nullif(support, 0), 0.0) AS recall, support FROM per),
 r2 AS (SELECT classe, precision, recall, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1, support FROM r)
-SELECT classe, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM r2
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM r2
+SELECT classe, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM r2
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM r2
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-  round(sum(f1 * support) / sum(support), 6), sum(support) FROM r2""")
+  round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM r2""")
 def q_class_report(spark, sf_dir):
     """Per-class report with macro and weighted averages."""
     return A.class_report(predictions(spark, sf_dir), "y", "p")

@@ -38,7 +38,7 @@ r AS (
   CROSS JOIN (VALUES (0), (1)) v(s)
   WHERE x.cnt >= {cap} AND x.depth < {md} AND x.hi > x.lo
 ),
-c AS (SELECT r.*, (SELECT coalesce(sum(n), 0) FROM daily WHERE {g_join} dia BETWEEN r.lo AND r.hi) AS n FROM r)
+c AS (SELECT r.*, CAST((SELECT coalesce(sum(n), 0) FROM daily WHERE {g_join} dia BETWEEN r.lo AND r.hi) AS BIGINT) AS n FROM r)
 SELECT {g_sel} lo, hi, depth, n, n >= {cap} AS overflow FROM c WHERE NOT (n >= {cap} AND depth < {md} AND hi > lo)"""
 
 
