@@ -71,26 +71,33 @@ def merge_feeds(df: DataFrame, key: str, ref: str, seq: str, origin: str = "_ori
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     data_cols = [c for c in df.columns if c != seq]
-    rank = F.struct(F.coalesce(F.col(ref), F.lit("")), -F.col(seq))
-
-    def pick(c: Column, dtype: T.DataType) -> Column:
-        filled = F.max_by(c, F.when(~_empty(c, dtype), rank))
-        top = F.max_by(c, rank)
-        return F.coalesce(filled, top)
-
-    aggs = []
+    x = df.withColumn("_rk", F.struct(F.coalesce(F.col(ref), F.lit("")), -F.col(seq)))
+    rank = F.col("_rk")
+    top = F.col("_top")
+
+    def filled(c: Column, dtype: T.DataType) -> Column:
+        return F.max_by(c, F.when(~_empty(c, dtype), rank))
+
+    # one aggregate for the top version, one per field for the first
+    # non-empty value; the fill falls back to the top version's value
+    aggs = [F.max_by(F.struct(*[F.col(c) for c in data_cols]), rank).alias("_top"),
+            F.min(F.col(seq)).alias(seq), F.min(F.col(origin)).alias("_omin"), F.max(F.col(origin)).alias("_omax")]
+    outs = []
     for c in data_cols:
         dt = types[c]
         if c == origin:
-            aggs.append(F.when(F.min(F.col(c)) != F.max(F.col(c)), F.lit(both))
-                         .otherwise(F.max_by(F.col(c), rank)).alias(c))
+            outs.append(F.when(F.col("_omin") != F.col("_omax"), F.lit(both)).otherwise(top[c]).alias(c))
         elif isinstance(dt, T.StructType):
-            fields = [pick(F.col(c)[f.name], f.dataType).alias(f.name) for f in dt.fields]
-            aggs.append(F.when(F.max(F.col(c).isNotNull()), F.struct(*fields)).alias(c))
+            for f in dt.fields:
+                aggs.append(filled(F.col(c)[f.name], f.dataType).alias(f"_f_{c}_{f.name}"))
+            outs.append(F.when(top[c].isNotNull() | F.col(f"_any_{c}"), F.struct(*[
+                F.coalesce(F.col(f"_f_{c}_{f.name}"), top[c][f.name]).alias(f.name) for f in dt.fields])).alias(c))
+            aggs.append(F.max(F.col(c).isNotNull()).alias(f"_any_{c}"))
         else:
-            aggs.append(pick(F.col(c), dt).alias(c))
-    aggs.append(F.min(F.col(seq)).alias(seq))
-    return df.groupBy(_group_key(key, seq).alias("_g")).agg(*aggs).drop("_g")
+            aggs.append(filled(F.col(c), dt).alias(f"_f_{c}"))
+            outs.append(F.coalesce(F.col(f"_f_{c}"), top[c]).alias(c))
+    g = x.groupBy(_group_key(key, seq).alias("_g")).agg(*aggs)
+    return g.select(*outs, F.col(seq))
 
 
 # ----------------------------------------------------------------- J03/J04/U04

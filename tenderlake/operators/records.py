@@ -414,8 +414,9 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("unidadeOrgao", T.StructType([T.StructField(n, T.StringType()) for n in
                                                 ["ufSigla", "ufNome", "municipioNome", "nomeUnidade"]])),
     T.StructField("amparoLegal", T.StructType([T.StructField("nome", T.StringType())])),
-    T.StructField("Arquivos", T.ArrayType(T.StringType())),
-    T.StructField("Itens", T.ArrayType(T.StringType())),
+    # only the sizes are needed: one small field per element keeps the parse cheap
+    T.StructField("Arquivos", T.ArrayType(T.StructType([T.StructField("sequencialDocumento", T.StringType())]))),
+    T.StructField("Itens", T.ArrayType(T.StructType([T.StructField("sequencialItem", T.StringType())]))),
 ])
 
 
