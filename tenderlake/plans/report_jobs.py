@@ -163,33 +163,65 @@ def q_premium_payload(spark, sf_dir):
 
 
 def premium_payload(p):
-    """A16 builder: each summary is a bounded table (modalities, states,
-    top-20 cities, categories, one stats row).  Their rows are tagged and
-    unioned, and ONE global aggregate folds each tag's rows (already
-    bounded) into a JSON array, in the summary's own order."""
-    def tagged(df, tag, k1, k2):
-        return df.select(F.lit(tag).alias("_t"), k1.cast("bigint").alias("_k1"), k2.cast("string").alias("_k2"),
-                         F.to_json(F.struct(*df.columns)).alias("_j"))
-    q = -F.col("quantidade")
-    u = (tagged(A.summary_modality(p), "m", F.col("modalidadeId"), F.col("modalidadeNome"))
-         .unionByName(tagged(A.summary_state(p), "u", q, F.col("uf")))
-         .unionByName(tagged(A.summary_city(p), "c", q, F.concat_ws("\u0000", "municipio", "uf")))
-         .unionByName(tagged(A.summary_category(p), "k", q, F.col("categoria")))
-         .unionByName(tagged(A.general_stats(p), "s", F.lit(0), F.lit(""))))
-
-    def arr(tag):
-        lst = F.array_sort(F.collect_list(F.when(F.col("_t") == tag, F.struct("_k1", "_k2", "_j"))))
+    """A16 builder in ONE aggregation pass: grouping sets compute the
+    modality, state, city and category counts and the overall statistics
+    together (one scan, one shuffle).  Every summary is bounded
+    (modalities, states, top-20 cities, categories, one stats row), so the
+    final single-group aggregate that folds them into JSON arrays holds a
+    bounded number of rows."""
+    mid, mname, uf, city, cat = "modalidade_id", "modalidade_nome", "uf_sigla", "municipio_nome", "categoria_objeto"
+    v = F.col("valor_total_estimado").cast("decimal(18,2)")
+    pub = F.when(F.col("publicacao_pncp") != "", F.col("publicacao_pncp"))
+    has_mod = F.col(mid).isNotNull() & (F.coalesce(F.col(mname), F.lit("")) != "")
+    base = p.select(mid, mname, uf, city, F.coalesce(F.col(cat), F.lit("outros")).alias(cat),
+                    v.alias("_v"), pub.alias("_pub"), F.when(has_mod, F.col(mid).cast("string")).alias("_mid_ok"))
+    g = base.groupingSets([[mid, mname], [uf], [city, uf], [cat], []], mid, mname, uf, city, cat).agg(
+        F.count(F.lit(1)).alias("quantidade"), F.sum("_v").alias("_sum"), F.count("_v").alias("_cnt"),
+        F.min("_pub").alias("_min"), F.max("_pub").alias("_max"),
+        F.array_join(F.sort_array(F.collect_set("_mid_ok")), ",").alias("_mods"),
+        F.grouping_id().alias("_gid"))
+    # grouping_id bits, highest first: modalidade_id, modalidade_nome, uf, municipio, categoria
+    gid = F.col("_gid")
+    is_mod, is_uf, is_city, is_cat, is_all = (gid == 0b00111), (gid == 0b11011), (gid == 0b11001), \
+        (gid == 0b11110), (gid == 0b11111)
+    ok_mod = is_mod & F.col(mid).isNotNull() & (F.coalesce(F.col(mname), F.lit("")) != "")
+    ok_uf = is_uf & (F.coalesce(F.col(uf), F.lit("")) != "")
+    ok_city = is_city & (F.coalesce(F.col(city), F.lit("")) != "") & (F.coalesce(F.col(uf), F.lit("")) != "")
+    tag = (F.when(ok_mod, "m").when(ok_uf, "u").when(ok_city, "c").when(is_cat, "k").when(is_all, "s"))
+    q = F.col("quantidade")
+    k1 = F.when(ok_mod, F.col(mid).cast("bigint")).when(is_all, F.lit(0)).otherwise(-q)
+    k2 = (F.when(ok_mod, F.col(mname)).when(ok_uf, F.col(uf)).when(ok_city, F.concat_ws("\u0000", city, uf))
+           .when(is_cat, F.col(cat)).otherwise(F.lit("")))
+    j = (F.when(ok_mod, F.to_json(F.struct(F.col(mid).alias("modalidadeId"), F.col(mname).alias("modalidadeNome"), q)))
+          .when(ok_uf, F.to_json(F.struct(F.col(uf).alias("uf"), q)))
+          .when(ok_city, F.to_json(F.struct(F.col(city).alias("municipio"), F.col(uf).alias("uf"), q)))
+          .when(is_cat, F.to_json(F.struct(F.col(cat).alias("categoria"), q)))
+          .otherwise(F.to_json(F.struct(
+              q.alias("total_registros"),
+              F.coalesce(F.col("_sum").cast("double"), F.lit(0.0)).alias("valor_total_estimado_somado"),
+              F.coalesce(F.round(F.col("_sum") / F.col("_cnt"), 2).cast("double"), F.lit(0.0))
+               .alias("valor_total_estimado_medio"),
+              F.col("_min").alias("menor_data_publicacao"), F.col("_max").alias("maior_data_publicacao"),
+              F.col("_mods").alias("modalidades")))))
+    t = g.select(tag.alias("_t"), k1.alias("_k1"), k2.alias("_k2"), j.alias("_j")).where(F.col("_t").isNotNull())
+    # top-20 cities: rank inside the (bounded) city rows
+    from pyspark.sql import Window
+    w = Window.partitionBy("_t").orderBy("_k1", "_k2")
+    t = t.withColumn("_r", F.row_number().over(w)).where((F.col("_t") != "c") | (F.col("_r") <= 20))
+
+    def arr(tag_):
+        lst = F.array_sort(F.collect_list(F.when(F.col("_t") == tag_, F.struct("_k1", "_k2", "_j"))))
         return F.concat(F.lit("["), F.array_join(F.transform(lst, lambda e: e["_j"]), ","), F.lit("]"))
 
     stats = F.max(F.when(F.col("_t") == "s", F.col("_j")))
     n_mod = F.count_if(F.col("_t") == "m")
-    total = F.get_json_object(stats, "$.total_registros")
-    meta = F.concat(F.lit('{"totalRegistros":'), total, F.lit(',"totalModalidades":'), n_mod.cast("string"),
+    meta = F.concat(F.lit('{"totalRegistros":'), F.get_json_object(stats, "$.total_registros"),
+                    F.lit(',"totalModalidades":'), n_mod.cast("string"),
                     F.lit(',"versao_schema":"3.0","estrutura":"premium_plus"}'))
     doc = F.concat(F.lit('{"metadata":'), meta, F.lit(',"resumoModalidades":'), arr("m"),
                    F.lit(',"resumoPorUF":'), arr("u"), F.lit(',"resumoPorMunicipio":'), arr("c"),
                    F.lit(',"resumoPorCategoria":'), arr("k"), F.lit(',"estatisticasGerais":'), stats, F.lit("}"))
-    return u.agg(doc.alias("payload"))
+    return t.agg(doc.alias("payload"))
 
 
 @query("count_rows", with_ctes(NOTICES_SQL) + "SELECT count(*) AS total FROM notices")
