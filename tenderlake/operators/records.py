@@ -23,10 +23,10 @@ def json_fields(df: DataFrame, raw: str, fields: dict[str, str], keep=None) -> D
     generated TEXT columns; callers cast.
     """
     keep = list(df.columns) if keep is None else list(keep)
-    cols = [F.col(c) for c in keep if c != raw or raw in keep]
-    # get_json_object shares one parser per row inside codegen for a
-    # JsonTuple-like projection; nested paths need get_json_object.
-    return df.select(*cols, *[F.get_json_object(F.col(raw), p).alias(n) for n, p in fields.items()])
+    # One get_json_object per generated column, as the stored columns are
+    # defined; jobs that need many fields parse once with ``json_struct``.
+    return df.select(*[F.col(c) for c in keep],
+                     *[F.get_json_object(F.col(raw), p).alias(n) for n, p in fields.items()])
 
 
 def json_struct(df: DataFrame, raw: str, schema: T.StructType | str, alias: str = "r") -> DataFrame:
