@@ -170,8 +170,11 @@ SELECT (SELECT count(*) FROM norm WHERE feed = 'search') AS total_search,
 FROM merged""")
 def q_merge_summary(spark, sf_dir):
     """Feed totals, keyed/keyless, final and per-origin counts."""
-    u = normalized_feeds(spark, sf_dir)
-    m = merged_feeds(spark, sf_dir)
+    # the normalised feeds feed three branches (two totals and the merge):
+    # materialise them once in the shared checkpoint folder
+    u = normalized_feeds(spark, sf_dir).checkpoint()
+    m = _flat(J.merge_feeds(u.withColumn("_ref", R.reference_date()).drop("feed", "ingest_seq"),
+                            "numeroControlePNCP", "_ref", "seq").drop("_ref"))
     return A.merge_summary(u.where(F.col("_origem") == "search"), u.where(F.col("_origem") == "consulta"), m)
 
 
