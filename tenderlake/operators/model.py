@@ -60,6 +60,8 @@ def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = 1000, ngram
             "term",
             (F.row_number().over(Window.orderBy(F.asc("term"))) - 1).alias("idx"),
             (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+        # the fitted vocabulary (<= max_features rows) is materialised once
+        vocab = vocab.checkpoint()
     v = F.broadcast(vocab)
     w = tf.join(v, "term").select(id_col, "term", "idx", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
@@ -97,11 +99,12 @@ def hash_split(df: DataFrame, key: str, seed: int = 42, name: str = "is_test") -
 
 # ----------------------------------------------------------------- M02/M05
 def train_linear(train: DataFrame, features: str = "features", label: str = "label",
-                 max_iter: int = 100, balance: bool = True, reg: float = 1e-4):
-    """Hinge-loss linear classifier; class weights inverse to class
+                 max_iter: int = 100, balance: bool = True, reg: float = 1e-4, tol: float = 1e-4):
+    """Hinge-loss linear classifier (at most ``max_iter`` optimiser
+    iterations, stopping earlier at ``tol``); class weights inverse to class
     frequency when ``balance`` (the labelled sets are skewed)."""
     d = train
-    est = LinearSVC(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg)
+    est = LinearSVC(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg, tol=tol)
     if balance:
         counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
         tot = train.count()
