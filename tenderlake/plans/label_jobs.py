@@ -473,7 +473,8 @@ w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN v USING (term))"""
 
 
 def doc_tfidf(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", X.clean_text("text").alias("clean"))
+    # the cleaned corpus feeds the vocabulary fit and the weights: clean once
+    d = table(spark, sf_dir, "documents").select("doc_id", X.clean_text("text").alias("clean")).checkpoint()
     return M.tfidf(d, "doc_id", "clean", 1000, (1, 2))
 
 

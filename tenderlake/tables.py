@@ -26,7 +26,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 SMALL_TABLES = {"region", "nation"}
 
 
-MIN_SPLIT_BYTES = 4 << 20  # below this a single task reads the table quickly anyway
+MIN_SPLIT_BYTES = 1 << 20  # below this a single task reads the table quickly anyway
 
 
 @lru_cache(maxsize=256)
