@@ -25,7 +25,7 @@ copies; rows that repeat count each; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ MOST = 2
 LEAF = 1024
 SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
-UNIT = "doc_id long, source string, size long, leaf long, p double, taken_up boolean, tie long"
+UNIT = "row long, doc_id long, source string, size long, leaf long, p double, tie long"
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -108,7 +108,7 @@ def round_units(size: np.ndarray, p: np.ndarray, key: np.ndarray, level: int) ->
 
 
 def copies(sizes: DataFrame, rates: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) of (doc_id, source, size) and ``targets``."""
+    """(row, doc_id, source, size, source_size, target, copies) of (row, doc_id, source, size) and ``targets``."""
     spark = sizes.sparkSession
     r = rates.withColumnRenamed("source", "_source").withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     leaves = F.ceil(F.col("texts") / LEAF)
@@ -116,15 +116,15 @@ def copies(sizes: DataFrame, rates: DataFrame) -> DataFrame:
             .withColumn("tie", F.xxhash64("doc_id", "source", "size"))
             .withColumn("base", F.floor("rate")).withColumn("p", F.col("rate") - F.floor("rate"))
             .withColumn("leaf", F.pmod(F.col("tie"), leaves)))
-    whole = rows.filter((F.col("p") == 0) | (F.col("size") == 0)).select("doc_id", "source", "size", F.lit(0).alias("extra"))
-    open_rows = rows.filter((F.col("p") > 0) & (F.col("size") > 0)).select("doc_id", "source", "size", "leaf", "p", F.lit(False).alias("taken_up"), "tie")
+    whole = rows.filter((F.col("p") == 0) | (F.col("size") == 0)).select("row", "doc_id", "source", "size", F.lit(0).alias("extra"))
+    open_rows = rows.filter((F.col("p") > 0) & (F.col("size") > 0)).select("row", "doc_id", "source", "size", "leaf", "p", "tie")
 
     def node(level):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["size", "doc_id", "tie"], ascending=[False, True, True], kind="stable")
-            key, size = pdf["tie"].to_numpy(np.int64).view(np.uint64), pdf["size"].to_numpy()
-            p = pdf["p"].to_numpy()
-            return pdf.assign(p=round_leaf(size, float(p[0]), key) if level == 0 else round_units(size, p, key, level))
+        def run(units: pa.Table) -> pa.Table:
+            units = units.sort_by([("size", "descending"), ("doc_id", "ascending"), ("tie", "ascending")])
+            key, size, p = units["tie"].to_numpy().view(np.uint64), units["size"].to_numpy(), units["p"].to_numpy()
+            p = round_leaf(size, float(p[0]), key) if level == 0 else round_units(size, p, key, level)
+            return units.set_column(units.schema.get_field_index("p"), "p", pa.array(p))
 
         return run
 
@@ -132,12 +132,12 @@ def copies(sizes: DataFrame, rates: DataFrame) -> DataFrame:
     most = rates.agg(F.max(leaves)).first()[0] or 1
     still = F.col("p").between(F.lit(1e-12), F.lit(1 - 1e-12))
     while True:
-        state = written(spark, open_rows.groupBy("source", "leaf").applyInPandas(node(level), UNIT), "pivotal")
+        state = written(spark, open_rows.groupBy("source", "leaf").applyInArrow(node(level), UNIT), "pivotal")
         settled = state if most <= 1 else state.filter(~still)
         if most <= 1:  # the root: one draw settles the last open text of a source
             u = (F.pmod(F.xxhash64(F.lit(SEED), "tie"), F.lit(1 << 52)) / float(1 << 52))
             settled = settled.withColumn("p", F.when(still, (u < F.col("p")).cast("double")).otherwise(F.col("p")))
-        done.append(settled.select("doc_id", "source", "size", F.round("p").cast("int").alias("extra")))
+        done.append(settled.select("row", "doc_id", "source", "size", F.round("p").cast("int").alias("extra")))
         if most <= 1:
             break
         open_rows = state.filter(still).withColumn("leaf", F.floor(F.col("leaf") / LEAF))
@@ -146,17 +146,29 @@ def copies(sizes: DataFrame, rates: DataFrame) -> DataFrame:
     for d in done[1:]:
         out = out.unionByName(d)
     return (out.join(r, F.col("source").eqNullSafe(F.col("_source")))
-            .select("doc_id", "source", "size", "source_size", "target", (F.floor("rate") + F.col("extra")).cast("int").alias("copies")))
+            .select("row", "doc_id", "source", "size", "source_size", "target", (F.floor("rate") + F.col("extra")).cast("int").alias("copies")))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """Copies of every row of (doc_id, source, text)."""
-    sizes = written(docs.sparkSession, docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"),
+    """Copies of every row of (doc_id, source, text); ``_row``, where given, is carried as ``row``."""
+    row = F.col("_row") if "_row" in docs.columns else F.lit(0).cast("long")
+    sizes = written(docs.sparkSession, docs.select(row.alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"),
                                                    F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
     rates = written(docs.sparkSession, targets(sizes), "mix-targets")
     return copies(sizes, rates)
 
 
+def stage(docs: DataFrame) -> DataFrame:
+    """A row of ``docs`` per copy that the mix takes, with ``copy`` (1 first); rows without a copy go.
+
+    Rows are numbered in a written table, so repeated rows keep copies of their own.
+    """
+    numbered = written(docs.sparkSession, docs.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
+    taken = mixed(numbered).filter("copies > 0").select(F.col("row").alias("_taken"), F.col("copies").alias("_copies"))
+    return (numbered.join(taken, F.col("_row") == F.col("_taken"))
+            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy")))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     out = mixed(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")

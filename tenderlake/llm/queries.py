@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing
+from . import chat, decontaminate, jaccard, language, lines, lm, mixing, pii, quality, warc
 
 QUERIES = {
     "op1_string_tiling": (decontaminate.query, None),
+    "op2_context_mixing": (lm.query, None),
+    "op3_risk_thresholds": (quality.query, None),
+    "op4_prefix_targets": (chat.query, chat.SQL),
+    "op5_parity_sketch": (jaccard.query, None),
+    "op6_deletion_lines": (lines.query, None),
+    "op7_bootstrapped_pii": (pii.query, None),
     "op8_pivotal_mix": (mixing.query, None),
     "op9_language_bitmask": (language.query, None),
+    "op10_zip_warc": (warc.query, warc.SQL),
 }
