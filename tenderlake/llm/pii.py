@@ -49,6 +49,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE = ".,;:!?\"'()[]{}<>|"
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def emails(text: str):
@@ -77,7 +78,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then kind as listed."""
     out = [(a, b, "email") for a, b in emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        out += [(*m.span(), "ip") for m in IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+        out += [(*m.span(), "ip") for m in IP.finditer(text) if all(len(x) <= 3 and int(x or 0) <= 255 for x in (y.lstrip("0") for y in m[0].split(".")))]
         for m in CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -107,10 +108,15 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 def tokens(text: str, spans: list[tuple[int, int, str]]):
     """Identifier-like tokens outside the base spans: (start, end)."""
-    taken = 0
-    for m in WORD.finditer(text):
-        if not DIGIT.search(m[0]):
+    taken, done = 0, 0
+    for d in DIGIT.finditer(text):
+        if d.start() < done:
             continue
+        begin = d.start()
+        while begin > done and text[begin - 1] not in SPACES:
+            begin -= 1
+        m = WORD.match(text, begin)
+        done = m.end()
         s = m.start() + len(m[0]) - len(m[0].lstrip(EDGE))
         e = m.end() - (len(m[0]) - len(m[0].rstrip(EDGE)))
         while taken < len(spans) and spans[taken][1] <= s:
