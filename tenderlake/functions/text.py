@@ -8,6 +8,7 @@ Python's ``re``; ``(?iu)`` gives Unicode case-insensitivity.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -46,37 +47,31 @@ def squash_lower(c) -> Column:
 # ------------------------------------------------------------------ folding
 @lru_cache(maxsize=1)
 def _fold_tables():
-    """Accent-fold tables built by rule from Unicode NFKD.
-
-    For every code point of Latin-1, Latin Extended A/B and Latin Extended
-    Additional whose NFKD form keeps ASCII characters: one ASCII character
-    goes into a ``translate`` map; longer expansions are applied with
-    ``replace`` (rare: ligatures, fractions).  Whatever is left outside ASCII
-    is deleted afterwards, which is the "encode ascii, ignore" step.
-    """
-    src, dst, multi = [], [], []
-    ranges = list(range(0xA0, 0x250)) + list(range(0x1E00, 0x1F00))
-    for cp in ranges:
-        ch = chr(cp)
-        d = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-        if not d:
-            continue
-        if len(d) == 1:
-            src.append(ch)
-            dst.append(d)
-        else:
-            multi.append((ch, d))
-    return "".join(src), "".join(dst), tuple(multi)
+    """(source characters, their ASCII character, {character: longer ASCII}),
+    by rule: every code point whose NFKD form holds ASCII characters."""
+    one, many = {}, {}
+    for cp in range(0x80, sys.maxunicode + 1):
+        ascii_part = "".join(x for x in unicodedata.normalize("NFKD", chr(cp)) if x < "\x80")
+        if len(ascii_part) == 1:
+            one[chr(cp)] = ascii_part
+        elif ascii_part:
+            many[chr(cp)] = ascii_part
+    return "".join(one), "".join(one.values()), many
 
 
 def fold_raw(c) -> Column:
-    """NFKD + drop non-ASCII, without lower/strip."""
-    src, dst, multi = _fold_tables()
-    x = _c(c)
-    for m, d in multi:  # byte-level search; returns the input untouched when absent
-        x = F.replace(x, F.lit(m), F.lit(d))
-    x = F.translate(x, src, dst)
-    return F.regexp_replace(x, r"[^\x00-\x7F]", "")
+    """NFKD + drop non-ASCII, without lower/strip.
+
+    Most characters map to one ASCII character (one ``translate``).  Texts
+    with anything else outside ASCII are cut at it: a ligature, fraction or
+    the like is looked up, the rest goes.
+    """
+    src, dst, many = _fold_tables()
+    x = F.translate(_c(c), src, dst)
+    table = F.create_map(*[F.lit(v) for kv in many.items() for v in kv])
+    pieces = F.regexp_extract_all(x, F.lit(r"[^\x00-\x7F]|[\x00-\x7F]+"), 0)
+    ascii_only = F.transform(pieces, lambda p: F.when(p < "\x80", p).otherwise(F.coalesce(F.try_element_at(table, p), F.lit(""))))
+    return F.when(x.rlike(r"[^\x00-\x7F]"), F.array_join(ascii_only, "")).otherwise(x)
 
 
 def fold(c) -> Column:
@@ -139,10 +134,11 @@ def matched_keywords(c, keywords, boundary_short: bool = True) -> Column:
 
 
 def flex_pattern(term: str) -> str:
-    """Words of a phrase escaped and joined by the flexible separator,
-    word-bounded at both ends."""
-    parts = term.strip().split()
-    return r"\b" + fixed.SEP.join(re.escape(p) for p in parts) + r"\b"
+    """Regular expression of a phrase whose words may be apart: the phrase
+    is escaped as a whole, each escaped gap becomes the flexible separator, and
+    both ends are word-bounded."""
+    gap = r"(?:\\\s)+"
+    return rf"\b{re.sub(gap, lambda _: fixed.SEP, re.escape(term.strip()))}\b"
 
 
 def compile_patterns(d: dict) -> dict:

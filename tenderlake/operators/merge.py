@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as X
+
 
 def _group_key(key: str, seq: str) -> Column:
     return F.coalesce(F.col(key), F.concat(F.lit("#"), F.col(seq).cast("string")))
@@ -136,49 +138,40 @@ def in_both(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def enrich(df: DataFrame, lookup: DataFrame, own: str, key: str, lookup_key: str,
            looked: str) -> DataFrame:
     """Own array wins when non-empty, else the array looked up by key,
-    else an empty array (left join)."""
-    lk = lookup.select(F.col(lookup_key).alias("_lk"), F.col(looked).alias("_looked"))
-    j = df.join(lk, df[key] == lk["_lk"], "left")
+    else an empty array (left join).  Rows without a key stay out of the
+    join, so they never meet in one partition."""
+    lk = lookup.select(F.col(lookup_key).alias("_lk"), F.col(looked).alias("_looked")).where(F.col("_lk").isNotNull())
+    keyed = df.where(F.col(key).isNotNull())
+    keyless = df.where(F.col(key).isNull()).withColumn("_looked", F.lit(None).cast(lookup.schema[looked].dataType))
+    j = keyed.join(lk, F.col(key) == F.col("_lk"), "left").drop("_lk").unionByName(keyless)
     et = dict(df.dtypes).get(own)
     empty = F.array().cast(et) if et else F.array()
     own_c = F.when(F.size(F.col(own)) > 0, F.col(own))
-    return j.withColumn(own, F.coalesce(own_c, F.col("_looked"), empty)).drop("_lk", "_looked")
+    return j.withColumn(own, F.coalesce(own_c, F.col("_looked"), empty)).drop("_looked")
 
 
 # ----------------------------------------------------------------- J06
+TERM_BLOCK = 200
+
+
 def match_pairs(df: DataFrame, kw: DataFrame, text: str, term: str = "term",
-                boundary_short: bool = True, broadcast_limit: int = 10000) -> DataFrame:
+                boundary_short: bool = True) -> DataFrame:
     """All (record, keyword) hits for a keyword *table* (T05 semantics).
 
-    * short one-word terms (<= 4 chars, word-bounded) are an equi-join of
-      the record's distinct words with the terms -- a shuffle join, no loop;
-    * substring terms: a broadcast nested-loop join on ``locate`` when the
-      term table is at most ``broadcast_limit`` rows (counted first, so the
-      broadcast has a checked bound); beyond that, an exact equi-join on the
-      term's first 5 characters against the record's distinct 5-grams,
-      verified with ``locate``.
+    The terms are read in blocks of ``TERM_BLOCK`` and each block is one T05
+    projection whose hits are exploded: a pass over the records per block, no
+    join, no shuffle, and the same plan for any number of terms.
     """
-    t = F.lower(F.col(text))
-    kw = kw.select(F.col(term).alias("keyword"), F.lower(F.col(term)).alias("_kl"))
-    is_word = F.col("_kl").rlike(r"^(?U)\w+$") & (F.length("_kl") <= 4)
-    word_kw = kw.where(is_word) if boundary_short else kw.where(F.lit(False))
-    sub_kw = kw.where(~is_word) if boundary_short else kw
-    words = df.select("*", F.explode(F.array_distinct(
-        F.regexp_extract_all(t, F.lit(r"(?U)\w+"), 0))).alias("_w"))
-    a = words.join(word_kw, words["_w"] == word_kw["_kl"], "inner").drop("_w", "_kl")
-    n_sub = sub_kw.count()
-    if n_sub <= broadcast_limit:
-        b = df.join(F.broadcast(sub_kw), t.contains(F.col("_kl")), "inner").drop("_kl")
-    else:
-        short = sub_kw.where(F.length("_kl") < 5)
-        long_ = sub_kw.where(F.length("_kl") >= 5).withColumn("_g", F.substring("_kl", 1, 5))
-        grams = df.select("*", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(t) - 4, F.lit(1))),
-            lambda i: F.substring(t, i, 5)))).alias("_g"))
-        b1 = grams.join(long_, "_g").where(t.contains(F.col("_kl"))).drop("_g", "_kl")
-        b2 = df.join(F.broadcast(short), t.contains(F.col("_kl")), "inner").drop("_kl")
-        b = b1.unionByName(b2)
-    return a.unionByName(b)
+    out, block = df.select("*", F.lit("").alias("keyword")).where(F.lit(False)), []
+
+    def hits(terms):
+        return df.select("*", F.explode(X.matched_keywords(text, terms, boundary_short)).alias("keyword"))
+
+    for row in kw.select(term).toLocalIterator():
+        block.append(row[0])
+        if len(block) == TERM_BLOCK:
+            out, block = out.unionByName(hits(block)), []
+    return out.unionByName(hits(block)) if block else out
 
 
 # ----------------------------------------------------------------- J07

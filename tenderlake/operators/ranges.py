@@ -89,10 +89,24 @@ def bisect_ranges(daily: DataFrame, lo: str, hi: str, cap: int, max_depth: int =
                 .withColumn("overflow", F.col("n") >= cap))
 
 
-def collect_by_state(df: DataFrame, date_col: str, key: str, uf: str, lo: str, hi: str,
-                     cap: int, max_depth: int = 6) -> DataFrame:
-    """Per-state adaptive ranges, and the notices each leaf collects,
-    unique by key across all leaves and states (first by date then key)."""
-    daily = daily_counts(df.where((F.to_date(F.col(date_col)) >= _d(lo)) & (F.to_date(F.col(date_col)) <= _d(hi))),
-                         date_col, [uf])
-    return bisect_ranges(daily, lo, hi, cap, max_depth, groups=[uf])
+def _within(df: DataFrame, date_col: str, lo, hi) -> DataFrame:
+    d = F.to_date(F.col(date_col))
+    return df.where((d >= _d(lo)) & (d <= _d(hi)))
+
+
+def state_ranges(df: DataFrame, date_col: str, uf: str, lo, hi, cap: int, max_depth: int = 6) -> DataFrame:
+    """The adaptive ranges of each state."""
+    return bisect_ranges(daily_counts(_within(df, date_col, lo, hi), date_col, [uf]), lo, hi, cap, max_depth, groups=[uf])
+
+
+def collect_by_state(df: DataFrame, date_col: str, key: str, uf: str, lo, hi, cap: int, max_depth: int = 6) -> DataFrame:
+    """The notices that the leaves deliver, with their leaf, unique by key
+    across leaves and states: the first by date, then state.  Rows without a
+    key are all delivered.  A leaf that overflows still delivers its rows."""
+    rows = _within(df, date_col, lo, hi).withColumn("_dia", F.to_date(F.col(date_col)))
+    leaves = state_ranges(df, date_col, uf, lo, hi, cap, max_depth)
+    days = leaves.select(F.col(uf).alias("_uf"), "lo", "hi", F.explode(F.sequence("lo", "hi")).alias("_day"))
+    found = rows.join(days, F.col(uf).eqNullSafe(F.col("_uf")) & (F.col("_dia") == F.col("_day"))).drop("_uf", "_day", "_dia")
+    first = F.min_by(F.struct(*[F.col(c) for c in found.columns]), F.struct(date_col, uf))
+    keyed = found.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(first.alias("_r")).select("_r.*")
+    return keyed.unionByName(found.where(F.col(key).isNull()))

@@ -226,7 +226,8 @@ def run_relevance(df: DataFrame, done: DataFrame, key: str, text: str, scorer: S
     from ..sources.sinks import insert_if_absent
     from .merge import pending
     todo = pending(df, done, key)
-    s = score(todo.select(key, text), text, scorer, batch_size)
+    # both outputs come from one materialised scoring: a scorer is never asked twice
+    s = score(todo.select(key, text), text, scorer, batch_size).drop(text).checkpoint()
     rel = s.where("serve_para_mim").select(key, "categoria", "motivo")
     new = insert_if_absent(existing if existing is not None else rel.limit(0).select(key), rel, key, key)
     log = s.select(key, F.when(F.col("categoria") == FALLBACK["categoria"], F.lit("erro"))
@@ -251,7 +252,8 @@ def build_label_set(raw: DataFrame, text: str = "texto", flag: str = "serve_para
     t = training_rows(r, "label", "confianca", "ambiguo", exclude_low, exclude_ambiguous)
     out = dedupe_pairs(t.select("text", "label"), ("text", "label"))
     if check:
-        classes = [row[0] for row in out.groupBy("label").count().select("label").collect()]
+        out = out.checkpoint()  # the check reads what is returned; the scorer runs once
+        classes = [row[0] for row in out.select("label").distinct().collect()]  # 0 and 1 at most
         if not classes:
             raise ValueError("label set is empty")
         if len(classes) < 2:

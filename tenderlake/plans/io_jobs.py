@@ -8,7 +8,6 @@ through the operator under test.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import dedupe as W
@@ -55,7 +54,9 @@ def page_docs(spark, sf_dir, feed="consulta", page_size=PAGE_SIZE, by_modality=F
             .when(k == 4, F.concat(F.lit('{"dados":'), lst, F.lit("}")))
             .otherwise(F.concat(F.lit('{"modalidades":{"A":{"dados":'), lst, F.lit('},"B":{"dados":[]}}}'))))
     if by_modality:
-        total = F.max("pagina").over(Window.partitionBy(*grp))  # one row per page, not per record
+        last = pg.groupBy(*grp).agg(F.max("pagina").alias("_total"))
+        g = g.join(last, grp)
+        total = F.col("_total")
         env = F.when(p == 1, F.concat(F.lit('{"data":'), lst, F.lit(',"totalPaginas":'), total.cast("string"),
                                       F.lit(',"numeroPagina":1}'))).otherwise(env)
     doc = F.concat(F.lit('{"fonte":"' + feed + '","pagina":'), p.cast("string"), F.lit(',"resposta":'), env, F.lit("}"))
@@ -90,14 +91,12 @@ SELECT modalidade, CAST(i // {PAGE_SIZE} + 1 AS INTEGER) AS pagina, CAST(i % {PA
        {_j('numeroControlePNCP')} AS numeroControlePNCP
 FROM ix WHERE (i // {PAGE_SIZE} + 1) % 17 <> 0 OR (i // {PAGE_SIZE} + 1) = 1""")
 def q_paged_source(spark, sf_dir):
-    """Python data source, one task per (modality, page); the first page
-    announces the page count (pages 17, 34, ... are corrupt and skipped)."""
+    """Landed pages per modality; the first page announces the page count
+    (pages 17, 34, ... are corrupt and skipped)."""
     path = scratch_path(spark, "paged")
     docs = page_docs(spark, sf_dir, by_modality=True)
     docs.write.partitionBy("modalidade", "pagina").text(path)
-    PG.register_sources(spark)
-    df = spark.read.format("tenderlake_pages").option("path", path).option("pages_per_task", 8).load()
-    return df.select("modalidade", "pagina", "pos",
+    return PG.paged_source(spark, path).select("modalidade", "pagina", "pos",
                      F.get_json_object("raw", "$.numeroControlePNCP").alias("numeroControlePNCP"))
 
 
@@ -193,6 +192,18 @@ def q_date_overwrite(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "user_id", "event_type", "value", "data")
 
 
+@query("date_reset", """SELECT event_id, CAST(ts AS DATE) AS data FROM events
+WHERE CAST(ts AS DATE) <> (SELECT min(CAST(ts AS DATE)) FROM events)""")
+def q_date_reset(spark, sf_dir):
+    """Re-running a date without rows, with the date reset, empties it."""
+    path = scratch_path(spark, "events_reset")
+    e = _events_by_day(spark, sf_dir).select("event_id", "data")
+    K.write_date(e, path)
+    first = e.agg(F.min("data").cast("string")).first()[0]
+    K.write_date(e.limit(0), path, reset=[first])
+    return spark.read.parquet(path).select("event_id", "data")
+
+
 @query("latest_partition", """SELECT event_id, CAST(ts AS DATE) AS data FROM events
 WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")
 def q_latest_partition(spark, sf_dir):

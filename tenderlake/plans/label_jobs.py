@@ -135,11 +135,11 @@ def q_todo_except(spark, sf_dir):
     return d.exceptAll(table(spark, sf_dir, "labels").select("doc_id"))
 
 
-@query("union_ids", "SELECT doc_id AS id FROM labels UNION SELECT doc_id FROM documents WHERE lang = 'de'")
+@query("union_ids", "SELECT doc_id AS id FROM labels UNION SELECT doc_id FROM documents")
 def q_union_ids(spark, sf_dir):
     """Processed ids ∪ new ids, distinct."""
     a = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
-    b = table(spark, sf_dir, "documents").where(F.col("lang") == "de").select(F.col("doc_id").alias("id"))
+    b = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
     return J.union_ids(a, b, "id")
 
 

@@ -10,25 +10,33 @@ from ..tables import table
 from . import query
 from .adapters import NOTICES_SQL, notices, with_ctes
 
-EV_LO, EV_HI = "2024-01-01", "2024-01-30"
+def date_bounds(df, col):
+    """First and last day of a table, as text."""
+    lo, hi = df.agg(F.min(F.to_date(col)).cast("string"), F.max(F.to_date(col)).cast("string")).first()
+    return lo, hi
 
 
-@query("date_windows", f"""WITH w AS (
-  SELECT unnest(range(DATE '{EV_LO}', DATE '{EV_HI}' + INTERVAL 1 DAY, INTERVAL 7 DAY))::DATE AS inicio)
-SELECT w.inicio, least(w.inicio + 6, DATE '{EV_HI}') AS fim, count(e.event_id) AS eventos
-FROM w LEFT JOIN events e ON CAST(e.ts AS DATE) BETWEEN w.inicio AND least(w.inicio + 6, DATE '{EV_HI}')
+_EV_LO, _EV_HI = "(SELECT min(CAST(ts AS DATE)) FROM events)", "(SELECT max(CAST(ts AS DATE)) FROM events)"
+
+
+@query("date_windows", f"""WITH b AS (SELECT {_EV_LO} AS lo, {_EV_HI} AS hi),
+w AS (SELECT unnest(range(lo, hi + INTERVAL 1 DAY, INTERVAL 7 DAY))::DATE AS inicio, hi FROM b)
+SELECT w.inicio, least(w.inicio + 6, w.hi) AS fim, count(e.event_id) AS eventos
+FROM w LEFT JOIN events e ON CAST(e.ts AS DATE) BETWEEN w.inicio AND least(w.inicio + 6, w.hi)
 GROUP BY ALL""")
 def q_date_windows(spark, sf_dir):
     """7-day windows over the event period (end inclusive) and the
     events each one holds (rows assigned by arithmetic, no range join)."""
-    w = RG.date_windows(spark, EV_LO, EV_HI, 7)
-    e = RG.assign_windows(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", EV_LO, EV_HI, 7)
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    lo, hi = date_bounds(ev, "ts")
+    w = RG.date_windows(spark, lo, hi, 7)
+    e = RG.assign_windows(ev, "ts", lo, hi, 7)
     c = e.groupBy("inicio").agg(F.count(F.lit(1)).alias("eventos"))
     return w.join(c, "inicio", "left").select("inicio", "fim", F.coalesce("eventos", F.lit(0)).alias("eventos"))
 
 
 _BISECT_SQL = """WITH RECURSIVE daily AS (SELECT {g_sel} CAST({d} AS DATE) AS dia, count(*) AS n FROM {src} GROUP BY ALL),
-starts AS (SELECT DISTINCT {g_sel} DATE '{lo}' AS lo, DATE '{hi}' AS hi, 0 AS depth FROM daily),
+starts AS (SELECT DISTINCT {g_sel} {lo} AS lo, {hi} AS hi, 0 AS depth FROM daily),
 r AS (
   SELECT * FROM starts
   UNION ALL
@@ -43,30 +51,53 @@ SELECT {g_sel} lo, hi, depth, n, n >= {cap} AS overflow FROM c WHERE NOT (n >= {
 
 
 @query("bisect_ranges", _BISECT_SQL.format(g_sel="", g_x="", g_join="", d="ts", src="events",
-                                           lo=EV_LO, hi=EV_HI, cap=1000, md=6))
+                                           lo=_EV_LO, hi=_EV_HI, cap=1000, md=6))
 def q_bisect_ranges(spark, sf_dir):
     """Adaptive date bisection of the event period, cap 1000 rows."""
-    daily = RG.daily_counts(table(spark, sf_dir, "events"), "ts")
-    out = RG.bisect_ranges(daily, EV_LO, EV_HI, 1000, 6)
+    ev = table(spark, sf_dir, "events")
+    out = RG.bisect_ranges(RG.daily_counts(ev, "ts"), *date_bounds(ev, "ts"), 1000, 6)
     return out.select("lo", "hi", "depth", "n", "overflow")
 
 
-N_LO, N_HI = "1995-01-01", "2001-12-31"
-
+_N_LO, _N_HI = (f"(SELECT {f}(CAST(dataPublicacaoPncp AS DATE)) FROM notices)" for f in ("min", "max"))
 
 _STATE_SQL = (with_ctes(NOTICES_SQL) + _BISECT_SQL.replace("WITH RECURSIVE ", ", ").format(
     g_sel="uf_sigla,", g_x="x.uf_sigla,", g_join="daily.uf_sigla = r.uf_sigla AND",
-    d="dataPublicacaoPncp", src="notices", lo=N_LO, hi=N_HI, cap=100, md=6)).replace("WITH ", "WITH RECURSIVE ", 1)
+    d="dataPublicacaoPncp", src="notices", lo=_N_LO, hi=_N_HI, cap=100, md=6)).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _by_state(spark, sf_dir):
+    return notices(spark, sf_dir).select("uf_sigla", "numeroControlePNCP", "dataPublicacaoPncp", "ingest_seq")
 
 
 @query("collect_by_state", _STATE_SQL)
 def q_collect_by_state(spark, sf_dir):
     """Per-state adaptive ranges over the publication dates, cap 100."""
-    n = notices(spark, sf_dir).select("uf_sigla", "numeroControlePNCP", "dataPublicacaoPncp")
-    out = RG.collect_by_state(n, "dataPublicacaoPncp", "numeroControlePNCP", "uf_sigla", N_LO, N_HI, 100, 6)
+    n = _by_state(spark, sf_dir)
+    out = RG.state_ranges(n, "dataPublicacaoPncp", "uf_sigla", *date_bounds(n, "dataPublicacaoPncp"), 100, 6)
     return out.select("uf_sigla", "lo", "hi", "depth", "n", "overflow")
 
 
+# every second notice is listed again by another state a day later
+_TWICE_SQL = """twice AS (
+  SELECT uf_sigla, numeroControlePNCP, CAST(dataPublicacaoPncp AS DATE) AS dia FROM notices
+  UNION ALL SELECT 'ZZ', numeroControlePNCP, CAST(dataPublicacaoPncp AS DATE) + 1 FROM notices WHERE ingest_seq % 2 = 0)"""
+
+
+@query("collect_by_state_rows", with_ctes(NOTICES_SQL, _TWICE_SQL) + """
+SELECT numeroControlePNCP, uf_sigla, dia FROM twice WHERE numeroControlePNCP IS NULL
+UNION ALL
+SELECT numeroControlePNCP, arg_min(uf_sigla, (dia, uf_sigla)), min(dia) FROM twice
+WHERE numeroControlePNCP IS NOT NULL GROUP BY numeroControlePNCP""")
+def q_collect_by_state_rows(spark, sf_dir):
+    """The notices that the ranges deliver, unique by key across states."""
+    n = _by_state(spark, sf_dir).withColumn("dia", F.to_date("dataPublicacaoPncp"))
+    again = n.where(F.col("ingest_seq") % 2 == 0).withColumn("uf_sigla", F.lit("ZZ")).withColumn("dia", F.date_add("dia", 1))
+    both = n.unionByName(again).select("uf_sigla", "numeroControlePNCP", "dia")
+    out = RG.collect_by_state(both, "dia", "numeroControlePNCP", "uf_sigla", *date_bounds(both, "dia"), 100, 6)
+    return out.select("numeroControlePNCP", "uf_sigla", "dia")
+
+
 @query("request_predicate", with_ctes(NOTICES_SQL) + """
 SELECT ingest_seq, numeroControlePNCP FROM notices
 WHERE replace(substr(dataPublicacaoPncp, 1, 10), '-', '') BETWEEN '19960101' AND '19961231'

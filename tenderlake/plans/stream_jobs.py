@@ -1,8 +1,6 @@
 """Streaming jobs: landed page files processed with ``availableNow`` triggers.
 
-Files are landed in chunks written one after another (the file source
-takes them oldest first, a few files per micro-batch, so chunks arrive in
-order) below the shared checkpoint folder; each stream keeps its
+Files are landed by appends, one after another, below the shared checkpoint folder; each stream keeps its
 checkpoint there too.
 """
 
@@ -16,24 +14,28 @@ from ..tables import table
 from . import query
 from .label_jobs import SCORE_SQL, doc_scorer
 
-CHUNKS = [(1, 10), (11, 20), (21, 30)]
-
-
+LANDINGS = 3  # appends, one after another, that the days present are dealt over in order
 PAGE_EVENTS = 500
 
 
-def _land_event_pages(spark, sf_dir, path, chunks):
+def _land_event_pages(spark, sf_dir, path, again_days: int = 0):
     """Page documents of at most PAGE_EVENTS events (a page never spans two
-    days); each chunk of days is landed by one append, in day order."""
+    days), landed by ``LANDINGS`` appends in day order; the first
+    ``again_days`` days are landed once more at the end."""
     e = table(spark, sf_dir, "events")
     rec = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value"))
-    day = F.dayofmonth("ts")
+    day = F.to_date("ts")
+    first, last = e.agg(F.min(day), F.max(day)).first()
     pages = (e.groupBy(day.alias("dia"), F.floor(F.col("event_id") / PAGE_EVENTS).alias("_pg"))
               .agg(F.array_sort(F.collect_list(F.struct("event_id", rec.alias("j")))).alias("_l")))
     doc = F.concat(F.lit('{"data":['), F.array_join(F.transform("_l", lambda x: x["j"]), ","),
-                   F.lit('],"numeroPagina":'), F.col("dia").cast("string"), F.lit("}"))
-    for lo, hi in chunks:
-        pages.where(F.col("dia").between(lo, hi)).select(doc.alias("value")).write.mode("append").text(path)
+                   F.lit('],"numeroPagina":'), F.date_format("dia", "yyyyMMdd"), F.lit("}"))
+    place = F.floor(F.datediff("dia", F.lit(first)) * LANDINGS / ((last - first).days + 1))
+    parts = [place == k for k in range(LANDINGS)]
+    if again_days:
+        parts.append(F.datediff("dia", F.lit(first)) < again_days)
+    for part in parts:
+        pages.where(part).select(doc.alias("value")).write.mode("append").text(path)
 
 
 def _records(sdf):
@@ -51,8 +53,8 @@ def _await(q):
 def q_stream_ingest(spark, sf_dir):
     """ST1: landed event pages -> records, incremental (availableNow)."""
     land, out, ck = (scratch_path(spark, n) for n in ("ev_land", "ev_out", "ev_ck"))
-    _land_event_pages(spark, sf_dir, land, CHUNKS)
-    sdf = _records(ST.stream_pages(spark, land, "events", max_files_per_trigger=2))
+    _land_event_pages(spark, sf_dir, land)
+    sdf = _records(ST.stream_pages(spark, land, "events"))
     _await(ST.run_to_sink(sdf, out, ck))
     return spark.read.parquet(out)
 
@@ -61,8 +63,8 @@ def q_stream_ingest(spark, sf_dir):
 def q_stream_dedupe(spark, sf_dir):
     """ST2: pages landed twice (days 1-5 re-sent) -> each id once."""
     land, out, ck = (scratch_path(spark, n) for n in ("dd_land", "dd_out", "dd_ck"))
-    _land_event_pages(spark, sf_dir, land, CHUNKS + [(1, 5)])
-    sdf = ST.stream_dedupe(_records(ST.stream_pages(spark, land, "events", 2)), "event_id")
+    _land_event_pages(spark, sf_dir, land, again_days=5)
+    sdf = ST.stream_dedupe(_records(ST.stream_pages(spark, land, "events")), "event_id")
     _await(ST.run_to_sink(sdf.select("event_id"), out, ck))
     return spark.read.parquet(out)
 
@@ -72,8 +74,8 @@ def q_stream_upsert(spark, sf_dir):
     """ST3: streaming insert-if-absent by user: the first event per user wins
     across micro-batches."""
     land, out, ck = (scratch_path(spark, n) for n in ("up_land", "up_out", "up_ck"))
-    _land_event_pages(spark, sf_dir, land, CHUNKS)
-    sdf = _records(ST.stream_pages(spark, land, "events", 2))
+    _land_event_pages(spark, sf_dir, land)
+    sdf = _records(ST.stream_pages(spark, land, "events"))
     _await(ST.stream_upsert(sdf, out, "user_id", "event_id", ck, mode="insert"))
     return spark.read.parquet(out).select("user_id", "event_id")
 
@@ -82,24 +84,41 @@ def q_stream_upsert(spark, sf_dir):
 def q_stream_latest(spark, sf_dir):
     """ST3: streaming latest-wins table by user (merge-on-read)."""
     land, out, ck = (scratch_path(spark, n) for n in ("lt_land", "lt_out", "lt_ck"))
-    _land_event_pages(spark, sf_dir, land, CHUNKS)
-    sdf = _records(ST.stream_pages(spark, land, "events", 2))
+    _land_event_pages(spark, sf_dir, land)
+    sdf = _records(ST.stream_pages(spark, land, "events"))
     _await(ST.stream_upsert(sdf, out, "user_id", "event_id", ck, mode="latest"))
     return ST.read_latest(spark, out, "user_id", "event_id").select("user_id", "event_id")
 
 
-@query("stream_classify", f"WITH {SCORE_SQL} SELECT doc_id, categoria FROM scored WHERE serve_para_mim")
-def q_stream_classify(spark, sf_dir):
-    """ST4: resumable classification over landed document pages."""
+def _classified(spark, sf_dir):
+    """Run ST4 over landed document pages, the second landing after the first run; the output folder."""
     land, out, ck = (scratch_path(spark, n) for n in ("cl_land", "cl_out", "cl_ck"))
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     rec = F.to_json(F.struct("doc_id", "text"))
     pages = (d.groupBy(F.floor(F.col("doc_id") / 50).alias("pg"))   # pages of at most 50 documents
               .agg(F.array_sort(F.collect_list(F.struct("doc_id", rec.alias("j")))).alias("_l")))
     doc = F.concat(F.lit("["), F.array_join(F.transform("_l", lambda x: x["j"]), ","), F.lit("]"))
-    for part in (0, 1):  # two landings: even pages, then odd pages
-        pages.where(F.col("pg") % 2 == part).select(doc.alias("value")).write.mode("append").text(land)
-    sdf = ST.stream_pages(spark, land, "documents", 2).select(
-        F.from_json("raw", "doc_id long, text string").alias("r")).select("r.*")
-    _await(ST.stream_relevance(sdf, out, "doc_id", "text", doc_scorer(), ck))
-    return spark.read.parquet(out).select("doc_id", "categoria")
+    pages = pages.select("pg", doc.alias("value"))
+    pages.where(F.col("pg") % 2 == 0).select("value").write.text(land)
+
+    def run():
+        sdf = ST.stream_pages(spark, land, "documents").select(F.from_json("raw", "doc_id long, text string").alias("r")).select("r.*")
+        _await(ST.stream_relevance(sdf, out, "doc_id", "text", doc_scorer(), ck))
+
+    run()
+    pages.select("value").write.mode("append").text(land)  # the even pages once more: no id is scored twice
+    run()
+    return out
+
+
+@query("stream_classify", f"WITH {SCORE_SQL} SELECT doc_id, categoria FROM scored WHERE serve_para_mim")
+def q_stream_classify(spark, sf_dir):
+    """ST4: resumable classification over landed document pages."""
+    return spark.read.parquet(_classified(spark, sf_dir)).select("doc_id", "categoria")
+
+
+@query("stream_processed_log", f"WITH {SCORE_SQL} SELECT doc_id, 'ok' AS status FROM scored")
+def q_stream_processed_log(spark, sf_dir):
+    """ST4: the log of processed ids has every id once, relevant or not,
+    though half of the pages were landed twice."""
+    return spark.read.parquet(ST.processed_log(_classified(spark, sf_dir))).select("doc_id", "status")

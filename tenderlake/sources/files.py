@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import display as D
 from ..functions import text as X
+from ..session import folder_names
 
 TEXT_ALIASES = ["Objeto", "objeto", "objeto_compra", "texto", "text"]
 LABEL_ALIASES = ["Relevante", "relevante", "label", "rotulo"]
@@ -57,19 +57,14 @@ def read_id_log(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
 def read_date_or_latest(spark: SparkSession, path: str, date: str | None, col: str = "data") -> DataFrame:
     """The partition of ``date`` when present, else the newest one.
 
-    The partition list comes from the table's own partition column (a
-    metadata-sized distinct); the final filter is a partition-pruned read.
+    The partition list is the folder listing of the table; the returned read
+    is pruned to one partition.
     """
+    days = sorted(n.split("=", 1)[1] for n in folder_names(spark, path) if n.startswith(f"{col}="))
+    if not days:
+        raise FileNotFoundError(f"no partitions under {path}")
     df = spark.read.parquet(path)
-    parts = df.select(F.col(col).cast("string").alias("_d")).distinct()
-    chosen = None
-    if date is not None and parts.where(F.col("_d") == date).limit(1).count() > 0:
-        chosen = date
-    if chosen is None:
-        row = parts.agg(F.max("_d")).first()
-        if row is None or row[0] is None:
-            raise FileNotFoundError(f"no partitions under {path}")
-        chosen = row[0]
+    chosen = date if date in days else days[-1]
     return df.where(F.col(col) == F.lit(chosen).cast(df.schema[col].dataType))
 
 
@@ -106,5 +101,3 @@ def read_notices(df: DataFrame, json_col: str = "dados_json") -> DataFrame:
     j = F.coalesce(F.col(json_col), F.lit("{}")) if has_json else F.lit("{}")
     return df.select(*out, j.alias("dados_json"))
 
-
-TEXT_SCHEMA = T.StructType([T.StructField("value", T.StringType())])

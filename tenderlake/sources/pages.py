@@ -10,14 +10,8 @@ rows.  Parsing uses VARIANT (one parse per page, any shape).
 
 from __future__ import annotations
 
-import glob
-import json
-import math
-import os
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 ENVELOPE_KEYS = ("data", "items", "content", "dados")
 
@@ -55,143 +49,43 @@ def read_pages(spark: SparkSession, path: str, source: str | None = None, wholet
 
 
 # ----------------------------------------------------------------- S02
-def total_pages(payload, page_size: int | None = None) -> int:
-    """Pages announced by a first page: ``totalPaginas``, else
-    ceil(totalRegistros / tamanhoPagina) (``page_size`` when the page does
-    not say), else numeroPagina + paginasRestantes, else 1 (never < 1)."""
-    if not isinstance(payload, dict):
-        return 1
-    if page_size and not payload.get("tamanhoPagina"):
-        payload = dict(payload, tamanhoPagina=page_size)
-    try:
-        t = int(payload.get("totalPaginas") or 0)
-        if t > 0:
-            return t
-    except (TypeError, ValueError):
-        pass
-    try:
-        tr, tp = int(payload.get("totalRegistros") or 0), int(payload.get("tamanhoPagina") or 0)
-        if tr > 0 and tp > 0:
-            return max(1, math.ceil(tr / tp))
-    except (TypeError, ValueError):
-        pass
-    try:
-        n, r = payload.get("numeroPagina"), payload.get("paginasRestantes")
-        if n is not None and r is not None:
-            return max(1, int(n) + int(r))
-    except (TypeError, ValueError):
-        pass
-    return 1
-
-
-def _envelope_records(doc):
-    env = doc.get("resposta", doc) if isinstance(doc, dict) else doc
-    if isinstance(env, list):
-        return env
-    if not isinstance(env, dict):
-        return []
-    for k in ENVELOPE_KEYS:
-        if isinstance(env.get(k), list):
-            return env[k]
-    mods = env.get("modalidades")
-    if isinstance(mods, dict):
-        out = []
-        for name in sorted(mods):
-            blk = mods[name]
-            if isinstance(blk, dict) and isinstance(blk.get("dados"), list):
-                out.extend(blk["dados"])
-        return out
-    return []
-
-
-def _local(path: str) -> str:
-    """POSIX path of a ``file:`` URI (shared mounts); other paths unchanged."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-class _PagePartition(InputPartition):
-    """A run of consecutive pages of one modality: ``pages`` is a list of
-    (page number, files) pairs."""
-
-    def __init__(self, modality, pages):
-        self.modality, self.pages = modality, pages
-
-
-class _PagedReader(DataSourceReader):
-    def __init__(self, options):
-        self.path = _local(options["path"])
-        self.page_size = int(options.get("page_size", 0) or 0) or None
-        self.pages_per_task = max(1, int(options.get("pages_per_task", 1) or 1))
-        self.modalities = [m for m in options.get("modalities", "").split(",") if m]
-        if not self.modalities:  # discover the landed modalities
-            self.modalities = sorted(os.path.basename(d).split("=", 1)[1]
-                                     for d in glob.glob(os.path.join(self.path, "modalidade=*")))
-
-    def _page_files(self, modality, page):
-        return sorted(glob.glob(os.path.join(self.path, f"modalidade={modality}", f"pagina={page}", "*")))
-
-    def _first_page(self, modality):
-        for f in self._page_files(modality, 1):
-            with open(f, encoding="utf-8") as fh:
-                for line in fh:
-                    if line.strip():
-                        try:
-                            doc = json.loads(line)
-                        except json.JSONDecodeError:
-                            return {}
-                        return doc.get("resposta", doc) if isinstance(doc, dict) else doc
-        return {}
-
-    def partitions(self):
-        """One input partition per run of ``pages_per_task`` pages (1 = one
-        task per page); page files are listed on the executor."""
-        parts = []
-        k = self.pages_per_task
-        for m in self.modalities:
-            n = total_pages(self._first_page(m), self.page_size)
-            for start in range(1, n + 1, k):
-                parts.append(_PagePartition(m, list(range(start, min(start + k, n + 1)))))
-        return parts or [_PagePartition("", [])]
-
-    def read(self, partition):
-        for page in partition.pages:
-            for f in self._page_files(partition.modality, page):
-                with open(f, encoding="utf-8") as fh:
-                    for line in fh:
-                        if not line.strip():
-                            continue
-                        try:
-                            doc = json.loads(line)
-                        except json.JSONDecodeError:
-                            continue
-                        for i, rec in enumerate(_envelope_records(doc)):
-                            yield (partition.modality, page, i, json.dumps(rec, ensure_ascii=False))
-
-
-class PagedNoticeSource(DataSource):
-    """Paged source connector -- one task per (modality, page) or per
-    run of ``pages_per_task`` pages; the first page of each modality tells
-    how many pages to read.  Pages are
-    landed files under ``path/modalidade=<m>/pagina=<p>/`` on shared
-    storage (the HTTP fetcher of a live feed would be swapped in here)."""
-
-    @classmethod
-    def name(cls):
-        return "tenderlake_pages"
-
-    def schema(self):
-        return "modalidade string, pagina int, pos int, raw string"
-
-    def reader(self, schema):
-        return _PagedReader(self.options)
-
-
-def register_sources(spark: SparkSession) -> None:
-    spark.dataSource.register(PagedNoticeSource)
+def announced_pages(env: Column, page_size: int | None = None) -> Column:
+    """Pages that an envelope announces, at least 1: the stated page count;
+    without one, records over page size (``page_size`` where the envelope has
+    none); without those, its own number plus the pages that remain."""
+    def number(key: str) -> Column:
+        text = F.try_variant_get(env, f"$.{key}", "string")
+        return F.when(text.rlike(r"^\s*\d+\s*$"), F.trim(text).cast("long"))
+
+    def positive(c: Column) -> Column:
+        return F.when(c > 0, c)
+
+    size = F.coalesce(positive(number("tamanhoPagina")), F.lit(page_size).cast("long"))
+    counted = F.ceil(positive(number("totalRegistros")) / positive(size))
+    reached = number("numeroPagina") + number("paginasRestantes")
+    return F.greatest(F.coalesce(positive(number("totalPaginas")), counted, reached, F.lit(1)), F.lit(1)).cast("int")
+
+
+def paged_source(spark: SparkSession, path: str, page_size: int | None = None) -> DataFrame:
+    """Records ``modalidade, pagina, pos, raw`` of the pages landed under
+    ``path/modalidade=<m>/pagina=<p>/`` (the HTTP fetcher of a live feed would
+    write them), in any file system that Spark reads.
+
+    Per modality the first readable page tells how many pages to take; pages
+    that cannot be parsed give no rows.  A path without pages is an error.
+    """
+    docs = spark.read.option("basePath", path).text(path)
+    if not {"modalidade", "pagina"} <= set(docs.columns):
+        raise FileNotFoundError(f"no pages (modalidade=, pagina=) under {path}")
+    doc = F.try_parse_json("value")
+    env = F.coalesce(F.try_variant_get(doc, "$.resposta", "variant"), doc)
+    pages = docs.select(F.col("modalidade").cast("string"), F.col("pagina").cast("int"), "value")
+    limits = (pages.select("modalidade", "pagina", env.alias("env")).where(F.col("env").isNotNull())
+              .select("modalidade", "pagina", announced_pages(F.col("env"), page_size).alias("n"))
+              .groupBy(F.col("modalidade").alias("_m")).agg(F.min_by("n", "pagina").alias("_last")))
+    wanted = pages.join(limits, F.col("modalidade") == F.col("_m")).where(F.col("pagina") <= F.col("_last"))
+    return (wanted.select("modalidade", "pagina", F.posexplode(_records(env)).alias("pos", "_v"))
+            .select("modalidade", "pagina", "pos", F.to_json("_v").alias("raw")))
 
 
 # ----------------------------------------------------------------- S03
@@ -208,10 +102,10 @@ def take_until_end(pages: DataFrame, query: str, page: str, n_rows: str, page_si
     stop_drop = n == 0
     if error:
         stop_drop = stop_drop | F.col(error)
-    w = Window.partitionBy(query)
-    first_keep = F.min(F.when(stop_keep, F.col(page))).over(w)
-    first_drop = F.min(F.when(stop_drop, F.col(page))).over(w)
-    last = F.least(F.coalesce(first_keep, F.lit(1 << 30)), F.coalesce(first_drop - 1, F.lit(1 << 30)))
-    if max_pages:
-        last = F.least(last, F.lit(max_pages))
-    return pages.withColumn("_last", last).where(F.col(page) <= F.col("_last")).drop("_last")
+    # one row per query; a query with a third of all pages is not a group in one task
+    last = pages.groupBy(F.col(query).alias("_q")).agg(
+        F.least(F.coalesce(F.min(F.when(stop_keep, F.col(page))), F.lit(1 << 30)),
+                F.coalesce(F.min(F.when(stop_drop, F.col(page))) - 1, F.lit(1 << 30)),
+                F.lit(max_pages or 1 << 30)).alias("_last"))
+    kept = pages.join(last, F.col(query).eqNullSafe(F.col("_q"))).where(F.col(page) <= F.col("_last"))
+    return kept.drop("_q", "_last")

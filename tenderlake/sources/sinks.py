@@ -7,12 +7,13 @@ executor means a retried task, never a half-written table.
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import delete_path, path_exists
 
 
 def _gkey(key: str, seq: str) -> Column:
@@ -28,7 +29,8 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, key: str, seq: str)
                   .agg(F.min_by(F.struct(*[F.col(c) for c in batch.columns]), F.col(seq)).alias("_r"))
                   .select("_r.*"))
     ek = existing.select(F.col(key).alias("_ek")).where(F.col("_ek").isNotNull())
-    return first.join(ek, first[key] == ek["_ek"], "left_anti")
+    keyed = first.where(F.col(key).isNotNull()).join(ek, F.col(key) == F.col("_ek"), "left_anti")
+    return keyed.unionByName(first.where(F.col(key).isNull()))  # keyless rows stay out of the join
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
@@ -65,9 +67,12 @@ def bronze_append(df: DataFrame, path: str) -> None:
 
 
 # ----------------------------------------------------------------- K04
-def write_date(df: DataFrame, path: str, col: str = "data") -> None:
+def write_date(df: DataFrame, path: str, col: str = "data", reset=()) -> None:
     """Idempotent date-partitioned write: re-running a date replaces
-    exactly the partitions present in ``df`` (dynamic overwrite)."""
+    exactly the partitions present in ``df`` (dynamic overwrite).  Dates in
+    ``reset`` are emptied first, so that a re-run without rows leaves none."""
+    for date in reset:
+        delete_path(df.sparkSession, f"{path}/{col}={date}")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(col).parquet(path))
 
@@ -101,16 +106,35 @@ def export_for_labelling(df: DataFrame, key: str, text: str, order: str, n: int
 
 
 # ----------------------------------------------------------------- K10
+BUCKET_BATCHES = 10_000
+
+
 def save_batch_results(results: DataFrame, path: str, batch_col: str = "batch_id") -> None:
-    """Results stored per batch id (dynamic partition overwrite, so a
-    re-run batch replaces itself)."""
-    write_date(results, path, batch_col)
+    """Results of whole batches.
+
+    Files are foldered by ranges of ``BUCKET_BATCHES`` batch ids, not by batch,
+    and each call is one commit under a run id; the ids that a run finished
+    are a small table beside the results, written after them, so results of a
+    run that broke off are never read.
+    """
+    spark = results.sparkSession
+    run = uuid.uuid4().hex
+    bucket = F.floor(F.col(batch_col) / BUCKET_BATCHES)
+    (results.withColumn("_bucket", bucket).withColumn("_run", F.lit(run))
+        .write.mode("append").partitionBy("_bucket").parquet(f"{path}/results"))
+    saved = spark.read.parquet(f"{path}/results").where(F.col("_run") == run)
+    saved.select(batch_col, "_run").distinct().write.mode("append").parquet(f"{path}/finished")
+
+
+def _finished(spark: SparkSession, path: str, batch_col: str) -> DataFrame:
+    """One run per finished batch: that of the smallest run id where a batch was saved twice."""
+    return spark.read.parquet(f"{path}/finished").groupBy(batch_col).agg(F.min("_run").alias("_run"))
 
 
 def finished_batches(spark: SparkSession, path: str, batch_col: str = "batch_id") -> DataFrame | None:
-    if not os.path.exists(path.replace("file:", "")) and not path.startswith(("s3", "hdfs", "gs", "abfs")):
+    if not path_exists(spark, f"{path}/finished"):
         return None
-    return spark.read.parquet(path).select(batch_col).distinct()
+    return _finished(spark, path, batch_col).select(batch_col)
 
 
 def pending_batches(batches: DataFrame, done: DataFrame | None, batch_col: str = "batch_id") -> DataFrame:
@@ -119,5 +143,6 @@ def pending_batches(batches: DataFrame, done: DataFrame | None, batch_col: str =
 
 
 def load_results(spark: SparkSession, path: str, batch_col: str = "batch_id") -> DataFrame:
-    """All saved results in batch order."""
-    return spark.read.parquet(path).orderBy(batch_col)
+    """All results of finished batches in batch order."""
+    kept = spark.read.parquet(f"{path}/results").join(_finished(spark, path, batch_col), [batch_col, "_run"], "left_semi")
+    return kept.drop("_bucket", "_run").orderBy(batch_col)

@@ -5,22 +5,21 @@
 * ST2 ``stream_dedupe``: state keyed by id; unbounded by default (as in the
   batch client), or bounded by a watermark when asked.
 * ST3 ``stream_upsert``: ``foreachBatch`` into a table with insert-if-absent
-  (first write wins) or latest-wins (merge-on-read log).  A micro-batch
-  that is replayed after a failure is recognised by its batch id and
-  skipped, so the sink is idempotent.
+  (first write wins) or latest-wins (merge-on-read log).  A micro-batch is
+  one partition folder and an entry of the commit log beside the table: a
+  replay is recognised without reading the table, so the sink is idempotent.
 * ST4 ``stream_relevance``: ``foreachBatch`` running the resumable
-  relevance job on each micro-batch.
+  relevance job on each micro-batch, with a log of all processed ids.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge as J
 from ..operators import relevance as RV
+from ..session import path_exists
 from ..sources import sinks as K
 from ..sources.pages import parse_pages
 
@@ -42,15 +41,24 @@ def stream_dedupe(sdf: DataFrame, key: str, watermark: tuple[str, str] | None =
     return sdf.dropDuplicates([key])
 
 
-def _exists(path: str) -> bool:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    return os.path.exists(p)
+def _commits(out: str) -> str:
+    return out.rstrip("/") + "_commits"
+
+
+def _batch_done(spark: SparkSession, out: str, batch_id: int) -> bool:
+    """Whether the commit log beside ``out`` names the micro-batch: a folder
+    per committed batch, so the test is one file-system call."""
+    return path_exists(spark, f"{_commits(out)}/batch={batch_id}")
+
+
+def _commit(spark: SparkSession, out: str, batch_id: int) -> None:
+    spark.range(1).select(F.lit(batch_id).alias("batch")).write.mode("overwrite").parquet(f"{_commits(out)}/batch={batch_id}")
 
 
-def _batch_done(spark: SparkSession, path: str, batch_id: int) -> bool:
-    if not _exists(path):
-        return False
-    return spark.read.parquet(path).where(F.col("_batch_id") == batch_id).limit(1).count() > 0
+def _append(df: DataFrame, out: str, batch_id: int) -> None:
+    """One micro-batch as one partition folder: a replay after a failure
+    replaces what the broken attempt left."""
+    df.write.mode("overwrite").parquet(f"{out}/_batch_id={batch_id}")
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, key: str, seq: str, mode: str) -> None:
@@ -59,8 +67,9 @@ def upsert_batch(batch: DataFrame, batch_id: int, path: str, key: str, seq: str,
     if _batch_done(spark, path, batch_id):
         return  # replayed micro-batch: already committed
     if mode == "insert":
-        if _exists(path):
-            existing = spark.read.parquet(path).select(key)
+        if path_exists(spark, path):
+            # keys of committed batches only: a broken attempt is not read
+            existing = spark.read.parquet(path).where(F.col("_batch_id") != batch_id).select(key)
         else:
             existing = batch.limit(0).select(key)
         new = K.insert_if_absent(existing, batch, key, seq)
@@ -68,7 +77,8 @@ def upsert_batch(batch: DataFrame, batch_id: int, path: str, key: str, seq: str,
         new = batch  # merge-on-read: readers apply ``read_latest``
     else:
         raise ValueError(mode)
-    new.withColumn("_batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+    _append(new, path, batch_id)
+    _commit(spark, path, batch_id)
 
 
 def read_latest(spark: SparkSession, path: str, key: str, seq: str) -> DataFrame:
@@ -91,14 +101,25 @@ def stream_upsert(sdf: DataFrame, path: str, key: str, seq: str, checkpoint: str
 
 
 def relevance_batch(batch: DataFrame, batch_id: int, out: str, key: str, text: str, scorer) -> None:
-    """ST4 micro-batch: skip done ids, score, append relevant rows."""
+    """ST4 micro-batch: skip every id scored before, relevant or not, score the
+    rest once, append the relevant rows and log all scored ids with their
+    status (R07)."""
     spark = batch.sparkSession
     if _batch_done(spark, out, batch_id):
         return
-    todo = J.pending(batch, spark.read.parquet(out).select(key), key) if _exists(out) else batch
-    s = RV.score(todo.select(key, text), text, scorer)
-    rel = s.where("serve_para_mim").select(key, "categoria", "motivo")
-    rel.withColumn("_batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
+    log = processed_log(out)
+    todo = batch
+    if path_exists(spark, log):
+        todo = J.pending(batch, spark.read.parquet(log).where(F.col("_batch_id") != batch_id).select(key), key)
+    new, status = RV.run_relevance(todo, todo.limit(0), key, text, scorer)
+    _append(new, out, batch_id)
+    _append(status, log, batch_id)
+    _commit(spark, out, batch_id)
+
+
+def processed_log(out: str) -> str:
+    """Folder of the processed ids of ``stream_relevance``: ``key, status``."""
+    return out.rstrip("/") + "_processed"
 
 
 def stream_relevance(sdf: DataFrame, out: str, key: str, text: str, scorer, checkpoint: str,

@@ -1,64 +1,19 @@
 """Access to the driver's parquet tables.
 
-Reads are lazy; Catalyst prunes columns and pushes filters into the scan,
-so callers simply ``select`` what they need.
-
-Scan parallelism: Spark splits parquet by row group.  Large inputs have
-thousands of row groups, so the scan alone spreads the work.  A small input
-written as a single row group would be read by ONE task while the other
-cores idle; when the footers show fewer row groups than the cluster's
-default parallelism and the table is big enough for that to matter, the
-scan is followed by a round-robin repartition (a cheap shuffle).  Footers are read only for local
-paths; remote stores are assumed to hold large, many-row-group files.
+Reads are lazy and the scan is left as Spark plans it: Catalyst prunes
+columns and pushes filters, and splits follow the files' row groups and
+``spark.sql.files.maxPartitionBytes`` at every size.
 """
 
 from __future__ import annotations
 
-import glob
-import os
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-SMALL_TABLES = {"region", "nation"}
-
-
-MIN_SPLIT_BYTES = 1 << 20  # below this a single task reads the table quickly anyway
-
-
-@lru_cache(maxsize=256)
-def _layout(path: str) -> tuple[int, int] | None:
-    """(row groups, bytes) of a local parquet table, from the footers."""
-    try:
-        import pyarrow.parquet as pq
-        files = [path] if os.path.isfile(path) else glob.glob(os.path.join(path, "**", "*.parquet"),
-                                                              recursive=True)
-        if not files:
-            return None
-        return (sum(pq.ParquetFile(f).metadata.num_row_groups for f in files),
-                sum(os.path.getsize(f) for f in files))
-    except Exception:  # noqa: BLE001 - no footer access: leave the scan as it is
-        return None
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    if name in SMALL_TABLES or not os.path.exists(path):
-        return df
-    par = spark.sparkContext.defaultParallelism
-    lay = _layout(path)
-    if lay is not None and lay[0] < par and lay[1] >= MIN_SPLIT_BYTES:
-        return df.repartition(par)
-    return df
-
-
-def register_all(spark: SparkSession, sf_dir: str) -> None:
-    """Register every driver table as a temp view (for spark.sql users)."""
-    for t in TABLES:
-        table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -70,8 +70,9 @@ def test_slices_and_index(spark):
     df = spark.range(10).withColumnRenamed("id", "i")
     s = W.slices(df, 4, ["i"]).orderBy("i").collect()
     bounds = sorted({(r.slice_offset, r.slice_size) for r in s})
-    assert bounds == [(0, 3), (3, 3), (6, 2), (8, 2)] == W.slice_bounds(10, 4)
-    assert W.slice_bounds(2, 5) == [(0, 1), (1, 1)]
+    assert bounds == [(0, 3), (3, 3), (6, 2), (8, 2)]
+    few = W.slices(spark.range(2), 5, ["id"]).collect()
+    assert sorted((r.slice_offset, r.slice_size) for r in few) == [(0, 1), (1, 1)]
     big = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("g"))
     idx = W.with_index(big, ["k"], "n").orderBy("k").collect()
     assert [r.n for r in idx] == list(range(1, 5001))
@@ -81,10 +82,12 @@ def test_slices_and_index(spark):
         assert sorted((r.k, r.n) for r in gi if r.g == g) == [(k, i + 1) for i, k in enumerate(ks)]
 
 
-def test_match_pairs_paths_agree(spark):
-    docs = spark.createDataFrame([(1, "the license of apache"), (2, "le chat und mentionou"), (3, "nada")],
+def test_match_pairs_blocks_agree(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "the license of apache"), (2, "le chat und mentionou"), (3, "nada"), (4, "xn/ab yn/a b"), (5, "a n/a b")],
                                  "doc_id long, text string")
-    kw = spark.createDataFrame([("license",), ("apache",), ("le",), ("ment",), ("und",), ("of",)], "term string")
-    a = sorted((r.doc_id, r.keyword) for r in J.match_pairs(docs, kw, "text").collect())
-    b = sorted((r.doc_id, r.keyword) for r in J.match_pairs(docs, kw, "text", broadcast_limit=0).collect())
-    assert a == b == [(1, "apache"), (1, "license"), (1, "of"), (2, "le"), (2, "und")]
+    kw = spark.createDataFrame([("license",), ("apache",), ("le",), ("ment",), ("und",), ("of",), ("n/a",)], "term string")
+    want = [(1, "apache"), (1, "license"), (1, "of"), (2, "le"), (2, "und"), (5, "n/a")]
+    for size in (200, 3, 1):
+        monkeypatch.setattr(J, "TERM_BLOCK", size)
+        assert sorted((r.doc_id, r.keyword) for r in J.match_pairs(docs, kw, "text").collect()) == want
+    assert J.match_pairs(docs, kw.limit(0), "text").count() == 0

@@ -1,5 +1,9 @@
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
 from tenderlake.operators import ranges as RG
 from tenderlake.sources import pages as PG
 
@@ -17,12 +21,29 @@ def test_envelopes(spark):
     assert out == 2 + 1 + 1 + 1 + 1 + 3
 
 
-def test_total_pages():
-    assert PG.total_pages({"totalPaginas": "4"}) == 4
-    assert PG.total_pages({"totalRegistros": 101, "tamanhoPagina": 50}) == 3
-    assert PG.total_pages({"numeroPagina": 2, "paginasRestantes": 3}) == 5
-    assert PG.total_pages({}) == 1
-    assert PG.total_pages({"totalPaginas": 0}) == 1
+def test_announced_pages(spark):
+    cases = [({"totalPaginas": "4"}, 4), ({"totalRegistros": 101, "tamanhoPagina": 50}, 3), ({"totalRegistros": 101}, 6),
+             ({"numeroPagina": 2, "paginasRestantes": 3}, 5), ({}, 1), ({"totalPaginas": 0}, 1), ([1], 1), ({"totalPaginas": "x"}, 1)]
+    df = spark.createDataFrame([(json.dumps(c), n) for c, n in cases], "d string, n int")
+    got = df.select("n", PG.announced_pages(F.parse_json("d"), 20).alias("got")).collect()
+    assert [r.got for r in got] == [r.n for r in got]
+
+
+def test_paged_source(spark, tmp_path):
+    def land(m, p, text):
+        d = tmp_path / f"modalidade={m}" / f"pagina={p}"
+        d.mkdir(parents=True)
+        (d / "x.txt").write_text(text)
+
+    land("a", 1, "broken")  # the first readable page tells the count
+    land("a", 2, json.dumps({"resposta": {"data": [REC, REC], "totalPaginas": 3}}))
+    land("a", 3, json.dumps([REC]))
+    land("a", 4, json.dumps([REC]))
+    land("b", 1, json.dumps({"items": [REC]}))
+    got = sorted((r.modalidade, r.pagina, r.pos) for r in PG.paged_source(spark, f"file://{tmp_path}").collect())
+    assert got == [("a", 2, 0), ("a", 2, 1), ("a", 3, 0), ("b", 1, 0)]
+    with pytest.raises(AnalysisException):
+        PG.paged_source(spark, f"{tmp_path}/missing")
 
 
 def test_paging_stop(spark):

@@ -10,12 +10,12 @@ from tenderlake.operators import model as M
 from tenderlake.sources import sinks as K
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(total=st.integers(min_value=0, max_value=40), n=st.integers(min_value=1, max_value=9))
-def test_slices_cover(total, n):
-    b = W.slice_bounds(total, n)
-    assert sum(size for _, size in b) == total
-    assert all(size > 0 for _, size in b)
+def test_slices_cover(spark, total, n):
+    rows = W.slices(spark.range(total), n, ["id"]).collect()
+    b = sorted({(r.slice_offset, r.slice_size) for r in rows})
+    assert len(rows) == total == sum(size for _, size in b)
     assert all(b[i][0] + b[i][1] == b[i + 1][0] for i in range(len(b) - 1))
     if b:
         assert max(s for _, s in b) - min(s for _, s in b) <= 1

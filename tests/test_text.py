@@ -1,3 +1,5 @@
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from tenderlake.functions import text as X
@@ -20,6 +22,12 @@ def test_fold(spark):
     assert one(spark, ["  Ação ÿ ß ", None], X.fold) == ["acao y ", ""]
 
 
+def test_fold_whole_unicode(spark):
+    odd = ["ﬁscalização", "ＡＢＣ１", "Ⅳ etapa", "fim…", "Marca™", "½ kg ㎏", "漢字 ok", "ǅ ﬃ ℌ", "İstanbul", "𝐀𝟗", "e\u0301 ñ", "Å — “x”"]
+    want = [unicodedata.normalize("NFKD", s.lower().strip()).encode("ascii", "ignore").decode() for s in odd]
+    assert one(spark, odd, X.fold) == want
+
+
 def test_squash(spark):
     assert one(spark, [" a \n\t b  ", None], X.squash) == ["a b", ""]
 
