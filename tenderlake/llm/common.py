@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,19 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(spark: SparkSession, df: DataFrame, key: str):
+    """``df`` as a table bucketed by ``key``: joins on it do not move its rows.
+    The table's name lasts as long as the context; its files are scratch."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def fold(col: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; NULL for a NULL id."""
     return F.crc32(col.cast("string").cast("binary")) % n

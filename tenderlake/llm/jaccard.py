@@ -11,12 +11,14 @@ so of d + 1 sketch pieces (64 bits each) one at least is equal.  Bands are a
 factor 10/9 wide: linked sets are in the same or in neighbouring bands, and a
 text emits the pieces of its own band and of the next.
 
-Pieces meet on a 64-bit key.  Within a key no pairs are listed: in round r the
-2**r members that share most keys with others (the middle of a group of near
-copies first) are compared with the members of other components, verified on
-the whole sets, and leave; keys whose members are one component are done.
-Rounds go on until no key is left, so every link that can join two components
-is tested, while a group of near copies costs one comparison per member.
+Pieces meet on a 64-bit key.  Within a key no pairs are listed: one member,
+the one that meets most others (the middle of a group of near copies), is
+compared with the rest on the whole sets, so a group of near copies costs one
+comparison per member.  Members that do not link with it can only link with
+members that differ from it in a common shingle (see ``refined``), so those
+shingles are the keys of the next round.  Keys whose members are one component
+are done; rounds go on until no key is left, so every link that can join two
+components is tested.
 
 Defined cases: NULL or empty text or text without words has an empty set,
 links with nothing and is its own component; a text without doc_id takes part,
@@ -29,11 +31,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix, read, runs, signed, slices, words, written
+from .common import bucketed, components, mix, read, runs, signed, slices, words, written
 
 NUM, DEN = 90, 100  # least Jaccard similarity
 SHINGLE = 3
@@ -125,46 +126,74 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "name long, n long, shingles array<long>")
 
 
-def linked(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """The pairs (a, b) of class names whose sets link."""
-    left = whole.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    right = whole.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .filter(DEN * both >= NUM * (F.col("na") + F.col("nb") - both)).select("a", "b"))
+def apart(n: Column, m: Column) -> Column:
+    """Largest symmetric difference of two linked sets of n and m shingles."""
+    return F.floor((n + m) * (DEN - NUM) / (DEN + NUM))
+
+
+def compared(open_keys: DataFrame, whole: DataFrame) -> DataFrame:
+    """Every member of a key against the key's leader b, on the whole sets:
+    (b, x, nb, nx, linked, added, removed), added = x without b, removed = b without x."""
+    lead = open_keys.groupBy("key").agg(F.max_by("name", F.struct("weight", "name")).alias("b"))
+    pairs = open_keys.join(lead, "key").filter("name <> b").select("b", F.col("name").alias("x")).distinct()
+    left = whole.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+    right = whole.select(F.col("name").alias("x"), F.col("n").alias("nx"), F.col("shingles").alias("sx"))
+    rows = (pairs.join(left, "b").join(right, "x")
+            .select("b", "x", "nb", "nx", F.array_except("sx", "sb").alias("added"), F.array_except("sb", "sx").alias("removed")))
+    differ = F.size("added") + F.size("removed")
+    return rows.withColumn("differ", differ).withColumn("linked", F.col("differ") <= apart(F.col("nb"), F.col("nx")))
+
+
+def refined(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """(key, name, n, root): keys on which members of different components may still link.
+
+    Take u that does not link with its leader b, and y that links with u.  If
+    they have no added shingle in common, their difference is at least
+    differ(u) + n(y) - n(b), which is more than allowed unless y is smaller
+    than b; then they have a removed shingle in common.  So u and y meet on an
+    added shingle, or on a removed one if their sizes allow it.
+    """
+    limits = rows.groupBy("b").agg(F.min("nx").alias("least"), F.max("nx").alias("most"), F.min(F.when(~F.col("linked"), F.col("differ"))).alias("near"))
+    r = rows.join(limits.filter("near is not null"), "b")
+    as_u = ~F.col("linked") & (F.col("differ") + F.col("least") - F.col("nb") <= apart(F.col("nx"), F.col("nb")))
+    as_y = (F.col("nx") < F.col("nb")) & (F.col("near") + F.col("nx") - F.col("nb") <= apart(F.col("nx"), F.col("most")))
+    none = F.expr("array()").cast("array<long>")
+    on = F.concat(F.transform("added", lambda e: F.xxhash64("b", F.lit("+"), e)),
+                  F.transform(F.when(as_u | as_y, F.col("removed")).otherwise(none), lambda e: F.xxhash64("b", F.lit("-"), e)))
+    keyed = r.select(F.col("x").alias("name"), F.col("nx").alias("n"), F.explode(on).alias("key"))
+    return keyed.distinct().join(names.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "n", F.coalesce("root", "name").alias("root"))
+
+
+def unsettled(rows: DataFrame) -> DataFrame:
+    """Rows of the keys that still hold several components, with each member's
+    weight: how many members it meets (the middle of a group has most)."""
+    spark = rows.sparkSession
+    rows = written(spark, rows, "sketch-keys")
+    hot = rows.groupBy("key").agg((F.min("root") < F.max("root")).alias("more"), F.count("*").alias("size")).filter("more").select("key", "size")
+    met = written(spark, rows.join(hot, "key"), "sketch-met")
+    return written(spark, met.join(met.groupBy("name").agg(F.sum("size").alias("weight")), "name").drop("size"), "sketch-open")
 
 
 def classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(name, root): the component of every class that links with another one; ``rows`` is ``sketched(docs)``."""
+    """(node, root): the component of every class that links with another one; ``rows`` is ``sketched(docs)``."""
     spark = docs.sparkSession
     one = rows.filter("name is not null").dropDuplicates(["name"]).select("name", "n", F.explode("keys").alias("key"))
-    hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more"), F.count("*").alias("size")).filter("more")
-    met = written(spark, one.join(hot.select("key", "size"), "key").select("key", "name", "n", "size"), "sketch-met")
-
-    chosen = rows.join(met.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    ids = written(spark, chosen.select(F.col("doc_id").alias("_id")).distinct(), "sketch-ids")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    whole = written(spark, full_sets(texts).join(chosen.select("name"), "name", "left_semi").dropDuplicates(["name"]), "sketch-sets")
-
-    weight = met.groupBy("name").agg(F.sum("size").alias("weight"))
-    open_keys = written(spark, met.select("key", "name", "n").join(weight, "name").withColumn("root", F.col("name")), "sketch-open")
-    links, names, r = None, None, 0
-    while not open_keys.isEmpty():
-        rank = F.row_number().over(W.partitionBy("key").orderBy(F.col("weight").desc(), "name"))
-        lead = written(spark, open_keys.withColumn("rank", rank).filter(F.col("rank") <= (1 << r)).select("key", "name", "n", "root"), "sketch-lead")
-        ahead = lead.select("key", F.col("name").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-        pairs = (open_keys.join(ahead, "key").filter((F.col("root") != F.col("rx")) & (DEN * F.least("n", "nx") >= NUM * F.greatest("n", "nx")))
-                 .select(F.least("name", "x").alias("a"), F.greatest("name", "x").alias("b")).distinct())
-        fresh = written(spark, linked(pairs, whole), "sketch-links")
-        links = fresh if links is None else links.unionByName(fresh)
-        names = components(spark, links)
-        rest = open_keys.join(lead.select("key", "name"), ["key", "name"], "left_anti").drop("root")
-        rest = rest.join(names.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-        rest = written(spark, rest.select(*open_keys.columns), "sketch-rest")
-        mixed = rest.groupBy("key").agg((F.min("root") < F.max("root")).alias("more")).filter("more").select("key")
-        open_keys = written(spark, rest.join(mixed, "key", "left_semi"), "sketch-open")
-        r += 1
-    return names if names is not None else spark.createDataFrame([], "node long, root long")
+    hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more")).filter("more").select("key")
+    open_keys = unsettled(one.join(hot, "key", "left_semi").withColumn("root", F.col("name")))
+
+    # the sets of the members, from the text of one row each; merge joins at every size, so that the plan does not depend on it
+    chosen = rows.join(open_keys.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    chosen = written(spark, chosen, "sketch-members")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(
+        chosen.select(F.col("doc_id").alias("_id")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    with bucketed(spark, full_sets(texts).join(chosen.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"]), "name") as whole:
+        links, names = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "node long, root long")
+        while not open_keys.isEmpty():
+            tested = written(spark, compared(open_keys, whole), "sketch-tested")
+            links = links.unionByName(tested.filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")))
+            names = components(spark, links)
+            open_keys = unsettled(refined(tested, names))
+    return names
 
 
 def grouped(docs: DataFrame) -> DataFrame:
