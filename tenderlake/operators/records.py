@@ -23,10 +23,22 @@ def json_fields(df: DataFrame, raw: str, fields: dict[str, str], keep=None) -> D
     generated TEXT columns; callers cast.
     """
     keep = list(df.columns) if keep is None else list(keep)
-    # One get_json_object per generated column, as the stored columns are
-    # defined; jobs that need many fields parse once with ``json_struct``.
-    return df.select(*[F.col(c) for c in keep],
-                     *[F.get_json_object(F.col(raw), p).alias(n) for n, p in fields.items()])
+    # maps keep keys apart by case and values as they are written: one parse of
+    # the record, and one of each object that a path goes through
+    x, maps = df.withColumn("_m", F.from_json(F.col(raw), "map<string,string>")), {"$": "_m"}
+
+    def value(path: str) -> Column:
+        parent, _, key = path.rpartition(".")
+        return F.try_element_at(F.col(maps[parent]), F.lit(key))
+
+    for path in sorted({p.rpartition(".")[0] for p in fields.values()}):
+        steps = path.split(".")
+        for n in range(2, len(steps) + 1):
+            at = ".".join(steps[:n])
+            if at not in maps:
+                x = x.withColumn(f"_m{len(maps)}", F.from_json(value(at), "map<string,string>"))
+                maps[at] = f"_m{len(maps)}"
+    return x.select(*keep, *[value(p).alias(n) for n, p in fields.items()])
 
 
 def json_struct(df: DataFrame, raw: str, schema: T.StructType | str, alias: str = "r") -> DataFrame:
@@ -35,107 +47,144 @@ def json_struct(df: DataFrame, raw: str, schema: T.StructType | str, alias: str
 
 
 # ----------------------------------------------------------------- P04-P06
-SEARCH_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
-    ("numero_controle_pncp", T.StringType()), ("numeroControlePNCP", T.StringType()),
-    ("description", T.StringType()), ("objetoCompra", T.StringType()),
-    ("title", T.StringType()), ("titulo", T.StringType()),
-    ("ano", T.StringType()), ("anoCompra", T.StringType()),
-    ("numero_sequencial", T.StringType()), ("sequencialCompra", T.StringType()),
-    ("numero", T.StringType()),
-    ("orgao_cnpj", T.StringType()), ("orgao_nome", T.StringType()),
-    ("uf", T.StringType()), ("municipio_nome", T.StringType()),
-    ("modalidade_licitacao_id", T.StringType()), ("modalidadeId", T.StringType()),
-    ("modalidade_licitacao_nome", T.StringType()), ("modalidadeNome", T.StringType()),
-    ("situacao_nome", T.StringType()), ("situacaoCompraNome", T.StringType()),
-    ("data_publicacao_pncp", T.StringType()), ("dataPublicacaoPncp", T.StringType()),
-    ("data_atualizacao_pncp", T.StringType()), ("dataAtualizacaoPncp", T.StringType()),
-    ("data_inicio_vigencia", T.StringType()), ("data_fim_vigencia", T.StringType()),
-    ("valor_global", T.StringType()), ("item_url", T.StringType()), ("itemUrl", T.StringType()),
-    ("document_type", T.StringType()), ("tem_resultado", T.BooleanType()),
-    ("cancelado", T.BooleanType()),
-]])
-
-CONSULTA_SCHEMA = T.StructType([
-    *[T.StructField(n, T.StringType()) for n in [
-        "numeroControlePNCP", "objetoCompra", "anoCompra", "sequencialCompra", "numeroCompra",
-        "processo", "modalidadeId", "modalidadeNome", "tipoInstrumentoConvocatorioNome",
-        "situacaoCompraNome", "valorTotalEstimado", "valorTotalHomologado", "dataPublicacaoPncp",
-        "dataAberturaProposta", "dataEncerramentoProposta", "dataAtualizacao",
-        "dataAtualizacaoGlobal", "linkSistemaOrigem"]],
-    T.StructField("orgaoEntidade", T.StructType([
-        T.StructField("cnpj", T.StringType()), T.StructField("razaoSocial", T.StringType())])),
-    T.StructField("unidadeOrgao", T.StructType([
-        T.StructField("municipioNome", T.StringType()), T.StructField("ufSigla", T.StringType())])),
-])
+# The common notice, column by column (structs dotted), with the
+# JSON paths it comes from in the search feed, in the consulta feed and in rows
+# that are premium records already.  "a|b" takes the first that is set; an
+# empty path is always NULL.
+COMMON_FIELDS = (
+    ("numeroControlePNCP", "numero_controle_pncp|numeroControlePNCP", "numeroControlePNCP", "numeroControlePNCP|numero_controle_pncp|raw.numero_controle_pncp"),
+    ("objetoCompra", "description|objetoCompra", "objetoCompra", "objeto_compra"),
+    ("titulo", "title|titulo", "tipoInstrumentoConvocatorioNome", "tipo_instrumento_convocatorio_nome"),
+    ("anoCompra", "ano|anoCompra", "anoCompra", "ano_compra"),
+    ("sequencialCompra", "numero_sequencial|sequencialCompra", "sequencialCompra", "sequencial_compra"),
+    ("numeroCompra", "numero", "numeroCompra", "numero_compra"),
+    ("processo", "", "processo", "processo"),
+    ("modalidadeId", "modalidade_licitacao_id|modalidadeId", "modalidadeId", "modalidade_id"),
+    ("modalidadeNome", "modalidade_licitacao_nome|modalidadeNome", "modalidadeNome", "modalidade_nome"),
+    ("tipoInstrumentoConvocatorioCodigo", "tipo_id|tipoInstrumentoConvocatorioCodigo", "tipoInstrumentoConvocatorioCodigo", "tipo_instrumento_convocatorio_codigo"),
+    ("tipoInstrumentoConvocatorioNome", "tipo_nome|tipoInstrumentoConvocatorioNome", "tipoInstrumentoConvocatorioNome", "tipo_instrumento_convocatorio_nome"),
+    ("situacaoCompraId", "situacao_id|situacaoCompraId", "situacaoCompraId", "situacao_compra_id"),
+    ("situacaoCompraNome", "situacao_nome|situacaoCompraNome", "situacaoCompraNome", "situacao_compra_nome"),
+    ("orgaoEntidade.cnpj", "orgao_cnpj", "orgaoEntidade.cnpj", "orgao_entidade.cnpj"),
+    ("orgaoEntidade.razaoSocial", "orgao_nome", "orgaoEntidade.razaoSocial", "orgao_entidade.razao_social"),
+    ("orgaoEntidade.poderId", "poder_id", "orgaoEntidade.poderId", "orgao_entidade.poder_id"),
+    ("orgaoEntidade.esferaId", "esfera_id", "orgaoEntidade.esferaId", "orgao_entidade.esfera_id"),
+    ("unidadeOrgao.codigoUnidade", "unidade_codigo", "unidadeOrgao.codigoUnidade", "unidade_orgao.codigo_unidade"),
+    ("unidadeOrgao.nomeUnidade", "unidade_nome", "unidadeOrgao.nomeUnidade", "unidade_orgao.nome_unidade"),
+    ("unidadeOrgao.municipioNome", "municipio_nome", "unidadeOrgao.municipioNome", "unidade_orgao.municipio_nome"),
+    ("unidadeOrgao.ufSigla", "uf", "unidadeOrgao.ufSigla", "unidade_orgao.uf_sigla"),
+    ("unidadeOrgao.ufNome", "", "unidadeOrgao.ufNome", ""),
+    ("unidadeOrgao.codigoIbge", "", "unidadeOrgao.codigoIbge", ""),
+    ("dataPublicacaoPncp", "data_publicacao_pncp|dataPublicacaoPncp", "dataPublicacaoPncp", "datas.publicacao_pncp"),
+    ("dataAtualizacaoGlobal", "data_atualizacao_pncp|dataAtualizacaoPncp", "dataAtualizacaoGlobal|dataAtualizacao", "datas.atualizacao_global|datas.atualizacao"),
+    ("dataAberturaProposta", "data_inicio_vigencia", "dataAberturaProposta", "datas.abertura_proposta"),
+    ("dataEncerramentoProposta", "data_fim_vigencia", "dataEncerramentoProposta", "datas.encerramento_proposta"),
+    ("valorTotalEstimado", "valor_global", "valorTotalEstimado", "valor_total_estimado"),
+    ("valorTotalHomologado", "", "valorTotalHomologado", "valor_total_homologado"),
+    ("modoDisputaId", "", "modoDisputaId", "modo_disputa_id"),
+    ("modoDisputaNome", "", "modoDisputaNome", "modo_disputa_nome"),
+    ("linkSistemaOrigem", "item_url|itemUrl", "linkSistemaOrigem", "links.sistema_origem"),
+    ("linkProcessoEletronico", "", "linkProcessoEletronico", "links.processo_eletronico"),
+    ("fontesOrcamentarias", "fonte_orcamentaria", "fontesOrcamentarias", "fontes_orcamentarias"),
+    ("usuarioNome", "", "usuarioNome", "usuario_nome"),
+)
+ARRAYS = {"fonte_orcamentaria", "fontesOrcamentarias", "fontes_orcamentarias"}  # elements stay JSON text
+MONEY = {"valorTotalEstimado", "valorTotalHomologado"}
+# a consulta row with one of these keys has the feed's own shape, any other is a premium record
+CONSULTA_KEYS = ("orgaoEntidade", "unidadeOrgao", "dataAberturaProposta")
+
+# The flat notice of the search feed (P05), column by JSON key.
+SEARCH_FLAT_FIELDS = (
+    ("objetoCompra", "description"), ("titulo", "title"), ("id", "id"), ("numeroControlePNCP", "numero_controle_pncp"),
+    ("anoCompra", "ano"), ("sequencialCompra", "numero_sequencial"), ("numero", "numero"), ("documentType", "document_type"),
+    ("tipoId", "tipo_id"), ("tipoNome", "tipo_nome"), ("modalidadeLicitacaoId", "modalidade_licitacao_id"),
+    ("modalidadeLicitacaoNome", "modalidade_licitacao_nome"), ("situacaoId", "situacao_id"), ("situacaoNome", "situacao_nome"),
+    ("orgaoId", "orgao_id"), ("orgaoCnpj", "orgao_cnpj"), ("orgaoNome", "orgao_nome"), ("unidadeId", "unidade_id"),
+    ("unidadeCodigo", "unidade_codigo"), ("unidadeNome", "unidade_nome"), ("esferaId", "esfera_id"), ("esferaNome", "esfera_nome"),
+    ("poderId", "poder_id"), ("poderNome", "poder_nome"), ("municipioId", "municipio_id"), ("municipioNome", "municipio_nome"),
+    ("uf", "uf"), ("dataPublicacaoPncp", "data_publicacao_pncp"), ("dataAtualizacaoPncp", "data_atualizacao_pncp"),
+    ("dataInicioVigencia", "data_inicio_vigencia"), ("dataFimVigencia", "data_fim_vigencia"), ("dataAssinatura", "data_assinatura"),
+    ("cancelado", "cancelado"), ("temResultado", "tem_resultado"), ("valorGlobal", "valor_global"),
+    ("fonteOrcamentaria", "fonte_orcamentaria"), ("fonteOrcamentariaId", "fonte_orcamentaria_id"),
+    ("fonteOrcamentariaNome", "fonte_orcamentaria_nome"), ("itemUrl", "item_url"), ("urlPncp", "item_url"), ("createdAt", "createdAt"),
+)
+
+
+def paths_schema(paths) -> T.StructType:
+    """Narrow schema of dotted JSON paths: every leaf is text, ``ARRAYS`` are arrays of text."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        *parents, leaf = path.split(".")
+        for p in parents:
+            node = node.setdefault(p, {})
+        node.setdefault(leaf, {})
+
+    def struct(node: dict) -> T.StructType:
+        return T.StructType([T.StructField(k, struct(v) if v else T.ArrayType(T.StringType()) if k in ARRAYS else T.StringType())
+                             for k, v in node.items()])
+
+    return struct(tree)
+
+
+def _paths(*specs: str) -> list[str]:
+    return [p for spec in specs for p in spec.split("|") if p]
+
+
+def _picked(spec: str, column: str) -> Column:
+    """First set value of ``spec`` in the parsed record ``r``."""
+    if column == "fontesOrcamentarias":
+        return F.coalesce(*[F.col(f"r.{p}") for p in _paths(spec)], F.array().cast("array<string>"))
+    value = D.first_truthy(*[F.col(f"r.{p}") for p in _paths(spec)]) if spec else F.lit(None).cast("string")
+    return D.safe_double(value) if column in MONEY else value
+
+
+def _common(choose) -> list[Column]:
+    """The common notice's columns from ``choose(column, search, consulta, premium)``."""
+    out: dict[str, object] = {}
+    for column, *specs in COMMON_FIELDS:
+        name, _, member = column.partition(".")
+        if member:
+            out.setdefault(name, []).append(choose(column, *specs).alias(member))
+        else:
+            out[name] = choose(column, *specs).alias(name)
+    return [F.struct(*c).alias(name) if isinstance(c, list) else c for name, c in out.items()]
+
 
-# The common notice (both feeds after normalisation), in column order.
-COMMON_COLUMNS = ["numeroControlePNCP", "objetoCompra", "titulo", "anoCompra", "sequencialCompra",
-                  "processo", "modalidadeId", "modalidadeNome", "situacaoCompraNome",
-                  "orgaoEntidade", "unidadeOrgao", "dataPublicacaoPncp", "dataAtualizacaoGlobal",
-                  "dataEncerramentoProposta", "valorTotalEstimado", "linkSistemaOrigem", "_origem"]
+def _from_search(column: str, search: str, *_) -> Column:
+    value = _picked(search, column)
+    return D.absolute_url(value) if column == "linkSistemaOrigem" else value
 
 
-def _t(*cols):
-    return D.first_truthy(*cols)
+def _from_consulta(column: str, _search: str, consulta: str, premium: str) -> Column:
+    return F.when(F.col("_own"), _picked(consulta, column)).otherwise(_picked(premium, column))
+
+
+COMMON_COLUMNS = [*dict.fromkeys(c.partition(".")[0] for c, *_ in COMMON_FIELDS), "_origem"]
+SEARCH_SCHEMA = paths_schema([*_paths(*[s for _, s, _, _ in COMMON_FIELDS]), *[k for _, k in SEARCH_FLAT_FIELDS]])
+CONSULTA_SCHEMA = paths_schema(_paths(*[c for _, _, c, _ in COMMON_FIELDS]))
+CONSULTA_OR_PREMIUM_SCHEMA = paths_schema(_paths(*[s for _, _, *both in COMMON_FIELDS for s in both]))
+
+
+def _parsed(df: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
+    keep = [c for c in df.columns if c != raw]
+    own = F.arrays_overlap(F.json_object_keys(F.col(raw)), F.array(*map(F.lit, CONSULTA_KEYS)))
+    return df.select(*keep, F.from_json(F.col(raw), schema).alias("r"), F.coalesce(own, F.lit(False)).alias("_own"))
 
 
 def normalize_search(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Search-feed JSON -> common notice: snake_case names first, the
     camelCase spelling as fallback (first truthy), organisation and unit as
     structs, relative item URL made absolute, ``_origem = 'search'``."""
-    keep = [c for c in df.columns if c != raw]
-    x = df.select(*keep, F.from_json(F.col(raw), SEARCH_SCHEMA).alias("r"))
-    r = lambda n: F.col("r." + n)
-    return x.select(
-        *keep,
-        _t(r("numero_controle_pncp"), r("numeroControlePNCP")).alias("numeroControlePNCP"),
-        _t(r("description"), r("objetoCompra")).alias("objetoCompra"),
-        _t(r("title"), r("titulo")).alias("titulo"),
-        _t(r("ano"), r("anoCompra")).alias("anoCompra"),
-        _t(r("numero_sequencial"), r("sequencialCompra")).alias("sequencialCompra"),
-        F.lit(None).cast("string").alias("processo"),
-        _t(r("modalidade_licitacao_id"), r("modalidadeId")).alias("modalidadeId"),
-        _t(r("modalidade_licitacao_nome"), r("modalidadeNome")).alias("modalidadeNome"),
-        _t(r("situacao_nome"), r("situacaoCompraNome")).alias("situacaoCompraNome"),
-        F.struct(r("orgao_cnpj").alias("cnpj"), r("orgao_nome").alias("razaoSocial")).alias("orgaoEntidade"),
-        F.struct(r("municipio_nome").alias("municipioNome"), r("uf").alias("ufSigla")).alias("unidadeOrgao"),
-        _t(r("data_publicacao_pncp"), r("dataPublicacaoPncp")).alias("dataPublicacaoPncp"),
-        _t(r("data_atualizacao_pncp"), r("dataAtualizacaoPncp")).alias("dataAtualizacaoGlobal"),
-        r("data_fim_vigencia").alias("dataEncerramentoProposta"),
-        D.safe_double(r("valor_global")).alias("valorTotalEstimado"),
-        D.absolute_url(_t(r("item_url"), r("itemUrl"))).alias("linkSistemaOrigem"),
-        F.lit("search").alias("_origem"),
-    )
+    x = _parsed(df, raw, SEARCH_SCHEMA)
+    return x.select(*[c for c in df.columns if c != raw], *_common(_from_search), F.lit("search").alias("_origem"))
 
 
 def normalize_consulta(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Consulta-feed JSON -> common notice (``_origem = 'consulta'``);
-    reference date ``dataAtualizacaoGlobal`` else ``dataAtualizacao``."""
-    keep = [c for c in df.columns if c != raw]
-    x = df.select(*keep, F.from_json(F.col(raw), CONSULTA_SCHEMA).alias("r"))
-    r = lambda n: F.col("r." + n)
-    return x.select(
-        *keep,
-        r("numeroControlePNCP").alias("numeroControlePNCP"),
-        r("objetoCompra").alias("objetoCompra"),
-        r("tipoInstrumentoConvocatorioNome").alias("titulo"),
-        r("anoCompra").alias("anoCompra"),
-        r("sequencialCompra").alias("sequencialCompra"),
-        r("processo").alias("processo"),
-        r("modalidadeId").alias("modalidadeId"),
-        r("modalidadeNome").alias("modalidadeNome"),
-        r("situacaoCompraNome").alias("situacaoCompraNome"),
-        F.struct(r("orgaoEntidade.cnpj").alias("cnpj"),
-                 r("orgaoEntidade.razaoSocial").alias("razaoSocial")).alias("orgaoEntidade"),
-        F.struct(r("unidadeOrgao.municipioNome").alias("municipioNome"),
-                 r("unidadeOrgao.ufSigla").alias("ufSigla")).alias("unidadeOrgao"),
-        r("dataPublicacaoPncp").alias("dataPublicacaoPncp"),
-        _t(r("dataAtualizacaoGlobal"), r("dataAtualizacao")).alias("dataAtualizacaoGlobal"),
-        r("dataEncerramentoProposta").alias("dataEncerramentoProposta"),
-        D.safe_double(r("valorTotalEstimado")).alias("valorTotalEstimado"),
-        r("linkSistemaOrigem").alias("linkSistemaOrigem"),
-        F.lit("consulta").alias("_origem"),
-    )
+    """Consulta-feed JSON, or premium records (told apart row by row) ->
+    common notice (``_origem = 'consulta'``)."""
+    x = _parsed(df, raw, CONSULTA_OR_PREMIUM_SCHEMA)
+    return x.select(*[c for c in df.columns if c != raw], *_common(_from_consulta), F.lit("consulta").alias("_origem"))
 
 
 def normalize_feeds(df: DataFrame, raw: str = "raw", feed: str = "feed") -> DataFrame:
@@ -143,51 +192,13 @@ def normalize_feeds(df: DataFrame, raw: str = "raw", feed: str = "feed") -> Data
     the union of both feed schemas, each output column picked per row by the
     record's feed.  Same result as ``normalize_search`` ∪ ``normalize_consulta``
     without scanning (and parsing) the bronze rows twice."""
-    fields = {f.name: f for f in list(SEARCH_SCHEMA.fields) + list(CONSULTA_SCHEMA.fields)}
-    schema = T.StructType(list(fields.values()))
-    keep = [c for c in df.columns if c != raw]
-    x = df.select(*keep, F.from_json(F.col(raw), schema).alias("r"))
-    s_cols = {c: e for c, e in zip(COMMON_COLUMNS, _search_exprs())}
-    c_cols = {c: e for c, e in zip(COMMON_COLUMNS, _consulta_exprs())}
-    is_s = F.col(feed) == "search"
-    return x.select(*keep, *[F.when(is_s, s_cols[c]).otherwise(c_cols[c]).alias(c) for c in COMMON_COLUMNS])
-
-
-def _search_exprs():
-    r = lambda n: F.col("r." + n)
-    return [
-        _t(r("numero_controle_pncp"), r("numeroControlePNCP")),
-        _t(r("description"), r("objetoCompra")),
-        _t(r("title"), r("titulo")),
-        _t(r("ano"), r("anoCompra")),
-        _t(r("numero_sequencial"), r("sequencialCompra")),
-        F.lit(None).cast("string"),
-        _t(r("modalidade_licitacao_id"), r("modalidadeId")),
-        _t(r("modalidade_licitacao_nome"), r("modalidadeNome")),
-        _t(r("situacao_nome"), r("situacaoCompraNome")),
-        F.struct(r("orgao_cnpj").alias("cnpj"), r("orgao_nome").alias("razaoSocial")),
-        F.struct(r("municipio_nome").alias("municipioNome"), r("uf").alias("ufSigla")),
-        _t(r("data_publicacao_pncp"), r("dataPublicacaoPncp")),
-        _t(r("data_atualizacao_pncp"), r("dataAtualizacaoPncp")),
-        r("data_fim_vigencia"),
-        D.safe_double(r("valor_global")),
-        D.absolute_url(_t(r("item_url"), r("itemUrl"))),
-        F.lit("search"),
-    ]
-
-
-def _consulta_exprs():
-    r = lambda n: F.col("r." + n)
-    return [
-        r("numeroControlePNCP"), r("objetoCompra"), r("tipoInstrumentoConvocatorioNome"), r("anoCompra"),
-        r("sequencialCompra"), r("processo"), r("modalidadeId"), r("modalidadeNome"), r("situacaoCompraNome"),
-        F.struct(r("orgaoEntidade.cnpj").alias("cnpj"), r("orgaoEntidade.razaoSocial").alias("razaoSocial")),
-        F.struct(r("unidadeOrgao.municipioNome").alias("municipioNome"),
-                 r("unidadeOrgao.ufSigla").alias("ufSigla")),
-        r("dataPublicacaoPncp"), _t(r("dataAtualizacaoGlobal"), r("dataAtualizacao")),
-        r("dataEncerramentoProposta"), D.safe_double(r("valorTotalEstimado")), r("linkSistemaOrigem"),
-        F.lit("consulta"),
-    ]
+    x = _parsed(df, raw, paths_schema(_paths(*[s for _, *specs in COMMON_FIELDS for s in specs])))
+
+    def either(column, *specs):
+        return F.when(F.col(feed) == "search", _from_search(column, *specs)).otherwise(_from_consulta(column, *specs))
+
+    return x.select(*[c for c in df.columns if c != raw], *_common(either),
+                    F.when(F.col(feed) == "search", "search").otherwise("consulta").alias("_origem"))
 
 
 def reference_date(prefix: str = "") -> Column:
@@ -197,15 +208,14 @@ def reference_date(prefix: str = "") -> Column:
 
 
 def normalize_search_flat(df: DataFrame, raw: str = "raw", term: str | None = None) -> DataFrame:
-    """Search-feed JSON -> flat snake_case notice (optionally tagged with
-    the search term)."""
-    r = F.from_json(F.col(raw), SEARCH_SCHEMA)
+    """Search-feed JSON -> the flat notice of ``SEARCH_FLAT_FIELDS``
+    (optionally tagged with the search term); ``urlPncp`` is absolute."""
+    typed = {"cancelado": lambda c: c.try_cast("boolean"), "temResultado": lambda c: c.try_cast("boolean"),
+             "valorGlobal": D.safe_double, "urlPncp": D.absolute_url}
     keep = [c for c in df.columns if c != raw]
-    out = df.select(*keep, r.alias("r")).select(*keep, "r.*")
-    out = out.withColumn("valor_global", D.safe_double(F.col("valor_global")))
-    if term is not None:
-        out = out.withColumn("termo_busca", F.lit(term))
-    return out
+    x = df.select(*keep, F.from_json(F.col(raw), paths_schema([k for _, k in SEARCH_FLAT_FIELDS])).alias("r"))
+    tag = [F.lit(term).alias("termo_busca")] if term is not None else []
+    return x.select(*keep, *[typed.get(c, lambda v: v)(F.col(f"r.{k}")).alias(c) for c, k in SEARCH_FLAT_FIELDS], *tag)
 
 
 # ----------------------------------------------------------------- P08
@@ -230,13 +240,13 @@ def prune_empty(c: Column, dtype: T.DataType) -> Column:
     return c
 
 
-def to_pruned_json(df: DataFrame, cols=None, alias: str = "json") -> DataFrame:
+def to_pruned_json(df: DataFrame, cols=None, alias: str = "json", keep=()) -> DataFrame:
     """One JSON text per row with empty fields removed recursively."""
     cols = list(df.columns) if cols is None else list(cols)
     types = {f.name: f.dataType for f in df.schema.fields}
     st = T.StructType([T.StructField(c, types[c]) for c in cols])
     pruned = prune_empty(F.struct(*[F.col(c) for c in cols]), st)
-    return df.select(F.coalesce(F.to_json(pruned), F.lit("{}")).alias(alias))
+    return df.select(*keep, F.coalesce(F.to_json(pruned), F.lit("{}")).alias(alias))
 
 
 # ----------------------------------------------------------------- P10
@@ -247,8 +257,9 @@ def object_text(df: DataFrame, raw: str | None = "raw", column: str | None = "ob
     if column and column in df.columns:
         parts.append(F.col(column))
     if raw and raw in df.columns:
-        for k in ("objetoCompra", "objeto_compra", "Objeto", "objeto"):
-            parts.append(F.get_json_object(F.col(raw), f"$.{k}"))
+        names = ("objetoCompra", "objeto_compra", "Objeto", "objeto")
+        parsed = F.from_json(F.col(raw), "map<string,string>")
+        parts += [F.try_element_at(parsed, F.lit(k)) for k in names]
     return D.first_truthy(*parts, default="")
 
 
@@ -352,54 +363,71 @@ def explode_items(df: DataFrame, raw: str = "raw", key: str = "pncp_id") -> Data
 
 # ----------------------------------------------------------------- P07
 def top_keywords_inline(toks: Column, k: int = 8) -> Column:
-    """T08 for short texts, inside the row: distinct tokens ranked by count
-    desc then first occurrence; no shuffle (O(n^2) in the token count, so
-    long documents use ``summary.topk_tokens`` instead)."""
-    d = F.array_distinct(toks)
-    scored = F.transform(d, lambda x, i: F.struct(
-        (-F.size(F.filter(toks, lambda y: y == x))).alias("n"), i.alias("i"), x.alias("t")))
-    return F.transform(F.slice(F.array_sort(scored), 1, k), lambda s: s["t"])
+    """T08 inside the row: distinct tokens ranked by count desc then first
+    occurrence.  The tokens are sorted with their places, so equal ones are
+    neighbours: each run's first place and length rank it, O(n log n)."""
+    def ranked(s: Column) -> Column:
+        begins = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x["t"] != F.get(s, i - 1)["t"]), i)), lambda i: i.isNotNull())
+        return F.get(F.transform(F.array(begins), lambda b: F.transform(b, lambda at, j: F.struct(
+            (at - F.coalesce(F.get(b, j + 1), F.size(s))).alias("n"), F.get(s, at)["i"].alias("i"), F.get(s, at)["t"].alias("t")))), 0)
+
+    places = F.array_sort(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+    runs = F.get(F.transform(F.array(places), ranked), 0)
+    return F.transform(F.slice(F.array_sort(runs), 1, k), lambda s: s["t"])
+
+
+# The premium record (P07), column or group member by consulta
+# path, with the type where it is not text.
+PREMIUM_FIELDS = (
+    ("objeto_compra", "objetoCompra", ""), ("numero_controle_pncp", "numeroControlePNCP", ""),
+    ("valor_total_estimado", "valorTotalEstimado", "double"), ("valor_total_homologado", "valorTotalHomologado", "double"),
+    ("informacao_complementar", "informacaoComplementar", ""), ("id", "numeroControlePNCP", ""),
+    ("categoria_objeto", "objetoCompra", "category"), ("palavras_chave", "objetoCompra", "keywords"),
+    ("ano_compra", "anoCompra", "int"), ("sequencial_compra", "sequencialCompra", "long"), ("numero_compra", "numeroCompra", ""),
+    ("processo", "processo", ""), ("modalidade_id", "modalidadeId", "int"), ("modalidade_nome", "modalidadeNome", ""),
+    ("modo_disputa_id", "modoDisputaId", "int"), ("modo_disputa_nome", "modoDisputaNome", ""),
+    ("tipo_instrumento_convocatorio_codigo", "tipoInstrumentoConvocatorioCodigo", "int"),
+    ("tipo_instrumento_convocatorio_nome", "tipoInstrumentoConvocatorioNome", ""),
+    ("situacao_compra_id", "situacaoCompraId", ""), ("situacao_compra_nome", "situacaoCompraNome", ""), ("srp", "srp", "boolean"),
+    ("datas.publicacao_pncp", "dataPublicacaoPncp", ""), ("datas.abertura_proposta", "dataAberturaProposta", ""),
+    ("datas.encerramento_proposta", "dataEncerramentoProposta", ""), ("datas.atualizacao", "dataAtualizacao", ""),
+    ("datas.atualizacao_global", "dataAtualizacaoGlobal", ""), ("datas.inclusao", "dataInclusao", ""),
+    ("orgao_entidade.cnpj", "orgaoEntidade.cnpj", ""), ("orgao_entidade.razao_social", "orgaoEntidade.razaoSocial", ""),
+    ("orgao_entidade.poder_id", "orgaoEntidade.poderId", ""), ("orgao_entidade.esfera_id", "orgaoEntidade.esferaId", ""),
+    ("unidade_orgao.uf_nome", "unidadeOrgao.ufNome", ""), ("unidade_orgao.uf_sigla", "unidadeOrgao.ufSigla", ""),
+    ("unidade_orgao.municipio_nome", "unidadeOrgao.municipioNome", ""), ("unidade_orgao.nome_unidade", "unidadeOrgao.nomeUnidade", ""),
+    ("unidade_orgao.codigo_ibge", "unidadeOrgao.codigoIbge", ""), ("unidade_orgao.codigo_unidade", "unidadeOrgao.codigoUnidade", ""),
+    ("amparo_legal.codigo", "amparoLegal.codigo", ""), ("amparo_legal.nome", "amparoLegal.nome", ""),
+    ("amparo_legal.descricao", "amparoLegal.descricao", ""), ("links.sistema_origem", "linkSistemaOrigem", ""),
+    ("links.processo_eletronico", "linkProcessoEletronico", ""), ("justificativa_presencial", "justificativaPresencial", ""),
+    ("usuario_nome", "usuarioNome", ""), ("fontes_orcamentarias", "fontesOrcamentarias", ""),
+)
 
 
 def normalize_premium(df: DataFrame, raw: str = "raw", categories=None) -> DataFrame:
-    """Consulta JSON -> premium record: snake_case, nested groups
-    (datas, orgao_entidade, unidade_orgao, links), object category (T09),
-    top-8 keywords (T08), safe floats (P09)."""
+    """Consulta JSON -> premium record: snake_case, nested groups (datas,
+    orgao_entidade, unidade_orgao, amparo_legal, links), object category
+    (T09), top-8 keywords (T08), safe floats (P09)."""
     keep = [c for c in df.columns if c != raw]
-    x = df.select(*keep, F.from_json(F.col(raw), CONSULTA_SCHEMA).alias("r"))
-    r = lambda n: F.col("r." + n)
-    obj = r("objetoCompra")
-    return x.select(
-        *keep,
-        obj.alias("objeto_compra"),
-        r("numeroControlePNCP").alias("numero_controle_pncp"),
-        D.safe_double(r("valorTotalEstimado")).alias("valor_total_estimado"),
-        D.safe_double(r("valorTotalHomologado")).alias("valor_total_homologado"),
-        X.categorize(F.coalesce(obj, F.lit("")), categories).alias("categoria_objeto"),
-        top_keywords_inline(X.tokens(F.coalesce(obj, F.lit("")))).alias("palavras_chave"),
-        r("anoCompra").try_cast("int").alias("ano_compra"),
-        r("sequencialCompra").try_cast("long").alias("sequencial_compra"),
-        r("processo").alias("processo"),
-        r("modalidadeId").try_cast("int").alias("modalidade_id"),
-        r("modalidadeNome").alias("modalidade_nome"),
-        r("situacaoCompraNome").alias("situacao_compra_nome"),
-        F.struct(r("dataPublicacaoPncp").alias("publicacao_pncp"),
-                 r("dataAberturaProposta").alias("abertura_proposta"),
-                 r("dataEncerramentoProposta").alias("encerramento_proposta"),
-                 r("dataAtualizacao").alias("atualizacao"),
-                 r("dataAtualizacaoGlobal").alias("atualizacao_global")).alias("datas"),
-        F.struct(r("orgaoEntidade.cnpj").alias("cnpj"),
-                 r("orgaoEntidade.razaoSocial").alias("razao_social")).alias("orgao_entidade"),
-        F.struct(r("unidadeOrgao.ufSigla").alias("uf_sigla"),
-                 r("unidadeOrgao.municipioNome").alias("municipio_nome")).alias("unidade_orgao"),
-        F.struct(r("linkSistemaOrigem").alias("sistema_origem")).alias("links"),
-    )
+    x = df.select(*keep, F.from_json(F.col(raw), paths_schema([p for _, p, _ in PREMIUM_FIELDS])).alias("r"))
+    made = {"category": lambda c: X.categorize(F.coalesce(c, F.lit("")), categories),
+            "keywords": lambda c: top_keywords_inline(X.tokens(F.coalesce(c, F.lit("")))), "double": D.safe_double}
+    out: dict[str, object] = {}
+    for column, path, kind in PREMIUM_FIELDS:
+        name, _, member = column.partition(".")
+        c = F.col(f"r.{path}")
+        c = made[kind](c) if kind in made else c.try_cast(kind) if kind else c
+        if member:
+            out.setdefault(name, []).append(c.alias(member))
+        else:
+            out[name] = c.alias(name)
+    return x.select(*keep, *[F.struct(*c).alias(n) if isinstance(c, list) else c for n, c in out.items()])
 
 
 def premium_flat(p: DataFrame) -> DataFrame:
     """Premium record with the nested groups lifted to top-level columns."""
-    return p.select("*", "datas.*", "orgao_entidade.*", "unidade_orgao.*").drop(
-        "datas", "orgao_entidade", "unidade_orgao", "links")
+    groups = ("datas", "orgao_entidade", "unidade_orgao")
+    return p.select("*", *[f"{g}.*" for g in groups]).drop(*groups)
 
 
 # ----------------------------------------------------------------- P11

@@ -96,13 +96,39 @@ def consulta_struct(n: DataFrame) -> Column:
         F.col("situacaoCompraNome"), F.col("valorTotalEstimado"),
         F.col("dataPublicacaoPncp"), F.col("dataAberturaProposta"),
         F.col("dataEncerramentoProposta"), F.col("dataAtualizacaoGlobal"),
-        F.struct(F.col("orgao_cnpj").alias("cnpj"), F.col("orgao_razao").alias("razaoSocial"))
-         .alias("orgaoEntidade"),
-        F.struct(F.col("uf_sigla").alias("ufSigla"), F.col("municipio_nome").alias("municipioNome"))
-         .alias("unidadeOrgao"),
+        F.struct(F.col("orgao_cnpj").alias("cnpj"), F.col("orgao_razao").alias("razaoSocial"),
+                 _code(3).alias("poderId"), _code(4).alias("esferaId")).alias("orgaoEntidade"),
+        F.struct(F.col("uf_sigla").alias("ufSigla"), F.col("municipio_nome").alias("municipioNome"),
+                 F.concat(F.lit("Estado "), F.col("uf_sigla")).alias("ufNome"), _tag("U").alias("codigoUnidade"),
+                 F.concat(F.lit("Unidade "), F.col("orgao_razao")).alias("nomeUnidade"), _tag("IBGE").alias("codigoIbge")).alias("unidadeOrgao"),
+        F.concat(F.col("sequencialCompra").cast("string"), F.lit("/"), F.col("anoCompra").cast("string")).alias("numeroCompra"),
+        (F.col("sequencialCompra") % 4).cast("int").alias("tipoInstrumentoConvocatorioCodigo"),
+        F.when(F.col("sequencialCompra") % 11 != 0, F.lit("Edital")).alias("tipoInstrumentoConvocatorioNome"),
+        (F.col("sequencialCompra") % 5).cast("int").alias("situacaoCompraId"),
+        F.when(F.col("sequencialCompra") % 3 == 1, F.round(F.col("valorTotalEstimado"), 0)).alias("valorTotalHomologado"),
+        (F.col("sequencialCompra") % 6).cast("int").alias("modoDisputaId"),
+        F.when(F.col("sequencialCompra") % 6 != 0, F.lit("Aberto")).alias("modoDisputaNome"),
+        F.when(F.col("sequencialCompra") % 5 != 0, _tag("https://portal.example/")).alias("linkSistemaOrigem"),
+        F.when(F.col("sequencialCompra") % 8 == 0, _tag("https://processo.example/")).alias("linkProcessoEletronico"),
+        F.when(F.col("sequencialCompra") % 7 == 0, F.array().cast("array<string>"))
+         .otherwise(F.array(F.lit("Federal"), _tag("Fonte "))).alias("fontesOrcamentarias"),
+        F.when(F.col("sequencialCompra") % 9 != 0, _tag("usuario ")).alias("usuarioNome"),
+        F.struct((F.col("sequencialCompra") % 10).alias("codigo"), F.lit("Lei 14.133").alias("nome"), F.lit("").alias("descricao")).alias("amparoLegal"),
+        F.when(F.col("sequencialCompra") % 2 == 0, F.lit("com anexos")).otherwise("").alias("informacaoComplementar"),
+        (F.col("sequencialCompra") % 2 == 1).alias("srp"),
+        F.col("dataPublicacaoPncp").alias("dataInclusao"), F.col("dataAtualizacaoGlobal").alias("dataAtualizacao"),
     )
 
 
+def _tag(prefix: str) -> Column:
+    return F.concat(F.lit(prefix), F.col("sequencialCompra").cast("string"))
+
+
+def _code(n: int) -> Column:
+    """A letter by order number, or NULL."""
+    return F.when(F.col("sequencialCompra") % n != 0, F.substring(F.lit("FEMD"), (F.col("sequencialCompra") % n).cast("int"), F.lit(1)))
+
+
 def search_struct(n: DataFrame) -> Column:
     """The search-feed record (flat snake_case) of a silver notice row."""
     return F.struct(
@@ -125,6 +151,18 @@ def search_struct(n: DataFrame) -> Column:
         F.lit("edital").alias("document_type"),
         (F.col("situacaoCompraNome") == "F").alias("tem_resultado"),
         F.lit(False).alias("cancelado"),
+        F.concat(F.lit("id-"), F.col("sequencialCompra").cast("string")).alias("id"),
+        F.concat(F.lit("n"), F.col("sequencialCompra").cast("string")).alias("numero"),
+        (F.col("sequencialCompra") % 4).cast("int").alias("tipo_id"), F.lit("Aviso").alias("tipo_nome"),
+        (F.col("sequencialCompra") % 5).cast("int").alias("situacao_id"),
+        _tag("o").alias("orgao_id"), _tag("i").alias("unidade_id"), _tag("c").alias("unidade_codigo"),
+        F.concat(F.lit("Setor "), F.col("orgao_razao")).alias("unidade_nome"),
+        _code(3).alias("esfera_id"), F.lit("Municipal").alias("esfera_nome"), _code(4).alias("poder_id"), F.lit("Executivo").alias("poder_nome"),
+        _tag("m").alias("municipio_id"), F.col("dataAberturaProposta").alias("data_inicio_vigencia"),
+        F.col("dataPublicacaoPncp").alias("data_assinatura"),
+        F.when(F.col("sequencialCompra") % 3 == 2, F.array(_tag("Recurso "))).alias("fonte_orcamentaria"),
+        (F.col("sequencialCompra") % 3).cast("int").alias("fonte_orcamentaria_id"), F.lit("Recurso").alias("fonte_orcamentaria_nome"),
+        F.col("dataPublicacaoPncp").alias("createdAt"),
     )
 
 
@@ -161,8 +199,8 @@ def search_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items packed per order as ``Itens`` and ``Arquivos`` arrays.
 
-    A group is the lines of one order (bounded by the order size, at most 7
-    in TPC-H); the aggregation is partial on the map side.  Array order is
+    A group is the lines of one order (17 at most in the tables given), which
+    the notice document holds as one record anyway.  Array order is
     total: (linenumber, partkey, suppkey, extendedprice).
     """
     li = table(spark, sf_dir, "lineitem").select(
@@ -213,7 +251,9 @@ def notice_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             "numeroControlePNCP", "objetoCompra", "anoCompra", "sequencialCompra", "processo",
             "modalidadeId", "modalidadeNome", "situacaoCompraNome", "valorTotalEstimado",
             "dataPublicacaoPncp", "dataAberturaProposta", "dataEncerramentoProposta",
-            "dataAtualizacaoGlobal", "orgaoEntidade", "unidadeOrgao"]],
+            "dataAtualizacaoGlobal"]],
+        F.struct(F.col("orgao_cnpj").alias("cnpj"), F.col("orgao_razao").alias("razaoSocial")).alias("orgaoEntidade"),
+        F.struct(F.col("uf_sigla").alias("ufSigla"), F.col("municipio_nome").alias("municipioNome")).alias("unidadeOrgao"),
         F.when(even, F.col("Arquivos")).alias("Arquivos"),
         F.when(~even, F.col("Arquivos")).alias("arquivos"),
         F.when(F.col("ingest_seq") % 4 == 0, F.col("Itens")).alias("Itens"),
@@ -294,6 +334,10 @@ docs AS (
 )"""
 
 
+def _code_sql(n: int) -> str:
+    return f"CASE WHEN sequencialCompra % {n} <> 0 THEN substr('FEMD', CAST(sequencialCompra % {n} AS INTEGER), 1) END"
+
+
 CONSULTA_JSON_SQL = r"""to_json({'numeroControlePNCP': numeroControlePNCP, 'objetoCompra': objetoCompra,
   'anoCompra': anoCompra, 'sequencialCompra': sequencialCompra,
   'processo': 'PROC-' || CAST(sequencialCompra AS VARCHAR), 'modalidadeId': modalidadeId,
@@ -301,8 +345,23 @@ CONSULTA_JSON_SQL = r"""to_json({'numeroControlePNCP': numeroControlePNCP, 'obje
   'valorTotalEstimado': valorTotalEstimado, 'dataPublicacaoPncp': dataPublicacaoPncp,
   'dataAberturaProposta': dataAberturaProposta, 'dataEncerramentoProposta': dataEncerramentoProposta,
   'dataAtualizacaoGlobal': dataAtualizacaoGlobal,
-  'orgaoEntidade': {'cnpj': orgao_cnpj, 'razaoSocial': orgao_razao},
-  'unidadeOrgao': {'ufSigla': uf_sigla, 'municipioNome': municipio_nome}})::VARCHAR"""
+  'orgaoEntidade': {'cnpj': orgao_cnpj, 'razaoSocial': orgao_razao, 'poderId': """ + _code_sql(3) + """, 'esferaId': """ + _code_sql(4) + """},
+  'unidadeOrgao': {'ufSigla': uf_sigla, 'municipioNome': municipio_nome, 'ufNome': 'Estado ' || uf_sigla,
+    'codigoUnidade': 'U' || CAST(sequencialCompra AS VARCHAR), 'nomeUnidade': 'Unidade ' || orgao_razao,
+    'codigoIbge': 'IBGE' || CAST(sequencialCompra AS VARCHAR)},
+  'numeroCompra': CAST(sequencialCompra AS VARCHAR) || '/' || CAST(anoCompra AS VARCHAR),
+  'tipoInstrumentoConvocatorioCodigo': sequencialCompra % 4,
+  'tipoInstrumentoConvocatorioNome': CASE WHEN sequencialCompra % 11 <> 0 THEN 'Edital' END,
+  'situacaoCompraId': sequencialCompra % 5,
+  'valorTotalHomologado': CASE WHEN sequencialCompra % 3 = 1 THEN round(valorTotalEstimado, 0) END,
+  'modoDisputaId': sequencialCompra % 6, 'modoDisputaNome': CASE WHEN sequencialCompra % 6 <> 0 THEN 'Aberto' END,
+  'linkSistemaOrigem': CASE WHEN sequencialCompra % 5 <> 0 THEN 'https://portal.example/' || CAST(sequencialCompra AS VARCHAR) END,
+  'linkProcessoEletronico': CASE WHEN sequencialCompra % 8 = 0 THEN 'https://processo.example/' || CAST(sequencialCompra AS VARCHAR) END,
+  'fontesOrcamentarias': CASE WHEN sequencialCompra % 7 = 0 THEN [] ELSE ['Federal', 'Fonte ' || CAST(sequencialCompra AS VARCHAR)] END,
+  'usuarioNome': CASE WHEN sequencialCompra % 9 <> 0 THEN 'usuario ' || CAST(sequencialCompra AS VARCHAR) END,
+  'amparoLegal': {'codigo': sequencialCompra % 10, 'nome': 'Lei 14.133', 'descricao': ''},
+  'informacaoComplementar': CASE WHEN sequencialCompra % 2 = 0 THEN 'com anexos' ELSE '' END,
+  'srp': sequencialCompra % 2 = 1, 'dataInclusao': dataPublicacaoPncp, 'dataAtualizacao': dataAtualizacaoGlobal})::VARCHAR"""
 
 SEARCH_JSON_SQL = r"""to_json({'numero_controle_pncp': numeroControlePNCP, 'description': objetoCompra,
   'title': 'Edital ' || CAST(sequencialCompra AS VARCHAR) || '/' || CAST(anoCompra AS VARCHAR),
@@ -313,7 +372,16 @@ SEARCH_JSON_SQL = r"""to_json({'numero_controle_pncp': numeroControlePNCP, 'desc
   'data_atualizacao_pncp': dataAtualizacaoSearch, 'data_fim_vigencia': dataEncerramentoProposta,
   'valor_global': valorTotalEstimado,
   'item_url': '/editais/' || orgao_cnpj || '/' || CAST(anoCompra AS VARCHAR) || '/' || CAST(sequencialCompra AS VARCHAR),
-  'document_type': 'edital', 'tem_resultado': situacaoCompraNome = 'F', 'cancelado': false})::VARCHAR"""
+  'document_type': 'edital', 'tem_resultado': situacaoCompraNome = 'F', 'cancelado': false,
+  'id': 'id-' || CAST(sequencialCompra AS VARCHAR), 'numero': 'n' || CAST(sequencialCompra AS VARCHAR),
+  'tipo_id': sequencialCompra % 4, 'tipo_nome': 'Aviso', 'situacao_id': sequencialCompra % 5,
+  'orgao_id': 'o' || CAST(sequencialCompra AS VARCHAR), 'unidade_id': 'i' || CAST(sequencialCompra AS VARCHAR),
+  'unidade_codigo': 'c' || CAST(sequencialCompra AS VARCHAR), 'unidade_nome': 'Setor ' || orgao_razao,
+  'esfera_id': """ + _code_sql(3) + """, 'esfera_nome': 'Municipal', 'poder_id': """ + _code_sql(4) + """, 'poder_nome': 'Executivo',
+  'municipio_id': 'm' || CAST(sequencialCompra AS VARCHAR), 'data_inicio_vigencia': dataAberturaProposta,
+  'data_assinatura': dataPublicacaoPncp,
+  'fonte_orcamentaria': CASE WHEN sequencialCompra % 3 = 2 THEN ['Recurso ' || CAST(sequencialCompra AS VARCHAR)] END,
+  'fonte_orcamentaria_id': sequencialCompra % 3, 'fonte_orcamentaria_nome': 'Recurso', 'createdAt': dataPublicacaoPncp})::VARCHAR"""
 
 FEEDS_SQL = f"""
 feeds AS (

@@ -24,56 +24,43 @@ def _j(p):
 
 
 # ---------------------------------------------------------------- P04/P06
+def _flat_name(column):
+    return column.replace("orgaoEntidade.", "orgao_").replace("unidadeOrgao.", "unidade_")
+
+
+def _norm_value(column, spec):
+    """A common-notice column of one feed as SQL over its JSON."""
+    paths = [p for p in spec.split("|") if p]
+    if column == "fontesOrcamentarias":  # compared as joined text
+        return f"coalesce(array_to_string(json_extract_string(raw, '$.{paths[0]}[*]'), ','), '')"
+    value = _sql_t(*paths) if paths else "CAST(NULL AS VARCHAR)"
+    if column in R.MONEY:
+        return f"TRY_CAST({value} AS DOUBLE)"
+    if column == "linkSistemaOrigem" and paths[0] == "item_url":
+        return f"CASE WHEN {value} LIKE 'http%://%' THEN {value} ELSE 'https://pncp.gov.br' || {value} END"
+    return value
+
+
+def _norm_sql(feed, k):
+    cols = ",\n    ".join(f"{_norm_value(f[0], f[k])} AS {_flat_name(f[0])}" for f in R.COMMON_FIELDS)
+    return f"SELECT feed, ingest_seq, seq,\n    {cols}, '{feed}' AS _origem\n  FROM feeds WHERE feed = '{feed}'"
+
+
 NORM_SQL = f"""
 norm AS (
-  SELECT feed, ingest_seq, seq,
-    {_sql_t('numero_controle_pncp', 'numeroControlePNCP')} AS numeroControlePNCP,
-    {_sql_t('description', 'objetoCompra')} AS objetoCompra,
-    {_sql_t('title', 'titulo')} AS titulo,
-    {_sql_t('ano', 'anoCompra')} AS anoCompra,
-    {_sql_t('numero_sequencial', 'sequencialCompra')} AS sequencialCompra,
-    CAST(NULL AS VARCHAR) AS processo,
-    {_sql_t('modalidade_licitacao_id', 'modalidadeId')} AS modalidadeId,
-    {_sql_t('modalidade_licitacao_nome', 'modalidadeNome')} AS modalidadeNome,
-    {_sql_t('situacao_nome', 'situacaoCompraNome')} AS situacaoCompraNome,
-    {_j('orgao_cnpj')} AS orgao_cnpj, {_j('orgao_nome')} AS orgao_razaoSocial,
-    {_j('municipio_nome')} AS unidade_municipioNome, {_j('uf')} AS unidade_ufSigla,
-    {_sql_t('data_publicacao_pncp', 'dataPublicacaoPncp')} AS dataPublicacaoPncp,
-    {_sql_t('data_atualizacao_pncp', 'dataAtualizacaoPncp')} AS dataAtualizacaoGlobal,
-    {_j('data_fim_vigencia')} AS dataEncerramentoProposta,
-    TRY_CAST({_j('valor_global')} AS DOUBLE) AS valorTotalEstimado,
-    CASE WHEN coalesce({_sql_t('item_url', 'itemUrl')}, '') = '' THEN NULL
-         WHEN {_sql_t('item_url', 'itemUrl')} LIKE 'http://%' OR {_sql_t('item_url', 'itemUrl')} LIKE 'https://%'
-           THEN {_sql_t('item_url', 'itemUrl')}
-         ELSE 'https://pncp.gov.br' || {_sql_t('item_url', 'itemUrl')} END AS linkSistemaOrigem,
-    'search' AS _origem
-  FROM feeds WHERE feed = 'search'
+  {_norm_sql('search', 1)}
   UNION ALL
-  SELECT feed, ingest_seq, seq,
-    {_j('numeroControlePNCP')}, {_j('objetoCompra')}, {_j('tipoInstrumentoConvocatorioNome')},
-    {_j('anoCompra')}, {_j('sequencialCompra')}, {_j('processo')}, {_j('modalidadeId')},
-    {_j('modalidadeNome')}, {_j('situacaoCompraNome')},
-    {_j('orgaoEntidade.cnpj')}, {_j('orgaoEntidade.razaoSocial')},
-    {_j('unidadeOrgao.municipioNome')}, {_j('unidadeOrgao.ufSigla')},
-    {_j('dataPublicacaoPncp')}, {_sql_t('dataAtualizacaoGlobal', 'dataAtualizacao')},
-    {_j('dataEncerramentoProposta')}, TRY_CAST({_j('valorTotalEstimado')} AS DOUBLE),
-    {_j('linkSistemaOrigem')}, 'consulta'
-  FROM feeds WHERE feed = 'consulta'
+  {_norm_sql('consulta', 2)}
 )"""
 
-FLAT = ["numeroControlePNCP", "objetoCompra", "titulo", "anoCompra", "sequencialCompra", "processo",
-        "modalidadeId", "modalidadeNome", "situacaoCompraNome", "orgao_cnpj", "orgao_razaoSocial",
-        "unidade_municipioNome", "unidade_ufSigla", "dataPublicacaoPncp", "dataAtualizacaoGlobal",
-        "dataEncerramentoProposta", "valorTotalEstimado", "linkSistemaOrigem", "_origem"]
+FLAT = [*[_flat_name(f[0]) for f in R.COMMON_FIELDS], "_origem"]
 
 
 def _flat(df):
-    rest = [c for c in df.columns if c not in ("orgaoEntidade", "unidadeOrgao")]
-    return df.select(*rest,
-                     F.col("orgaoEntidade.cnpj").alias("orgao_cnpj"),
-                     F.col("orgaoEntidade.razaoSocial").alias("orgao_razaoSocial"),
-                     F.col("unidadeOrgao.municipioNome").alias("unidade_municipioNome"),
-                     F.col("unidadeOrgao.ufSigla").alias("unidade_ufSigla"))
+    rest = [c for c in df.columns if c not in R.COMMON_COLUMNS]
+    cols = [(F.array_join("fontesOrcamentarias", ",") if f[0] == "fontesOrcamentarias" else F.col(f[0])).alias(_flat_name(f[0]))
+            for f in R.COMMON_FIELDS]
+    return df.select(*rest, *cols, "_origem")
 
 
 def normalized_feeds(spark, sf_dir):
@@ -108,18 +95,39 @@ def q_union_feeds(spark, sf_dir):
     return _flat(J.union_feeds(s, c)).select("feed", "ingest_seq", "seq", *FLAT)
 
 
+# premium records are told from the feed's own shape row by row
+@query("normalize_consulta_mixed", NORM_BASE + f"""
+SELECT ingest_seq, {', '.join(f"CASE WHEN ingest_seq % 2 = 0 THEN {c} END AS {c}" if c in ("unidade_ufNome", "unidade_codigoIbge") else c for c in FLAT)}
+FROM norm WHERE feed = 'consulta'""")
+def q_normalize_consulta_mixed(spark, sf_dir):
+    """Rows in the feed's shape and premium records (P07 as JSON) mixed."""
+    f = feeds_raw(spark, sf_dir).where(F.col("feed") == "consulta").select("ingest_seq", "raw")
+    p = R.normalize_premium(f.where(F.col("ingest_seq") % 2 == 1))
+    premium = p.select("ingest_seq", F.to_json(F.struct(*[c for c in p.columns if c != "ingest_seq"])).alias("raw"))
+    mixed = f.where(F.col("ingest_seq") % 2 == 0).unionByName(premium)
+    return _flat(R.normalize_consulta(mixed)).select("ingest_seq", *FLAT)
+
+
+def _flat_value(column, key):
+    if column in ("cancelado", "temResultado"):
+        return f"CAST({_j(key)} AS BOOLEAN)"
+    if column == "valorGlobal":
+        return f"TRY_CAST({_j(key)} AS DOUBLE)"
+    if column == "urlPncp":
+        return f"'https://pncp.gov.br' || {_j(key)}"
+    if column == "fonteOrcamentaria":
+        return f"array_to_string(json_extract_string(raw, '$.{key}[*]'), ',')"
+    return _j(key)
+
+
 @query("normalize_search_flat", with_ctes(NOTICES_SQL, FEEDS_SQL) + f"""
-SELECT ingest_seq, {_j('numero_controle_pncp')} AS numero_controle_pncp, {_j('description')} AS description,
-       {_j('orgao_cnpj')} AS orgao_cnpj, {_j('uf')} AS uf, {_j('modalidade_licitacao_nome')} AS modalidade_licitacao_nome,
-       TRY_CAST({_j('valor_global')} AS DOUBLE) AS valor_global, {_j('item_url')} AS item_url,
-       CAST({_j('tem_resultado')} AS BOOLEAN) AS tem_resultado, 'widget' AS termo_busca
+SELECT ingest_seq, {', '.join(f'{_flat_value(c, k)} AS "{c}"' for c, k in R.SEARCH_FLAT_FIELDS)}, 'widget' AS termo_busca
 FROM feeds WHERE feed = 'search'""")
 def q_normalize_search_flat(spark, sf_dir):
-    """Search feed -> flat snake_case notice tagged with the term."""
+    """Search feed -> flat notice (41 fields) tagged with the term."""
     f = feeds_raw(spark, sf_dir).where(F.col("feed") == "search").select("ingest_seq", "raw")
-    return R.normalize_search_flat(f, term="widget").select(
-        "ingest_seq", "numero_controle_pncp", "description", "orgao_cnpj", "uf",
-        "modalidade_licitacao_nome", "valor_global", "item_url", "tem_resultado", "termo_busca")
+    n = R.normalize_search_flat(f, term="widget")
+    return n.withColumn("fonteOrcamentaria", F.coalesce(F.array_join("fonteOrcamentaria", ","), F.lit("")))
 
 
 # ---------------------------------------------------------------- J01 / A08
@@ -138,8 +146,8 @@ m AS (
 ),
 merged AS (
   SELECT """ + ",\n    ".join(
-    [_first_ne(c) for c in FLAT if c not in ("_origem", "valorTotalEstimado")]
-    + [_first_ne("valorTotalEstimado", empty_is_blank=False),
+    [_first_ne(c, empty_is_blank=c not in R.MONEY) for c in FLAT if c != "_origem"]
+    + [
        "CASE WHEN min(_origem) <> max(_origem) THEN 'ambos' ELSE first(_origem ORDER BY ref DESC, seq) END AS _origem",
        "min(seq) AS seq"]) + """
   FROM m GROUP BY g
@@ -260,10 +268,7 @@ def q_select_existing(spark, sf_dir):
 
 @query("flatten_struct", with_ctes(NOTICES_SQL, FEEDS_SQL) + """
 SELECT ingest_seq, json_extract_string(raw, '$.numeroControlePNCP') AS "numeroControlePNCP",
-       json_extract_string(raw, '$.orgaoEntidade.cnpj') AS "orgaoEntidade.cnpj",
-       json_extract_string(raw, '$.orgaoEntidade.razaoSocial') AS "orgaoEntidade.razaoSocial",
-       json_extract_string(raw, '$.unidadeOrgao.municipioNome') AS "unidadeOrgao.municipioNome",
-       json_extract_string(raw, '$.unidadeOrgao.ufSigla') AS "unidadeOrgao.ufSigla"
+       """ + ", ".join(f"""{_j(f[2])} AS "{f[0]}\"""" for f in R.COMMON_FIELDS if "." in f[0]) + """
 FROM feeds WHERE feed = 'consulta'""")
 def q_flatten_struct(spark, sf_dir):
     """Nested record -> dotted columns."""
@@ -464,21 +469,28 @@ def q_report_rows(spark, sf_dir):
                     "data_encerramento_fmt", "cnpj_fmt")
 
 
-@query("pruned_json", with_ctes(NOTICES_SQL, FEEDS_SQL) + """
-SELECT ingest_seq,
-  CAST(14 - (CASE WHEN json_extract_string(raw, '$.modalidadeId') IS NULL THEN 1 ELSE 0 END)
-          - (CASE WHEN json_extract_string(raw, '$.modalidadeNome') IS NULL THEN 1 ELSE 0 END)
-          - (CASE WHEN json_extract_string(raw, '$.numeroControlePNCP') IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_chaves,
-  CAST(4 AS BIGINT) AS n_datas, false AS tem_links
+_PRUNED = [(c, p, k) for c, p, k in R.PREMIUM_FIELDS if k not in ("category", "keywords")]
+
+
+@query("pruned_json", with_ctes(NOTICES_SQL, FEEDS_SQL) + f"""
+SELECT ingest_seq, """ + ", ".join(
+    (f"nullif(array_to_string(json_extract_string(raw, '$.{p}[*]'), ','), '')" if p == "fontesOrcamentarias" else
+     f"CAST(TRY_CAST({_j(p)} AS DOUBLE) AS DOUBLE)" if k == "double" else f"nullif({_j(p)}, '')")
+    + f' AS "{c.replace(".", "_")}"' for c, p, k in _PRUNED) + """,
+  false AS tem_vazio
 FROM feeds WHERE feed = 'consulta'""")
 def q_pruned_json(spark, sf_dir):
-    """Premium record emitted as JSON with empty fields removed
-    (NULL, '', [], {} -- recursively)."""
+    """Premium record emitted as JSON with empty fields removed (NULL, '',
+    [], {} -- recursively): every field read back, and no empty value left."""
     f = feeds_raw(spark, sf_dir).where(F.col("feed") == "consulta").select("ingest_seq", "raw")
     p = R.normalize_premium(f)
-    cols = [c for c in p.columns if c not in ("ingest_seq", "raw")]
-    j = R.to_pruned_json(p.select("ingest_seq", *cols), cols, "json").withColumn(
-        "ingest_seq", F.get_json_object("json", "$.sequencial_compra").cast("long"))
-    return j.select("ingest_seq", F.size(F.json_object_keys("json")).cast("bigint").alias("n_chaves"),
-                    F.size(F.json_object_keys(F.get_json_object("json", "$.datas"))).cast("bigint").alias("n_datas"),
-                    F.get_json_object("json", "$.links").isNotNull().alias("tem_links"))
+    cols = [c for c in p.columns if c != "ingest_seq"]
+    j = R.to_pruned_json(p, cols, "json", keep=["ingest_seq"])
+    back = j.select("ingest_seq", "json", F.from_json("json", R.paths_schema([c for c, _, _ in _PRUNED])).alias("r"))
+
+    def value(c, k):
+        col = F.col(f"r.{c}")
+        return (F.array_join(col, ",") if c == "fontes_orcamentarias" else col.cast("double") if k == "double" else col).alias(c.replace(".", "_"))
+
+    return back.select("ingest_seq", *[value(c, k) for c, _, k in _PRUNED],
+                       F.col("json").rlike(r':(""|\[\]|\{\}|null)[,}]').alias("tem_vazio"))

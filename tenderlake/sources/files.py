@@ -92,12 +92,12 @@ def read_notices(df: DataFrame, json_col: str = "dados_json") -> DataFrame:
     NULL -> '' and a missing JSON -> '{}'."""
     cols = set(df.columns)
     has_json = json_col in cols
+    x = df.withColumn("_v", F.try_parse_json(F.col(json_col))) if has_json else df  # one parse for all paths
     out = []
     for name, (flat, paths) in FLEX_FIELDS.items():
         parts = [F.col(c).cast("string") for c in flat if c in cols]
         if has_json:
-            parts += [F.get_json_object(F.col(json_col), "$." + p) for p in paths]
+            parts += [F.try_variant_get("_v", "$." + p, "string") for p in paths]
         out.append(D.first_truthy(*parts, default="").alias(name) if parts else F.lit("").alias(name))
     j = F.coalesce(F.col(json_col), F.lit("{}")) if has_json else F.lit("{}")
-    return df.select(*out, j.alias("dados_json"))
-
+    return x.select(*out, j.alias("dados_json"))
