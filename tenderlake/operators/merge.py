@@ -130,8 +130,13 @@ def union_ids(a: DataFrame, b: DataFrame, col: str = "id") -> DataFrame:
 
 def in_both(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Keys present in both feeds (NULL keys excluded)."""
-    return (a.select(key).where(F.col(key).isNotNull())
-             .intersect(b.select(key).where(F.col(key).isNotNull())))
+    return keys_of_both(a.select(key, F.lit(0).alias("_f")).unionByName(b.select(key, F.lit(1).alias("_f"))), key, F.col("_f"))
+
+
+def keys_of_both(rows: DataFrame, key: str, feed: Column) -> DataFrame:
+    """U03 over one frame that holds both feeds: one aggregate."""
+    return (rows.where(F.col(key).isNotNull()).groupBy(key).agg((F.min(feed) < F.max(feed)).alias("_both"))
+            .where("_both").select(key))
 
 
 # ----------------------------------------------------------------- J05

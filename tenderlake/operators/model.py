@@ -12,69 +12,66 @@ from __future__ import annotations
 import os
 
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from .dedupe import with_index
 
 
 # ----------------------------------------------------------------- M01
-def grams(df: DataFrame, id_col: str, text: str, ngrams=(1, 2)) -> DataFrame:
-    """(id, term) rows: word tokens of >= 2 word characters, lower-cased,
-    as lo..hi-grams in token order.
-
-    One pass, no per-element lambdas: the token array is zipped with its
-    shifted copies (``arrays_zip`` pads with NULL), exploded once, and each
-    position emits the k-grams that start there.
-    """
+def gram_array(text: str, ngrams=(1, 2)) -> Column:
+    """Word tokens of >= 2 word characters, lower-cased, as lo..hi-grams."""
     lo, hi = ngrams
-    t = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)\b\w\w+\b"), 0)
-    x = df.select(F.col(id_col), t.alias("_t"))
-    shifted = [F.slice(F.col("_t"), i + 1, F.greatest(F.size("_t") - i, F.lit(0))).alias(f"g{i}")
-               for i in range(hi)]
-    e = x.select(F.col(id_col), F.explode(F.arrays_zip(*shifted)).alias("_z"))
-    members = [F.col(f"_z.g{i}") for i in range(hi)]
-    gs = []
-    for k in range(lo, hi + 1):
-        gs.append(F.when(members[k - 1].isNotNull(), F.concat_ws(" ", *members[:k])))
-    return (e.select(F.col(id_col), F.explode(F.array(*gs)).alias("term"))
-             .where(F.col("term").isNotNull()))
-
-
-def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = 1000, ngrams=(1, 2),
-          vocab: DataFrame | None = None, n_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Returns (weights[id, term, idx, weight], vocab[term, idx, idf]).
-
-    When ``vocab`` is given (a fitted vocabulary) it is applied instead of
-    fitted.  The vocabulary is at most ``max_features`` rows -- a proven
-    bound -- so it is broadcast.
+    toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)\b\w\w+\b"), 0)
+
+    def all_sizes(t: Column) -> Column:
+        def of(n: int) -> Column:
+            shifted = F.arrays_zip(*[F.slice(t, i + 1, F.greatest(F.size(t) - (n - 1), F.lit(0))).alias(f"g{i}") for i in range(n)])
+            return t if n == 1 else F.transform(shifted, lambda z: F.concat_ws(" ", *[z[f"g{i}"] for i in range(n)]))
+
+        return F.concat(*[of(n) for n in range(lo, hi + 1)])
+
+    return X.bound(toks, all_sizes)
+
+
+def term_counts(df: DataFrame, id_col: str, text: str, ngrams=(1, 2)) -> DataFrame:
+    """(id, term, tf): the terms of a text are counted inside its row."""
+    x = df.select(id_col, F.explode(X.token_counts(gram_array(text, ngrams))).alias("x"))
+    return x.select(id_col, F.col("x.t").alias("term"), F.col("x.n").alias("tf"))
+
+
+def fit_vocab(df: DataFrame, id_col: str, text: str, max_features: int = 1000, ngrams=(1, 2)) -> DataFrame:
+    """M01 fit: (term, idx, idf) of the ``max_features`` most frequent terms;
+    one shuffle, of per-task sums per term."""
+    stats = term_counts(df, id_col, text, ngrams).groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    top = stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
+    idf = F.log((F.lit(1.0) + df.count()) / (F.lit(1.0) + F.col("df"))) + 1.0
+    return top.select("term", (F.row_number().over(Window.orderBy(F.asc("term"))) - 1).alias("idx"), idf.alias("idf")).checkpoint()
+
+
+def tfidf(df: DataFrame, id_col: str, text: str, vocab: DataFrame, ngrams=(1, 2)) -> DataFrame:
+    """(id, term, idx, weight) of a fitted vocabulary.
+
+    The vocabulary has at most ``max_features`` rows -- a proven bound -- so
+    it is broadcast, and terms outside it are gone before anything is shuffled.
     """
-    g = grams(df, id_col, text, ngrams)
-    tf = g.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    if vocab is None:
-        n = df.select(id_col).distinct().count() if n_docs is None else n_docs
-        stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-        top = stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
-        vocab = top.select(
-            "term",
-            (F.row_number().over(Window.orderBy(F.asc("term"))) - 1).alias("idx"),
-            (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
-        # the fitted vocabulary (<= max_features rows) is materialised once
-        vocab = vocab.checkpoint()
-    v = F.broadcast(vocab)
-    w = tf.join(v, "term").select(id_col, "term", "idx", (F.col("tf") * F.col("idf")).alias("w"))
+    w = (term_counts(df, id_col, text, ngrams).join(F.broadcast(vocab), "term")
+         .select(id_col, "term", "idx", (F.col("tf") * F.col("idf")).alias("w")))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", "idx", (F.col("w") / norm).alias("weight")), vocab
+    return w.select(id_col, "term", "idx", (F.col("w") / norm).alias("weight"))
 
 
-def to_features(weights: DataFrame, id_col: str, size: int, col: str = "features") -> DataFrame:
-    """Sparse (idx, weight) rows -> one dense ML vector per id (bounded by
-    the vocabulary size)."""
-    m = weights.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("_m"))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                      lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    return m.select(id_col, array_to_vector(arr).alias(col))
+def to_features(df: DataFrame, text: str, vocab: DataFrame, col: str = "features", ngrams=(1, 2)) -> DataFrame:
+    """``df`` with the weights of M01 as one sparse ML vector per row, no shuffle
+    (all zero without a vocabulary term)."""
+    rows = vocab.orderBy("idx").collect()  # max_features rows at most
+    counts = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], "_grams", "_tf")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf", outputCol="_w")
+    unit = Normalizer(p=2.0, inputCol="_w", outputCol=col)
+    return unit.transform(scale.transform(counts.transform(df.withColumn("_grams", gram_array(text, ngrams))))).drop("_grams", "_tf", "_w")
 
 
 # ----------------------------------------------------------------- M03/M04
@@ -106,10 +103,11 @@ def train_linear(train: DataFrame, features: str = "features", label: str = "lab
     d = train
     est = LinearSVC(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg, tol=tol)
     if balance:
-        counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
-        tot = train.count()
-        d = train.join(F.broadcast(counts), label).withColumn(
-            "_w", F.lit(float(tot)) / (F.lit(2.0) * F.col("_c")))
+        counts = dict(train.groupBy(label).count().limit(3).collect())  # a binary label
+        if len(counts) > 2:
+            raise ValueError("the label has more than two values")
+        share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, sum(counts.values()) / (2.0 * n))])
+        d = train.withColumn("_w", F.try_element_at(share, F.col(label)))
         est = est.setWeightCol("_w")
     return est.fit(d.withColumn(label, F.col(label).cast("double")))
 
@@ -125,16 +123,11 @@ def load_model(spark, path: str):
             spark.read.parquet(os.path.join(path, "vocab")))
 
 
-def score_table(df: DataFrame, model, vocab: DataFrame, id_col: str, text: str, n_features: int,
-                pred: str = "relevante_pred") -> DataFrame:
+def score_table(df: DataFrame, model, vocab: DataFrame, id_col: str, text: str, pred: str = "relevante_pred") -> DataFrame:
     """Featurise with the fitted vocabulary and predict every row;
     rows without any vocabulary term get an all-zero vector."""
-    w, _ = tfidf(df, id_col, text, vocab=vocab)
-    feats = to_features(w, id_col, n_features)
-    allrows = df.select(id_col).join(feats, id_col, "left")
-    zero = array_to_vector(F.array_repeat(F.lit(0.0), n_features))
-    allrows = allrows.withColumn("features", F.coalesce(F.col("features"), zero))
-    return model.transform(allrows).select(id_col, F.col("prediction").cast("int").alias(pred))
+    feats = to_features(df.select(id_col, text), text, vocab)
+    return model.transform(feats).select(id_col, F.col("prediction").cast("int").alias(pred))
 
 
 # ----------------------------------------------------------------- M06

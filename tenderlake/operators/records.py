@@ -363,17 +363,8 @@ def explode_items(df: DataFrame, raw: str = "raw", key: str = "pncp_id") -> Data
 
 # ----------------------------------------------------------------- P07
 def top_keywords_inline(toks: Column, k: int = 8) -> Column:
-    """T08 inside the row: distinct tokens ranked by count desc then first
-    occurrence.  The tokens are sorted with their places, so equal ones are
-    neighbours: each run's first place and length rank it, O(n log n)."""
-    def ranked(s: Column) -> Column:
-        begins = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x["t"] != F.get(s, i - 1)["t"]), i)), lambda i: i.isNotNull())
-        return F.get(F.transform(F.array(begins), lambda b: F.transform(b, lambda at, j: F.struct(
-            (at - F.coalesce(F.get(b, j + 1), F.size(s))).alias("n"), F.get(s, at)["i"].alias("i"), F.get(s, at)["t"].alias("t")))), 0)
-
-    places = F.array_sort(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
-    runs = F.get(F.transform(F.array(places), ranked), 0)
-    return F.transform(F.slice(F.array_sort(runs), 1, k), lambda s: s["t"])
+    """The ``k`` most frequent tokens of a record, ties by first occurrence."""
+    return F.transform(X.top_tokens(toks, k), lambda x: x["t"])
 
 
 # The premium record (P07), column or group member by consulta

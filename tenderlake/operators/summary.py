@@ -233,26 +233,12 @@ def latest_n(df: DataFrame, order: str, n: int = 5, text: str = "objeto_compra",
                       F.substring(F.col(text), 1, preview).alias("preview")))
 
 
-def topk_tokens(df: DataFrame, key: str, toks: str, k: int = 8, name: str = "palavras_chave",
-                keep=None) -> DataFrame:
-    """Per record, the ``k`` most frequent tokens (ties: first
-    occurrence), as an array in rank order.
-
-    Tokens are exploded (``keep`` -- a predicate on column ``tok`` -- filters
-    them as plain rows, inside codegen) and counted per (record, token) with
-    a partial aggregate; the rank filter is a window-group limit, so at most
-    ``k`` rows per record reach the final, bounded collect.
-    """
-    e = df.select(F.col(key), F.posexplode(F.col(toks)).alias("pos", "tok"))
-    if keep is not None:
-        e = e.where(keep)
-    c = e.groupBy(key, "tok").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-    w = Window.partitionBy(key).orderBy(F.desc("n"), F.asc("first"))
-    top = c.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
-    agg = top.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rk", "tok"))).alias("_l"))
-    out = agg.select(key, F.transform("_l", lambda s: s["tok"]).alias(name))
-    return df.select(key).join(out, key, "left").select(
-        key, F.coalesce(F.col(name), F.array().cast("array<string>")).alias(name))
+def topk_tokens(df: DataFrame, keep, toks: str, k: int = 8) -> DataFrame:
+    """The ``k`` most frequent tokens of every record (ties: first
+    occurrence), one row per rank: ``keep.., tok, n, rk``.  A record is one
+    row, so its tokens are counted in the row and nothing is shuffled."""
+    top = df.select(*keep, F.posexplode(X.top_tokens(F.col(toks), k)).alias("pos", "x"))
+    return top.select(*keep, F.col("x.t").alias("tok"), F.col("x.n").cast("bigint").alias("n"), (F.col("pos") + 1).cast("bigint").alias("rk"))
 
 
 def hash_order(key, seed: int = 42) -> Column:

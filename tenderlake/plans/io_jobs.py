@@ -264,9 +264,8 @@ QUALIFY row_number() OVER (PARTITION BY coalesce(numeroControlePNCP, '#' || feed
 def q_upsert(spark, sf_dir):
     """Search batch upserted over the consulta table: last write wins."""
     u = _flat(normalized_feeds(spark, sf_dir))
-    existing = u.where(F.col("_origem") == "consulta").select(*FLAT, "seq")
-    batch = u.where(F.col("_origem") == "search").select(*FLAT, "seq")
-    return K.upsert(existing, batch, "numeroControlePNCP", "seq").select(*FLAT, "seq")
+    side = (F.col("_origem") == "search").cast("int")  # both sides are one frame: one scan, one shuffle
+    return K.last_write(u.select(*FLAT, "seq"), "numeroControlePNCP", "seq", side).select(*FLAT, "seq")
 
 
 @query("bronze_append", with_ctes(NOTICES_SQL, FEEDS_SQL) + f"""

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -335,9 +336,8 @@ def raw_results(spark, sf_dir):
                     F.when(F.col("doc_id") % 13 == 0, F.lit("texto genérico")).otherwise(F.col("motivo")).alias("motivo"))
 
 
-def clean_results(spark, sf_dir):
-    r = raw_results(spark, sf_dir)
-    r = FL.drop_null_text(r, "texto")
+def clean_results(spark, sf_dir, raw=None):
+    r = FL.drop_null_text(raw if raw is not None else raw_results(spark, sf_dir), "texto")
     return r.select("doc_id", "texto", X.bool_label("serve_para_mim").alias("label"), "categoria", "confianca",
                     FL.is_ambiguous("categoria", "confianca", "motivo").alias("ambiguo"))
 
@@ -368,8 +368,8 @@ SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM fin) AS fin
   (SELECT count(*) FROM clean WHERE ambiguo) AS ambiguous_rows""")
 def q_run_summary(spark, sf_dir):
     """Row counts and label distribution as one row."""
-    raw = raw_results(spark, sf_dir)
-    cl = clean_results(spark, sf_dir)
+    raw = raw_results(spark, sf_dir).checkpoint()  # scored once for the three counts
+    cl = clean_results(spark, sf_dir, raw)
     fin = W.dedupe_pairs(FL.training_rows(cl).select("texto", "label"), ("texto", "label"))
     u = (raw.select(F.lit("raw").alias("_s"), F.lit(None).cast("int").alias("label"), F.lit(False).alias("amb"))
          .unionByName(fin.select(F.lit("fin").alias("_s"), "label", F.lit(False).alias("amb")))
@@ -390,10 +390,10 @@ def q_dedupe_text(spark, sf_dir):
     return W.dedupe_text(d, "texto", "doc_id")
 
 
-@query("dedupe_pairs", f"WITH {LAB_SQL} SELECT DISTINCT lang, label FROM lab")
+@query("dedupe_pairs", f"WITH {LAB_SQL} SELECT DISTINCT text, label FROM lab")
 def q_dedupe_pairs(spark, sf_dir):
     """Pair dedupe."""
-    return W.dedupe_pairs(labelled(spark, sf_dir).select("lang", "label"), ("lang", "label"))
+    return W.dedupe_pairs(labelled(spark, sf_dir).select("text", "label"), ("text", "label"))
 
 
 @query("ntile_slices", """SELECT doc_id, ntile(4) OVER (ORDER BY doc_id) - 1 AS slice FROM documents""")
@@ -447,18 +447,16 @@ def q_parse_response(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M06
-@query("softmax_argmax", """WITH l AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b FROM embeddings),
-m AS (SELECT vec_id, a, b, greatest(a, b) AS mx FROM l)
-SELECT vec_id, CASE WHEN a >= b THEN 0 ELSE 1 END AS label,
-  round(greatest(exp(a - mx), exp(b - mx)) / (exp(a - mx) + exp(b - mx)), 6) AS confidence,
-  round(exp(a - mx) / (exp(a - mx) + exp(b - mx)), 6) AS p0, round(exp(b - mx) / (exp(a - mx) + exp(b - mx)), 6) AS p1 FROM m""")
+@query("softmax_argmax", """WITH l AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, list_max(CAST(embedding AS DOUBLE[])) AS mx FROM embeddings),
+m AS (SELECT vec_id, list_position(v, mx) - 1 AS label, list_transform(v, lambda x: exp(x - mx)) AS e FROM l)
+SELECT vec_id, CAST(label AS INTEGER) AS label, round(1 / list_sum(e), 6) AS confidence,
+  round(e[1] / list_sum(e), 6) AS p_first, round(e[len(e)] / list_sum(e), 6) AS p_last FROM m""")
 def q_softmax_argmax(spark, sf_dir):
-    """Softmax + arg-max over the first two embedding dims as logits."""
-    e = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.slice(F.col("embedding"), 1, 2).cast("array<double>").alias("logits"))
+    """Softmax + arg-max over all embedding dimensions as logits."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("logits"))
     lab, conf, probs = M.softmax_argmax(F.col("logits"))
     return e.select("vec_id", lab.alias("label"), F.round(conf, 6).alias("confidence"),
-                    F.round(probs[0], 6).alias("p0"), F.round(probs[1], 6).alias("p1"))
+                    F.round(F.element_at(probs, 1), 6).alias("p_first"), F.round(F.element_at(probs, -1), 6).alias("p_last"))
 
 
 # ---------------------------------------------------------------- M01/M02/M05
@@ -472,52 +470,79 @@ v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS
 w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN v USING (term))"""
 
 
-def doc_tfidf(spark, sf_dir):
+def clean_docs(spark, sf_dir):
     # the cleaned corpus feeds the vocabulary fit and the weights: clean once
-    d = table(spark, sf_dir, "documents").select("doc_id", X.clean_text("text").alias("clean")).checkpoint()
-    return M.tfidf(d, "doc_id", "clean", 1000, (1, 2))
+    return table(spark, sf_dir, "documents").select("doc_id", X.clean_text("text").alias("clean")).checkpoint()
 
 
 @query("tfidf_weights", f"""WITH {TFIDF_SQL}
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def q_tfidf_weights(spark, sf_dir):
     """TF-IDF weights (1-2-grams, top 1000, smooth idf, L2)."""
-    w, _ = doc_tfidf(spark, sf_dir)
+    d = clean_docs(spark, sf_dir)
+    w = M.tfidf(d, "doc_id", "clean", M.fit_vocab(d, "doc_id", "clean", 1000))
     return w.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 def _fit(spark, sf_dir):
-    w, vocab = doc_tfidf(spark, sf_dir)
-    feats = M.to_features(w, "doc_id", 1000)
+    """Split the labelled documents, fit the vocabulary and the model on the
+    training rows only."""
+    d = clean_docs(spark, sf_dir)
     lab = labelled(spark, sf_dir).select("doc_id", "label")
+    split = M.stratified_split(lab, "label", "doc_id").join(d, "doc_id").checkpoint()
+    vocab = M.fit_vocab(split.where(~F.col("is_test")), "doc_id", "clean", 1000)
     # Materialise the featurised label set in the shared checkpoint folder:
     # the optimiser makes many passes, none of which should redo the text work.
     # A fixed layout (range partitions sorted by id, sized by AQE from the
     # data) makes the optimiser's tree aggregation -- and so the model --
     # the same on every run, and keeps per-iteration task counts small.
-    data = (M.stratified_split(lab, "label", "doc_id").join(feats, "doc_id")
-             .repartitionByRange("doc_id").sortWithinPartitions("doc_id").checkpoint())
+    data = (M.to_features(split, "clean", vocab).repartitionByRange("doc_id").sortWithinPartitions("doc_id").checkpoint())
     model = M.train_linear(data.where(~F.col("is_test")), "features", "label", max_iter=100)
-    return model, vocab, data
+    return model, vocab, data, d
 
 
 @query("train_linear")
 def q_train_linear(spark, sf_dir):
     """Linear hinge-loss classifier on TF-IDF; test-split predictions
     (rows-only: iterative optimiser, no SQL form)."""
-    model, _vocab, data = _fit(spark, sf_dir)
+    model, _vocab, data, _ = _fit(spark, sf_dir)
     test = data.where(F.col("is_test"))
     return model.transform(test).select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
 
 
+@query("train_linear_margins", f"""WITH {LAB_SQL}
+SELECT count(*) AS documentos, CAST(0 AS BIGINT) AS diferentes FROM lab""")
+def q_train_linear_margins(spark, sf_dir):
+    """The model's margins against sums of its coefficients over the
+    weights of M01 (joined on the term): documents, and how many differ."""
+    model, vocab, data, _ = _fit(spark, sf_dir)
+    coef = spark.createDataFrame([(i, float(c)) for i, c in enumerate(model.coefficients)], "idx int, coef double")
+    w = M.tfidf(data.select("doc_id", "clean"), "doc_id", "clean", vocab).join(F.broadcast(coef), "idx")
+    own = w.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("coef")).alias("s"))
+    said = model.transform(data).select("doc_id", vector_to_array("rawPrediction")[1].alias("m"))
+    diff = F.abs(F.col("m") - F.coalesce("s", F.lit(0.0)) - F.lit(float(model.intercept))) > 1e-6
+    return said.join(own, "doc_id", "left").agg(F.count("*").alias("documentos"), F.count_if(diff).alias("diferentes"))
+
+
+def _saved(spark, model, vocab):
+    path = scratch_path(spark, "model")
+    M.save_model(model, vocab, path)
+    return M.load_model(spark, path)
+
+
 @query("score_table")
 def q_score_table(spark, sf_dir):
     """Save model + vocabulary to shared storage, load them back and
     score every document; keep the predicted-relevant ones (rows-only)."""
-    model, vocab, _ = _fit(spark, sf_dir)
-    path = scratch_path(spark, "model")
-    M.save_model(model, vocab, path)
-    m2, v2 = M.load_model(spark, path)
-    d = table(spark, sf_dir, "documents").select("doc_id", X.clean_text("text").alias("clean"))
-    s = M.score_table(d, m2, v2, "doc_id", "clean", 1000)
+    model, vocab, _, d = _fit(spark, sf_dir)
+    s = M.score_table(d, *_saved(spark, model, vocab), "doc_id", "clean")
     return FL.relevant(s, "relevante_pred")
+
+
+@query("score_table_reload", "SELECT count(*) AS documentos, CAST(0 AS BIGINT) AS diferentes FROM documents")
+def q_score_table_reload(spark, sf_dir):
+    """Documents, and how many get another prediction from the reloaded model."""
+    model, vocab, _, d = _fit(spark, sf_dir)
+    one = M.score_table(d, model, vocab, "doc_id", "clean", "a")
+    two = M.score_table(d, *_saved(spark, model, vocab), "doc_id", "clean", "b")
+    return one.join(two, "doc_id").agg(F.count("*").alias("documentos"), F.count_if(F.col("a") != F.col("b")).alias("diferentes"))

@@ -192,9 +192,7 @@ INTERSECT
 SELECT numeroControlePNCP FROM norm WHERE feed = 'consulta' AND numeroControlePNCP IS NOT NULL""")
 def q_feeds_intersect(spark, sf_dir):
     """Keys present in both feeds (they become 'ambos')."""
-    u = normalized_feeds(spark, sf_dir)
-    return J.in_both(u.where(F.col("_origem") == "search"), u.where(F.col("_origem") == "consulta"),
-                     "numeroControlePNCP")
+    return J.keys_of_both(normalized_feeds(spark, sf_dir), "numeroControlePNCP", F.col("_origem"))
 
 
 # ---------------------------------------------------------------- P02/P03/P09/P10
@@ -391,27 +389,24 @@ def q_explode_items(spark, sf_dir):
                     "valor_unitario", "valor_total")
 
 
-@query("enrich_left", with_ctes(NOTICES_SQL, ITEMS_SQL, DOCS_SQL) + r""",
-k AS (SELECT pncp_id, ingest_seq, raw,
-        CASE WHEN regexp_matches(pncp_id, '^(\d+)-1-(\d+)/(\d+)')
-             THEN CAST(regexp_extract(pncp_id, '^(\d+)-1-(\d+)/(\d+)', 2) AS BIGINT) END AS seqk FROM docs)
-SELECT k.pncp_id, k.ingest_seq,
-  CAST(CASE WHEN coalesce(json_array_length(json_extract(raw, '$.Itens')), 0) > 0 THEN json_array_length(json_extract(raw, '$.Itens'))
-       ELSE coalesce(len(i.Itens), 0) END AS BIGINT) AS n_itens,
-  CASE WHEN coalesce(json_array_length(json_extract(raw, '$.Itens')), 0) > 0 THEN 'proprio'
-       WHEN i.Itens IS NOT NULL THEN 'consulta' ELSE 'vazio' END AS origem
-FROM k LEFT JOIN itens i ON i.l_orderkey = k.seqk""")
+@query("enrich_left", with_ctes(NOTICES_SQL) + """,
+l AS (SELECT l_orderkey, count(*) AS n, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS seqs
+      FROM lineitem GROUP BY l_orderkey),
+j AS (SELECT numeroControlePNCP AS pncp_id, ingest_seq, ingest_seq % 4 = 0 AND l.n IS NOT NULL AS own, l.n, l.seqs
+      FROM notices LEFT JOIN l ON l.l_orderkey = ingest_seq AND (ingest_seq % 4 = 0 OR numeroControlePNCP IS NOT NULL))
+SELECT pncp_id, ingest_seq, coalesce(n, 0) AS n_itens, coalesce(seqs, '') AS itens,
+       CASE WHEN own THEN 'proprio' WHEN n IS NOT NULL THEN 'consulta' ELSE 'vazio' END AS origem FROM j""")
 def q_enrich_left(spark, sf_dir):
     """Own items win, else looked up by the parsed key, else empty."""
     d = notice_docs(spark, sf_dir)
     own = F.from_json(F.get_json_object("raw", "$.Itens"), "array<struct<sequencialItem:int>>")
     x = d.select("pncp_id", "ingest_seq", own.alias("itens"),
                  D.parse_control("pncp_id").seq.cast("bigint").alias("seqk"))
-    lk = line_arrays(spark, sf_dir).select(
-        "l_orderkey", F.transform("Itens", lambda i: F.struct(i["sequencialItem"].alias("sequencialItem")))
-        .alias("lookup"))
-    e = J.enrich(x.withColumn("_own_n", F.size("itens")), lk, "itens", "seqk", "l_orderkey", "lookup")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").cast("int").alias("sequencialItem")))).alias("lookup"))
+    e = J.enrich(x.withColumn("_own_n", F.size("itens")), lines, "itens", "seqk", "l_orderkey", "lookup")
     return e.select("pncp_id", "ingest_seq", F.size("itens").cast("bigint").alias("n_itens"),
+                    F.array_join(F.transform("itens", lambda i: i["sequencialItem"].cast("string")), ",").alias("itens"),
                     F.when(F.col("_own_n") > 0, "proprio").when(F.size("itens") > 0, "consulta")
                      .otherwise("vazio").alias("origem"))
 

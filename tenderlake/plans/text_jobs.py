@@ -17,6 +17,7 @@ from ..operators import filters as FL
 from ..operators import merge as J
 from ..operators import relevance as RV
 from ..operators import summary as A
+from ..operators.records import top_keywords_inline
 from ..tables import table
 from . import query
 from . import sqlfrag as S
@@ -171,9 +172,7 @@ SELECT d.doc_id, coalesce(string_agg(tok, ',' ORDER BY rk), '') AS palavras_chav
 FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id""")
 def q_top_keywords(spark, sf_dir):
     """Top-8 folded tokens per document (count desc, first seen)."""
-    t = docs(spark, sf_dir).select("doc_id", X.raw_tokens("text").alias("toks"))
-    k = A.topk_tokens(t, "doc_id", "toks", 8, keep=X.token_keep(F.col("tok")))
-    return k.select("doc_id", F.array_join("palavras_chave", ",").alias("palavras_chave"))
+    return docs(spark, sf_dir).select("doc_id", F.array_join(top_keywords_inline(X.tokens("text")), ",").alias("palavras_chave"))
 
 
 # ---------------------------------------------------------------- T09/T10/J08
@@ -303,11 +302,5 @@ QUALIFY rk <= 3""")
 def q_topk_tokens(spark, sf_dir):
     """The 3 most frequent tokens of every conversation turn (count
     desc, first occurrence asc), one row per (turn, rank)."""
-    from pyspark.sql import Window
-    c = table(spark, sf_dir, "conversations").select(
-        F.struct("conv_id", "turn").alias("k"), X.raw_tokens("text").alias("toks"))
-    e = c.select("k", F.posexplode("toks").alias("pos", "tok")).where(X.token_keep(F.col("tok")))
-    g = e.groupBy("k", "tok").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-    w = Window.partitionBy("k").orderBy(F.desc("n"), F.asc("first"))
-    top = g.withColumn("rk", F.row_number().over(w).cast("bigint")).where(F.col("rk") <= 3)
-    return top.select("k.conv_id", "k.turn", "tok", "n", "rk")
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", X.tokens("text").alias("toks"))
+    return A.topk_tokens(c, ["conv_id", "turn"], "toks", 3)

@@ -46,12 +46,16 @@ def upsert(existing: DataFrame, batch: DataFrame, key: str, seq: str) -> DataFra
     ``seq``); NULL keys always kept.  One partial aggregate, no window."""
     u = (existing.withColumn("_side", F.lit(0))
          .unionByName(batch.withColumn("_side", F.lit(1)), allowMissingColumns=True))
-    cols = [c for c in u.columns if c != "_side"]
+    return last_write(u, key, seq, F.col("_side")).drop("_side")
+
+
+def last_write(rows: DataFrame, key: str, seq: str, side: Column) -> DataFrame:
+    """K02 over one frame that holds both sides (``side`` 0: table, 1: batch)."""
     g = F.coalesce(F.col(key).cast("string"),
-                   F.concat(F.lit("#"), F.col("_side").cast("string"), F.lit(":"), F.col(seq).cast("string")))
-    return (u.groupBy(g.alias("_g"))
-             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct("_side", seq)).alias("_r"))
-             .select("_r.*"))
+                   F.concat(F.lit("#"), side.cast("string"), F.lit(":"), F.col(seq).cast("string")))
+    return (rows.groupBy(g.alias("_g"))
+                .agg(F.max_by(F.struct(*[F.col(c) for c in rows.columns]), F.struct(side, seq)).alias("_r"))
+                .select("_r.*"))
 
 
 # ----------------------------------------------------------------- K03
