@@ -97,6 +97,19 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return names
 
 
+def joined(spark: SparkSession, names: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after more links (a, b): only links between different roots are worked on."""
+    for c in "ab":
+        links = links.join(names.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")), c, "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c))
+    fresh = written(spark, links.filter("ra <> rb").select("a", "b", "ra", "rb").distinct(), "cc-fresh")
+    if fresh.isEmpty():
+        return names
+    top = components(spark, fresh.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = names.unionByName(fresh.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                              .join(names.select("node"), "node", "left_anti").withColumn("root", F.col("node")))
+    return written(spark, known.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "cc-all")
+
+
 class Shared:
     """An object of this package sent to the tasks once.
 

@@ -11,14 +11,16 @@ so of d + 1 sketch pieces (64 bits each) one at least is equal.  Bands are a
 factor 10/9 wide: linked sets are in the same or in neighbouring bands, and a
 text emits the pieces of its own band and of the next.
 
-Pieces meet on a 64-bit key.  Within a key no pairs are listed: one member,
-the one that meets most others (the middle of a group of near copies), is
-compared with the rest on the whole sets, so a group of near copies costs one
-comparison per member.  Members that do not link with it can only link with
-members that differ from it in a common shingle (see ``refined``), so those
-shingles are the keys of the next round.  Keys whose members are one component
-are done; rounds go on until no key is left, so every link that can join two
-components is tested.
+Pieces meet on a 64-bit key.  The members of a key with a few of them are
+compared with each other.  Within a larger one no pairs are listed: one member
+is compared with the rest on the whole sets, which also tells everybody's
+difference from the members' centre, and so from the member nearest to it (see
+``centred``).  A group of near copies costs one comparison per member.
+Members that do not link with the nearest one can link with another only if
+both differ from the centre in a common shingle, or are small or near enough
+(see ``refined``), so such shingles are the keys of the next round.  Keys whose
+members are one component are done; rounds go on until no key is left, so
+every link that can join two components is tested.
 
 Defined cases: NULL or empty text or text without words has an empty set,
 links with nothing and is its own component; a text without doc_id takes part,
@@ -32,12 +34,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bucketed, components, mix, read, runs, signed, slices, words, written
+from .common import bucketed, joined, mix, read, runs, signed, slices, words, written
 
 NUM, DEN = 90, 100  # least Jaccard similarity
 SHINGLE = 3
+FEW = 6  # members of a key that are all compared with each other
 _RATIO = np.log(DEN / NUM)
 
 
@@ -131,68 +135,125 @@ def apart(n: Column, m: Column) -> Column:
     return F.floor((n + m) * (DEN - NUM) / (DEN + NUM))
 
 
-def compared(open_keys: DataFrame, whole: DataFrame) -> DataFrame:
-    """Every member of a key against the key's leader b, on the whole sets:
-    (b, x, nb, nx, linked, added, removed), added = x without b, removed = b without x."""
-    lead = open_keys.groupBy("key").agg(F.max_by("name", F.struct("weight", "name")).alias("b"))
-    pairs = open_keys.join(lead, "key").filter("name <> b").select("b", F.col("name").alias("x")).distinct()
+def pairs_to_test(open_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(b, x) of every large key's leader with its members, and of all members of
+    keys with at most ``FEW`` of them, which are settled by that."""
+    per = open_keys.groupBy("key").agg(F.count("*").alias("size"), F.max_by("name", F.struct("weight", "name")).alias("b"))
+    led = open_keys.join(per.filter(F.col("size") > FEW).select("key", "b"), "key").filter("name <> b").select("b", F.col("name").alias("x"))
+    few = open_keys.join(per.filter(F.col("size") <= FEW).select("key"), "key").select("key", "name", "root")
+    other = few.select("key", F.col("name").alias("x"), F.col("root").alias("root_x"))
+    both = few.join(other, "key").filter("name < x and root <> root_x").select(F.col("name").alias("b"), "x")
+    return led.distinct(), both.distinct()
+
+
+def compared(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """The pairs on the whole sets: (b, x, nb, nx, linked, added, removed), added = x without b, removed = b without x."""
     left = whole.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     right = whole.select(F.col("name").alias("x"), F.col("n").alias("nx"), F.col("shingles").alias("sx"))
     rows = (pairs.join(left, "b").join(right, "x")
             .select("b", "x", "nb", "nx", F.array_except("sx", "sb").alias("added"), F.array_except("sb", "sx").alias("removed")))
-    differ = F.size("added") + F.size("removed")
-    return rows.withColumn("differ", differ).withColumn("linked", F.col("differ") <= apart(F.col("nb"), F.col("nx")))
+    return rows.withColumn("linked", F.size("added") + F.size("removed") <= apart(F.col("nb"), F.col("nx")))
 
 
-def refined(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """(key, name, n, root): keys on which members of different components may still link.
+def centred(tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members and their differences from the centre of each leader's members.
 
-    Take u that does not link with its leader b, and y that links with u.  If
-    they have no added shingle in common, their difference is at least
-    differ(u) + n(y) - n(b), which is more than allowed unless y is smaller
-    than b; then they have a removed shingle in common.  So u and y meet on an
-    added shingle, or on a removed one if their sizes allow it.
+    The centre is the set of shingles that more than half of the members have;
+    it need not be a text.  Differences from it follow from those from the
+    leader.  Returns (b, x, n, nc, off, head, linked) - size, centre's size,
+    shingles off the centre, the member nearest to the centre, whether x links
+    with it - and (b, x, e, plus): x has e and the centre not, or the reverse.
+    Leaders whose members all link, or with one member only, are settled.
+    """
+    spark = tested.sparkSession
+    active = tested.groupBy("b").agg(F.count("*").alias("m"), F.bool_and("linked").alias("all")).filter("m > 1 and not all").select("b", "m")
+    rows = written(spark, tested.join(active, "b"), "sketch-active")
+    diff = rows.select("b", "x", "m", F.explode(F.concat(F.transform("added", lambda e: F.struct(e.alias("e"), F.lit(True).alias("plus"))),
+                                                         F.transform("removed", lambda e: F.struct(e.alias("e"), F.lit(False).alias("plus"))))).alias("d"))
+    diff = diff.select("b", "x", "m", "d.e", "d.plus")
+    own = written(spark, diff.groupBy("b", "e", "plus").agg(F.count("*").alias("c"), F.first("m").alias("m"))
+                  .filter(2 * F.col("c") > F.col("m") + 1).select("b", "e", "plus"), "sketch-own")  # in which the leader is alone
+    shift = own.groupBy("b").agg(F.count("*").alias("k"), F.sum(F.when(F.col("plus"), 1).otherwise(-1)).alias("shift"))
+    both = diff.join(own, ["b", "e", "plus"]).groupBy("b", "x").agg(F.count("*").alias("both"))
+    every = rows.select("b", "x", F.col("nx").alias("n"), "nb", (F.size("added") + F.size("removed")).alias("differ"))
+    every = every.unionByName(rows.select("b", F.col("b").alias("x"), F.col("nb").alias("n"), "nb", F.lit(0).alias("differ")).distinct())
+    every = every.join(shift, "b", "left").join(both, ["b", "x"], "left").fillna(0, ["k", "shift", "both"])
+    every = written(spark, every.select("b", "x", "n", "k", "both", (F.col("nb") + F.col("shift")).alias("nc"), (F.col("differ") + F.col("k") - 2 * F.col("both")).alias("off")), "sketch-every")
+    lacking = every.filter("both < k").select("b", "x").join(own, "b").join(diff.select("b", "x", "e", "plus"), ["b", "x", "e", "plus"], "left_anti")
+    away = diff.drop("m").join(own, ["b", "e", "plus"], "left_anti").unionByName(lacking.withColumn("plus", ~F.col("plus")))
+    away = written(spark, away.select("b", "x", "e", "plus"), "sketch-away")
+    head = every.groupBy("b").agg(F.min_by(F.struct("x", "n", "off"), F.struct("off", "x")).alias("h")).select("b", F.col("h.x").alias("head"), F.col("h.n").alias("nh"), F.col("h.off").alias("oh"))
+    common = (away.join(head.select("b", F.col("head").alias("x")), ["b", "x"]).select("b", "e", "plus").join(away, ["b", "e", "plus"])
+              .groupBy("b", "x").agg(F.count("*").alias("common")))
+    every = every.join(head, "b").join(common, ["b", "x"], "left").fillna(0, ["common"])
+    linked = F.col("off") + F.col("oh") - 2 * F.col("common") <= apart(F.col("n"), F.col("nh"))
+    return written(spark, every.select("b", "x", "n", "nc", "off", "head", linked.alias("linked")), "sketch-members"), away
+
+
+def refined(every: DataFrame, away: DataFrame, names: DataFrame) -> DataFrame:
+    """(key, name, n, weight, root): keys on which members of different components may still link.
+
+    All members were compared with the head, so take u that does not link with
+    it, and any y; d is what may be between them.  If they link and share added
+    shingles, they share at least added(u) - d.  If they share none, their
+    difference is at least off(u) + n(y) - n(centre) and the reverse, and they
+    share at least off(u) - d removed ones.  If they share nothing, it is
+    off(u) + off(y).  A set that shares t shingles does so among all but t - 1
+    of its own, so only the rarest of each member's are keys.
     """
-    limits = rows.groupBy("b").agg(F.min("nx").alias("least"), F.max("nx").alias("most"), F.min(F.when(~F.col("linked"), F.col("differ"))).alias("near"))
-    r = rows.join(limits.filter("near is not null"), "b")
-    as_u = ~F.col("linked") & (F.col("differ") + F.col("least") - F.col("nb") <= apart(F.col("nx"), F.col("nb")))
-    as_y = (F.col("nx") < F.col("nb")) & (F.col("near") + F.col("nx") - F.col("nb") <= apart(F.col("nx"), F.col("most")))
-    none = F.expr("array()").cast("array<long>")
-    on = F.concat(F.transform("added", lambda e: F.xxhash64("b", F.lit("+"), e)),
-                  F.transform(F.when(as_u | as_y, F.col("removed")).otherwise(none), lambda e: F.xxhash64("b", F.lit("-"), e)))
-    keyed = r.select(F.col("x").alias("name"), F.col("nx").alias("n"), F.explode(on).alias("key"))
-    return keyed.distinct().join(names.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "n", F.coalesce("root", "name").alias("root"))
+    m = every.filter("x <> head").join(names.withColumnRenamed("node", "x"), "x", "left").withColumn("root", F.coalesce("root", "x"))
+    free = F.when(~F.col("linked"), F.col("off"))
+    limits = m.groupBy("b").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("off").alias("near"), F.min(free).alias("near_u"),
+                                F.min(F.when(~F.col("linked"), F.col("n"))).alias("least_u"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    m = m.join(limits.filter("near_u is not null and r1 < r2"), "b").withColumn("d", apart(F.col("n"), F.col("most")))
+    minus = (~F.col("linked") & (F.col("off") + F.col("least") - F.col("nc") <= F.col("d"))) | (F.col("off") + F.col("least_u") - F.col("nc") <= F.col("d"))
+    alone = (~F.col("linked") & (F.col("off") + F.col("near") <= F.col("d"))) | (F.col("off") + F.col("near_u") <= F.col("d"))
+    weight = (-F.col("off")).cast("long").alias("weight")
+    often = away.groupBy("b", "e", "plus").agg(F.count("*").alias("times"))
+    own = W.partitionBy("b", "x", "plus")
+    keyed = (away.join(m.withColumn("minus", minus), ["b", "x"]).filter("plus or minus").join(often, ["b", "e", "plus"])
+             .withColumn("place", F.row_number().over(own.orderBy("times", "e"))).withColumn("of", F.count("*").over(own)))
+    first = F.when(F.col("plus"), F.least(F.col("of"), F.col("d") + 1)).otherwise(F.least(F.col("of"), F.col("of") - F.col("off") + F.col("d") + 1))
+    keyed = (keyed.filter((F.col("place") <= first) & (F.col("times") > 1))
+             .select(F.xxhash64("b", "e", "plus").alias("key"), F.col("x").alias("name"), "n", weight, "root"))
+    return keyed.unionByName(m.filter(alone).select(F.xxhash64("b", F.lit("alone")).alias("key"), F.col("x").alias("name"), "n", weight, "root"))
 
 
 def unsettled(rows: DataFrame) -> DataFrame:
-    """Rows of the keys that still hold several components, with each member's
-    weight: how many members it meets (the middle of a group has most)."""
+    """The rows of keys that hold several components."""
     spark = rows.sparkSession
-    rows = written(spark, rows, "sketch-keys")
-    hot = rows.groupBy("key").agg((F.min("root") < F.max("root")).alias("more"), F.count("*").alias("size")).filter("more").select("key", "size")
-    met = written(spark, rows.join(hot, "key"), "sketch-met")
-    return written(spark, met.join(met.groupBy("name").agg(F.sum("size").alias("weight")), "name").drop("size"), "sketch-open")
+    rows = written(spark, rows.groupBy("key", "name").agg(F.first("n").alias("n"), F.max("weight").alias("weight"), F.first("root").alias("root")), "sketch-keys")
+    hot = rows.groupBy("key").agg((F.min("root") < F.max("root")).alias("more")).filter("more").select("key")
+    return written(spark, rows.join(hot, "key", "left_semi"), "sketch-open")
 
 
 def classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, root): the component of every class that links with another one; ``rows`` is ``sketched(docs)``."""
     spark = docs.sparkSession
     one = rows.filter("name is not null").dropDuplicates(["name"]).select("name", "n", F.explode("keys").alias("key"))
-    hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more")).filter("more").select("key")
-    open_keys = unsettled(one.join(hot, "key", "left_semi").withColumn("root", F.col("name")))
+    hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more"), F.count("*").alias("size")).filter("more").drop("more")
+    met = written(spark, one.join(hot, "key"), "sketch-met")
+    weight = met.groupBy("name").agg(F.sum("size").alias("weight"))  # the middle of a group meets most
+    open_keys = written(spark, met.drop("size").join(weight, "name").withColumn("root", F.col("name")), "sketch-open")
 
     # the sets of the members, from the text of one row each; merge joins at every size, so that the plan does not depend on it
-    chosen = rows.join(open_keys.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    chosen = written(spark, chosen, "sketch-members")
+    chosen = rows.join(weight.select("name"), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    chosen = written(spark, chosen, "sketch-chosen")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(
         chosen.select(F.col("doc_id").alias("_id")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     with bucketed(spark, full_sets(texts).join(chosen.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"]), "name") as whole:
-        links, names = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "node long, root long")
+        names = spark.createDataFrame([], "node long, root long")
         while not open_keys.isEmpty():
-            tested = written(spark, compared(open_keys, whole), "sketch-tested")
+            led, few = pairs_to_test(open_keys)
+            tested = written(spark, compared(led, whole), "sketch-tested")
+            links = written(spark, compared(few, whole).filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")), "sketch-links")
             links = links.unionByName(tested.filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")))
-            names = components(spark, links)
-            open_keys = unsettled(refined(tested, names))
+            if tested.isEmpty():
+                return joined(spark, names, links)
+            every, away = centred(tested)
+            links = links.unionByName(every.filter("linked").select(F.col("head").alias("a"), F.col("x").alias("b")))
+            names = joined(spark, names, links)
+            open_keys = unsettled(refined(every, away, names))
     return names
 
 
