@@ -10,7 +10,6 @@ from .text import strip, title_case
 
 _c = lambda c: F.col(c) if isinstance(c, str) else c
 
-CONTROL_RE = r"^(\d+)-1-(\d+)/(\d+)"
 ISO_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd")
 
 
@@ -81,12 +80,12 @@ def parse_control(c) -> Column:
     """Control number -> struct(cnpj, seq without leading zeros, ano);
     prefix match of ``{digits}-1-{digits}/{digits}``, else NULL."""
     s = strip(_c(c))
-    ok = s.rlike(CONTROL_RE)
-    seq = F.regexp_replace(F.regexp_extract(s, CONTROL_RE, 2), r"^0+(?=\d)", "")
+    ok = s.rlike(fixed.CONTROL_RE)
+    seq = F.regexp_replace(F.regexp_extract(s, fixed.CONTROL_RE, 2), r"^0+(?=\d)", "")
     return F.when(ok, F.struct(
-        F.regexp_extract(s, CONTROL_RE, 1).alias("cnpj"),
+        F.regexp_extract(s, fixed.CONTROL_RE, 1).alias("cnpj"),
         seq.alias("seq"),
-        F.regexp_extract(s, CONTROL_RE, 3).alias("ano")))
+        F.regexp_extract(s, fixed.CONTROL_RE, 3).alias("ano")))
 
 
 def portal_link(c) -> Column:
@@ -186,20 +185,6 @@ def category_name(c, names: dict | None = None) -> Column:
 
 
 # ---------------------------------------------------------------- files
-CONTENT_TYPE_EXT = {
-    "application/pdf": ".pdf",
-    "application/msword": ".doc",
-    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": ".docx",
-    "application/vnd.ms-excel": ".xls",
-    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": ".xlsx",
-    "application/zip": ".zip",
-    "text/plain": ".txt",
-    "text/html": ".html",
-    "image/jpeg": ".jpg",
-    "image/png": ".png",
-}  # fixed values: content type -> file extension (else ".bin")
-
-
 def sanitize_name(c) -> Column:
     """Characters invalid in file names -> '_', then stripped."""
     return strip(F.regexp_replace(_c(c), r'[\\/:*?"<>|]', "_"))
@@ -207,12 +192,12 @@ def sanitize_name(c) -> Column:
 
 def ext_for_content_type(c) -> Column:
     ct = strip(F.substring_index(F.lower(_c(c)), ";", 1))
-    lut = F.create_map(*[F.lit(t) for kv in CONTENT_TYPE_EXT.items() for t in kv])
+    lut = F.create_map(*[F.lit(t) for kv in fixed.CONTENT_TYPE_EXT.items() for t in kv])
     return F.coalesce(F.element_at(lut, ct), F.lit(".bin"))
 
 
 def name_from_disposition(c) -> Column:
     """File name from a Content-Disposition header, sanitized; else NULL."""
-    m = F.regexp_extract(_c(c), r"""(?i)filename\*?=["']?(?:UTF-8'')?([^"';\r\n]+)""", 1)
+    m = F.regexp_extract(_c(c), fixed.DISPOSITION_RE, 1)
     n = F.regexp_replace(strip(m), r"""^["']+|["']+$""", "")
     return F.when(n != "", sanitize_name(n))

@@ -195,6 +195,24 @@ DASH = "—"
 PORTAL_BASE = "https://pncp.gov.br/editais/"
 SITE_BASE = "https://pncp.gov.br"
 
+# Control number, and the file name of a Content-Disposition header.
+CONTROL_RE = r"^(\d+)-1-(\d+)/(\d+)"
+DISPOSITION_RE = r"""(?i)filename\*?=["']?(?:UTF-8'')?([^"';\r\n]+)"""
+
+# Content type -> file extension (others: ".bin").
+CONTENT_TYPE_EXT = {
+    "application/pdf": ".pdf",
+    "application/msword": ".doc",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": ".docx",
+    "application/vnd.ms-excel": ".xls",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": ".xlsx",
+    "application/zip": ".zip",
+    "text/plain": ".txt",
+    "text/html": ".html",
+    "image/jpeg": ".jpg",
+    "image/png": ".png",
+}
+
 # Decision thresholds.
 THRESHOLD_RELEVANT = 0.85
 THRESHOLD_REVIEW = 0.40

@@ -137,29 +137,45 @@ def q_nested_group(spark, sf_dir):
     return A.group_by_modality(premium(spark, sf_dir))
 
 
+def _joined(sql, order):
+    return f"(SELECT coalesce(string_agg(t, ';' ORDER BY {order}), '') FROM ({sql}))"
+
+
 @query("premium_payload", PREM_BASE + """
 SELECT (SELECT count(*) FROM prem) AS total_registros,
   (SELECT count(*) FROM (SELECT DISTINCT modalidade_id, modalidade_nome FROM prem
      WHERE modalidade_id IS NOT NULL AND coalesce(modalidade_nome, '') <> '')) AS total_modalidades,
-  (SELECT count(DISTINCT uf_sigla) FROM prem WHERE coalesce(uf_sigla, '') <> '') AS n_ufs,
-  (SELECT count(*) FROM (SELECT 1 FROM prem WHERE coalesce(municipio_nome, '') <> '' AND coalesce(uf_sigla, '') <> ''
-     GROUP BY municipio_nome, uf_sigla LIMIT 20)) AS n_municipios,
-  (SELECT categoria_objeto FROM prem GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_categoria,
-  (SELECT min(nullif(publicacao_pncp, '')) FROM prem) AS menor_data_publicacao""")
+  """ + _joined("""SELECT modalidade_id AS i, modalidade_nome AS n, modalidade_id || '|' || modalidade_nome || '|' || count(*) AS t FROM prem
+    WHERE modalidade_id IS NOT NULL AND coalesce(modalidade_nome, '') <> '' GROUP BY modalidade_id, modalidade_nome""", "i, n") + """ AS modalidades,
+  """ + _joined("""SELECT uf_sigla AS u, count(*) AS q, uf_sigla || '|' || count(*) AS t FROM prem WHERE coalesce(uf_sigla, '') <> '' GROUP BY uf_sigla""",
+                "q DESC, u") + """ AS ufs,
+  """ + _joined("""SELECT municipio_nome AS m, uf_sigla AS u, count(*) AS q, municipio_nome || '|' || uf_sigla || '|' || count(*) AS t FROM prem
+    WHERE coalesce(municipio_nome, '') <> '' AND coalesce(uf_sigla, '') <> '' GROUP BY municipio_nome, uf_sigla ORDER BY q DESC, m, u LIMIT 20""", "q DESC, m, u") + """ AS municipios,
+  """ + _joined("""SELECT categoria_objeto AS c, count(*) AS q, categoria_objeto || '|' || count(*) AS t FROM prem GROUP BY categoria_objeto""",
+                "q DESC, c") + """ AS categorias,
+  (SELECT coalesce(CAST(sum(CAST(valor_total_estimado AS DECIMAL(18,2))) AS DOUBLE), 0.0) FROM prem) AS soma,
+  (SELECT min(nullif(publicacao_pncp, '')) FROM prem) AS menor_data_publicacao,
+  (SELECT max(nullif(publicacao_pncp, '')) FROM prem) AS maior_data_publicacao""")
 def q_premium_payload(spark, sf_dir):
     """One JSON document with metadata and the bounded summaries
-    (A02-A06); the grouped notices stay a table (A07 + rows)."""
-    p = premium(spark, sf_dir)
-    doc = premium_payload(p)
+    (A02-A06), every entry compared; the grouped notices stay a table (A07 + rows)."""
+    doc = premium_payload(premium(spark, sf_dir))
+
+    def rows(path, fields):
+        schema = "array<struct<" + ", ".join(f"{f}:string" for f in (*fields, "quantidade")) + ">>"
+        parsed = F.from_json(F.get_json_object("payload", path), schema)
+        return F.array_join(F.transform(parsed, lambda e: F.concat_ws("|", *[e[f] for f in (*fields, "quantidade")])), ";")
+
     g = lambda path, t="string": F.get_json_object("payload", path).cast(t)
     return doc.select(g("$.metadata.totalRegistros", "bigint").alias("total_registros"),
                       g("$.metadata.totalModalidades", "bigint").alias("total_modalidades"),
-                      F.size(F.from_json(F.get_json_object("payload", "$.resumoPorUF"), "array<string>"))
-                       .cast("bigint").alias("n_ufs"),
-                      F.size(F.from_json(F.get_json_object("payload", "$.resumoPorMunicipio"), "array<string>"))
-                       .cast("bigint").alias("n_municipios"),
-                      g("$.resumoPorCategoria[0].categoria").alias("top_categoria"),
-                      g("$.estatisticasGerais.menor_data_publicacao").alias("menor_data_publicacao"))
+                      rows("$.resumoModalidades", ["modalidadeId", "modalidadeNome"]).alias("modalidades"),
+                      rows("$.resumoPorUF", ["uf"]).alias("ufs"),
+                      rows("$.resumoPorMunicipio", ["municipio", "uf"]).alias("municipios"),
+                      rows("$.resumoPorCategoria", ["categoria"]).alias("categorias"),
+                      g("$.estatisticasGerais.valor_total_estimado_somado", "double").alias("soma"),
+                      g("$.estatisticasGerais.menor_data_publicacao").alias("menor_data_publicacao"),
+                      g("$.estatisticasGerais.maior_data_publicacao").alias("maior_data_publicacao"))
 
 
 def premium_payload(p):
@@ -376,7 +392,7 @@ def q_valid_link(spark, sf_dir):
     """usable links only (http..., any case), else NULL."""
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", D.valid_link("url").alias("url_ok"),
-                    D.valid_link(F.substring("url", 5, 1 << 20)).alias("cortado"),
+                    D.valid_link(F.substring("url", F.lit(5), F.length("url"))).alias("cortado"),
                     D.valid_link(F.upper("url")).alias("maiusculo"))
 
 
