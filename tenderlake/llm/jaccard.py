@@ -41,7 +41,7 @@ from .common import bucketed, joined, mix, read, runs, signed, slices, words, wr
 
 NUM, DEN = 90, 100  # least Jaccard similarity
 SHINGLE = 3
-FEW = 6  # members of a key that are all compared with each other
+FEW, FEW_LATER = 6, 16  # members of a key, in the first and in later rounds, that are all compared with each other
 _RATIO = np.log(DEN / NUM)
 
 
@@ -135,14 +135,15 @@ def apart(n: Column, m: Column) -> Column:
     return F.floor((n + m) * (DEN - NUM) / (DEN + NUM))
 
 
-def pairs_to_test(open_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pairs_to_test(open_keys: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
     """(b, x) of every large key's leader with its members, and of all members of
-    keys with at most ``FEW`` of them, which are settled by that."""
+    keys with at most ``few`` of them, which are settled by that."""
     per = open_keys.groupBy("key").agg(F.count("*").alias("size"), F.max_by("name", F.struct("weight", "name")).alias("b"))
-    led = open_keys.join(per.filter(F.col("size") > FEW).select("key", "b"), "key").filter("name <> b").select("b", F.col("name").alias("x"))
-    few = open_keys.join(per.filter(F.col("size") <= FEW).select("key"), "key").select("key", "name", "root")
-    other = few.select("key", F.col("name").alias("x"), F.col("root").alias("root_x"))
-    both = few.join(other, "key").filter("name < x and root <> root_x").select(F.col("name").alias("b"), "x")
+    led = open_keys.join(per.filter(F.col("size") > few).select("key", "b"), "key").filter("name <> b").select("b", F.col("name").alias("x"))
+    small = open_keys.join(per.filter(F.col("size") <= few).select("key"), "key").select("key", "name", "n", "root")
+    other = small.select("key", F.col("name").alias("x"), F.col("n").alias("nx"), F.col("root").alias("root_x"))
+    fits = DEN * F.least("n", "nx") >= NUM * F.greatest("n", "nx")
+    both = small.join(other, "key").filter(F.expr("name < x and root <> root_x") & fits).select(F.col("name").alias("b"), "x")
     return led.distinct(), both.distinct()
 
 
@@ -243,17 +244,18 @@ def classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
         chosen.select(F.col("doc_id").alias("_id")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     with bucketed(spark, full_sets(texts).join(chosen.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"]), "name") as whole:
         names = spark.createDataFrame([], "node long, root long")
+        few = FEW
         while not open_keys.isEmpty():
-            led, few = pairs_to_test(open_keys)
+            led, both = pairs_to_test(open_keys, few)
             tested = written(spark, compared(led, whole), "sketch-tested")
-            links = written(spark, compared(few, whole).filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")), "sketch-links")
+            links = written(spark, compared(both, whole).filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")), "sketch-links")
             links = links.unionByName(tested.filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")))
             if tested.isEmpty():
                 return joined(spark, names, links)
             every, away = centred(tested)
             links = links.unionByName(every.filter("linked").select(F.col("head").alias("a"), F.col("x").alias("b")))
             names = joined(spark, names, links)
-            open_keys = unsettled(refined(every, away, names))
+            open_keys, few = unsettled(refined(every, away, names)), FEW_LATER
     return names
 
 
