@@ -201,3 +201,30 @@ def test_line_stage(docs):
     assert sorted(((r.doc_id or 0, r.text, r.n_chars) for r in out.collect()), key=str) == sorted(
         [(2, "fresh words are here", 20), (1, "p q", 3), (4, "\n", 1), (0, "p q", 3), (5, None, None)], key=str)
     assert lines.stage(d.limit(0)).count() == 0
+
+
+def near_copies(rng, groups):
+    """Texts around bases that may themselves be missing: edits, cuts and additions shared by some."""
+    rows = []
+    for g in range(groups):
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 110]))]
+        tail = [f"t{g}x{i}" for i in range(6)]
+        for _ in range(24):
+            w = list(base)
+            kind = rng.randrange(4)
+            for _ in range(rng.randrange(0, 5)):
+                at = rng.randrange(len(w))
+                w[at:at + 1] = [[f"e{rng.randrange(8)}"], [], [f"e{rng.randrange(10**6)}"], [w[at], "more"]][kind]
+            if kind == 1:
+                w = w[:len(w) - rng.randrange(0, 14)]
+            rows.append((len(rows), " ".join(w + (tail if rng.random() < 0.4 else []))))
+    return rows
+
+
+def test_jaccard_large_keys(docs, monkeypatch):
+    """With no key small enough to be compared pairwise, centres and refined keys do all the work."""
+    monkeypatch.setattr(jaccard, "FEW", 1)
+    monkeypatch.setattr(jaccard, "FEW_LATER", 1)
+    rows = near_copies(random.Random(4), 3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.grouped(docs(rows)).collect()}
+    assert got == brute_components(rows)
