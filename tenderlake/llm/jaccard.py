@@ -7,7 +7,9 @@ Equal sets are one class from the start.  For the others, every shingle flips
 one bit of a sketch, so the Hamming distance of two sketches never exceeds the
 sets' symmetric difference, which for linked sets is at most (|A| + |B|) / 19.
 In the size band whose largest set is ``top`` that is d = floor(2 * top / 19),
-so of d + 1 sketch pieces (64 bits each) one at least is equal.  Bands are a
+so of d + 1 sketch pieces one at least is equal.  A piece has so many bits that
+unlike sets hardly ever agree in it, and is held as the XOR of its set bits'
+64-bit hashes: chance meetings would grow with the square of the input.  Bands are a
 factor 10/9 wide: linked sets are in the same or in neighbouring bands, and a
 text emits the pieces of its own band and of the next.
 
@@ -75,22 +77,24 @@ def set_name(s: np.ndarray) -> int:
     return int(signed(mix(np.array([mix(s ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64) + np.uint64(s.size)], np.uint64)))[0])
 
 
-def sketch(s: np.ndarray, k: int) -> np.ndarray:
-    """Parity sketch of k 64-bit pieces."""
-    x = mix(s + np.uint64(0x632BE59BD9B4E019))
+def sketch(x: np.ndarray, k: int) -> np.ndarray:
+    """The k pieces of the parity sketch of sorted hashes: a hash's high half
+    gives the piece, all of it the bit; a piece is held as the XOR of its bits' hashes."""
     piece = ((x >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-    bit = (piece * np.uint64(64) + (x & np.uint64(63))).astype(np.int64)
-    return np.packbits((np.bincount(bit, minlength=64 * k) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+    used, start = np.unique(piece, return_index=True)
+    out = np.zeros(k, np.uint64)
+    out[used.astype(np.int64)] = np.bitwise_xor.reduceat(mix(x), start)
+    return out
 
 
 def keys(s: np.ndarray) -> np.ndarray:
     """Join keys (band, piece number, piece) of a set, in its own band and the next."""
-    out = [np.zeros(0, np.uint64)]
+    out, x = [np.zeros(0, np.uint64)], np.sort(mix(s + np.uint64(0x632BE59BD9B4E019)))
     for b in (band(s.size), band(s.size) + 1) if s.size else ():
         k = pieces(b)
         if k > 1:  # else only equal sets link
             place = mix(np.arange(k, dtype=np.uint64) + np.uint64(b << 32))
-            out.append(mix(sketch(s, k) ^ place) + place)
+            out.append(mix(sketch(x, k) ^ place) + place)
     return np.concatenate(out)
 
 
@@ -175,14 +179,15 @@ def centred(tested: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = written(spark, diff.groupBy("b", "e", "plus").agg(F.count("*").alias("c"), F.first("m").alias("m"))
                   .filter(2 * F.col("c") > F.col("m") + 1).select("b", "e", "plus"), "sketch-own")  # in which the leader is alone
     shift = own.groupBy("b").agg(F.count("*").alias("k"), F.sum(F.when(F.col("plus"), 1).otherwise(-1)).alias("shift"))
-    both = diff.join(own, ["b", "e", "plus"]).groupBy("b", "x").agg(F.count("*").alias("both"))
+    marked = written(spark, diff.drop("m").join(own.withColumn("own", F.lit(True)), ["b", "e", "plus"], "left"), "sketch-marked")
+    shared = marked.filter("own").select("b", "x", "e", "plus")
     every = rows.select("b", "x", F.col("nx").alias("n"), "nb", (F.size("added") + F.size("removed")).alias("differ"))
     every = every.unionByName(rows.select("b", F.col("b").alias("x"), F.col("nb").alias("n"), "nb", F.lit(0).alias("differ")).distinct())
-    every = every.join(shift, "b", "left").join(both, ["b", "x"], "left").fillna(0, ["k", "shift", "both"])
+    every = every.join(shift, "b", "left").join(shared.groupBy("b", "x").agg(F.count("*").alias("both")), ["b", "x"], "left").fillna(0, ["k", "shift", "both"])
     every = written(spark, every.select("b", "x", "n", "k", "both", (F.col("nb") + F.col("shift")).alias("nc"), (F.col("differ") + F.col("k") - 2 * F.col("both")).alias("off")), "sketch-every")
-    lacking = every.filter("both < k").select("b", "x").join(own, "b").join(diff.select("b", "x", "e", "plus"), ["b", "x", "e", "plus"], "left_anti")
-    away = diff.drop("m").join(own, ["b", "e", "plus"], "left_anti").unionByName(lacking.withColumn("plus", ~F.col("plus")))
-    away = written(spark, away.select("b", "x", "e", "plus"), "sketch-away")
+    lacking = every.filter("both < k").select("b", "x").join(own, "b").join(shared, ["b", "x", "e", "plus"], "left_anti")
+    away = marked.filter("own is null").select("b", "x", "e", "plus").unionByName(lacking.select("b", "x", "e", (~F.col("plus")).alias("plus")))
+    away = written(spark, away, "sketch-away")
     head = every.groupBy("b").agg(F.min_by(F.struct("x", "n", "off"), F.struct("off", "x")).alias("h")).select("b", F.col("h.x").alias("head"), F.col("h.n").alias("nh"), F.col("h.off").alias("oh"))
     common = (away.join(head.select("b", F.col("head").alias("x")), ["b", "x"]).select("b", "e", "plus").join(away, ["b", "e", "plus"])
               .groupBy("b", "x").agg(F.count("*").alias("common")))
@@ -210,12 +215,14 @@ def refined(every: DataFrame, away: DataFrame, names: DataFrame) -> DataFrame:
     minus = (~F.col("linked") & (F.col("off") + F.col("least") - F.col("nc") <= F.col("d"))) | (F.col("off") + F.col("least_u") - F.col("nc") <= F.col("d"))
     alone = (~F.col("linked") & (F.col("off") + F.col("near") <= F.col("d"))) | (F.col("off") + F.col("near_u") <= F.col("d"))
     weight = (-F.col("off")).cast("long").alias("weight")
-    often = away.groupBy("b", "e", "plus").agg(F.count("*").alias("times"))
+    often = away.groupBy("b", "e", "plus").agg(F.count("*").alias("times")).filter("times > 1")
     own = W.partitionBy("b", "x", "plus")
-    keyed = (away.join(m.withColumn("minus", minus), ["b", "x"]).filter("plus or minus").join(often, ["b", "e", "plus"])
-             .withColumn("place", F.row_number().over(own.orderBy("times", "e"))).withColumn("of", F.count("*").over(own)))
+    # shingles off the centre that no other member has are rarest of all: they count, but are not looked at
+    keyed = (away.join(often, ["b", "e", "plus"]).join(m.withColumn("minus", minus), ["b", "x"]).filter("plus or minus")
+             .withColumn("of", (F.col("off") + F.when(F.col("plus"), F.col("n") - F.col("nc")).otherwise(F.col("nc") - F.col("n"))) / 2)
+             .withColumn("place", F.row_number().over(own.orderBy("times", "e")) + F.col("of") - F.count("*").over(own)))
     first = F.when(F.col("plus"), F.least(F.col("of"), F.col("d") + 1)).otherwise(F.least(F.col("of"), F.col("of") - F.col("off") + F.col("d") + 1))
-    keyed = (keyed.filter((F.col("place") <= first) & (F.col("times") > 1))
+    keyed = (keyed.filter(F.col("place") <= first)
              .select(F.xxhash64("b", "e", "plus").alias("key"), F.col("x").alias("name"), "n", weight, "root"))
     return keyed.unionByName(m.filter(alone).select(F.xxhash64("b", F.lit("alone")).alias("key"), F.col("x").alias("name"), "n", weight, "root"))
 
