@@ -11,8 +11,7 @@ from ..operators import records as R
 from ..operators import summary as A
 from ..tables import table
 from . import query
-from .adapters import (DOCS_SQL, FEEDS_SQL, ITEMS_SQL, NOTICES_SQL, feeds_raw, line_arrays,
-                       notice_docs, notices, with_ctes)
+from .adapters import (DOCS_SQL, FEEDS_SQL, ITEMS_SQL, NOTICES_SQL, feeds_raw, notice_docs, notices, with_ctes)
 
 
 def _sql_t(*paths):
