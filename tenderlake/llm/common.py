@@ -8,7 +8,6 @@ the one text that is longer than that) and no Python loop runs per word.
 
 from __future__ import annotations
 
-import math
 import re
 import uuid
 from contextlib import contextmanager
@@ -227,7 +226,3 @@ def local_path(uri: str) -> str | None:
         m = re.match(r"file:/*(/.*)", uri)
         return m[1] if m else None
     return uri
-
-
-def ceil_div(a: int, b: int) -> int:
-    return math.ceil(a / b) if a else 0
