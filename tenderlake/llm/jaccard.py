@@ -160,43 +160,44 @@ def compared(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return rows.withColumn("linked", F.size("added") + F.size("removed") <= apart(F.col("nb"), F.col("nx")))
 
 
-def centred(tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+def centred(tested: DataFrame) -> DataFrame:
     """Members and their differences from the centre of each leader's members.
 
     The centre is the set of shingles that more than half of the members have;
     it need not be a text.  Differences from it follow from those from the
-    leader.  Returns (b, x, n, nc, off, head, linked) - size, centre's size,
-    shingles off the centre, the member nearest to the centre, whether x links
-    with it - and (b, x, e, plus): x has e and the centre not, or the reverse.
+    leader, in the member's row.  Returns (b, x, n, nc, off, plus, minus, head,
+    linked): size, centre's size, shingles off the centre, which x has and
+    lacks, the member nearest to the centre and whether x links with it.
     Leaders whose members all link, or with one member only, are settled.
     """
     spark = tested.sparkSession
     active = tested.groupBy("b").agg(F.count("*").alias("m"), F.bool_and("linked").alias("all")).filter("m > 1 and not all").select("b", "m")
     rows = written(spark, tested.join(active, "b"), "sketch-active")
-    diff = rows.select("b", "x", "m", F.explode(F.concat(F.transform("added", lambda e: F.struct(e.alias("e"), F.lit(True).alias("plus"))),
-                                                         F.transform("removed", lambda e: F.struct(e.alias("e"), F.lit(False).alias("plus"))))).alias("d"))
-    diff = diff.select("b", "x", "m", "d.e", "d.plus")
-    own = written(spark, diff.groupBy("b", "e", "plus").agg(F.count("*").alias("c"), F.first("m").alias("m"))
-                  .filter(2 * F.col("c") > F.col("m") + 1).select("b", "e", "plus"), "sketch-own")  # in which the leader is alone
-    shift = own.groupBy("b").agg(F.count("*").alias("k"), F.sum(F.when(F.col("plus"), 1).otherwise(-1)).alias("shift"))
-    marked = written(spark, diff.drop("m").join(own.withColumn("own", F.lit(True)), ["b", "e", "plus"], "left"), "sketch-marked")
-    shared = marked.filter("own").select("b", "x", "e", "plus")
-    every = rows.select("b", "x", F.col("nx").alias("n"), "nb", (F.size("added") + F.size("removed")).alias("differ"))
-    every = every.unionByName(rows.select("b", F.col("b").alias("x"), F.col("nb").alias("n"), "nb", F.lit(0).alias("differ")).distinct())
-    every = every.join(shift, "b", "left").join(shared.groupBy("b", "x").agg(F.count("*").alias("both")), ["b", "x"], "left").fillna(0, ["k", "shift", "both"])
-    every = written(spark, every.select("b", "x", "n", "k", "both", (F.col("nb") + F.col("shift")).alias("nc"), (F.col("differ") + F.col("k") - 2 * F.col("both")).alias("off")), "sketch-every")
-    lacking = every.filter("both < k").select("b", "x").join(own, "b").join(shared, ["b", "x", "e", "plus"], "left_anti")
-    away = marked.filter("own is null").select("b", "x", "e", "plus").unionByName(lacking.select("b", "x", "e", (~F.col("plus")).alias("plus")))
-    away = written(spark, away, "sketch-away")
-    head = every.groupBy("b").agg(F.min_by(F.struct("x", "n", "off"), F.struct("off", "x")).alias("h")).select("b", F.col("h.x").alias("head"), F.col("h.n").alias("nh"), F.col("h.off").alias("oh"))
-    common = (away.join(head.select("b", F.col("head").alias("x")), ["b", "x"]).select("b", "e", "plus").join(away, ["b", "e", "plus"])
-              .groupBy("b", "x").agg(F.count("*").alias("common")))
-    every = every.join(head, "b").join(common, ["b", "x"], "left").fillna(0, ["common"])
-    linked = F.col("off") + F.col("oh") - 2 * F.col("common") <= apart(F.col("n"), F.col("nh"))
-    return written(spark, every.select("b", "x", "n", "nc", "off", "head", linked.alias("linked")), "sketch-members"), away
-
-
-def refined(every: DataFrame, away: DataFrame, names: DataFrame) -> DataFrame:
+    diff = rows.select("b", "m", F.explode(signed_shingles(F.col("added"), F.col("removed"))).alias("d")).select("b", "m", "d.e", "d.has")
+    own = (diff.groupBy("b", "e", "has").agg(F.count("*").alias("c"), F.first("m").alias("m")).filter(2 * F.col("c") > F.col("m") + 1)
+           .groupBy("b").agg(F.collect_list(F.when(F.col("has"), F.col("e"))).alias("most"),  # the leader lacks them; no more than sets hold
+                             F.collect_list(F.when(~F.col("has"), F.col("e"))).alias("few")))
+    none = F.expr("array()").cast("array<long>")
+    every = rows.select("b", "x", F.col("nx").alias("n"), "nb", "added", "removed")
+    every = every.unionByName(rows.select("b", F.col("b").alias("x"), F.col("nb").alias("n"), "nb").distinct().withColumn("added", none).withColumn("removed", none))
+    every = every.join(own, "b", "left").withColumn("most", F.coalesce("most", none)).withColumn("few", F.coalesce("few", none))
+    every = every.select("b", "x", "n", (F.col("nb") + F.size("most") - F.size("few")).alias("nc"),
+                         F.concat(F.array_except("added", "most"), F.array_except("few", "removed")).alias("plus"),
+                         F.concat(F.array_except("removed", "few"), F.array_except("most", "added")).alias("minus"))
+    every = written(spark, every.withColumn("off", F.size("plus") + F.size("minus")), "sketch-every")
+    head = every.groupBy("b").agg(F.min_by(F.struct("x", "n", "off", "plus", "minus"), F.struct("off", "x")).alias("h"))
+    every = every.join(head, "b")
+    common = F.size(F.array_intersect("plus", "h.plus")) + F.size(F.array_intersect("minus", "h.minus"))
+    linked = F.col("off") + F.col("h.off") - 2 * common <= apart(F.col("n"), F.col("h.n"))
+    return written(spark, every.select("b", "x", "n", "nc", "off", "plus", "minus", F.col("h.x").alias("head"), linked.alias("linked")), "sketch-members")
+
+
+def signed_shingles(has: Column, lacks: Column) -> Column:
+    return F.concat(F.transform(has, lambda e: F.struct(e.alias("e"), F.lit(True).alias("has"))),
+                    F.transform(lacks, lambda e: F.struct(e.alias("e"), F.lit(False).alias("has"))))
+
+
+def refined(every: DataFrame, names: DataFrame) -> DataFrame:
     """(key, name, n, weight, root): keys on which members of different components may still link.
 
     All members were compared with the head, so take u that does not link with
@@ -212,18 +213,20 @@ def refined(every: DataFrame, away: DataFrame, names: DataFrame) -> DataFrame:
     limits = m.groupBy("b").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("off").alias("near"), F.min(free).alias("near_u"),
                                 F.min(F.when(~F.col("linked"), F.col("n"))).alias("least_u"), F.min("root").alias("r1"), F.max("root").alias("r2"))
     m = m.join(limits.filter("near_u is not null and r1 < r2"), "b").withColumn("d", apart(F.col("n"), F.col("most")))
-    minus = (~F.col("linked") & (F.col("off") + F.col("least") - F.col("nc") <= F.col("d"))) | (F.col("off") + F.col("least_u") - F.col("nc") <= F.col("d"))
+    shrunk = (~F.col("linked") & (F.col("off") + F.col("least") - F.col("nc") <= F.col("d"))) | (F.col("off") + F.col("least_u") - F.col("nc") <= F.col("d"))
     alone = (~F.col("linked") & (F.col("off") + F.col("near") <= F.col("d"))) | (F.col("off") + F.col("near_u") <= F.col("d"))
     weight = (-F.col("off")).cast("long").alias("weight")
-    often = away.groupBy("b", "e", "plus").agg(F.count("*").alias("times")).filter("times > 1")
-    own = W.partitionBy("b", "x", "plus")
-    # shingles off the centre that no other member has are rarest of all: they count, but are not looked at
-    keyed = (away.join(often, ["b", "e", "plus"]).join(m.withColumn("minus", minus), ["b", "x"]).filter("plus or minus")
-             .withColumn("of", (F.col("off") + F.when(F.col("plus"), F.col("n") - F.col("nc")).otherwise(F.col("nc") - F.col("n"))) / 2)
-             .withColumn("place", F.row_number().over(own.orderBy("times", "e")) + F.col("of") - F.count("*").over(own)))
-    first = F.when(F.col("plus"), F.least(F.col("of"), F.col("d") + 1)).otherwise(F.least(F.col("of"), F.col("of") - F.col("off") + F.col("d") + 1))
-    keyed = (keyed.filter(F.col("place") <= first)
-             .select(F.xxhash64("b", "e", "plus").alias("key"), F.col("x").alias("name"), "n", weight, "root"))
+    lacks = F.when(shrunk, F.col("minus")).otherwise(F.expr("array()").cast("array<long>"))
+    away = m.select("b", "x", "n", "off", "d", "root", F.size("plus").alias("np"), F.size("minus").alias("nm"),
+                    F.explode(signed_shingles(F.col("plus"), lacks)).alias("s")).select("*", "s.e", "s.has").drop("s")
+    often = away.groupBy("b", "e", "has").agg(F.count("*").alias("times")).filter("times > 1")
+    # shingles that no other member has are rarest of all: they count, but are not looked at
+    own = W.partitionBy("b", "x", "has")
+    size = F.when(F.col("has"), F.col("np")).otherwise(F.col("nm"))
+    first = F.when(F.col("has"), F.least(F.col("np"), F.col("d") + 1)).otherwise(F.least(F.col("nm"), F.col("nm") - F.col("off") + F.col("d") + 1))
+    keyed = (away.join(often, ["b", "e", "has"])
+             .withColumn("place", F.row_number().over(own.orderBy("times", "e")) + size - F.count("*").over(own)).filter(F.col("place") <= first)
+             .select(F.xxhash64("b", "e", "has").alias("key"), F.col("x").alias("name"), "n", weight, "root"))
     return keyed.unionByName(m.filter(alone).select(F.xxhash64("b", F.lit("alone")).alias("key"), F.col("x").alias("name"), "n", weight, "root"))
 
 
@@ -259,10 +262,10 @@ def classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
             links = links.unionByName(tested.filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")))
             if tested.isEmpty():
                 return joined(spark, names, links)
-            every, away = centred(tested)
+            every = centred(tested)
             links = links.unionByName(every.filter("linked").select(F.col("head").alias("a"), F.col("x").alias("b")))
             names = joined(spark, names, links)
-            open_keys, few = unsettled(refined(every, away, names)), FEW_LATER
+            open_keys, few = unsettled(refined(every, names)), FEW_LATER
     return names
 
 
