@@ -1,16 +1,19 @@
 """Operator 5 - n-gram Jaccard join with parity sketches.
 
-A text's set is its distinct three-word shingles (fewer words: the whole
-sequence as one).  Two texts link when 100 * |A and B| >= 90 * |A or B|.
+A text's set is its distinct shingles of ``shingle`` words (fewer words: the
+whole sequence as one).  Two texts link when 100 * |A and B| >= num * |A or B|.
+The query takes three words and 90, which are the defaults; the pipeline takes
+five and 80.
 
 Equal sets are one class from the start.  For the others, every shingle flips
 one bit of a sketch, so the Hamming distance of two sketches never exceeds the
-sets' symmetric difference, which for linked sets is at most (|A| + |B|) / 19.
-In the size band whose largest set is ``top`` that is d = floor(2 * top / 19),
-so of d + 1 sketch pieces one at least is equal.  A piece has so many bits that
+sets' symmetric difference, which for linked sets is at most
+(|A| + |B|) * (100 - num) / (100 + num), a 19th of |A| + |B| at 90 and a ninth at
+80.  In the size band whose largest set is ``top`` that is d, the whole part of
+2 * top times that fraction, so of d + 1 sketch pieces one at least is equal.  A piece has so many bits that
 unlike sets hardly ever agree in it, and is held as the XOR of its set bits'
 64-bit hashes: chance meetings would grow with the square of the input.  Bands are a
-factor 10/9 wide: linked sets are in the same or in neighbouring bands, and a
+factor 100 / num wide: linked sets are in the same or in neighbouring bands, and a
 text emits the pieces of its own band and of the next.
 
 Pieces meet on a 64-bit key.  The members of a key with a few of them are
@@ -41,21 +44,20 @@ from pyspark.sql import functions as F
 
 from .common import bucketed, joined, mix, read, runs, signed, slices, words, written
 
-NUM, DEN = 90, 100  # least Jaccard similarity
-SHINGLE = 3
+NUM, DEN = 90, 100  # least Jaccard similarity, unless asked otherwise
+SHINGLE = 3  # words, unless asked otherwise
 FEW, FEW_LATER = 6, 16  # members of a key, in the first and in later rounds, that are all compared with each other
-_RATIO = np.log(DEN / NUM)
 
 
-def band(n: int) -> int:
+def band(n: int, num: int = NUM) -> int:
     """Size band of a set of n shingles."""
-    return int(np.floor(np.log(n) / _RATIO + 1e-9))
+    return int(np.floor(np.log(n) / np.log(DEN / num) + 1e-9))
 
 
-def pieces(b: int) -> int:
+def pieces(b: int, num: int = NUM) -> int:
     """Sketch pieces in band b: one more than the largest symmetric difference of a link."""
-    top = np.floor(np.exp((b + 1) * _RATIO) + 1e-6)
-    return int(2 * top * (DEN - NUM) // (DEN + NUM)) + 1
+    top = np.floor(np.exp((b + 1) * np.log(DEN / num)) + 1e-6)
+    return int(2 * top * (DEN - num) // (DEN + num)) + 1
 
 
 def sets(h: np.ndarray, row: np.ndarray, rows: int, n: int = SHINGLE) -> list[np.ndarray]:
@@ -87,26 +89,26 @@ def sketch(x: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def keys(s: np.ndarray) -> np.ndarray:
+def keys(s: np.ndarray, num: int = NUM) -> np.ndarray:
     """Join keys (band, piece number, piece) of a set, in its own band and the next."""
     out, x = [np.zeros(0, np.uint64)], np.sort(mix(s + np.uint64(0x632BE59BD9B4E019)))
-    for b in (band(s.size), band(s.size) + 1) if s.size else ():
-        k = pieces(b)
+    for b in (band(s.size, num), band(s.size, num) + 1) if s.size else ():
+        k = pieces(b, num)
         if k > 1:  # else only equal sets link
             place = mix(np.arange(k, dtype=np.uint64) + np.uint64(b << 32))
             out.append(mix(sketch(x, k) ^ place) + place)
     return np.concatenate(out)
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
     """(doc_id, name, n, keys) of every row of (doc_id, text); name is NULL for an empty set."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 h, row, _ = words(part.column("text"))
-                all_sets = sets(h, row, part.num_rows)
-                found = [signed(keys(s)) for s in all_sets]
+                all_sets = sets(h, row, part.num_rows, shingle)
+                found = [signed(keys(s, num)) for s in all_sets]
                 offs = np.concatenate([[0], np.cumsum([f.size for f in found])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([set_name(s) if s.size else None for s in all_sets], pa.int64()),
@@ -117,14 +119,14 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, name long, n long, keys array<long>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(name, n, shingles) of every row with words."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 h, row, _ = words(part.column("text"))
-                own = [s for s in sets(h, row, part.num_rows) if s.size]
+                own = [s for s in sets(h, row, part.num_rows, shingle) if s.size]
                 offs = np.concatenate([[0], np.cumsum([s.size for s in own])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_name(s) for s in own], pa.int64()), pa.array([s.size for s in own], pa.int64()),
@@ -134,33 +136,33 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "name long, n long, shingles array<long>")
 
 
-def apart(n: Column, m: Column) -> Column:
+def apart(n: Column, m: Column, num: int = NUM) -> Column:
     """Largest symmetric difference of two linked sets of n and m shingles."""
-    return F.floor((n + m) * (DEN - NUM) / (DEN + NUM))
+    return F.floor((n + m) * (DEN - num) / (DEN + num))
 
 
-def pairs_to_test(open_keys: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
+def pairs_to_test(open_keys: DataFrame, few: int, num: int = NUM) -> tuple[DataFrame, DataFrame]:
     """(b, x) of every large key's leader with its members, and of all members of
     keys with at most ``few`` of them, which are settled by that."""
     per = open_keys.groupBy("key").agg(F.count("*").alias("size"), F.max_by("name", F.struct("weight", "name")).alias("b"))
     led = open_keys.join(per.filter(F.col("size") > few).select("key", "b"), "key").filter("name <> b").select("b", F.col("name").alias("x"))
     small = open_keys.join(per.filter(F.col("size") <= few).select("key"), "key").select("key", "name", "n", "root")
     other = small.select("key", F.col("name").alias("x"), F.col("n").alias("nx"), F.col("root").alias("root_x"))
-    fits = DEN * F.least("n", "nx") >= NUM * F.greatest("n", "nx")
+    fits = DEN * F.least("n", "nx") >= num * F.greatest("n", "nx")
     both = small.join(other, "key").filter(F.expr("name < x and root <> root_x") & fits).select(F.col("name").alias("b"), "x")
     return led.distinct(), both.distinct()
 
 
-def compared(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+def compared(pairs: DataFrame, whole: DataFrame, num: int = NUM) -> DataFrame:
     """The pairs on the whole sets: (b, x, nb, nx, linked, added, removed), added = x without b, removed = b without x."""
     left = whole.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     right = whole.select(F.col("name").alias("x"), F.col("n").alias("nx"), F.col("shingles").alias("sx"))
     rows = (pairs.join(left, "b").join(right, "x")
             .select("b", "x", "nb", "nx", F.array_except("sx", "sb").alias("added"), F.array_except("sb", "sx").alias("removed")))
-    return rows.withColumn("linked", F.size("added") + F.size("removed") <= apart(F.col("nb"), F.col("nx")))
+    return rows.withColumn("linked", F.size("added") + F.size("removed") <= apart(F.col("nb"), F.col("nx"), num))
 
 
-def centred(tested: DataFrame) -> DataFrame:
+def centred(tested: DataFrame, num: int = NUM) -> DataFrame:
     """Members and their differences from the centre of each leader's members.
 
     The centre is the set of shingles that more than half of the members have;
@@ -188,7 +190,7 @@ def centred(tested: DataFrame) -> DataFrame:
     head = every.groupBy("b").agg(F.min_by(F.struct("x", "n", "off", "plus", "minus"), F.struct("off", "x")).alias("h"))
     every = every.join(head, "b")
     common = F.size(F.array_intersect("plus", "h.plus")) + F.size(F.array_intersect("minus", "h.minus"))
-    linked = F.col("off") + F.col("h.off") - 2 * common <= apart(F.col("n"), F.col("h.n"))
+    linked = F.col("off") + F.col("h.off") - 2 * common <= apart(F.col("n"), F.col("h.n"), num)
     return written(spark, every.select("b", "x", "n", "nc", "off", "plus", "minus", F.col("h.x").alias("head"), linked.alias("linked")), "sketch-members")
 
 
@@ -197,7 +199,7 @@ def signed_shingles(has: Column, lacks: Column) -> Column:
                     F.transform(lacks, lambda e: F.struct(e.alias("e"), F.lit(False).alias("has"))))
 
 
-def refined(every: DataFrame, names: DataFrame) -> DataFrame:
+def refined(every: DataFrame, names: DataFrame, num: int = NUM) -> DataFrame:
     """(key, name, n, weight, root): keys on which members of different components may still link.
 
     All members were compared with the head, so take u that does not link with
@@ -212,7 +214,7 @@ def refined(every: DataFrame, names: DataFrame) -> DataFrame:
     free = F.when(~F.col("linked"), F.col("off"))
     limits = m.groupBy("b").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("off").alias("near"), F.min(free).alias("near_u"),
                                 F.min(F.when(~F.col("linked"), F.col("n"))).alias("least_u"), F.min("root").alias("r1"), F.max("root").alias("r2"))
-    m = m.join(limits.filter("near_u is not null and r1 < r2"), "b").withColumn("d", apart(F.col("n"), F.col("most")))
+    m = m.join(limits.filter("near_u is not null and r1 < r2"), "b").withColumn("d", apart(F.col("n"), F.col("most"), num))
     shrunk = (~F.col("linked") & (F.col("off") + F.col("least") - F.col("nc") <= F.col("d"))) | (F.col("off") + F.col("least_u") - F.col("nc") <= F.col("d"))
     alone = (~F.col("linked") & (F.col("off") + F.col("near") <= F.col("d"))) | (F.col("off") + F.col("near_u") <= F.col("d"))
     weight = (-F.col("off")).cast("long").alias("weight")
@@ -238,8 +240,8 @@ def unsettled(rows: DataFrame) -> DataFrame:
     return written(spark, rows.join(hot, "key", "left_semi"), "sketch-open")
 
 
-def classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(node, root): the component of every class that links with another one; ``rows`` is ``sketched(docs)``."""
+def classes(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
+    """(node, root): the component of every class that links with another one; ``rows`` is ``sketched(docs, shingle, num)``."""
     spark = docs.sparkSession
     one = rows.filter("name is not null").dropDuplicates(["name"]).select("name", "n", F.explode("keys").alias("key"))
     hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more"), F.count("*").alias("size")).filter("more").drop("more")
@@ -252,28 +254,28 @@ def classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     chosen = written(spark, chosen, "sketch-chosen")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(
         chosen.select(F.col("doc_id").alias("_id")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    with bucketed(spark, full_sets(texts).join(chosen.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"]), "name") as whole:
+    with bucketed(spark, full_sets(texts, shingle).join(chosen.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"]), "name") as whole:
         names = spark.createDataFrame([], "node long, root long")
         few = FEW
         while not open_keys.isEmpty():
-            led, both = pairs_to_test(open_keys, few)
-            tested = written(spark, compared(led, whole), "sketch-tested")
-            links = written(spark, compared(both, whole).filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")), "sketch-links")
+            led, both = pairs_to_test(open_keys, few, num)
+            tested = written(spark, compared(led, whole, num), "sketch-tested")
+            links = written(spark, compared(both, whole, num).filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")), "sketch-links")
             links = links.unionByName(tested.filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")))
             if tested.isEmpty():
                 return joined(spark, names, links)
-            every = centred(tested)
+            every = centred(tested, num)
             links = links.unionByName(every.filter("linked").select(F.col("head").alias("a"), F.col("x").alias("b")))
             names = joined(spark, names, links)
-            open_keys, few = unsettled(refined(every, names)), FEW_LATER
+            open_keys, few = unsettled(refined(every, names, num)), FEW_LATER
     return names
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class) of every row of (doc_id, text)."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class) of every row of (doc_id, text), linked from ``num`` % on."""
     spark = docs.sparkSession
-    rows = written(spark, sketched(docs), "sketches")
-    names = classes(docs, rows)
+    rows = written(spark, sketched(docs, shingle, num), "sketches")
+    names = classes(docs, rows, shingle, num)
     slim = rows.select("doc_id", "n", "name")
     per = slim.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("first"))
     per = per.join(names.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
@@ -284,12 +286,12 @@ def grouped(docs: DataFrame) -> DataFrame:
                       F.col("name").alias("class"))
 
 
-def stage(docs: DataFrame) -> DataFrame:
+def stage(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
     """One row per component stays: that of the smallest id (rows without an id, or without words, stay)."""
-    gone = grouped(docs).filter("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    gone = grouped(docs, shingle, num).filter("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
     gone = written(docs.sparkSession, gone, "near-copies")
     return docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return grouped(read(spark, sf_dir, "documents"))
+    return grouped(read(spark, sf_dir, "documents"), 3, 90)

@@ -228,3 +228,61 @@ def test_jaccard_large_keys(docs, monkeypatch):
     rows = near_copies(random.Random(4), 3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.grouped(docs(rows)).collect()}
     assert got == brute_components(rows)
+
+
+def brute_kept(rows, shingle, num):
+    """Smallest id of every component at ``num`` % of ``shingle``-word shingles."""
+    sets = {}
+    for d, t in rows:
+        w = WORD.findall(lower(t or ""))
+        sets[d] = {tuple(w[i:i + shingle]) for i in range(len(w) - shingle + 1)} if len(w) >= shingle else {tuple(w)} if w else set()
+    root = {d: d for d in sets}
+    pairs = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    return sorted(d for d in sets if root[d] == d)
+
+
+def looser_copies(rng):
+    """Copies with 0 to 30 % added or cut, some with edits too, and texts about as short as a shingle."""
+    rows = []
+    for g in range(5):
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(rng.choice([11, 45, 90, 200]))]
+        for _ in range(12):
+            w = base + [f"a{rng.randrange(10**6)}" for _ in range(rng.randrange(0, len(base) * 3 // 10))]
+            w = w[rng.randrange(0, max(1, len(base) // 10)):]
+            for _ in range(rng.randrange(0, 1 + len(base) // 60)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    return rows + [(900, None), (901, ""), (902, "one two three four"), (903, "one two three FOUR"), (904, "one two three"), (905, "one two three four five")]
+
+
+def test_pipeline_takes_five_words_and_80(spark, docs):
+    import corpus_pipeline as cp
+
+    base = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, *(f"more{i}" for i in range(15))]))]  # 0.865 on five words and 0.867 on three
+    assert [r.doc_id for r in cp.ngram_jaccard(spark, docs(rows), "").collect()] == [1]
+    assert sorted(r.doc_id for r in jaccard.stage(docs(rows)).collect()) == [1, 2]
+    rows = looser_copies(random.Random(6))
+    kept = sorted(r.doc_id for r in cp.ngram_jaccard(spark, docs(rows), "").collect())
+    assert kept == brute_kept(rows, 5, 80) != brute_kept(rows, 3, 90)
+
+
+def test_jaccard_large_keys_at_80(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "FEW", 1)
+    monkeypatch.setattr(jaccard, "FEW_LATER", 1)
+    for rows in (near_copies(random.Random(9), 3), looser_copies(random.Random(7))):
+        assert sorted(r.doc_id for r in jaccard.stage(docs(rows), 5, 80).collect()) == brute_kept(rows, 5, 80)
+
+
+def test_pieces_never_miss_a_link_at_80():
+    rng = np.random.default_rng(5)
+    for n in (5, 9, 37, 150, 1000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        for extra in range(0, a.size // 4 + 1, max(1, a.size // 30)):
+            for b in (np.unique(np.concatenate([a, rng.integers(0, 2**63, extra, dtype=np.uint64)])), a[extra * 4 // 5:]):
+                both = np.intersect1d(a, b).size
+                if 100 * both >= 80 * (a.size + b.size - both) and not np.array_equal(a, b):
+                    assert np.intersect1d(jaccard.keys(a, 80), jaccard.keys(b, 80)).size
