@@ -286,3 +286,44 @@ def test_pieces_never_miss_a_link_at_80():
                 both = np.intersect1d(a, b).size
                 if 100 * both >= 80 * (a.size + b.size - both) and not np.array_equal(a, b):
                     assert np.intersect1d(jaccard.keys(a, 80), jaccard.keys(b, 80)).size
+
+
+def edit_distance(a, b):
+    d = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, d[0] = d[0], i
+        for j, y in enumerate(b, 1):
+            last, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, last + (x != y))
+    return d[-1]
+
+
+def test_edits_grow_with_the_line(docs):
+    rng = random.Random(12)
+    base = [[rng.choice("abcdef") + str(rng.randrange(30)) for _ in range(n)] for n in (6, 18, 20, 31, 57, 57)] + [["same"] * 24, ["x", "y"] * 15]
+    lines_in = []
+    for w in base:
+        for _ in range(9):
+            v = list(w)
+            for _ in range(rng.randrange(0, 2 + len(w) // 10)):
+                k, at = rng.randrange(3), rng.randrange(len(v))
+                v = v[:at] + v[at + 1:] if k == 0 else v[:at] + [f"z{rng.randrange(9)}"] + v[at + (k == 1):]
+            lines_in.append(tuple(v))
+    rng.shuffle(lines_in)
+    rows = [(d, "\n".join(" ".join(w) for w in lines_in[3 * d:3 * d + 3])) for d in range(len(lines_in) // 3)]
+
+    def near(v, w, most):
+        return v == w or (min(len(v), len(w)) >= lines.MIN_WORDS and edit_distance(v, w) <= most(max(len(v), len(w))))
+
+    def brute(most):
+        return {(k // 3, k % 3) for k, w in enumerate(lines_in) if any(near(v, w, most) for v in lines_in[:k])}
+
+    got = {(r.doc_id, i) for r in lines.deduped(docs(rows), 10).select("doc_id", "_dropped").collect() for i in (r._dropped or [])}
+    assert got == brute(lambda n: max(1, n // 10)) != brute(lambda n: 1)
+
+
+def test_line_stage_takes_a_tenth(docs):
+    w = [f"w{i}" for i in range(57)]
+    two = [*w[:10], "p", *w[11:40], "q", *w[41:]]  # two edits
+    six = [*("r" if i % 10 == 5 else x for i, x in enumerate(w)), "s"]  # seven edits
+    out = lines.stage(docs([(1, " ".join(w)), (2, " ".join(two)), (3, " ".join(six))]))
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3]
