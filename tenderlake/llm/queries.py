@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, jaccard, language, lines, lm, mixing, pii, quality, warc
+from . import audit, chat, decontaminate, jaccard, language, lines, lm, mixing, pii, quality, warc
 
 QUERIES = {
     "op1_string_tiling": (decontaminate.query, None),
@@ -15,4 +15,5 @@ QUERIES = {
     "op8_pivotal_mix": (mixing.query, None),
     "op9_language_bitmask": (language.query, None),
     "op10_zip_warc": (warc.query, warc.SQL),
+    "op11_path_audit": (audit.query, audit.SQL),
 }
