@@ -25,6 +25,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+AS_IS = np.arange(256, dtype=np.uint8)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95  # odd multiplier of the rolling sums
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -140,6 +141,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLD)
+SECOND = mix(np.arange(257, 513, dtype=np.uint64) * _GOLD)  # for a second, independent hash
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -170,8 +172,9 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offs - offs[0]
 
 
-def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(64-bit hash of each lower-cased word, its row, its length in bytes)."""
+def words(col: pa.Array, chars: np.ndarray = LOWER, table: np.ndarray = _TABLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hash of each word, its row, its length in bytes); words are
+    lower-cased by default, ``AS_IS`` leaves them and another ``table`` gives other hashes."""
     data, offs = text_buffer(col)
     none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not data.size:
@@ -185,10 +188,10 @@ def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not at.size:
         return none
     begin = np.cumsum(inside, dtype=np.int64)[at] - 1
-    chars = LOWER[data[inside]]
-    length = np.diff(np.append(begin, chars.size))
-    pos = np.arange(chars.size, dtype=np.int64) - np.repeat(begin, length)
-    value = _TABLE[chars] * powers(_BASE, int(length.max()))[pos]
+    shown = chars[data[inside]]
+    length = np.diff(np.append(begin, shown.size))
+    pos = np.arange(shown.size, dtype=np.int64) - np.repeat(begin, length)
+    value = table[shown] * powers(_BASE, int(length.max()))[pos]
     h = mix(np.add.reduceat(value, begin) + length.astype(np.uint64) * _GOLD)
     return h, np.searchsorted(offs, at, side="right") - 1, length
 
@@ -204,6 +207,44 @@ def runs(h: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     return mix(acc[keep] + np.uint64(n)), keep
 
 
+def runs_at(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the windows of ``n`` words that start at ``at``."""
+    acc = h[at]
+    for k in range(1, n):
+        acc = mix(acc) + h[at + k]
+    return mix(acc + np.uint64(n))
+
+
+def pack(x: np.ndarray) -> bytes:
+    """A sorted unsigned array as compressed byte planes of its differences."""
+    gaps = np.diff(x, prepend=x.dtype.type(0))
+    return _planes(gaps)
+
+
+def unpack(raw: bytes, dtype) -> np.ndarray:
+    return np.cumsum(unpack_plain(raw, dtype), dtype=dtype)
+
+
+def pack_plain(x: np.ndarray) -> bytes:
+    """An unsigned array as compressed byte planes."""
+    return _planes(x)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    most = int(x.max()) if x.size else 0
+    width = max(1, (most.bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return x.size.to_bytes(8, "little") + width.to_bytes(1, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_plain(raw: bytes, dtype) -> np.ndarray:
+    n, width = int.from_bytes(raw[:8], "little"), raw[8]
+    planes = np.frombuffer(pa.decompress(raw[9:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    full = np.zeros((n, 8), np.uint8)
+    full[:, :width] = planes.T
+    return full.view("<u8").ravel().astype(dtype)
+
+
 def rolling(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums for Karp-Rabin windows of any length: see ``window``."""
     q = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * powers(_BASE, x.size)[:x.size], dtype=np.uint64)])

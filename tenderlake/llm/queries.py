@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, chat, decontaminate, jaccard, language, lines, lm, mixing, pii, quality, warc
+from . import audit, chat, decontaminate, jaccard, language, lines, lm, mixing, pii, quality, substrings, warc
 
 QUERIES = {
     "op1_string_tiling": (decontaminate.query, None),
@@ -16,4 +16,5 @@ QUERIES = {
     "op9_language_bitmask": (language.query, None),
     "op10_zip_warc": (warc.query, warc.SQL),
     "op11_path_audit": (audit.query, audit.SQL),
+    "op12_countmin_substrings": (substrings.query, substrings.SQL),
 }
