@@ -37,6 +37,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,11 +47,11 @@ from .common import (AS_IS, SECOND, Shared, mix, pack, pack_plain, read, runs, r
 
 WIDTH = 13
 CELL_BITS, ROWS, BLOCK_BITS = 28, 2, 22
-CHUNK = 1 << 21  # windows held by a task
+CHUNK = 1 << 20  # windows held by a task
 FAN = 64
 CELLS = "part int, block int, n long, ones binary, twos binary"
 SENT = "shard int, doc_id long, th long, starts array<int>, hash binary, other binary, doc binary, at binary, ids binary, ths binary"
-MARKS = "doc_id long, th long, starts array<int>"
+MARKS = "doc_id long, th long, starts array<int>, at int"
 OUT = "doc_id long, n_words long, n_removed long, kept_text string"
 
 
@@ -233,10 +234,12 @@ def occurrences(docs: DataFrame, sent: Shared, width: int, shards: int, chunk: i
 
 
 def grouped(found: DataFrame) -> DataFrame:
-    """MARKS: the starts of repeats, from whole shards of windows."""
+    """MARKS: the repeats found by whole shards of windows, a row each (a document has windows
+    in many shards), beside the starts that chunks had settled."""
 
     def run(table: pa.Table) -> pa.Table:
-        done = table.filter(pa.compute.is_valid(table.column("doc_id"))).select(["doc_id", "th", "starts"])
+        done = table.filter(pc.is_valid(table.column("doc_id"))).select(["doc_id", "th", "starts"])
+        done = done.append_column("at", pa.nulls(done.num_rows, pa.int32()))
         rows = [r for r in table.select(["hash", "other", "doc", "at", "ids", "ths"]).to_pylist() if r["hash"] is not None]
         if not rows:
             return done
@@ -264,7 +267,8 @@ def cut(docs: DataFrame, width: int = WIDTH, cell_bits: int = CELL_BITS, rows: i
     repeated = [(r["block"], r["twos"]) for r in blocks.filter("block >= 0").select("block", "twos").toLocalIterator()]  # rows * 2**bits bits at most
     sent = Shared(spark, Sketch(repeated, rows, cell_bits, block))
     found = occurrences(docs, sent, width, max(8, -(-total // chunk)), chunk)
-    marks = grouped(found).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))  # at most a start per word and chunk
+    starts = F.concat(F.flatten(F.collect_list("starts")), F.collect_list("at"))  # at most a start per word and chunk
+    marks = grouped(found).groupBy("doc_id", "th").agg(starts.alias("starts"))
     marks = written(spark, marks, "repeats")
     sent.destroy()
 
