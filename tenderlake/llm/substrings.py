@@ -250,11 +250,9 @@ def grouped(found: DataFrame) -> DataFrame:
             [np.frombuffer(r["ths"], np.int64)[d] for r, d in zip(rows, doc)]))
         order, later = _later(hash_, other, ids)
         hit = order[later]
-        key, number = np.unique(np.stack([ids[hit], ths[hit]]), axis=1, return_inverse=True)
-        own, starts = _marked(number.ravel(), at[hit])
-        return pa.concat_tables([done, pa.table([pa.array(key[0, own]), pa.array(key[1, own]), pa.array(starts, pa.list_(pa.int32()))], schema=done.schema)])
+        marks = [pa.array(ids[hit]), pa.array(ths[hit]), pa.nulls(hit.size, pa.list_(pa.int32())), pa.array(at[hit])]
+        return pa.concat_tables([done, pa.table([m.cast(k) for m, k in zip(marks, done.schema.types)], schema=done.schema)])
 
-    import pyarrow.compute  # noqa: F401  (pa.compute in the tasks)
     return found.groupBy("shard").applyInArrow(run, MARKS)
 
 
