@@ -12,7 +12,7 @@ goes; windows are judged on the input.
 2. Exact grouping.  The bitmaps of cells that reached two are broadcast; their
    size is ``rows * 2**cell_bits`` bits (64 MB by default) however large the
    input.  A second pass over the texts takes the windows whose cells all
-   reached two, by 128 bits (two independent hashes).  A chunk settles what it
+   reached two, by 96 bits (of two independent hashes).  A chunk settles what it
    can: only the occurrences in a window's smallest document of that chunk are
    sent on, so a passage of every text is one row per chunk.  They are grouped
    by window in shards of the hash space, whose number grows with the windows.
@@ -47,7 +47,7 @@ from .common import (AS_IS, SECOND, Shared, mix, pack, pack_plain, read, runs, r
 
 WIDTH = 13
 CELL_BITS, ROWS, BLOCK_BITS = 28, 2, 22
-CHUNK = 1 << 20  # windows held by a task
+CHUNK, SHARD = 1 << 20, 1 << 22  # windows held by a task; windows of the table for each shard of the grouping
 FAN = 64
 CELLS = "part int, block int, n long, ones binary, twos binary"
 SENT = "shard int, doc_id long, th long, starts array<int>, hash binary, other binary, doc binary, at binary, ids binary, ths binary"
@@ -189,11 +189,14 @@ def occurrences(docs: DataFrame, sent: Shared, width: int, shards: int, chunk: i
         hash_, other, doc, at = hash_[open_], other[open_], doc[open_], at[open_]
         where = ((hash_ >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
         cut = np.searchsorted(where, np.arange(shards + 1, dtype=np.uint64))
+        by_id = np.argsort(ids.view(np.uint64))
+        rank = np.empty_like(by_id)
+        rank[by_id] = np.arange(by_id.size)
         for s in np.flatnonzero(np.diff(cut)):
             part = slice(cut[s], cut[s + 1])
-            own, index = np.unique(doc[part], return_inverse=True)
+            own, index = np.unique(rank[doc[part]], return_inverse=True)
             rows.append((int(s), None, None, None, pack(hash_[part]), other[part].tobytes(), pack_plain(index.astype(np.uint64)),
-                         pack_plain(at[part].astype(np.uint64)), ids[own].tobytes(), ths[own].tobytes()))
+                         pack_plain(at[part].astype(np.uint64)), pack(ids[by_id[own]].view(np.uint64)), ths[by_id[own]].tobytes()))
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), *[pa.binary()] * 6]
         names = ["shard", "doc_id", "th", "starts", "hash", "other", "doc", "at", "ids", "ths"]
         for k in range(0, len(rows), 1000):
@@ -220,7 +223,7 @@ def occurrences(docs: DataFrame, sent: Shared, width: int, shards: int, chunk: i
                 w, at = w[ok], at[ok]
                 if not w.size:
                     continue
-                other = runs_at(words(texts.column("text"), AS_IS, SECOND)[0], at, width)
+                other = (runs_at(words(texts.column("text"), AS_IS, SECOND)[0], at, width) >> np.uint64(32)).astype(np.uint32)
                 first = np.searchsorted(row, np.arange(len(key)))
                 held.append((w, other, number[row[at]], (at - first[row[at]]).astype(np.int32)))
                 size += w.size
@@ -245,8 +248,8 @@ def grouped(found: DataFrame) -> DataFrame:
             return done
         doc = [unpack_plain(r["doc"], np.int64) for r in rows]
         hash_, other, at, ids, ths = (np.concatenate(x) for x in (
-            [unpack(r["hash"], np.uint64) for r in rows], [np.frombuffer(r["other"], np.uint64) for r in rows],
-            [unpack_plain(r["at"], np.int32) for r in rows], [np.frombuffer(r["ids"], np.int64)[d] for r, d in zip(rows, doc)],
+            [unpack(r["hash"], np.uint64) for r in rows], [np.frombuffer(r["other"], np.uint32) for r in rows],
+            [unpack_plain(r["at"], np.int32) for r in rows], [unpack(r["ids"], np.uint64).view(np.int64)[d] for r, d in zip(rows, doc)],
             [np.frombuffer(r["ths"], np.int64)[d] for r, d in zip(rows, doc)]))
         order, later = _later(hash_, other, ids)
         hit = order[later]
@@ -264,7 +267,7 @@ def cut(docs: DataFrame, width: int = WIDTH, cell_bits: int = CELL_BITS, rows: i
     total = blocks.agg(F.sum("n")).first()[0] or 0
     repeated = [(r["block"], r["twos"]) for r in blocks.filter("block >= 0").select("block", "twos").toLocalIterator()]  # rows * 2**bits bits at most
     sent = Shared(spark, Sketch(repeated, rows, cell_bits, block))
-    found = occurrences(docs, sent, width, max(8, -(-total // chunk)), chunk)
+    found = occurrences(docs, sent, width, max(8, -(-total // SHARD)), chunk)
     starts = F.concat(F.flatten(F.collect_list("starts")), F.collect_list("at"))  # at most a start per word and chunk
     marks = grouped(found).groupBy("doc_id", "th").agg(starts.alias("starts"))
     marks = written(spark, marks, "repeats")
