@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, chat, decontaminate, jaccard, language, lines, lm, mixing, pii, quality, substrings, warc
+from . import alignment, audit, chat, decontaminate, jaccard, language, lines, lm, mixing, pii, quality, substrings, warc
 
 QUERIES = {
     "op1_string_tiling": (decontaminate.query, None),
@@ -17,4 +17,5 @@ QUERIES = {
     "op10_zip_warc": (warc.query, warc.SQL),
     "op11_path_audit": (audit.query, audit.SQL),
     "op12_countmin_substrings": (substrings.query, substrings.SQL),
+    "op13_perfect_hash_alignment": (alignment.query, None),
 }
