@@ -39,7 +39,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,8 @@ TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SHARD_KEYS, BLOCK_KEYS, PIECE, FAN = 1 << 20, 1 << 22, 1 << 16, 64
 BIG_GROUP, EXPANDED, CHUNK_PAIRS = 4096, 1 << 22, 1 << 22
+CACHED = 1 << 19  # words that a task keeps encoded
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 FIGURES = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 TOKENS = FIGURES + ", a binary, b binary, pairs binary, rows binary"
@@ -82,6 +86,7 @@ class Vocabularies:
         self.b_bytes = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode()
                         for i in range(sp.vocab_size())]
         self.a_size, self.b_size = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
+        self.a_flat = Bytes(self.a_bytes)
         self.loaded = None  # sent as bytes
 
     def load(self):
@@ -96,16 +101,75 @@ class Vocabularies:
             self.loaded = tk, sp
         return self.loaded
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and B for each text; none where the joined bytes are not space + text."""
+    def encode(self, texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A, ids of B, their numbers in each text); none where the joined bytes are not space + text."""
         tk, sp = self.load()
-        a = [e.ids for e in tk.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = sp.encode(texts, num_threads=1)
-        for k, t in enumerate(texts):
-            raw = (" " + t).encode() if t else None
-            if raw is None or b"".join(map(self.a_bytes.__getitem__, a[k])) != raw or b"".join(map(self.b_bytes.__getitem__, b[k])) != raw:
-                a[k], b[k] = [], []
-        return a, b
+        split = [BETWEEN.split(t) if t else [] for t in texts]
+        a, per_word = words.encode(list(chain.from_iterable(split)), tk, self.a_size)
+        cut = np.cumsum([0, *map(len, split)])
+        at = np.concatenate([[0], np.cumsum(per_word)])[cut]
+        b, na, nb, ok = [], np.diff(at), np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
+        for k, (t, ids) in enumerate(zip(texts, sp.encode(texts, num_threads=1))):
+            raw = (" " + t).encode()
+            if t and b"".join(map(self.b_bytes.__getitem__, ids)) == raw and self.a_flat.joined(a[at[k]:at[k + 1]]) == raw:
+                ok[k], nb[k] = True, len(ids)
+                b.append(np.array(ids, np.int64))
+        a = a[np.repeat(ok, na)]
+        return a, np.concatenate([np.zeros(0, np.int64), *b]), np.where(ok, na, 0), nb
+
+
+class Bytes:
+    """The bytes of every id in one buffer."""
+
+    def __init__(self, by_id: list[bytes]):
+        self.size = np.array([len(x) for x in by_id], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(by_id), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        return self.flat[ranges(self.start[ids], self.size[ids])].tobytes()
+
+
+def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of ``n`` places each, one after the other."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+class Words:
+    """A's ids of the words that a task has met, ``limit`` of them at most.
+
+    A's pattern ends a piece before every space between two other characters
+    (only runs of white space look ahead, nothing looks behind), so " word" has
+    the same ids wherever it stands.  New words are encoded as one text.
+    """
+
+    def __init__(self, limit: int = CACHED):
+        self.limit = limit
+        self.clear()
+
+    def clear(self):
+        self.at, self.ids, self.start, self.n = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode(self, own: list[str], tk, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one word after the other, number of ids of each word) of " word" for each word."""
+        known = self.at
+        new = list(dict.fromkeys(w for w in own if w not in known))
+        if len(known) + len(new) > self.limit and known:
+            self.clear()
+            known, new = self.at, list(dict.fromkeys(own))
+        if new:
+            ids = np.array(tk.encode_batch_fast(["".join([f" {w}" for w in new])], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.cumsum([len(w.encode()) + 1 for w in new])
+            token_ends = np.cumsum(size[ids])
+            last = np.searchsorted(token_ends, ends)
+            if token_ends[-1] != ends[-1] or not np.array_equal(token_ends[last], ends):
+                raise ValueError("the tokenizer does not split at single spaces")
+            n = np.diff(last + 1, prepend=0)
+            self.start = np.concatenate([self.start, self.ids.size + np.cumsum(n) - n])
+            self.n, self.ids = np.concatenate([self.n, n]), np.concatenate([self.ids, ids])
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+        k = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
+        return self.ids[ranges(self.start[k], self.n[k])], self.n[k]
 
 
 def _kind(size: int):
@@ -205,7 +269,7 @@ def encoded(docs: DataFrame, sent: Shared) -> DataFrame:
         v = sent.value
         kind_a, kind_b, width = _kind(v.a_size.size), _kind(v.b_size.size), v.b_size.size
         names_a, names_b = names(v.a_size.size, "|"), names(width, ";")
-        held, size = [], 0
+        held, size, words = [], 0, Words()
         schema = pa.schema([*[(c, pa.int64()) for c in ("row", "doc_id", "n_a", "n_b", "n_groups", "n_links")],
                             ("groups_sha256", pa.string()), *[(c, pa.binary()) for c in ("a", "b", "pairs", "rows")]])
 
@@ -218,12 +282,11 @@ def encoded(docs: DataFrame, sent: Shared) -> DataFrame:
 
         for batch in batches:
             for part in slices(batch, "text"):
-                a, b = v.encode([t or "" for t in part.column("text").to_pylist()])
-                na, nb = (np.array([len(x) for x in y], np.int64) for y in (a, b))
-                own = Aligned(np.concatenate([np.array(x, np.int64) for x in a]), np.concatenate([np.array(x, np.int64) for x in b]),
-                              na, nb, v.a_size, v.b_size)
+                a, b, na, nb = v.encode([t or "" for t in part.column("text").to_pylist()], words)
+                own = Aligned(a, b, na, nb, v.a_size, v.b_size)
                 sha = [hashlib.sha256(s.encode()).hexdigest() if n else "" for s, n in zip(own.written_out(names_a, names_b), na)]
-                raw_a, raw_b = ([np.array(x, kind).tobytes() for x in y] for y, kind in ((a, kind_a), (b, kind_b)))
+                raw_a, raw_b = ([x.tobytes() for x in np.split(ids.astype(kind), np.cumsum(n)[:-1])]
+                                for ids, n, kind in ((a, na, kind_a), (b, nb, kind_b)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"), pa.array(na), pa.array(nb), pa.array(own.per_text()), pa.array(own.links()),
                      pa.array(sha, pa.string()), pa.array(raw_a, pa.binary()), pa.array(raw_b, pa.binary()),
