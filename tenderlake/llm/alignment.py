@@ -58,7 +58,9 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SHARD_KEYS, BLOCK_KEYS, PIECE, FAN = 1 << 20, 1 << 22, 1 << 16, 64
 BIG_GROUP, EXPANDED, CHUNK_PAIRS = 4096, 1 << 22, 1 << 22
 CACHED = 1 << 19  # words that a task keeps encoded
+SPACE_MARK = "\u2581"  # B's space
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+EDGE = re.compile(r"^\s|\s\Z")
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 FIGURES = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 TOKENS = FIGURES + ", a binary, b binary, pairs binary, rows binary"
@@ -83,10 +85,11 @@ class Vocabularies:
         self.a_bytes = [b""] * (by_id[-1][0] + 1)
         for i, s in by_id:
             self.a_bytes[i] = bytes(byte[c] for c in s) if all(c in byte for c in s) else s.encode()
-        self.b_bytes = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode()
+        self.b_bytes = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace(SPACE_MARK, " ").encode()
                         for i in range(sp.vocab_size())]
         self.a_size, self.b_size = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
-        self.a_flat = Bytes(self.a_bytes)
+        self.a_flat, self.b_flat = Bytes(self.a_bytes), Bytes(self.b_bytes)
+        self.by_word = all(SPACE_MARK not in sp.id_to_piece(i).lstrip(SPACE_MARK) for i in range(sp.vocab_size()))
         self.loaded = None  # sent as bytes
 
     def load(self):
@@ -104,18 +107,20 @@ class Vocabularies:
     def encode(self, texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of A, ids of B, their numbers in each text); none where the joined bytes are not space + text."""
         tk, sp = self.load()
-        split = [BETWEEN.split(t) if t else [] for t in texts]
-        a, per_word = words.encode(list(chain.from_iterable(split)), tk, self.a_size)
+        plain = [bool(t) and self.by_word and SPACE_MARK not in t and n == SPACE_MARK + t.replace(" ", SPACE_MARK) for t, n in zip(texts, sp.normalize(texts))]
+        split = [BETWEEN.split(t) if p else [] for t, p in zip(texts, plain)]
         cut = np.cumsum([0, *map(len, split)])
-        at = np.concatenate([[0], np.cumsum(per_word)])[cut]
-        b, na, nb, ok = [], np.diff(at), np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
-        for k, (t, ids) in enumerate(zip(texts, sp.encode(texts, num_threads=1))):
-            raw = (" " + t).encode()
-            if t and b"".join(map(self.b_bytes.__getitem__, ids)) == raw and self.a_flat.joined(a[at[k]:at[k + 1]]) == raw:
-                ok[k], nb[k] = True, len(ids)
-                b.append(np.array(ids, np.int64))
-        a = a[np.repeat(ok, na)]
-        return a, np.concatenate([np.zeros(0, np.int64), *b]), np.where(ok, na, 0), nb
+        ids = []
+        for flat, per_word in words.encode(list(chain.from_iterable(split)), self):
+            at = np.concatenate([[0], np.cumsum(per_word)])[cut]
+            ids.append([flat[at[k]:at[k + 1]] for k in range(len(texts))])
+        for k, (t, p) in enumerate(zip(texts, plain)):
+            if t and not p:
+                ids[0][k], ids[1][k] = (np.array(x, np.int64) for x in (tk.encode(" " + t, add_special_tokens=False).ids, sp.encode(t)))
+            if any(kind.joined(own[k]) != (" " + t).encode() for kind, own in zip((self.a_flat, self.b_flat), ids)):
+                ids[0][k] = ids[1][k] = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return (*(np.concatenate([none, *x]) for x in ids), *(np.array([y.size for y in x], np.int64) for x in ids))
 
 
 class Bytes:
@@ -136,11 +141,13 @@ def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """A's ids of the words that a task has met, ``limit`` of them at most.
+    """Ids of A and B of the words that a task has met, ``limit`` words at most.
 
     A's pattern ends a piece before every space between two other characters
-    (only runs of white space look ahead, nothing looks behind), so " word" has
-    the same ids wherever it stands.  New words are encoded as one text.
+    (only runs of white space look ahead, nothing looks behind), and no piece of
+    B has a space behind another character, so where B leaves the characters
+    alone " word" has the same ids wherever it stands.  New words are encoded as
+    one text.
     """
 
     def __init__(self, limit: int = CACHED):
@@ -148,28 +155,37 @@ class Words:
         self.clear()
 
     def clear(self):
-        self.at, self.ids, self.start, self.n = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at, none = {}, np.zeros(0, np.int64)
+        self.held = [(none, none, none)] * 2  # of A and B: ids, first id and number of ids of each word
 
-    def encode(self, own: list[str], tk, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids one word after the other, number of ids of each word) of " word" for each word."""
+    def encode(self, own: list[str], v: Vocabularies) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B: (ids one word after the other, number of ids of each word) of " word" for each word."""
         known = self.at
         new = list(dict.fromkeys(w for w in own if w not in known))
         if len(known) + len(new) > self.limit and known:
             self.clear()
             known, new = self.at, list(dict.fromkeys(own))
         if new:
-            ids = np.array(tk.encode_batch_fast(["".join([f" {w}" for w in new])], add_special_tokens=False)[0].ids, np.int64)
-            ends = np.cumsum([len(w.encode()) + 1 for w in new])
-            token_ends = np.cumsum(size[ids])
-            last = np.searchsorted(token_ends, ends)
-            if token_ends[-1] != ends[-1] or not np.array_equal(token_ends[last], ends):
-                raise ValueError("the tokenizer does not split at single spaces")
-            n = np.diff(last + 1, prepend=0)
-            self.start = np.concatenate([self.start, self.ids.size + np.cumsum(n) - n])
-            self.n, self.ids = np.concatenate([self.n, n]), np.concatenate([self.ids, ids])
+            new.sort(key=lambda w: EDGE.search(w) is not None)
+            inner = next((k for k, w in enumerate(new) if EDGE.search(w)), len(new))
+            tk, sp = v.load()
+            found: tuple[list, list] = [], []  # (ids, ids of each word) of A and of B
+            # words with white space at an end, from the ends of texts, stand alone
+            for some in filter(None, (new[:inner], *([w] for w in new[inner:]))):
+                text, ends = " ".join(some), np.cumsum([len(w.encode()) + 1 for w in some])
+                for to, ids, size in zip(found, (tk.encode(" " + text, add_special_tokens=False).ids, sp.encode(text)), (v.a_size, v.b_size)):
+                    ids = np.array(ids, np.int64)
+                    token_ends = np.cumsum(size[ids])
+                    last = np.searchsorted(token_ends, ends)
+                    if token_ends[-1] != ends[-1] or not np.array_equal(token_ends[last], ends):
+                        raise ValueError("the tokenizer does not split at single spaces")
+                    to.append((ids, np.diff(last + 1, prepend=0)))
+            for k, (before, now) in enumerate(zip(self.held, found)):
+                ids, n = (np.concatenate(x) for x in zip(*now))
+                self.held[k] = tuple(np.concatenate(x) for x in zip(before, (ids, before[0].size + np.cumsum(n) - n, n)))
             known.update(zip(new, range(len(known), len(known) + len(new))))
-        k = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
-        return self.ids[ranges(self.start[k], self.n[k])], self.n[k]
+        at = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
+        return [(ids[ranges(start[at], n[at])], n[at]) for ids, start, n in self.held]
 
 
 def _kind(size: int):
