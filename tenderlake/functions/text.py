@@ -1,6 +1,7 @@
-"""Text operators as native Column expressions (no Python UDFs).
+"""Text operators: Column -> Column.
 
-Every function maps Column -> Column and stays inside whole-stage codegen.
+All are native expressions, but for keyword and pattern dictionaries, whose
+automata (``lexicon``) run in Arrow batches.
 Java regex notes: ``(?U)`` gives Unicode ``\\s``/``\\b``/``\\w`` like
 Python's ``re``; ``(?iu)`` gives Unicode case-insensitivity.
 """
@@ -15,7 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import fixed
+from . import fixed, lexicon
 
 WS = r"(?U)\s+"
 
@@ -137,25 +138,16 @@ def top_tokens(toks: Column, k: int) -> Column:
 
 
 # ------------------------------------------------------------ keyword match
-def _word_regex(term: str) -> str:
-    return r"(?U)\b" + re.escape(term).replace("\\ ", " ") + r"\b"
-
-
 def matched_keywords(c, keywords, boundary_short: bool = True) -> Column:
     """Keywords found in lower(text), in dimension order.
 
     Terms of <= 4 characters need word boundaries (when ``boundary_short``),
-    longer ones match as substrings.  NULL/'' text -> [].
+    longer ones match as substrings; NULL and empty ones never match.  One pass
+    per text for any number of terms.  NULL/'' text -> [].
     """
-    t = F.lower(_c(c))
-    hits = []
-    for kw in keywords:
-        kl = kw.lower()
-        cond = t.rlike(_word_regex(kl)) if (boundary_short and len(kl) <= 4) else t.contains(kl)
-        hits.append(F.when(cond, F.lit(kw)))
-    if not hits:
-        return F.array().cast("array<string>")
-    return F.coalesce(F.array_compact(F.array(*hits)), F.array().cast("array<string>"))
+    keywords = list(keywords)
+    short = (lambda term: len(term) <= lexicon.SHORT) if boundary_short else (lambda term: False)
+    return lexicon.found_terms(F.lower(_c(c)), [k and k.lower() for k in keywords], short, keywords)
 
 
 def flex_pattern(term: str) -> str:
@@ -166,23 +158,23 @@ def flex_pattern(term: str) -> str:
     return rf"\b{re.sub(gap, lambda _: fixed.SEP, re.escape(term.strip()))}\b"
 
 
+def pattern_texts(d: dict) -> dict:
+    """name -> regular expression for a dictionary of ``(kind, text)`` entries
+    where kind is ``flex`` or ``re``."""
+    entries = {name: v if isinstance(v, tuple) else ("re", v) for name, v in d.items()}
+    return {name: flex_pattern(text) if kind == "flex" else text for name, (kind, text) in entries.items()}
+
+
 def compile_patterns(d: dict) -> dict:
-    """name -> Java regex (case-insensitive, Unicode classes) for a dictionary
-    of ``(kind, text)`` entries where kind is ``flex`` or ``re``."""
-    out = {}
-    for name, v in d.items():
-        kind, text = v if isinstance(v, tuple) else ("re", v)
-        pat = flex_pattern(text) if kind == "flex" else text
-        out[name] = "(?iU)" + pat
-    return out
+    """``pattern_texts`` as case-insensitive Java patterns with Unicode classes."""
+    return {name: "(?iU)" + p for name, p in pattern_texts(d).items()}
 
 
 def regex_hits(c, patterns: dict) -> Column:
-    """Names of the dictionary patterns found in the text, in order."""
-    pats = compile_patterns(patterns)
-    x = _c(c)
-    arr = F.array(*[F.when(x.rlike(p), F.lit(n)) for n, p in pats.items()])
-    return F.array_compact(arr)
+    """Names of the dictionary patterns found in the text, in order
+    (case-insensitive).  A pattern runs only on texts that hold a literal which
+    each of its matches must contain."""
+    return lexicon.found_patterns(_c(c), pattern_texts(patterns))
 
 
 def reason_text(arr, n: int, prefix: str = "") -> Column:

@@ -156,27 +156,27 @@ def enrich(df: DataFrame, lookup: DataFrame, own: str, key: str, lookup_key: str
 
 
 # ----------------------------------------------------------------- J06
-TERM_BLOCK = 200
+LEXICON_CHARS = 4_000_000
 
 
 def match_pairs(df: DataFrame, kw: DataFrame, text: str, term: str = "term",
-                boundary_short: bool = True) -> DataFrame:
+                boundary_short: bool = True, lexicon_chars: int = LEXICON_CHARS) -> DataFrame:
     """All (record, keyword) hits for a keyword *table* (T05 semantics).
 
-    The terms are read in blocks of ``TERM_BLOCK`` and each block is one T05
-    projection whose hits are exploded: a pass over the records per block, no
-    join, no shuffle, and the same plan for any number of terms.
+    The terms are counted first.  Up to ``lexicon_chars`` characters (about
+    32 bytes each) they are one automaton, sent to the tasks once: one pass over
+    the records, no join and no shuffle for any number of terms.  A larger table
+    is dealt by hash into automata of that size, with a pass over the records each.
     """
-    out, block = df.select("*", F.lit("").alias("keyword")).where(F.lit(False)), []
-
-    def hits(terms):
-        return df.select("*", F.explode(X.matched_keywords(text, terms, boundary_short)).alias("keyword"))
-
-    for row in kw.select(term).toLocalIterator():
-        block.append(row[0])
-        if len(block) == TERM_BLOCK:
-            out, block = out.unionByName(hits(block)), []
-    return out.unionByName(hits(block)) if block else out
+    terms = kw.select(F.col(term).alias("t")).where(F.length("t") > 0)
+    chars = terms.agg(F.sum(F.length("t"))).first()[0] or 0
+    blocks = -(-chars // lexicon_chars)
+    out = df.select("*", F.lit("").alias("keyword")).where(F.lit(False))
+    for b in range(blocks):
+        own = [r[0] for r in terms.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).collect()]  # lexicon_chars characters, counted above
+        hits = df.select("*", F.explode(X.matched_keywords(text, own, boundary_short)).alias("keyword"))
+        out = hits if blocks == 1 else out.unionByName(hits)
+    return out
 
 
 # ----------------------------------------------------------------- J07

@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import fixed
+from ..functions import fixed, lexicon
 from ..functions import text as X
 
 
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -26,13 +25,7 @@ def _c(c) -> Column:
 def term_hits(t: Column, terms, boundary: bool = False) -> Column:
     """Terms contained in ``t`` (dictionary order); ``boundary`` requires
     word boundaries instead of plain substrings."""
-    if not terms:
-        return F.array().cast("array<string>")
-    parts = []
-    for term in terms:
-        cond = t.rlike(r"(?U)\b\Q" + term + r"\E\b") if boundary else t.contains(term)
-        parts.append(F.when(cond, F.lit(term)))
-    return F.array_compact(F.array(*parts))
+    return lexicon.found_terms(t, terms, lambda term: boundary)
 
 
 # ----------------------------------------------------------------- R01

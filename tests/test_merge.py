@@ -82,12 +82,11 @@ def test_slices_and_index(spark):
         assert sorted((r.k, r.n) for r in gi if r.g == g) == [(k, i + 1) for i, k in enumerate(ks)]
 
 
-def test_match_pairs_blocks_agree(spark, monkeypatch):
+def test_match_pairs_blocks_agree(spark):
     docs = spark.createDataFrame([(1, "the license of apache"), (2, "le chat und mentionou"), (3, "nada"), (4, "xn/ab yn/a b"), (5, "a n/a b")],
                                  "doc_id long, text string")
     kw = spark.createDataFrame([("license",), ("apache",), ("le",), ("ment",), ("und",), ("of",), ("n/a",)], "term string")
     want = [(1, "apache"), (1, "license"), (1, "of"), (2, "le"), (2, "und"), (5, "n/a")]
-    for size in (200, 3, 1):
-        monkeypatch.setattr(J, "TERM_BLOCK", size)
-        assert sorted((r.doc_id, r.keyword) for r in J.match_pairs(docs, kw, "text").collect()) == want
+    for size in (200, 12, 1):
+        assert sorted((r.doc_id, r.keyword) for r in J.match_pairs(docs, kw, "text", lexicon_chars=size).collect()) == want
     assert J.match_pairs(docs, kw.limit(0), "text").count() == 0
