@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import display as D
 from ..functions import text as X
 from ..session import folder_names
+from .records_csv import read_csv
 
 TEXT_ALIASES = ["Objeto", "objeto", "objeto_compra", "texto", "text"]
 LABEL_ALIASES = ["Relevante", "relevante", "label", "rotulo"]
@@ -16,10 +17,9 @@ LABEL_ALIASES = ["Relevante", "relevante", "label", "rotulo"]
 
 # ----------------------------------------------------------------- S04
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Labelled CSV (header, BOM, quoted multi-line text); every column
-    read as text -- labels are parsed later (T18/F06)."""
-    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            .option("inferSchema", False).option("encoding", "UTF-8").csv(path))
+    """Labelled CSV (header, BOM, quoted multi-line text), any number of
+    tasks per file; every column read as text -- labels are parsed later (T18/F06)."""
+    return read_csv(spark, path)
 
 
 # ----------------------------------------------------------------- S05
