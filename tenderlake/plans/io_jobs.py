@@ -15,6 +15,7 @@ from ..operators import merge as J
 from ..operators import relevance as RV
 from ..session import scratch_path
 from ..sources import files as SF
+from ..sources import keyed
 from ..sources import pages as PG
 from ..sources import sinks as K
 from ..tables import table
@@ -268,6 +269,21 @@ def q_upsert(spark, sf_dir):
     return K.last_write(u.select(*FLAT, "seq"), "numeroControlePNCP", "seq", side).select(*FLAT, "seq")
 
 
+@query("upsert_table", with_ctes(NOTICES_SQL, FEEDS_SQL, NORM_SQL) + f"""
+SELECT {', '.join(FLAT)}, seq FROM norm
+QUALIFY row_number() OVER (PARTITION BY coalesce(numeroControlePNCP, '#' || feed || CAST(seq AS VARCHAR))
+                           ORDER BY CASE WHEN feed = 'search' THEN 1 ELSE 0 END DESC, seq DESC) = 1""")
+def q_upsert_table(spark, sf_dir):
+    """K02 on a keyed table: the consulta feed, then the search feed in two
+    batches; each batch rewrites only the files that may hold its keys."""
+    path = scratch_path(spark, "upsert_table")
+    u = _flat(normalized_feeds(spark, sf_dir)).select(*FLAT, "seq").checkpoint()
+    for batch in (F.col("_origem") == "consulta", (F.col("_origem") == "search") & (F.col("seq") % 2 == 0),
+                  (F.col("_origem") == "search") & (F.col("seq") % 2 == 1)):
+        keyed.upsert(u.where(batch), path, "numeroControlePNCP", "seq")
+    return keyed.read(spark, path)
+
+
 @query("bronze_append", with_ctes(NOTICES_SQL, FEEDS_SQL) + f"""
 SELECT ingest_seq, CAST(ingest_seq // {PAGE_SIZE} + 1 AS INTEGER) AS page, '2026-03-13 10:00:00' AS collected_at,
        {_j('numeroControlePNCP')} AS pncp_id, DATE '2026-03-13' AS data

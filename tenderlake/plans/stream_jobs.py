@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import keyed
 from ..streaming import ingest as ST
 from ..tables import table
 from . import query
@@ -69,6 +70,26 @@ def q_stream_dedupe(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_dedupe_bounded", """WITH d AS (SELECT min(CAST(ts AS DATE)) AS first FROM events)
+SELECT event_id FROM events, d WHERE NOT (CAST(ts AS DATE) < first + 5 AND event_id % 10 = 0)""")
+def q_stream_dedupe_bounded(spark, sf_dir):
+    """ST2 with a watermark of ten days: the last landing brings days 1-5 again,
+    with a tenth of their events that never came before, and the last five days
+    again.  The old days are too late, new or not; the last days are repeats."""
+    land, out, ck = (scratch_path(spark, n) for n in ("db_land", "db_out", "db_ck"))
+    e = table(spark, sf_dir, "events")
+    first, last = e.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    day, span = F.datediff(F.to_date("ts"), F.lit(first)), (last - first).days + 1
+    held = (day < 5) & (F.col("event_id") % 10 == 0)
+    landings = [e.where((F.floor(day * LANDINGS / span) == k) & ~held) for k in range(LANDINGS)]
+    landings.append(e.where((day < 5) | (day >= span - 5)))
+    for rows in landings:
+        rows.select("event_id", "ts").write.mode("append").parquet(land)
+        sdf = spark.readStream.schema("event_id long, ts timestamp").parquet(land)
+        _await(ST.run_to_sink(ST.stream_dedupe(sdf, "event_id", ("ts", "10 days")).select("event_id"), out, ck))
+    return spark.read.parquet(out)
+
+
 @query("stream_upsert", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
 def q_stream_upsert(spark, sf_dir):
     """ST3: streaming insert-if-absent by user: the first event per user wins
@@ -77,17 +98,17 @@ def q_stream_upsert(spark, sf_dir):
     _land_event_pages(spark, sf_dir, land)
     sdf = _records(ST.stream_pages(spark, land, "events"))
     _await(ST.stream_upsert(sdf, out, "user_id", "event_id", ck, mode="insert"))
-    return spark.read.parquet(out).select("user_id", "event_id")
+    return keyed.read(spark, out).select("user_id", "event_id")
 
 
 @query("stream_latest", "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id")
 def q_stream_latest(spark, sf_dir):
-    """ST3: streaming latest-wins table by user (merge-on-read)."""
+    """ST3: streaming latest-wins table by user."""
     land, out, ck = (scratch_path(spark, n) for n in ("lt_land", "lt_out", "lt_ck"))
     _land_event_pages(spark, sf_dir, land)
     sdf = _records(ST.stream_pages(spark, land, "events"))
     _await(ST.stream_upsert(sdf, out, "user_id", "event_id", ck, mode="latest"))
-    return ST.read_latest(spark, out, "user_id", "event_id").select("user_id", "event_id")
+    return keyed.read(spark, out).select("user_id", "event_id")
 
 
 def _classified(spark, sf_dir):

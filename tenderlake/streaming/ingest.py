@@ -2,14 +2,15 @@
 
 * ST1 ``stream_pages``: landed page files become records exactly once; the
   checkpoint (on shared storage) is the resume point.
-* ST2 ``stream_dedupe``: state keyed by id; unbounded by default (as in the
-  batch client), or bounded by a watermark when asked.
-* ST3 ``stream_upsert``: ``foreachBatch`` into a table with insert-if-absent
-  (first write wins) or latest-wins (merge-on-read log).  A micro-batch is
-  one partition folder and an entry of the commit log beside the table: a
-  replay is recognised without reading the table, so the sink is idempotent.
-* ST4 ``stream_relevance``: ``foreachBatch`` running the resumable
-  relevance job on each micro-batch, with a log of all processed ids.
+* ST2 ``stream_dedupe``: state keyed by id in RocksDB; unbounded by default (as
+  in the batch client), or bounded by a watermark when asked.
+* ST3 ``stream_upsert``: ``foreachBatch`` into a keyed table
+  (``sources.keyed``) with insert-if-absent (first write wins) or latest-wins: a
+  micro-batch opens only files that may hold its keys.
+* ST4 ``stream_relevance``: resumable classification; the ids processed are
+  state of the stream, so the cost of a micro-batch does not grow with history.
+
+Micro-batches are committed by id, so a replay does nothing.
 """
 
 from __future__ import annotations
@@ -17,12 +18,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import merge as J
 from ..operators import relevance as RV
 from ..session import path_exists
-from ..sources import sinks as K
+from ..sources import keyed
 from ..sources.pages import parse_pages
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_on_disk(spark: SparkSession) -> None:
+    """Keep the state of stateful streams in RocksDB, unless the session names a
+    state store.  A stream remembers its choice in its checkpoint."""
+    if "HDFSBackedStateStoreProvider" in (spark.conf.get(STATE_STORE, None) or "HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")  # a commit writes its changes only
+
 
 def stream_pages(spark: SparkSession, path: str, source: str | None = None,
                  max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,7 +45,13 @@ def stream_pages(spark: SparkSession, path: str, source: str | None = None,
 
 
 def stream_dedupe(sdf: DataFrame, key: str, watermark: tuple[str, str] | None = None) -> DataFrame:
-    """ST2: drop repeated ids across micro-batches (state store)."""
+    """ST2: drop repeated ids across micro-batches.
+
+    With ``watermark`` (time column, delay) the state holds the ids of the delay
+    only: rows later than that are dropped, and repeats within it found.
+    Without it, every id is kept for good.
+    """
+    state_on_disk(sdf.sparkSession)
     if watermark:
         col, delay = watermark
         return sdf.withWatermark(col, delay).dropDuplicatesWithinWatermark([key])
@@ -62,38 +79,16 @@ def _append(df: DataFrame, out: str, batch_id: int) -> None:
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, key: str, seq: str, mode: str) -> None:
-    """One micro-batch into the table at ``path`` (K01 or K02 semantics)."""
-    spark = batch.sparkSession
-    if _batch_done(spark, path, batch_id):
-        return  # replayed micro-batch: already committed
-    if mode == "insert":
-        if path_exists(spark, path):
-            # keys of committed batches only: a broken attempt is not read
-            existing = spark.read.parquet(path).where(F.col("_batch_id") != batch_id).select(key)
-        else:
-            existing = batch.limit(0).select(key)
-        new = K.insert_if_absent(existing, batch, key, seq)
-    elif mode == "latest":
-        new = batch  # merge-on-read: readers apply ``read_latest``
-    else:
-        raise ValueError(mode)
-    _append(new, path, batch_id)
-    _commit(spark, path, batch_id)
-
-
-def read_latest(spark: SparkSession, path: str, key: str, seq: str) -> DataFrame:
-    """Latest-wins view of a table written with ``mode='latest'``: per key
-    the row of the newest micro-batch, then the highest ``seq``."""
-    t = spark.read.parquet(path)
-    g = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("#"), F.col(seq).cast("string")))
-    return (t.groupBy(g.alias("_g"))
-             .agg(F.max_by(F.struct(*[F.col(c) for c in t.columns]), F.struct("_batch_id", seq)).alias("_r"))
-             .select("_r.*"))
+    """One micro-batch into the keyed table at ``path`` (K01 or K02 semantics)."""
+    {"insert": keyed.insert, "latest": keyed.upsert}[mode](batch, path, key, seq, batch_id=batch_id)
 
 
 def stream_upsert(sdf: DataFrame, path: str, key: str, seq: str, checkpoint: str, mode: str = "insert",
                   available_now: bool = True):
-    """ST3: start the streaming upsert; returns the StreamingQuery."""
+    """ST3: start the streaming upsert (``mode`` insert or latest); returns the
+    StreamingQuery.  Read the table with ``keyed.read``."""
+    if mode not in ("insert", "latest"):
+        raise ValueError(mode)
     w = (sdf.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(lambda b, i: upsert_batch(b, i, path, key, seq, mode)))
     w = w.trigger(availableNow=True) if available_now else w
@@ -101,19 +96,14 @@ def stream_upsert(sdf: DataFrame, path: str, key: str, seq: str, checkpoint: str
 
 
 def relevance_batch(batch: DataFrame, batch_id: int, out: str, key: str, text: str, scorer) -> None:
-    """ST4 micro-batch: skip every id scored before, relevant or not, score the
-    rest once, append the relevant rows and log all scored ids with their
-    status (R07)."""
+    """ST4 micro-batch of ids that were not processed before: score once, append
+    the relevant rows and log all ids with their status (R07)."""
     spark = batch.sparkSession
     if _batch_done(spark, out, batch_id):
         return
-    log = processed_log(out)
-    todo = batch
-    if path_exists(spark, log):
-        todo = J.pending(batch, spark.read.parquet(log).where(F.col("_batch_id") != batch_id).select(key), key)
-    new, status = RV.run_relevance(todo, todo.limit(0), key, text, scorer)
+    new, status = RV.run_relevance(batch, batch.limit(0), key, text, scorer)
     _append(new, out, batch_id)
-    _append(status, log, batch_id)
+    _append(status, processed_log(out), batch_id)
     _commit(spark, out, batch_id)
 
 
@@ -124,8 +114,11 @@ def processed_log(out: str) -> str:
 
 def stream_relevance(sdf: DataFrame, out: str, key: str, text: str, scorer, checkpoint: str,
                      available_now: bool = True):
-    """ST4: resumable classification as a stream (restart = checkpoint)."""
-    w = (sdf.writeStream.option("checkpointLocation", checkpoint)
+    """ST4: resumable classification as a stream (restart = checkpoint).  An id is
+    processed once, whichever of its rows came first; rows without an id all are."""
+    state_on_disk(sdf.sparkSession)
+    new = sdf.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(sdf.where(F.col(key).isNull()))
+    w = (new.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(lambda b, i: relevance_batch(b, i, out, key, text, scorer)))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
