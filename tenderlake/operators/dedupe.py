@@ -144,10 +144,39 @@ def batches(df: DataFrame, size: int, order, name: str = "batch_id") -> DataFram
 
 
 def page(df: DataFrame, offset: int, limit: int | None, order) -> DataFrame:
-    """LIMIT/OFFSET in ``order`` (limit None/0 = no limit)."""
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    s = df.orderBy(*order).offset(offset)
-    return s.limit(limit) if limit else s
+    """LIMIT/OFFSET in ``order`` (limit None/0 = no limit), ``order`` total.
+
+    The order columns alone are ranked (``with_index``: rows per range
+    partition and their running sums).  The page's first and last rank are two
+    rows of that index, and the page is the range between their values: a
+    filter that reaches the scan, so nothing collects offset + limit rows and no
+    partition holds a whole tail.  NULLs sort first, as in ``orderBy``.
+    """
+    order = [o if isinstance(o, str) else None for o in order]
+    if None in order:
+        raise ValueError("name the columns of the order")
+    ranked = with_index(df.select(*order), order, "_rank")
+    last = offset + limit if limit else None
+    ends = {r["_rank"]: r for r in ranked.where(F.col("_rank").isin([offset + 1, *([last + 1] if limit else [])])).collect()}  # two rows
+    if offset + 1 not in ends:
+        return df.limit(0)
+    inside = ~_before(order, ends[offset + 1])
+    if last and last + 1 in ends:
+        inside = inside & _before(order, ends[last + 1])
+    return df.where(inside).orderBy(*order)
+
+
+def _before(order: list[str], row) -> Column:
+    """Whether a row comes before ``row`` in the order (ascending, NULL first)."""
+    out = F.lit(False)
+    for name in reversed(order):
+        value = row[name]
+        if value is None:  # nothing is less than NULL
+            out = F.col(name).isNull() & out
+        else:
+            less = F.col(name).isNull() | (F.col(name) < F.lit(value))
+            out = less | ((F.col(name) == F.lit(value)) & out) if name != order[-1] else less
+    return F.coalesce(out, F.lit(False))
 
 
 def progress(df: DataFrame, order, name: str = "pct") -> DataFrame:

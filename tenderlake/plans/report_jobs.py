@@ -280,6 +280,15 @@ def q_offset_page(spark, sf_dir):
     return W.page(n, 400, 200, ["ingest_seq"])
 
 
+@query("offset_tail", with_ctes(NOTICES_SQL) + """
+SELECT ingest_seq, numeroControlePNCP FROM notices ORDER BY numeroControlePNCP NULLS FIRST, ingest_seq
+LIMIT (SELECT count(*) FROM notices) OFFSET 1000""")
+def q_offset_tail(spark, sf_dir):
+    """All rows but the first 1000 (no limit), in the order of a column with NULLs."""
+    n = notices(spark, sf_dir).select("ingest_seq", "numeroControlePNCP")
+    return W.page(n, 1000, None, ["numeroControlePNCP", "ingest_seq"])
+
+
 # ---------------------------------------------------------------- display
 @query("parse_control", with_ctes(NOTICES_SQL) + r"""
 SELECT ingest_seq, regexp_extract(numeroControlePNCP, '^(\d+)-1-(\d+)/(\d+)', 1) AS cnpj,
