@@ -1,7 +1,8 @@
 """Text operators: Column -> Column.
 
 All are native expressions, but for keyword and pattern dictionaries, whose
-automata (``lexicon``) run in Arrow batches.
+automata (``lexicon``), and token counts, whose kernels (``counting``), run in
+Arrow batches.
 Java regex notes: ``(?U)`` gives Unicode ``\\s``/``\\b``/``\\w`` like
 Python's ``re``; ``(?iu)`` gives Unicode case-insensitivity.
 """
@@ -16,7 +17,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import fixed, lexicon
+from . import counting, fixed, lexicon
 
 WS = r"(?U)\s+"
 
@@ -48,16 +49,20 @@ def squash_lower(c) -> Column:
 # ------------------------------------------------------------------ folding
 @lru_cache(maxsize=1)
 def _fold_tables():
-    """(source characters, their ASCII character, {character: longer ASCII}),
-    by rule: every code point whose NFKD form holds ASCII characters."""
+    """(source characters, their ASCII character, first entry of each block of
+    256 code points or nothing, entries of the blocks that have any), by rule:
+    every code point whose NFKD form holds ASCII characters; entries are for
+    those with several."""
     one, many = {}, {}
     for cp in range(0x80, sys.maxunicode + 1):
         ascii_part = "".join(x for x in unicodedata.normalize("NFKD", chr(cp)) if x < "\x80")
         if len(ascii_part) == 1:
             one[chr(cp)] = ascii_part
         elif ascii_part:
-            many[chr(cp)] = ascii_part
-    return "".join(one), "".join(one.values()), many
+            many[cp] = ascii_part
+    used = sorted({cp >> 8 for cp in many})
+    first = [str(used.index(b) << 8) if b in used else "" for b in range(used[-1] + 1)]
+    return "".join(one), "".join(one.values()), first, [many.get(b << 8 | low, "") for b in used for low in range(256)]
 
 
 def fold_raw(c) -> Column:
@@ -65,14 +70,22 @@ def fold_raw(c) -> Column:
 
     Most characters map to one ASCII character (one ``translate``).  Texts
     with anything else outside ASCII are cut at it: a ligature, fraction or
-    the like is looked up, the rest goes.
+    the like is looked up by its code point, the rest goes.
     """
-    src, dst, many = _fold_tables()
+    src, dst, first, entries = _fold_tables()
     x = F.translate(_c(c), src, dst)
-    table = F.create_map(*[F.lit(v) for kv in many.items() for v in kv])
-    pieces = F.regexp_extract_all(x, F.lit(r"[^\x00-\x7F]|[\x00-\x7F]+"), 0)
-    ascii_only = F.transform(pieces, lambda p: F.when(p < "\x80", p).otherwise(F.coalesce(F.try_element_at(table, p), F.lit(""))))
-    return F.when(x.rlike(r"[^\x00-\x7F]"), F.array_join(ascii_only, "")).otherwise(x)
+    sep = "\x1f"  # in no entry
+    starts, flat = F.split(F.lit(sep.join(first)), sep), F.split(F.lit(sep.join(entries)), sep)  # constants
+    def looked_up(p: Column) -> Column:
+        start = F.get(starts, F.shiftright(F.ascii(p), 8)).try_cast("int")
+        return F.coalesce(F.get(flat, start + F.ascii(p).bitwiseAND(255)), F.lit(""))
+
+    def rest(y: Column) -> Column:
+        pieces = F.regexp_extract_all(y, F.lit(r"[^\x00-\x7F]|[\x00-\x7F]+"), 0)
+        ascii_only = F.transform(pieces, lambda p: F.when(p < "\x80", p).otherwise(looked_up(p)))
+        return F.when(y.rlike(r"[^\x00-\x7F]"), F.array_join(ascii_only, "")).otherwise(y)
+
+    return bound(x, rest)
 
 
 def fold(c) -> Column:
@@ -118,23 +131,10 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def token_counts(toks: Column) -> Column:
-    """Distinct tokens of an array with count and first place, in token order:
-    ``array<struct<t, n, first>>``.  The tokens are sorted with their places,
-    so equal ones are neighbours: O(n log n) in the row, no shuffle."""
-    def runs(s: Column) -> Column:
-        starts = F.array_compact(F.transform(s, lambda x, i: F.when((i == 0) | (x["t"] != F.get(s, i - 1)["t"]), i)))
-        return bound(starts, lambda b: F.transform(b, lambda at, j: F.struct(
-            F.get(s, at)["t"].alias("t"), (F.coalesce(F.get(b, j + 1), F.size(s)) - at).alias("n"), F.get(s, at)["i"].alias("first"))))
-
-    return bound(F.array_sort(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i")))), runs)
-
-
 def top_tokens(toks: Column, k: int) -> Column:
     """The ``k`` most frequent tokens with their counts, ties by first
     occurrence: ``array<struct<t, n>>`` in rank order."""
-    ranked = F.transform(token_counts(toks), lambda x: F.struct((-x["n"]).alias("o"), x["first"].alias("first"), x["t"].alias("t")))
-    return F.transform(F.slice(F.array_sort(ranked), 1, k), lambda x: F.struct(x["t"].alias("t"), (-x["o"]).alias("n")))
+    return counting.top_tokens(toks, k)
 
 
 # ------------------------------------------------------------ keyword match

@@ -1,9 +1,8 @@
 """Text model jobs (M01-M06): TF-IDF, splits, linear classifier, scoring.
 
-TF-IDF is computed with DataFrame operations (explode, group-by, a
-1000-row vocabulary) so it is exact, distributed and oracle-checkable:
-weight = tf * (ln((1+n)/(1+df)) + 1), L2-normalised per document, over the
-``max_features`` most frequent 1-2-grams (ties: term ascending).  The
+TF-IDF weight = tf * (ln((1+n)/(1+df)) + 1), L2-normalised per document, over
+the ``max_features`` most frequent 1-2-grams (ties: term ascending).  The
+vocabulary is exact, but rare grams are never shuffled: see ``fit_vocab``.  The
 classifier is Spark ML's ``LinearSVC`` (hinge loss) on those weights.
 """
 
@@ -11,21 +10,29 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import counting as C
 from ..functions import text as X
 from .dedupe import with_index
 
 
 # ----------------------------------------------------------------- M01
+def words(text: str) -> Column:
+    """Word tokens of >= 2 word characters, lower-cased."""
+    return F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)\b\w\w+\b"), 0)
+
+
 def gram_array(text: str, ngrams=(1, 2)) -> Column:
-    """Word tokens of >= 2 word characters, lower-cased, as lo..hi-grams."""
+    """``words`` as lo..hi-grams."""
     lo, hi = ngrams
-    toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)\b\w\w+\b"), 0)
 
     def all_sizes(t: Column) -> Column:
         def of(n: int) -> Column:
@@ -34,34 +41,100 @@ def gram_array(text: str, ngrams=(1, 2)) -> Column:
 
         return F.concat(*[of(n) for n in range(lo, hi + 1)])
 
-    return X.bound(toks, all_sizes)
+    return X.bound(words(text), all_sizes)
+
+
+KEPT_TERMS, MOST_CANDIDATES = 20_000, 200_000
+
+
+def _frequent(toks: DataFrame, ngrams, kept: int) -> DataFrame:
+    """(term, n): the ``kept`` most frequent grams of each length in each slice
+    of a task, with their counts there, and one row with a NULL term per slice,
+    the most that any other gram counts there."""
 
+    def run(batches):
+        for part in C.token_slices(batches, "_t"):
+            g, other = C.Grams(part.column("_t"), *ngrams), 0
+            for size, (key, _) in g.levels.items():
+                keys, n = C.groups(key)
+                if keys.size > kept:
+                    order = np.argpartition(-n, kept)
+                    other = max(other, int(n[order[kept]]))
+                    keys, n = keys[order[:kept]], n[order[:kept]]
+                yield pa.RecordBatch.from_arrays([g.text(size, keys), pa.array(n, pa.int64())], names=["term", "n"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.array([other], pa.int64())], names=["term", "n"])
 
-def term_counts(df: DataFrame, id_col: str, text: str, ngrams=(1, 2)) -> DataFrame:
-    """(id, term, tf): the terms of a text are counted inside its row."""
-    x = df.select(id_col, F.explode(X.token_counts(gram_array(text, ngrams))).alias("x"))
-    return x.select(id_col, F.col("x.t").alias("term"), F.col("x.n").alias("tf"))
+    return toks.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def fit_vocab(df: DataFrame, id_col: str, text: str, max_features: int = 1000, ngrams=(1, 2)) -> DataFrame:
-    """M01 fit: (term, idx, idf) of the ``max_features`` most frequent terms;
-    one shuffle, of per-task sums per term."""
-    stats = term_counts(df, id_col, text, ngrams).groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    top = stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
+def _exact(toks: DataFrame, terms: list[str], ngrams) -> DataFrame:
+    """(term, total, df) of some terms; each slice of a task sends one sum per term."""
+    split = [t.split(" ") for t in terms]
+
+    def run(batches):
+        total, df = np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
+        for part in C.token_slices(batches, "_t"):
+            _, place, n = C.Grams(part.column("_t"), *ngrams).counts(split)
+            np.add.at(total, place, n)
+            np.add.at(df, place, 1)
+        own = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([terms[k] for k in own], pa.string()), pa.array(total[own]), pa.array(df[own])], names=["term", "total", "df"])
+
+    return toks.mapInArrow(run, "term string, total long, df long").groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+
+
+def fit_vocab(df: DataFrame, id_col: str, text: str, max_features: int = 1000, ngrams=(1, 2), kept: int = KEPT_TERMS) -> DataFrame:
+    """M01 fit: (term, idx, idf) of the ``max_features`` most frequent terms, exactly.
+
+    Tasks send their most frequent grams only, with a bound on all others.  Let
+    E be the sum of the bounds: a gram's true count is at least the sum L of
+    what was sent and at most L + E.  With T the ``max_features``-th largest L,
+    every gram of the vocabulary has L >= T - E, so these candidates are
+    counted exactly in a second pass.  Where E is over half of T the lists were
+    too short, and four times as much is kept.  What is shuffled is
+    independent of the number of rare grams.
+    """
+    toks = df.select(words(text).alias("_t"))
+    while True:
+        sums = _frequent(toks, ngrams, kept).checkpoint()
+        bound = sums.where("term is null").agg(F.sum("n")).first()[0] or 0
+        top = sums.where("term is not null").orderBy(F.desc("n"), F.asc("term")).limit(max_features)
+        least = top.agg(F.min("n"), F.count(F.lit(1))).first()
+        if not bound:  # everything was sent: the sums are exact
+            candidates = top
+            break
+        if least[1] == max_features and 2 * bound <= least[0]:
+            candidates = sums.where((F.col("term").isNotNull()) & (F.col("n") >= least[0] - bound))
+            if candidates.count() <= MOST_CANDIDATES:
+                break
+        kept *= 4
+    terms = [r["term"] for r in candidates.select("term").collect()]  # MOST_CANDIDATES (max_features where nothing was left out) at most
+    best = _exact(toks, terms, ngrams).orderBy(F.desc("total"), F.asc("term")).limit(max_features)
     idf = F.log((F.lit(1.0) + df.count()) / (F.lit(1.0) + F.col("df"))) + 1.0
-    return top.select("term", (F.row_number().over(Window.orderBy(F.asc("term"))) - 1).alias("idx"), idf.alias("idf")).checkpoint()
+    return best.select("term", (F.row_number().over(Window.orderBy(F.asc("term"))) - 1).alias("idx"), idf.alias("idf")).checkpoint()
 
 
 def tfidf(df: DataFrame, id_col: str, text: str, vocab: DataFrame, ngrams=(1, 2)) -> DataFrame:
-    """(id, term, idx, weight) of a fitted vocabulary.
+    """(id, term, idx, weight) of a fitted vocabulary, a row per term of a
+    text; counted and normalised inside the text's row, nothing is shuffled.
 
-    The vocabulary has at most ``max_features`` rows -- a proven bound -- so
-    it is broadcast, and terms outside it are gone before anything is shuffled.
+    The vocabulary has at most ``max_features`` rows, so it goes out with the tasks.
     """
-    w = (term_counts(df, id_col, text, ngrams).join(F.broadcast(vocab), "term")
-         .select(id_col, "term", "idx", (F.col("tf") * F.col("idf")).alias("w")))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", "idx", (F.col("w") / norm).alias("weight"))
+    terms = [(r["term"], r["idx"], r["idf"]) for r in vocab.collect()]
+    names = pa.array([t for t, _, _ in terms], pa.string())
+    index, idf = np.array([i for _, i, _ in terms], np.int32), np.array([w for _, _, w in terms], np.float64)
+    split = [t.split(" ") for t, _, _ in terms]
+
+    def run(batches):
+        for part in C.token_slices(batches, "_t"):
+            row, place, n = C.Grams(part.column("_t"), *ngrams).counts(split)
+            w = n * idf[place]
+            norm = np.sqrt(np.bincount(row, weights=w * w, minlength=part.num_rows))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), names.take(pa.array(place)), pa.array(index[place]), pa.array(w / norm[row])],
+                                             names=[id_col, "term", "idx", "weight"])
+
+    schema = T.StructType([df.schema[id_col], T.StructField("term", T.StringType()), T.StructField("idx", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+    return df.select(id_col, words(text).alias("_t")).mapInArrow(run, schema)
 
 
 def to_features(df: DataFrame, text: str, vocab: DataFrame, col: str = "features", ngrams=(1, 2)) -> DataFrame:
