@@ -116,18 +116,17 @@ BUCKET_BATCHES = 10_000
 def save_batch_results(results: DataFrame, path: str, batch_col: str = "batch_id") -> None:
     """Results of whole batches.
 
-    Files are foldered by ranges of ``BUCKET_BATCHES`` batch ids, not by batch,
-    and each call is one commit under a run id; the ids that a run finished
-    are a small table beside the results, written after them, so results of a
-    run that broke off are never read.
+    Each call is a run with folders of its own, by ranges of ``BUCKET_BATCHES``
+    batch ids.  The ids that it finished are a small table beside the results,
+    written after them from the run's own files; a run without that entry broke
+    off and is never opened.
     """
     spark = results.sparkSession
     run = uuid.uuid4().hex
-    bucket = F.floor(F.col(batch_col) / BUCKET_BATCHES)
-    (results.withColumn("_bucket", bucket).withColumn("_run", F.lit(run))
-        .write.mode("append").partitionBy("_bucket").parquet(f"{path}/results"))
-    saved = spark.read.parquet(f"{path}/results").where(F.col("_run") == run)
-    saved.select(batch_col, "_run").distinct().write.mode("append").parquet(f"{path}/finished")
+    own = f"{path}/results/_run={run}"
+    results.withColumn("_bucket", F.floor(F.col(batch_col) / BUCKET_BATCHES)).write.partitionBy("_bucket").parquet(own)
+    saved = spark.read.schema(results.schema).parquet(own)
+    saved.select(batch_col).distinct().coalesce(1).write.parquet(f"{path}/finished/_run={run}")
 
 
 def _finished(spark: SparkSession, path: str, batch_col: str) -> DataFrame:
@@ -146,7 +145,20 @@ def pending_batches(batches: DataFrame, done: DataFrame | None, batch_col: str =
     return batches if done is None else batches.join(done, batch_col, "left_anti")
 
 
-def load_results(spark: SparkSession, path: str, batch_col: str = "batch_id") -> DataFrame:
-    """All results of finished batches in batch order."""
-    kept = spark.read.parquet(f"{path}/results").join(_finished(spark, path, batch_col), [batch_col, "_run"], "left_semi")
+def load_results(spark: SparkSession, path: str, batch_col: str = "batch_id", first: int | None = None, last: int | None = None) -> DataFrame:
+    """All results of finished batches in batch order, or those of batches
+    ``first`` to ``last``.  Only the runs and folders that hold them are opened."""
+    done = _finished(spark, path, batch_col)
+    if first is not None:
+        done = done.where(F.col(batch_col) >= first)
+    if last is not None:
+        done = done.where(F.col(batch_col) <= last)
+    done = done.checkpoint()
+    runs = [r["_run"] for r in done.select("_run").distinct().collect()]  # one per save
+    results = spark.read.option("basePath", f"{path}/results").parquet(*[f"{path}/results/_run={r}" for r in runs] or [f"{path}/results"])
+    bucket = F.col("_bucket")
+    for end, keep in ((first, bucket.__ge__), (last, bucket.__le__)):
+        if end is not None:
+            results = results.where(keep(end // BUCKET_BATCHES))
+    kept = results.join(done, [batch_col, "_run"], "left_semi")
     return kept.drop("_bucket", "_run").orderBy(batch_col)
