@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -175,10 +176,7 @@ def centred(tested: DataFrame, num: int = NUM) -> DataFrame:
     spark = tested.sparkSession
     active = tested.groupBy("b").agg(F.count("*").alias("m"), F.bool_and("linked").alias("all")).filter("m > 1 and not all").select("b", "m")
     rows = written(spark, tested.join(active, "b"), "sketch-active")
-    diff = rows.select("b", "m", F.explode(signed_shingles(F.col("added"), F.col("removed"))).alias("d")).select("b", "m", "d.e", "d.has")
-    own = (diff.groupBy("b", "e", "has").agg(F.count("*").alias("c"), F.first("m").alias("m")).filter(2 * F.col("c") > F.col("m") + 1)
-           .groupBy("b").agg(F.collect_list(F.when(F.col("has"), F.col("e"))).alias("most"),  # the leader lacks them; no more than sets hold
-                             F.collect_list(F.when(~F.col("has"), F.col("e"))).alias("few")))
+    own = majority(rows)
     none = F.expr("array()").cast("array<long>")
     every = rows.select("b", "x", F.col("nx").alias("n"), "nb", "added", "removed")
     every = every.unionByName(rows.select("b", F.col("b").alias("x"), F.col("nb").alias("n"), "nb").distinct().withColumn("added", none).withColumn("removed", none))
@@ -194,6 +192,66 @@ def centred(tested: DataFrame, num: int = NUM) -> DataFrame:
     return written(spark, every.select("b", "x", "n", "nc", "off", "plus", "minus", F.col("h.x").alias("head"), linked.alias("linked")), "sketch-members")
 
 
+def _leader_runs(batch: pa.RecordBatch):
+    """(first row, rows) of each run of rows of one leader."""
+    b = batch.column("b").to_numpy()
+    cut = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if b.size else np.zeros(0, np.int64)
+    return cut, np.diff(np.append(cut, b.size))
+
+
+def _run_counts(lists: pa.Array, cut: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, shingle, rows of the run that have it), ordered."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    run = np.repeat(np.repeat(np.arange(rows.size), rows), size)
+    e = lists.flatten().to_numpy(zero_copy_only=False)
+    order = np.lexsort((e, run))
+    run, e = run[order], e[order]
+    new = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (e[1:] != e[:-1])]) if e.size else np.zeros(0, np.int64)
+    return run[new], e[new], np.diff(np.append(new, e.size))
+
+
+def majority(rows: DataFrame) -> DataFrame:
+    """(b, most, few): the added, and the removed, shingles that more than half of
+    a leader's members (the leader counted among them) have; rows are (b, m, added, removed).
+
+    What more than half of the members have, more than half of some run of them
+    in a task have: those are the candidates, and tasks count them by run.  No
+    member's differences become rows.
+    """
+    def half(batches):
+        for batch in batches:
+            cut, n = _leader_runs(batch)
+            out = [batch.column("b").take(pa.array(cut))]
+            for col in ("added", "removed"):
+                run, e, c = _run_counts(batch.column(col), cut, n)
+                keep = 2 * c > n[run]
+                ends = np.concatenate([[0], np.cumsum(np.bincount(run[keep], minlength=n.size))])
+                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(e[keep], pa.int64())))
+            yield pa.RecordBatch.from_arrays(out, names=["b", "most", "few"])
+
+    def count(batches):
+        for batch in batches:
+            cut, n = _leader_runs(batch)
+            for col, asked, has in (("added", "most", True), ("removed", "few", False)):
+                run, e, c = _run_counts(batch.column(col), cut, n)
+                own, known, _ = _run_counts(batch.column(asked).take(pa.array(cut)), np.arange(n.size), np.ones(n.size, np.int64))
+                # runs and shingles are both ordered: number the pairs of the two sides together
+                order = np.lexsort((np.r_[np.zeros(run.size), np.ones(own.size)], np.r_[e, known], np.r_[run, own]))
+                r, x = np.r_[run, own][order], np.r_[e, known][order]
+                hit = np.flatnonzero((r[1:] == r[:-1]) & (x[1:] == x[:-1]))
+                at = cut[r[hit]]
+                yield pa.RecordBatch.from_arrays([batch.column("b").take(pa.array(at)), batch.column("m").take(pa.array(at)), pa.array(x[hit], pa.int64()),
+                                                  pa.array(np.full(hit.size, has)), pa.array(c[order[hit]], pa.int64())], names=["b", "m", "e", "has", "c"])
+
+    slim = rows.select("b", "m", "added", "removed")
+    found = slim.sortWithinPartitions("b").mapInArrow(half, "b long, most array<long>, few array<long>")
+    either = found.groupBy("b").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("most", "few")])  # sets of a row per run
+    counts = slim.join(either, "b").sortWithinPartitions("b").mapInArrow(count, "b long, m long, e long, has boolean, c long")
+    kept = counts.groupBy("b", "e", "has").agg(F.sum("c").alias("c"), F.first("m").alias("m")).filter(2 * F.col("c") > F.col("m") + 1)
+    return kept.groupBy("b").agg(F.collect_list(F.when(F.col("has"), F.col("e"))).alias("most"),  # the leader lacks them; no more than sets hold
+                                 F.collect_list(F.when(~F.col("has"), F.col("e"))).alias("few"))
+
+
 def signed_shingles(has: Column, lacks: Column) -> Column:
     return F.concat(F.transform(has, lambda e: F.struct(e.alias("e"), F.lit(True).alias("has"))),
                     F.transform(lacks, lambda e: F.struct(e.alias("e"), F.lit(False).alias("has"))))

@@ -251,3 +251,22 @@ def test_perfect_hash():
     assert sorted(shard.find(keys).tolist()) == list(range(keys.size))
     others = np.setdiff1d(np.arange(3000), keys)
     assert (shard.find(others) == -1).all() and alignment.Shard(keys[:0]).find(keys[:3]).tolist() == [-1] * 3
+
+
+# ---------------------------------------------- operator 5: shingles of the majority
+def test_majority_of_a_leaders_members(spark):
+    from tenderlake.llm import jaccard
+    rng = random.Random(11)
+    rows, want = [], {}
+    for b in range(12):
+        m = rng.choice([2, 3, 40])
+        lists = [(sorted(rng.sample(range(8), rng.randrange(0, 8))), sorted(rng.sample(range(100, 106), rng.randrange(0, 6)))) for _ in range(m)]
+        rows += [(b, m, *x) for x in lists]
+        for k in (0, 1):
+            count = Counter(e for x in lists for e in x[k])
+            want[b, k] = {e for e, c in count.items() if 2 * c > m + 1}
+    df = spark.createDataFrame(rows, "b long, m long, added array<long>, removed array<long>").repartition(5)
+    got = {r.b: r for r in jaccard.majority(df).collect()}
+    for b in range(12):
+        assert (set(got[b].most), set(got[b].few)) == (want[b, 0], want[b, 1]) if b in got else not want[b, 0] | want[b, 1]
+    assert jaccard.majority(df.limit(0)).count() == 0
