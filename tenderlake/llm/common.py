@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.session import scratch_path
+from tenderlake.session import delete_path, scratch_path
 
 SLICE_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
@@ -36,24 +36,58 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SCOPES: list[list[str]] = []  # scratch tables of the open ``scratch`` scopes
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: lineage ends here."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that ``written`` makes inside are deleted at the end, but for those
+    passed to ``keep``, the context's value, which go to the scope around it.
+
+    Spark deletes the shuffles of jobs that nobody refers to when the driver
+    collects its garbage, so that is asked for too.
+    """
+    own: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        own.remove(df.scratch)
+        if len(_SCOPES) > 1:
+            _SCOPES[-2].append(df.scratch)
+        return df
+
+    _SCOPES.append(own)
+    try:
+        yield keep
+    finally:
+        _SCOPES.pop()
+        for path in own:
+            delete_path(spark, path)
+        spark._jvm.System.gc()
 
 
 @contextmanager
 def bucketed(spark: SparkSession, df: DataFrame, key: str):
     """``df`` as a table bucketed by ``key``: joins on it do not move its rows.
-    The table's name lasts as long as the context; its files are scratch."""
+    It lasts as long as the context."""
     name = f"scratch_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(name)
+    buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch_path(spark, name)
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
     try:
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_path(spark, path)
 
 
 def fold(col: Column, n: int) -> Column:

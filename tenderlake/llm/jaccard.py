@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bucketed, joined, mix, read, runs, signed, slices, words, written
+from .common import bucketed, joined, mix, read, runs, scratch, signed, slices, words, written
 
 NUM, DEN = 90, 100  # least Jaccard similarity, unless asked otherwise
 SHINGLE = 3  # words, unless asked otherwise
@@ -298,47 +298,59 @@ def unsettled(rows: DataFrame) -> DataFrame:
     return written(spark, rows.join(hot, "key", "left_semi"), "sketch-open")
 
 
-def classes(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
-    """(node, root): the component of every class that links with another one; ``rows`` is ``sketched(docs, shingle, num)``."""
+def classes(docs: DataFrame, slim: DataFrame, open_keys: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
+    """(node, root): the component of every class that links with another one, from ``opened``."""
     spark = docs.sparkSession
-    one = rows.filter("name is not null").dropDuplicates(["name"]).select("name", "n", F.explode("keys").alias("key"))
-    hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more"), F.count("*").alias("size")).filter("more").drop("more")
-    met = written(spark, one.join(hot, "key"), "sketch-met")
-    weight = met.groupBy("name").agg(F.sum("size").alias("weight"))  # the middle of a group meets most
-    open_keys = written(spark, met.drop("size").join(weight, "name").withColumn("root", F.col("name")), "sketch-open")
-
-    # the sets of the members, from the text of one row each; merge joins at every size, so that the plan does not depend on it
-    chosen = rows.join(weight.select("name"), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    chosen = written(spark, chosen, "sketch-chosen")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(
-        chosen.select(F.col("doc_id").alias("_id")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    with bucketed(spark, full_sets(texts, shingle).join(chosen.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"]), "name") as whole:
-        names = spark.createDataFrame([], "node long, root long")
-        few = FEW
-        while not open_keys.isEmpty():
-            led, both = pairs_to_test(open_keys, few, num)
-            tested = written(spark, compared(led, whole, num), "sketch-tested")
-            links = written(spark, compared(both, whole, num).filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")), "sketch-links")
-            links = links.unionByName(tested.filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")))
-            if tested.isEmpty():
-                return joined(spark, names, links)
-            every = centred(tested, num)
-            links = links.unionByName(every.filter("linked").select(F.col("head").alias("a"), F.col("x").alias("b")))
-            names = joined(spark, names, links)
-            open_keys, few = unsettled(refined(every, names, num)), FEW_LATER
-    return names
+    with scratch(spark) as keep:
+        # the sets of the members, from the text of one row each; merge joins at every size, so that the plan does not depend on it
+        chosen = slim.join(open_keys.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+        chosen = written(spark, chosen, "sketch-chosen")
+        texts = docs.select(F.col("doc_id").cast("long"), "text").join(
+            chosen.select(F.col("doc_id").alias("_id")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        with bucketed(spark, full_sets(texts, shingle).join(chosen.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"]), "name") as whole:
+            names = written(spark, spark.createDataFrame([], "node long, root long"), "sketch-components")
+            few = FEW
+            while not open_keys.isEmpty():
+                with scratch(spark) as on:
+                    led, both = pairs_to_test(open_keys, few, num)
+                    tested = written(spark, compared(led, whole, num), "sketch-tested")
+                    links = written(spark, compared(both, whole, num).filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")), "sketch-links")
+                    links = links.unionByName(tested.filter("linked").select(F.col("b").alias("a"), F.col("x").alias("b")))
+                    last = tested.isEmpty()
+                    if not last:
+                        every = centred(tested, num)
+                        links = links.unionByName(every.filter("linked").select(F.col("head").alias("a"), F.col("x").alias("b")))
+                    names = on(written(spark, joined(spark, names, links), "sketch-components"))
+                    if last:
+                        break
+                    open_keys, few = on(unsettled(refined(every, names, num))), FEW_LATER
+        return keep(names)
+
+
+def opened(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, name) of every row of ``sketched``, and its keys that several sets share."""
+    spark = rows.sparkSession
+    with scratch(spark) as keep:
+        rows = written(spark, rows, "sketches")
+        slim = keep(written(spark, rows.select("doc_id", "n", "name"), "sketch-names"))
+        one = rows.filter("name is not null").dropDuplicates(["name"]).select("name", "n", F.explode("keys").alias("key"))
+        hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more"), F.count("*").alias("size")).filter("more").drop("more")
+        met = written(spark, one.join(hot, "key"), "sketch-met")
+        weight = met.groupBy("name").agg(F.sum("size").alias("weight"))  # the middle of a group meets most
+        return slim, keep(written(spark, met.drop("size").join(weight, "name").withColumn("root", F.col("name")), "sketch-open"))
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
     """(doc_id, n_shingles, component_id, class) of every row of (doc_id, text), linked from ``num`` % on."""
     spark = docs.sparkSession
-    rows = written(spark, sketched(docs, shingle, num), "sketches")
-    names = classes(docs, rows, shingle, num)
-    slim = rows.select("doc_id", "n", "name")
-    per = slim.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("first"))
-    per = per.join(names.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-    ids = per.groupBy("root").agg(F.min("first").alias("component_id"))
-    per = written(spark, per.join(ids, "root").select(F.col("name").alias("_name"), "component_id"), "sketch-classes")
+    with scratch(spark) as keep:
+        slim, open_keys = opened(sketched(docs, shingle, num))
+        names = classes(docs, slim, open_keys, shingle, num)
+        per = slim.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("first"))
+        per = per.join(names.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+        ids = per.groupBy("root").agg(F.min("first").alias("component_id"))
+        per = keep(written(spark, per.join(ids, "root").select(F.col("name").alias("_name"), "component_id"), "sketch-classes"))
+        keep(slim)
     out = slim.join(per, F.col("name") == F.col("_name"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                       F.col("name").alias("class"))
@@ -346,8 +358,9 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFram
 
 def stage(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
     """One row per component stays: that of the smallest id (rows without an id, or without words, stay)."""
-    gone = grouped(docs, shingle, num).filter("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    gone = written(docs.sparkSession, gone, "near-copies")
+    with scratch(docs.sparkSession) as keep:
+        gone = grouped(docs, shingle, num).filter("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
+        gone = keep(written(docs.sparkSession, gone, "near-copies"))
     return docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left_anti")
 
 
