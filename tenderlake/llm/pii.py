@@ -1,11 +1,15 @@
 """Operator 7 - personal data by bootstrapped contextual extraction.
 
 Base spans (email, ip, card, phone) come from fixed patterns and always stay.
-They are the seeds: the words before and after each occurrence are lexical
-patterns of its kind.  Tokens that look like identifiers (a digit, at least
-``MIN_TOKEN`` characters) but are no base span are unlabelled instances with
-patterns of their own.  Patterns and instances form a bipartite graph that
-Spark scores in rounds, per kind:
+They are seeds, and so are high-entropy tokens (kind ``secret``: long, letters
+and digits, many different ones), which are reported only where a pattern
+confirms them.  The surroundings of an occurrence are lexical patterns of its
+kind: the two words before (L2), the words on both sides (LR), and, backing off
+to one word, a word with the assignment signs between it and the occurrence (A,
+as in ``token = "``).  Unlabelled instances have patterns of their own: tokens
+with a digit or an @ (at least ``MIN_TOKEN`` characters), runs of neighbouring
+tokens of digits and telephone signs, and whatever is assigned.  Patterns and
+instances form a bipartite graph that Spark scores in rounds, per kind:
 
 * a pattern's confidence is the mean confidence of its distinct instances
   (seeds 1 for their own kind, unlabelled ones what they had before, 0 first),
@@ -13,8 +17,8 @@ Spark scores in rounds, per kind:
   ``MIN_SEEDS`` distinct seeds;
 * an instance's confidence is that of its best pattern.
 
-Patterns with ``MIN_CONFIDENCE`` then yield their unlabelled occurrences as
-``context-<kind>`` spans.
+Patterns with ``MIN_CONFIDENCE`` then yield their unlabelled occurrences, and
+their secrets, as ``context-<kind>`` spans.
 
 The text is read once: a narrow table of spans and occurrences feeds all
 rounds.  (pattern, instance) edges are made distinct before they are joined,
@@ -23,13 +27,18 @@ shuffle.
 
 Defined cases: NULL or empty text has no spans; rows that repeat an id are
 rows of their own; without seeds there are no patterns; other columns are
-ignored.  Offsets count code points, ends are exclusive.
+ignored.  Context words are whole, those of over ``LONG_WORD`` characters by
+their digest; a context reaches back to the occurrence before at most.
+Offsets count code points, ends are exclusive.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +47,10 @@ from pyspark.sql import functions as F
 from .common import read, slices, written
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
 ROUNDS, MIN_SEEDS, DOUBT, MIN_CONFIDENCE, MIN_TOKEN = 3, 5, 1.0, 0.8, 6
+SECRET_CHARS, SECRET_MIX, SECRET_BITS = 20, 4, 3.0  # least length, letters and digits, bits per character
+LONG_WORD = 64
 
 # fixed patterns of the base spans
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -47,8 +59,14 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+MARKED = re.compile(r"[0-9@]")
+NUMBER = re.compile(r"[(+]?[0-9][0-9()+./-]*")
+ASSIGNED = re.compile(r"[=:][\x20\x09]*[\"']?([^\x20\x09-\x0D\"']+)")
+TOKEN_CHARS = re.compile(r"[A-Za-z0-9_+/=-]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE = ".,;:!?\"'()[]{}<>|"
+NUMBER_EDGE = ".,;:!?\"'[]{}<>|"
+ASSIGN = EDGE + "="
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -88,28 +106,20 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def _word_before(text: str, at: int, n: int = 2) -> list[str]:
-    part = text[max(0, at - 200):at]  # context words of at most 200 characters, a property of the pattern
-    return [w.strip(EDGE).lower() for w in WORD.findall(part)[-n:]]
-
-
-def _word_after(text: str, at: int) -> str:
-    part = text[at:at + 200]
-    m = WORD.search(part.lstrip(EDGE))
-    return m[0].strip(EDGE).lower() if m else ""
-
-
-def patterns(text: str, start: int, end: int) -> list[str]:
-    """The lexical patterns around a span: two words before; one before and one after."""
-    left, right = _word_before(text, start), _word_after(text, end)
-    out = [f"L2|{' '.join(left)}"] if len(left) == 2 else []
-    return [*out, f"LR|{left[-1]}|{right}"] if left and right else out
+def is_secret(token: str) -> bool:
+    """Whether a token looks like a key: long, letters and digits, high entropy."""
+    if len(token) < SECRET_CHARS or not TOKEN_CHARS.fullmatch(token):
+        return False
+    digits, letters = sum(map(str.isdigit, token)), sum(map(str.isalpha, token))
+    if min(digits, letters) < SECRET_MIX:
+        return False
+    return -sum(n / len(token) * math.log2(n / len(token)) for n in Counter(token).values()) >= SECRET_BITS
 
 
 def tokens(text: str, spans: list[tuple[int, int, str]]):
-    """Identifier-like tokens outside the base spans: (start, end)."""
-    taken, done = 0, 0
-    for d in DIGIT.finditer(text):
+    """Instances outside the base spans, in order: (start, end)."""
+    out, done = [], 0
+    for d in MARKED.finditer(text):
         if d.start() < done:
             continue
         begin = d.start()
@@ -117,14 +127,101 @@ def tokens(text: str, spans: list[tuple[int, int, str]]):
             begin -= 1
         m = WORD.match(text, begin)
         done = m.end()
-        s = m.start() + len(m[0]) - len(m[0].lstrip(EDGE))
-        e = m.end() - (len(m[0]) - len(m[0].rstrip(EDGE)))
+        s, e = m.start() + len(m[0]) - len(m[0].lstrip(NUMBER_EDGE)), m.end() - (len(m[0]) - len(m[0].rstrip(NUMBER_EDGE)))
+        if NUMBER.fullmatch(text, s, e):
+            if out and out[-1][2] and s - out[-1][1] == 1:  # a run of numbers, one space between
+                out[-1] = (out[-1][0], e, True)
+                continue
+            out.append((s, e, True))
+        else:
+            s, e = m.start() + len(m[0]) - len(m[0].lstrip(EDGE)), m.end() - (len(m[0]) - len(m[0].rstrip(EDGE)))
+            quote = text.find('"', s, e)
+            out.append((s, quote if quote > s else e, False))
+    out = [(s, e) for s, e, _ in out if e - s >= MIN_TOKEN]
+    known = {s for s, _ in out}
+    for m in ASSIGNED.finditer(text):
+        s, e = m.start(1), m.end(1) - (len(m[1]) - len(m[1].rstrip(EDGE)))
+        if e > s and s not in known:
+            out.append((s, e))
+    last = taken = 0
+    for s, e in sorted(out):
         while taken < len(spans) and spans[taken][1] <= s:
             taken += 1
-        if e - s >= MIN_TOKEN and not any(a < e and s < b for a, b, _ in spans[max(0, taken - 4):taken + 8]):
+        if s >= last and not any(a < e and s < b for a, b, _ in spans[max(0, taken - 4):taken + 8]):
+            last = e
             yield s, e
 
 
+def _short(word: str) -> str:
+    return word if len(word) <= LONG_WORD else hashlib.sha256(word.encode()).hexdigest()
+
+
+class Surroundings:
+    """The words of a text around its occurrences."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.begin, self.end = [], []
+        for m in WORD.finditer(text):
+            self.begin.append(m.start())
+            self.end.append(m.end())
+
+    def before(self, at: int, back: int, n: int = 3) -> list[str]:
+        """The last ``n`` words, or parts of words, that end at ``at`` and begin at ``back`` or later; nearest first."""
+        out = []
+        for k in range(bisect_left(self.begin, at) - 1, -1, -1):
+            a, b = max(self.begin[k], back), min(self.end[k], at)
+            if len(out) == n or a >= b:
+                break
+            out.append(self.text[a:b])
+        return out
+
+    def after(self, at: int) -> str:
+        """The next word, or the rest of the one at hand."""
+        k = bisect_left(self.end, at + 1)
+        while k < len(self.end):
+            word = self.text[max(self.begin[k], at):self.end[k]]
+            if k + 1 < len(self.end) and self.begin[k] < at and not word.strip(EDGE):
+                k += 1  # only punctuation is left of it
+                continue
+            return word.strip(EDGE).lower()
+        return ""
+
+
+def patterns(around: Surroundings, start: int, end: int, back: int = 0) -> list[str]:
+    """The lexical patterns of an occurrence: two words before; one before and one after; an assignment."""
+    pieces = around.before(start, back)
+    left = [_short(w.strip(EDGE).lower()) for w in reversed(pieces[:2])]
+    right = _short(around.after(end))
+    out = [f"L2|{' '.join(left)}"] if len(left) == 2 and any(map(str.isalnum, "".join(left))) else []
+    if left and left[-1] and right:
+        out.append(f"LR|{left[-1]}|{right}")
+    sign = ""
+    for piece in pieces:
+        head = piece.rstrip(ASSIGN)
+        sign = piece[len(head):] + sign
+        if head:
+            if "=" in sign or ":" in sign:
+                out.append(f"A|{_short(head.lstrip(ASSIGN).lower())}|{_short(sign)}")
+            break
+    return out
+
+
+def occurrences(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
+    """Seeds and unlabelled instances (kind '') with their patterns, in order of their start."""
+    found = [(a, b, k) for a, b, k in spans]
+    found += [(a, b, SECRET if is_secret(text[a:b]) else "") for a, b in tokens(text, spans)]
+    if not found:
+        return []
+    around, out, back, far = Surroundings(text), [], 0, 0
+    for a, b, k in sorted(found):
+        if a >= far:
+            back = far
+        out.append({"kind": k, "instance": text[a:b], "start": a, "end": b, "patterns": patterns(around, a, b, min(back, a))})
+        far = max(far, b)
+    return out
+
+
 def scanned(docs: DataFrame) -> DataFrame:
     """One row per text: base spans, and the occurrences (kind, instance, start, end, patterns) of seeds and tokens."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("instance", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("patterns", pa.list_(pa.string()))]))
@@ -139,10 +236,9 @@ def scanned(docs: DataFrame) -> DataFrame:
                 for text in part.column("text").to_pylist():
                     text = text or ""
                     spans = base_spans(text)
-                    found = [(k, text[a:b], a, b) for a, b, k in spans] + ([("", text[a:b], a, b) for a, b in tokens(text, spans)] if DIGIT.search(text) else [])
                     base.append([{"start": a, "end": b, "kind": k} for a, b, k in spans])
                     digest.append(hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in spans).encode()).hexdigest())
-                    seen.append([{"kind": k, "instance": x, "start": a, "end": b, "patterns": patterns(text, a, b)} for k, x, a, b in found])
+                    seen.append(occurrences(text, spans))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(base, span), pa.array(digest, pa.string()), pa.array(seen, kind)],
                                                  names=["doc_id", "row", "base", "base_sha256", "seen"])
 
@@ -180,7 +276,7 @@ def found(docs: DataFrame) -> DataFrame:
     uses = seen.select("row", "kind", "instance", "start", "end", F.explode("patterns").alias("pattern"))
     score = scored(uses.select("pattern", "instance", "kind").distinct())
     sure = written(spark, score.filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", F.col("kind").alias("target"), "confidence"), "pii-patterns")
-    new = (uses.filter("kind = ''").join(sure, "pattern").groupBy("row", "start", "end")
+    new = (uses.join(sure, "pattern").filter((F.col("kind") == "") | ((F.col("kind") == SECRET) & (F.col("target") == SECRET))).groupBy("row", "start", "end")
            .agg(F.max_by("target", F.struct("confidence", "target")).alias("target")))
     new = new.groupBy("row").agg(F.collect_list(F.struct("start", "end", F.concat(F.lit("context-"), "target").alias("kind"))).alias("more"))  # spans of one text
     return rows.drop("seen").join(new, "row", "left")

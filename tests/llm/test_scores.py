@@ -176,6 +176,57 @@ def test_patterns_find_unseen_identifiers(docs):
         assert got[d].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in base).encode()).hexdigest()
     assert pii.found(docs([(1, "a")]).limit(0)).count() == 0
 
+def test_assigned_secrets_are_learned_from_their_assignment(docs):
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choice("0123456789") + rng.choice("abcdef") for _ in range(20))  # noqa: E731  (no run of digits is a card)
+    rows = [(i, f'{rng.choice(["x", "y z", "so"])} token = "{key()}" and on') for i in range(8)]
+    rows += [(50, 'new token = "hunter2" there'), (51, "token: hunter2"), (52, f"a commit {key()} of git"), (53, f'Token="{key()}"'), (54, 'password = "hunter2"'), (55, "x = 7 and y = 12345678")]
+    got = {r.doc_id: [(s["kind"], dict(rows)[r.doc_id][s["start"]:s["end"]]) for s in sorted(r.more or [])] for r in pii.found(docs(rows)).collect()}
+    assert all(len(got[i]) == 1 and got[i][0][0] == "context-secret" and got[i][0][1] in dict(rows)[i] for i in range(8))
+    assert got[50] == [("context-secret", "hunter2")]  # no key by its looks, found by its place
+    assert not got[52] and not got[54] and not got[55] and not got[51]
+    assert not got[53]  # other signs: another pattern, with one seed
+
+
+def test_instances_are_runs_and_assigned_values():
+    def shown(text):
+        return [text[a:b] for a, b in pii.tokens(text, pii.base_spans(text))]
+
+    assert shown("call (555) 123-4567 now, or 12 34.") == ["(555) 123-4567"]
+    assert shown("user@localhost and a1b2c3d, jane") == ["user@localhost", "a1b2c3d"]
+    assert shown('key: abc, k2 = "x y"') == ["abc", "x"]
+    assert shown("mail a@b.co 1.2.3.4") == [] and shown("") == []
+
+
+def test_contexts_are_whole_words():
+    text = f"{'v' * 500} at user@localhost {'w' * 300}"
+    around = pii.Surroundings(text)
+    own = pii.patterns(around, text.index("user"), text.index(" www"))
+    assert own == [f"L2|{hashlib.sha256(b'v' * 500).hexdigest()} at", f"LR|at|{hashlib.sha256(b'w' * 300).hexdigest()}"]
+    assert 'A|token|="' in pii.patterns(pii.Surroundings('a (token = "x")'), 12, 13) and "A|k|=" in pii.patterns(pii.Surroundings("k=7"), 2, 3)
+    many = "a@b.co,1234567;" * 20_000  # one word of 300,000 characters
+    assert len(pii.occurrences(many, pii.base_spans(many))) >= 20_000
+
+
+def test_graph_scores_match_brute_force(spark):
+    rng = random.Random(6)
+    edges = {(f"p{rng.randrange(14)}", f"i{rng.randrange(60)}") for _ in range(400)}
+    kind = {f"i{k}": rng.choice(["email", "ip", "secret", "", ""]) for k in range(60)}
+    rows = [(p, i, kind[i]) for p, i in edges]
+    want = {}
+    for target in ("email", "ip", "secret"):
+        own = {p: [i for q, i in edges if q == p] for p in {p for p, _ in edges}}
+        own = {p: x for p, x in own.items() if sum(kind[i] == target for i in x) >= pii.MIN_SEEDS}
+        belief = {i: float(kind[i] == target) for i in kind}
+        for k in range(pii.ROUNDS):
+            score = {p: sum(belief[i] for i in x) / (len(x) + pii.DOUBT) for p, x in own.items()}
+            belief = {i: max((score[p] for p, x in own.items() if i in x), default=0.0) if kind[i] == "" else belief[i] for i in kind}
+        want.update({(p, target): (c, sum(kind[i] == target for i in own[p])) for p, c in score.items()})
+    got = {(r.pattern, r.kind): (r.confidence, r.seeds) for r in pii.scored(spark.createDataFrame(rows, "pattern string, instance string, kind string")).collect()}
+    assert got.keys() == want.keys() and want
+    for k in want:
+        assert got[k] == pytest.approx(want[k])
+
 
 def test_pii_query_columns(spark, small):
     rows = {r.doc_id: r.text or "" for r in read(spark, small, "documents").collect()}
