@@ -94,7 +94,9 @@ def digests(rows: DataFrame) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     said = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = [F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(said).alias("text"))
+            for k, role in enumerate(("user", "assistant"))]
+    more = spark.range(1).select(F.inline(F.array(*rows)))
     return digests(examples(turns.unionByName(more)))
 
 

@@ -213,9 +213,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
 
 def clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, min_cover: float = MIN_COVER,
           block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that contain no benchmark item; a filter inside the scan, nothing is shuffled."""
+    """The rows of ``docs`` that contain no benchmark item; a filter inside the scan, nothing is shuffled.
+    A benchmark of several blocks takes a pass each, over the rows that the one before left."""
     spark = docs.sparkSession
-    for block in blocks(benchmark, min_match, block_words):
+    ahead = blocks(benchmark, min_match, block_words)
+    block = next(ahead, None)
+    while block is not None:
         shared = Shared(spark, block)
 
         def run(batches, shared=shared):
@@ -227,7 +230,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, min
                     keep[[m[0] for m in b.matches(h, row, min_cover)]] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs, block = docs.mapInArrow(run, docs.schema), next(ahead, None)
+        if block is not None:  # one block is out at a time: what it leaves is written before the next
+            docs = written(spark, docs, "clean")
+            shared.destroy()
     return docs
 
 

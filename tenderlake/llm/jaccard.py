@@ -36,6 +36,8 @@ Classes are named by a 64-bit hash of the set.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -358,10 +360,12 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFram
 
 def stage(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
     """One row per component stays: that of the smallest id (rows without an id, or without words, stay)."""
-    with scratch(docs.sparkSession) as keep:
-        gone = grouped(docs, shingle, num).filter("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
-        gone = keep(written(docs.sparkSession, gone, "near-copies"))
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left_anti")
+    spark = docs.sparkSession
+    own = f"id_{uuid.uuid4().hex}"  # a name that ``docs`` cannot have
+    with scratch(spark) as keep:
+        gone = grouped(docs.select("doc_id", "text"), shingle, num).filter("component_id < doc_id").select(F.col("doc_id").alias(own)).distinct()
+        gone = keep(written(spark, gone, "near-copies"))
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(own), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tenderlake.operators.dedupe import with_index
+
 from .common import mix, read, written
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -114,8 +116,14 @@ def copies(sizes: DataFrame, rates: DataFrame) -> DataFrame:
     leaves = F.ceil(F.col("texts") / LEAF)
     rows = (sizes.join(r, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("tie", F.xxhash64("doc_id", "source", "size"))
-            .withColumn("base", F.floor("rate")).withColumn("p", F.col("rate") - F.floor("rate"))
-            .withColumn("leaf", F.pmod(F.col("tie"), leaves)))
+            .withColumn("base", F.floor("rate")).withColumn("p", F.col("rate") - F.floor("rate")))
+    # rows that agree in all three are told apart by their place among them, so that they meet in no leaf
+    again = written(spark, rows.groupBy("tie").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("tie"), "mix-again")
+    if not again.isEmpty():
+        placed = with_index(rows.join(again, "tie").select("tie", "row"), ["row"], "place", partition_by=["tie"])
+        placed = written(spark, placed.select(F.col("row").alias("_row"), F.xxhash64("tie", "place").alias("_tie")), "mix-places")
+        rows = rows.join(placed, F.col("row") == F.col("_row"), "left").withColumn("tie", F.coalesce("_tie", "tie")).drop("_row", "_tie")
+    rows = rows.withColumn("leaf", F.pmod(F.col("tie"), leaves))
     whole = rows.filter((F.col("p") == 0) | (F.col("size") == 0)).select("row", "doc_id", "source", "size", F.lit(0).alias("extra"))
     open_rows = rows.filter((F.col("p") > 0) & (F.col("size") > 0)).select("row", "doc_id", "source", "size", "leaf", "p", "tie")
 
@@ -150,8 +158,8 @@ def copies(sizes: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """Copies of every row of (doc_id, source, text); ``_row``, where given, is carried as ``row``."""
-    row = F.col("_row") if "_row" in docs.columns else F.lit(0).cast("long")
+    """Copies of every row of (doc_id, source, text); ``row`` numbers the rows, as the column ``_row`` where there is one."""
+    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
     sizes = written(docs.sparkSession, docs.select(row.alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"),
                                                    F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
     rates = written(docs.sparkSession, targets(sizes), "mix-targets")
@@ -159,14 +167,17 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """A row of ``docs`` per copy that the mix takes, with ``copy`` (1 first); rows without a copy go.
+    """A row of ``docs`` per copy that the mix takes, with ``copy`` (1 first; ``copy_1`` and so on
+    where ``docs`` has such a column); rows without a copy go.
 
     Rows are numbered in a written table, so repeated rows keep copies of their own.
     """
-    numbered = written(docs.sparkSession, docs.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
-    taken = mixed(numbered).filter("copies > 0").select(F.col("row").alias("_taken"), F.col("copies").alias("_copies"))
+    doc = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "source", "text", F.monotonically_increasing_id().alias("_row"))
+    numbered = written(docs.sparkSession, doc.select("doc", "_row"), "mix-docs")
+    taken = mixed(numbered.select("_row", "doc.doc_id", "doc.source", "doc.text")).filter("copies > 0").select(F.col("row").alias("_taken"), "copies")
+    name = next(n for n in ("copy", *(f"copy_{k}" for k in range(1, 10_000))) if n not in docs.columns)
     return (numbered.join(taken, F.col("_row") == F.col("_taken"))
-            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy")))
+            .select("doc.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(name)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -270,3 +270,40 @@ def test_majority_of_a_leaders_members(spark):
     for b in range(12):
         assert (set(got[b].most), set(got[b].few)) == (want[b, 0], want[b, 1]) if b in got else not want[b, 0] | want[b, 1]
     assert jaccard.majority(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------ stages: names that the code uses
+def test_stages_carry_columns_of_any_name(spark):
+    from tenderlake.llm import decontaminate, jaccard, lines, mixing
+    names = ["_id", "_hash", "_new", "_dropped", "_lines", "_left", "_taken", "_copies", "_row", "copy", "copies", "doc", "row", "name", "key", "n"]
+    rows = [(k, f"line one of text {k} here and more\nshared line of all texts there", f"s{k % 2}", *[f"{c}{k}" for c in names]) for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names))
+    for out in (lines.stage(df), jaccard.stage(df, 5, 80), mixing.stage(df).drop("copy_1")):
+        assert out.columns == df.columns
+        for r in out.collect():
+            assert [r[c] for c in names] == [f"{c}{r.doc_id}" for c in names]
+    assert "copy_1" in mixing.stage(df).columns
+    bench = spark.createDataFrame([(1, "line one of text 3 here and more"), (2, "no such passage in any of the texts")], "item_id long, text string")
+    for size in (1_000_000, 5):  # one block; a block per item
+        assert sorted(r.doc_id for r in decontaminate.clean(df, bench, block_words=size).collect()) == [k for k in range(12) if k != 3]
+
+
+def test_mix_deals_equal_rows_over_many_leaves(spark, monkeypatch):
+    from tenderlake.llm import mixing
+    monkeypatch.setattr(mixing, "LEAF", 50)
+    leaves = []
+
+    def write(session, df, name, real=mixing.written):
+        out = real(session, df, name)
+        if name == "pivotal":
+            leaves.append(max(r["count"] for r in out.groupBy("source", "leaf").count().collect()) if leaves == [] else 0)
+        return out
+
+    monkeypatch.setattr(mixing, "written", write)
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.substring(F.lit("abc"), (F.col("id") % 3 + 1).cast("int"), F.lit(1)).alias("source"), F.lit("two words").alias("text")).repartition(4)
+    out = mixing.mixed(df).collect()
+    assert len(out) == 4000 and 20 < leaves[0] < 150  # 1,333 equal rows a source
+    for source in "abc":
+        own = [r for r in out if r.source == source]
+        assert abs(sum(r.size * r.copies for r in own) - own[0].target) <= 2 and max(r.copies for r in own) <= 2
+    assert len({r.row for r in out}) == 4000
