@@ -14,6 +14,10 @@ in that stratum.
 Features are computed once per text in one pass of array expressions and
 written without the text; labels meet that narrow table.
 
+The bound is for independent draws.  Where a corpus holds copies, ``once`` makes
+those of a text in a stratum one labelled text (told by a 64-bit hash; a clash
+merges two of the holdout); the query does so.
+
 Defined cases: NULL or empty text has no words and fails the base rule; a text
 whose labels disagree counts as good; NULL labels are ignored; no labels at
 all leaves the base rule only; rows that repeat are judged each; other columns
@@ -22,6 +26,7 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +38,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
 ALPHA, DELTA, GRID = 0.05, 0.05, 50
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_marks", "n_capitals")
 #: rule -> (feature, largest cutoff); cutoffs are the GRID + 1 steps from 0 to it
 RULES = {
     "symbols": ("n_symbols / word_chars", 1.0),
@@ -44,7 +50,7 @@ RULES = {
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ...) of (doc_id, text, lang).
+    """(doc_id, stratum, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ...) of (doc_id, text, lang).
 
     Repeated words: hashes of all three-word windows are sorted with their
     places; a window equal to its neighbour repeats, and the places of those
@@ -76,27 +82,47 @@ def features(docs: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("stratum"), text.alias("text"))
     per = bound(words, lambda w: F.struct(F.size(w).alias("n_words"), repeats(w).alias("n_repeat_words")))
     line = bound(lines, lambda x: F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
-    rows = base.select("doc_id", "stratum", per.alias("w"), line.alias("l"),
+    rows = base.select("doc_id", "stratum", F.xxhash64("text").alias("text_hash"), per.alias("w"), line.alias("l"),
                        F.length(F.translate("text", SPACES, "")).alias("word_chars"),
                        F.regexp_count("text", F.lit(SYMBOLS)).alias("n_symbols"),
                        F.regexp_count("text", F.lit("[!?|=;:]")).alias("n_marks"),
                        F.regexp_count("text", F.lit(r"\p{Lu}")).alias("n_capitals"))
-    return rows.select("doc_id", "stratum", *[F.col(c).cast("long").alias(c.split(".")[-1]) for c in (
+    return rows.select("doc_id", "stratum", "text_hash", *[F.col(c).cast("long").alias(c.split(".")[-1]) for c in (
         "w.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.n_lines", "n_marks", "n_capitals")])
 
 
+def log_factorial(x: Column) -> Column:
+    """ln(x!) by Stirling's series at x + 9, and the product of the factors between."""
+    y, few = x.cast("double") + 9, F.lit(0.0)
+    for k in range(1, 9):
+        few = few + F.log(x + k)
+    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - few
+
+
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """Exact P(Bin(n, p) <= k), summed in logarithms term by term."""
-    step = F.log(F.lit(p / (1 - p)))
-    start = F.struct((n * F.log1p(F.lit(-p))).alias("term"), (n * F.log1p(F.lit(-p))).alias("total"))
+    """P(Bin(n, p) <= k), exact but for rounding (n times 1e-15, relative).
+
+    Away from the mode the terms fall, faster with every step: below it they are
+    summed from k downwards, above it those over k upwards and taken from 1, in
+    both cases for some twelve standard deviations, a number that grows with the
+    square root of n only.
+    """
+    low = k < F.floor((n + 1) * p)
+    b = F.when(low, k).otherwise(F.least(k + 1, n))  # the first term
+    left = F.when(low, b).otherwise(n - b)
+    steps = F.least(left, F.ceil(12 * F.sqrt(n * p * (1 - p)) + 60)).cast("int")
+    first = log_factorial(n) - log_factorial(b) - log_factorial(n - b) + b * math.log(p) + (n - b) * math.log1p(-p)
+    odds = F.when(low, F.lit((1 - p) / p)).otherwise(F.lit(p / (1 - p)))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
 
     def add(acc: Column, j: Column) -> Column:
-        term = acc["term"] + F.log((n - j + 1) / j) + step
-        top = F.greatest(term, acc["total"])
-        return F.struct(term.alias("term"), (top + F.log1p(F.exp(F.least(term, acc["total"]) - top))).alias("total"))
+        term = acc["term"] * (left - j + 1) / (n - left + j) * odds
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
-    more = F.when(k > 0, F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1).cast("long")))).otherwise(F.expr("array()").cast("array<bigint>"))
-    return F.least(F.lit(1.0), F.exp(F.aggregate(more, start, add, lambda acc: acc["total"])))
+    more = F.when(steps > 0, F.sequence(F.lit(1), F.greatest(steps, F.lit(1)))).otherwise(F.expr("array()").cast("array<int>"))
+    side = F.exp(first) * F.aggregate(more, start, add, lambda acc: acc["total"])
+    return F.when(k >= n, 1.0).when(low, F.least(F.lit(1.0), side)).otherwise(F.greatest(F.lit(0.0), 1 - side))
 
 
 def _feature(rule: str) -> Column:
@@ -104,10 +130,13 @@ def _feature(rule: str) -> Column:
     return F.coalesce(F.try_divide(F.col(over).cast("double"), F.col(under).cast("double")), F.lit(0.0))
 
 
-def thresholds(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff, n_good, k, tail): the certified cutoffs in use."""
+def thresholds(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, once: bool = False) -> DataFrame:
+    """(stratum, rule, cutoff, n_good, k, tail): the certified cutoffs in use; with
+    ``once``, copies of a text in a stratum are one labelled text."""
     truth = labels.filter("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long")).agg(F.max("quality").alias("good"))
     held = rows.join(truth.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id")).filter(~base_failed())
+    if once:  # one draw per text: its features are equal, and it is good if any of its labels says so
+        held = held.groupBy("stratum", "text_hash").agg(F.max("good").alias("good"), *[F.first(c).alias(c) for c in MEASURES])
     # the first grid step that does not reject a text; counts of steps, then a running sum over the small grid
     step = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.least(F.lit(GRID + 1), F.ceil(F.round(_feature(r) * GRID / RULES[r][1], 9))).alias("step")) for r in RULES]))
     counts = (held.select("stratum", "good", step.alias("s")).groupBy("stratum", "s.rule", "s.step")
@@ -133,11 +162,11 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, once: bool = False) -> DataFrame:
     """Features, ``base_failed``, ``kept`` and the rules that reject, of every row of ``docs``."""
     spark = docs.sparkSession
     rows = written(spark, features(docs), "quality-features")
-    cut = written(spark, thresholds(rows, labels), "quality-cutoffs")
+    cut = written(spark, thresholds(rows, labels, once=once), "quality-cutoffs")
     per = cut.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "at"))).alias("cuts"))  # one entry per rule
     out = rows.join(per.withColumnRenamed("stratum", "_s"), F.col("stratum").eqNullSafe(F.col("_s")), "left")
     steps = {r: F.ceil(F.round(_feature(r) * GRID / RULES[r][1], 9)) for r in RULES}
@@ -147,6 +176,6 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    out = judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    out = judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), once=True)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                       F.concat_ws(",", "failed_rules").alias("failed_rules"))

@@ -307,3 +307,29 @@ def test_mix_deals_equal_rows_over_many_leaves(spark, monkeypatch):
         own = [r for r in out if r.source == source]
         assert abs(sum(r.size * r.copies for r in own) - own[0].target) <= 2 and max(r.copies for r in own) <= 2
     assert len({r.row for r in out}) == 4000
+
+
+# ------------------------------------------------------- operator 3: holdouts
+def test_binomial_tail_of_large_holdouts(spark):
+    import math
+
+    from tenderlake.llm import quality
+    n, p = 1_000_000, 0.01
+    ks = [9_000, 9_500, 9_700, 9_900, 10_000, 10_300]
+    got = {r.k: r.t for r in spark.createDataFrame([(k, n) for k in ks], "k long, n long").select("k", quality.binomial_tail(F.col("k"), F.col("n"), p).alias("t")).collect()}
+    log = lambda j: math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p)
+    for k in ks:
+        assert got[k] == pytest.approx(math.fsum(math.exp(log(j)) for j in range(max(0, k - 20_000), k + 1)), rel=1e-6)
+
+
+def test_copies_of_a_text_are_one_draw(spark, docs):
+    from tenderlake.llm import quality
+    words = [f"w{k}" for k in range(60)]
+    make = lambda mark, k: " ".join([*words, f"own{k}"]) + mark
+    rows = [(k, make("", k % 20)) for k in range(2000)] + [(5000 + k, make(" ###" * 60, k)) for k in range(50)]
+    labels = spark.createDataFrame([(d, int(d < 5000)) for d, _ in rows], "doc_id long, quality int")
+    # twenty texts, however often they stand in the holdout, certify nothing
+    assert quality.thresholds(quality.features(docs(rows)), labels, once=True).count() == 0
+    assert quality.thresholds(quality.features(docs(rows)), labels).count() > 0
+    own = [(k, make("", k)) for k in range(2000)] + rows[2000:]
+    assert {r.rule for r in quality.thresholds(quality.features(docs(own)), labels, once=True).collect()} >= {"symbols"}
