@@ -153,10 +153,6 @@ class TermScorer:
 _SCORERS = {"terms": TermScorer}
 
 
-def register_scorer(name: str, factory) -> None:
-    _SCORERS[name] = factory
-
-
 def get_scorer(name: str = "terms", **kw) -> Scorer:
     """Scorer registry (R06): build a scorer by name."""
     return _SCORERS[name](**kw)

@@ -249,8 +249,3 @@ def hash_order(key, seed: int = 42) -> Column:
 def hash_shuffle(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """Deterministic shuffle (same order in every engine)."""
     return df.orderBy(hash_order(key, seed), F.col(key))
-
-
-def reason_strings(arr, n: int = 5, prefix: str = "") -> Column:
-    """A18 wrapper."""
-    return X.reason_text(arr, n, prefix)

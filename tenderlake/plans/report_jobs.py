@@ -219,11 +219,9 @@ def premium_payload(p):
                .alias("valor_total_estimado_medio"),
               F.col("_min").alias("menor_data_publicacao"), F.col("_max").alias("maior_data_publicacao"),
               F.col("_mods").alias("modalidades")))))
-    t = g.select(tag.alias("_t"), k1.alias("_k1"), k2.alias("_k2"), j.alias("_j")).where(F.col("_t").isNotNull())
-    # top-20 cities: rank inside the (bounded) city rows
-    from pyspark.sql import Window
-    w = Window.partitionBy("_t").orderBy("_k1", "_k2")
-    t = t.withColumn("_r", F.row_number().over(w)).where((F.col("_t") != "c") | (F.col("_r") <= 20))
+    # one row per group; every task sends its own top 20 of the cities
+    t = g.select(tag.alias("_t"), k1.alias("_k1"), k2.alias("_k2"), j.alias("_j")).where(F.col("_t").isNotNull()).checkpoint()
+    t = t.where("_t <> 'c'").unionByName(t.where("_t = 'c'").orderBy("_k1", "_k2").limit(20))
 
     def arr(tag_):
         lst = F.array_sort(F.collect_list(F.when(F.col("_t") == tag_, F.struct("_k1", "_k2", "_j"))))
