@@ -11,8 +11,6 @@ from tenderlake.functions import fixed, lexicon
 from tenderlake.functions import text as X
 from tenderlake.operators import merge as J
 
-from conftest import rows
-
 
 def plain(text, terms, short):
     """Places of the terms by one search per term."""
@@ -45,7 +43,7 @@ def test_a_hundred_thousand_terms_in_one_pass(spark):
     terms = spark.range(100_000).select(F.concat(F.lit("termo"), "id").alias("term"))
     docs = spark.createDataFrame([(1, "um termo99999x e termo5"), (2, "nada"), (3, "Termo12345")], "doc_id long, text string")
     pairs = J.match_pairs(docs, terms, "text")
-    assert sorted(rows(pairs, "doc_id", "keyword")) == sorted(
+    assert sorted((r.doc_id, r.keyword) for r in pairs.collect()) == sorted(
         [(1, f"termo{'99999'[:k]}") for k in range(1, 6)] + [(1, "termo5")] + [(3, f"termo{'12345'[:k]}") for k in range(1, 6)])
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Union" not in plan and "Join" not in plan
