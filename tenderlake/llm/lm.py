@@ -3,10 +3,12 @@
 A token is coded as the bits of its class (``BITS`` bits of its hash) and then
 as itself within the class:
 
-* every bit is predicted in several hashed contexts (none, the last token, the
-  last two, the one before the last, the last short token); a predictor is the
-  count of ones and zeros that training saw in that context bucket at that
-  node of the class tree;
+* every bit is predicted in several contexts (none, the last token, the last
+  two, the one before the last, the last short token); a predictor is the count
+  of ones and zeros that training saw in that context at that node of the class
+  tree.  Only nodes that training reached take room: (context, node) is hashed
+  into ``SLOTS`` counters per context, so whole tokens and pairs of tokens tell
+  contexts apart; a context never seen has no opinion (log-odds 0);
 * the predictions, as log-odds, are combined with weights that a gate selects
   (bit number; whether the last token is short) and that learn online, text by
   text, from ``BLOCK`` tokens to the next; then an adaptive table over the
@@ -18,11 +20,11 @@ as itself within the class:
 
 ``base_score`` is the add-one unigram of the same counts.
 
-Training is one pass: each task sums word counts (64-bit hashes) and its
-context counts, and Spark adds them up; all word counts stay in a table.  The
-words that make up at least 1 / ``HEAD`` of all tokens, at most ``HEAD`` of
-them, are broadcast along with the context tables, whose size is fixed by
-parameters; the rest are joined per distinct word of a text, where no key is
+Training is two passes: in one each task sums word counts (64-bit hashes), in
+the other its context counters, which travel as packed blocks of ``CHUNK`` and
+are added up and turned into log-odds by block; all word counts stay in a table.
+The words that make up at least 1 / ``HEAD`` of all tokens, at most ``HEAD`` of
+them, are broadcast along with the log-odds (2 bytes per slot); the rest are joined per distinct word of a text, where no key is
 hot any more.
 
 Defined cases: NULL or empty text is the end token alone; a text without
@@ -37,18 +39,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, fold, mix, read, signed, slices, words, written
+from .common import Shared, fold, mix, pack_plain, read, signed, slices, unpack_plain, words, written
 
 BITS = 8
-BUCKETS = 1 << 10  # per context
+CLASSES = 1 << BITS
+BUCKETS = 1 << 15  # of CLASSES counters each, per context
+SLOTS = BUCKETS * CLASSES // 2  # per context; a slot is two neighbouring counters, zeros and ones
+CHUNK = 1 << 13  # counters sent in one row
 CONTEXTS = 5
 HEAD = 1 << 17
 BLOCK = 32
 SHORT = 3  # bytes of a short token
-RATE, RATE_REFINE, START, PRIOR = 0.02, 0.02, 1 / CONTEXTS, 4.0
+RATE, RATE_REFINE, START, PRIOR = 0.02, 0.02, 1 / CONTEXTS, 0.4
 CELLS = 24
 END = np.uint64(0x5F3A9C1E77B2D405)
-CLASSES = 1 << BITS
+NODE, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 HELD_OUT, FOLDS = 2, 7
 
 
@@ -65,7 +70,7 @@ def classes(h: np.ndarray) -> np.ndarray:
 
 
 def contexts(h: np.ndarray, row: np.ndarray, length: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Bucket of every token in every context, and the gate (last token is short)."""
+    """Hash of every context of every token, and the gate (last token is short)."""
     start = np.flatnonzero(np.diff(row, prepend=-1))
     first = np.repeat(start, np.diff(np.append(start, h.size)))
     place = np.arange(h.size)
@@ -78,57 +83,90 @@ def contexts(h: np.ndarray, row: np.ndarray, length: np.ndarray) -> tuple[list[n
     word = np.where(seen >= first, h[np.maximum(seen, 0)], np.uint64(3))
     keys = [last, mix(last) + before, before + np.uint64(7), word + np.uint64(11)]
     gate = np.where(one >= first, short[one], False).astype(np.int64)
-    return [np.zeros(h.size, np.int64), *((mix(k) & np.uint64(BUCKETS - 1)).astype(np.int64) for k in keys)], gate
+    return [np.zeros(h.size, np.uint64), *map(mix, keys)], gate
+
+
+def _paths() -> tuple[np.ndarray, np.ndarray]:
+    own, depth = np.arange(CLASSES)[:, None], np.arange(BITS)
+    return ((1 << depth) | (own >> (BITS - depth))).astype(np.uint64) * NODE, (own >> (BITS - 1 - depth)) & 1
+
+
+PATH, TURN = _paths()  # of every class, by depth: hash of the node of the class tree, and the bit taken there
+
+
+def slots(context: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Slot of every context at every node (hash) of the last axis."""
+    at = context[..., None] + node
+    at *= SPREAD
+    at >>= np.uint64(64 - (SLOTS.bit_length() - 1))
+    return at.view(np.int64)
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(kind, key, n) over all rows of (text): kind -1 counts words by hash, kind k >= 0
-    counts (bucket, class) in context k; one partial count per task and key."""
+    """(key, n): count of every word by hash, over all rows of (text)."""
 
     def run(batches):
-        table = np.zeros((CONTEXTS, BUCKETS * CLASSES), np.int64)
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged():
             keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             return keys, np.bincount(where, weights=np.concatenate([n for _, n in held])).astype(np.int64)
 
-        def rows(kind, keys, n):
+        def rows(keys, n):
             for i in range(0, keys.size, 100_000):
-                part = keys[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(part.size, kind, np.int32)), pa.array(part), pa.array(n[i:i + 100_000])], names=["kind", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000]), pa.array(n[i:i + 100_000])], names=["key", "n"])
 
         for batch in batches:
             for part in slices(batch, "text"):
-                h, row, length = tokens(part.column("text"))
-                held.append(np.unique(signed(h), return_counts=True))
+                held.append(np.unique(signed(tokens(part.column("text"))[0]), return_counts=True))
                 if sum(k.size for k, _ in held) > 2_000_000:
                     held = [merged()]
                     if held[0][0].size > 1_000_000:
-                        yield from rows(-1, *held[0])
+                        yield from rows(*held[0])
                         held = []
-                own = classes(h)
-                for k, bucket in enumerate(contexts(h, row, length)[0]):
-                    table[k] += np.bincount(bucket * CLASSES + own, minlength=BUCKETS * CLASSES)
         if held:
-            yield from rows(-1, *merged())
-        for k in range(CONTEXTS):
-            at = np.flatnonzero(table[k])
-            yield from rows(k, at, table[k][at])
+            yield from rows(*merged())
+
+    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def context_odds(docs: DataFrame) -> DataFrame:
+    """(key, odds): the log-odds of block ``key`` of all contexts' slots, as float16 bytes,
+    where training over all rows of (text) reached the block."""
+
+    def count(batches):
+        table = np.zeros((CONTEXTS, 2 * SLOTS), np.int32)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                h, row, length = tokens(part.column("text"))
+                own = classes(h)
+                node, bit = PATH[own], TURN[own]
+                for k, context in enumerate(contexts(h, row, length)[0]):
+                    at = slots(context, node)
+                    at <<= 1
+                    at += bit
+                    np.add.at(table[k], at.ravel(), np.int32(1))
+        table = table.reshape(-1, CHUNK)
+        reached = np.flatnonzero(table.any(axis=1))
+        for i in range(0, reached.size, 256):
+            own = reached[i:i + 256]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([pack_plain(table[k]) for k in own], pa.binary())], names=["key", "part"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for key, part in zip(batch.column("key").to_pylist(), batch.column("part")):
+                total[key] = total.get(key, 0) + unpack_plain(part.as_py(), np.int64)
+        for key, n in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([log_odds(n).astype(np.float16).tobytes()], pa.binary())], names=["key", "odds"])
 
-    parts = docs.select("text").mapInArrow(run, "kind int, key long, n long")
-    return parts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, "key long, part binary").repartition("key").mapInArrow(add, "key long, odds binary")
 
 
 def log_odds(count: np.ndarray) -> np.ndarray:
-    """[context, bucket, node] log-odds of a one, from [context, bucket, class] counts;
-    ``PRIOR`` observations follow context 0, which has one bucket."""
-    out = np.zeros((*count.shape[:2], CLASSES), np.float32)
-    for j in range(BITS):
-        halves = count.reshape(*count.shape[:2], 1 << j, 2, -1).sum(axis=-1)
-        one = (halves[0, 0, :, 1] + 0.4) / (halves[0, 0].sum(axis=-1) + 0.8)
-        out[:, :, 1 << j:2 << j] = np.log((halves[..., 1] + PRIOR * one) / (halves[..., 0] + PRIOR * (1 - one)))
-    return out
+    """Log-odds of a one in every slot, from its two counters: ``PRIOR`` of each are
+    added, so that 0 stands where nothing was seen."""
+    return np.log((count[..., 1::2] + PRIOR) / (count[..., ::2] + PRIOR)).astype(np.float32)
 
 
 class Model:
@@ -145,8 +183,7 @@ class Model:
 
     def bits(self, h: np.ndarray, row: np.ndarray, length: np.ndarray, rows: int) -> np.ndarray:
         """log10 probability of the class bits of every row; rows in step, block by block."""
-        own, (bucket, gate) = classes(h), contexts(h, row, length)
-        depth = np.arange(BITS)
+        own, (context, gate) = classes(h), contexts(h, row, length)
         count = np.bincount(row, minlength=rows)
         order = np.argsort(-count, kind="stable")
         begin = np.concatenate([[0], np.cumsum(count)[:-1]])[order]
@@ -160,10 +197,9 @@ class Model:
             place = begin[:a, None] + s + np.arange(width)
             there = (s + np.arange(width) < count[:a, None])
             place = np.where(there, place, 0)
-            o, g = own[place][:, :, None], gate[place]
-            node = (1 << depth) | (o >> (BITS - depth))
-            ys = (((o >> (BITS - 1 - depth)) & 1) * 2 - 1).astype(np.float32)
-            xs = np.stack([self.odds[k][(b[place] * CLASSES)[:, :, None] + node] for k, b in enumerate(bucket)], axis=3)
+            o, g = own[place], gate[place]
+            ys, node = (TURN[o] * 2 - 1).astype(np.float32), PATH[o]
+            xs = np.stack([self.odds[k][slots(c[place], node)] for k, c in enumerate(context)], axis=3).astype(np.float32)
             logit = np.einsum("abjk,abjk->abj", xs, w[np.arange(a)[:, None], g])
             cell = np.clip((logit + 6) * (CELLS / 12), 0, CELLS - 1).astype(np.int64) + (np.arange(a) * CELLS)[:, None, None]
             margin = (logit + refine[:a].ravel()[cell]) * ys
@@ -217,18 +253,19 @@ def scored(docs: DataFrame) -> DataFrame:
     """Scores of every row of (doc_id, text): see ``query``."""
     spark = docs.sparkSession
     group = fold(F.col("doc_id"), FOLDS)
-    counts = written(spark, counted(docs.filter(group != HELD_OUT)), "lm-counts")
-    vocab = counts.filter("kind = -1").select("key", "n")
+    training = docs.filter(group != HELD_OUT)
+    vocab = written(spark, counted(training), "lm-counts")
     n_all, v_all = (x or 0 for x in vocab.agg(F.sum("n"), F.count("*")).first())
     head = vocab.filter(F.col("n") * HEAD >= n_all).orderBy("key").toArrow()  # HEAD rows at most
     per_class = vocab.groupBy(F.shiftrightunsigned("key", 64 - BITS).alias("k")).agg((F.sum("n") + F.count("*")).alias("n")).collect()
     class_n = np.zeros(CLASSES)
     for r in per_class:
         class_n[r["k"]] = r["n"]
-    table = np.zeros((CONTEXTS, BUCKETS * CLASSES))
-    seen = counts.filter("kind >= 0").toArrow()  # CONTEXTS * BUCKETS * CLASSES rows at most
-    table[seen["kind"].to_numpy(), seen["key"].to_numpy()] = seen["n"].to_numpy()
-    model = Model(log_odds(table.reshape(CONTEXTS, BUCKETS, CLASSES)), head["key"].to_numpy(), head["n"].to_numpy(), class_n)
+    odds = np.zeros((CONTEXTS * 2 * SLOTS // CHUNK, CHUNK // 2), np.float16)
+    seen = context_odds(training).toArrow()  # a row per block, CONTEXTS * SLOTS values at most
+    for key, part in zip(seen["key"].to_pylist(), seen["odds"]):
+        odds[key] = np.frombuffer(part.as_py(), np.float16)
+    model = Model(odds, head["key"].to_numpy(), head["n"].to_numpy(), class_n)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(group == HELD_OUT, F.lit(False)).alias("held_out"), F.monotonically_increasing_id().alias("row"), "text")
     rows = written(spark, scored_rows(rows, model), "lm-rows")

@@ -68,6 +68,22 @@ def test_bits_are_probabilities():
     assert (10.0 ** (full - start)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_contexts_are_kept_apart(docs):
+    """20,000 words, each followed by a word of its own: what follows is known in texts never seen."""
+    rng = random.Random(8)
+    pairs = [f"x{i} y{i}" for i in range(20_000)]
+
+    def texts(ids):
+        order = rng.sample(pairs, len(pairs))
+        return [(d, " ".join(order[k::len(ids)])) for k, d in enumerate(ids)]
+
+    held = [i for i in range(1, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    learned = [i for i in range(1, 2000) if i not in held]
+    rows = [t for k in range(3) for t in texts(learned[k * 50:k * 50 + 50])] + texts(held[:50])
+    got = [r for r in lm.scored(docs(rows)).collect() if r.held_out]
+    assert sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got) > 0.5
+
+
 def test_tokens_end_every_row():
     h, row, length = lm.tokens(pa.array(["a b", "", None, "c"]))
     assert row.tolist() == [0, 0, 0, 1, 2, 3, 3]
