@@ -43,9 +43,10 @@ from .common import Shared, fold, mix, pack_plain, read, signed, slices, unpack_
 
 BITS = 8
 CLASSES = 1 << BITS
-BUCKETS = 1 << 15  # of CLASSES counters each, per context
+BUCKETS = 1 << 14  # of CLASSES counters each, per context
 SLOTS = BUCKETS * CLASSES // 2  # per context; a slot is two neighbouring counters, zeros and ones
 CHUNK = 1 << 13  # counters sent in one row
+TRAIN_BYTES = 1 << 18  # text whose nodes are counted at once
 CONTEXTS = 5
 HEAD = 1 << 17
 BLOCK = 32
@@ -137,7 +138,7 @@ def context_odds(docs: DataFrame) -> DataFrame:
     def count(batches):
         table = np.zeros((CONTEXTS, 2 * SLOTS), np.int32)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TRAIN_BYTES):
                 h, row, length = tokens(part.column("text"))
                 own = classes(h)
                 node, bit = PATH[own], TURN[own]
