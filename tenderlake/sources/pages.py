@@ -28,16 +28,22 @@ def _records(env: Column) -> Column:
     return F.coalesce(*cands)
 
 
+def _once(c: Column) -> Column:
+    """``c`` computed once per row: the optimiser does not copy it into what uses it."""
+    return F.explode(F.array(c))
+
+
 def parse_pages(df: DataFrame, value: str = "value", source: str | None = None) -> DataFrame:
     """S01 core: page documents -> one raw record per row with
     ``fonte, pagina, pos`` (0-based position inside the page) and ``raw``."""
-    v = F.try_parse_json(F.col(value))
+    v = F.col("_doc")
     wrapped = F.try_variant_get(v, "$.resposta", "variant").isNotNull()
     env = F.when(wrapped, F.try_variant_get(v, "$.resposta", "variant")).otherwise(v)
     fonte = F.coalesce(F.try_variant_get(v, "$.fonte", "string"), F.lit(source))
-    pagina = F.coalesce(F.try_variant_get(v, "$.pagina", "int"),
-                        F.try_variant_get(env, "$.numeroPagina", "int"))
-    x = df.select(fonte.alias("fonte"), pagina.alias("pagina"), _records(env).alias("_r"))
+    x = df.select(_once(F.try_parse_json(F.col(value))).alias("_doc")).select("_doc", _once(env).alias("_env"))
+    env = F.col("_env")
+    pagina = F.coalesce(F.try_variant_get(v, "$.pagina", "int"), F.try_variant_get(env, "$.numeroPagina", "int"))
+    x = x.select(fonte.alias("fonte"), pagina.alias("pagina"), _records(env).alias("_r"))
     return x.select("fonte", "pagina", F.posexplode("_r").alias("pos", "_v")).select(
         "fonte", "pagina", F.col("pos").cast("bigint").alias("pos"), F.to_json("_v").alias("raw"))
 
@@ -69,19 +75,23 @@ def announced_pages(env: Column, page_size: int | None = None) -> Column:
 def paged_source(spark: SparkSession, path: str, page_size: int | None = None) -> DataFrame:
     """Records ``modalidade, pagina, pos, raw`` of the pages landed under
     ``path/modalidade=<m>/pagina=<p>/`` (the HTTP fetcher of a live feed would
-    write them), in any file system that Spark reads.
+    write them), in any file system that Spark reads.  Fetch records, which say
+    their ``pagina``, may also lie one per line under ``path/modalidade=<m>/``,
+    so that files do not grow in number with pages.
 
     Per modality the first readable page tells how many pages to take; pages
     that cannot be parsed give no rows.  A path without pages is an error.
     """
     docs = spark.read.option("basePath", path).text(path)
-    if not {"modalidade", "pagina"} <= set(docs.columns):
-        raise FileNotFoundError(f"no pages (modalidade=, pagina=) under {path}")
-    doc = F.try_parse_json("value")
-    env = F.coalesce(F.try_variant_get(doc, "$.resposta", "variant"), doc)
-    pages = docs.select(F.col("modalidade").cast("string"), F.col("pagina").cast("int"), "value")
-    limits = (pages.select("modalidade", "pagina", env.alias("env")).where(F.col("env").isNotNull())
-              .select("modalidade", "pagina", announced_pages(F.col("env"), page_size).alias("n"))
+    if "modalidade" not in docs.columns:
+        raise FileNotFoundError(f"no pages (modalidade=) under {path}")
+    doc, env = F.col("_doc"), F.col("env")
+    number = F.col("pagina") if "pagina" in docs.columns else F.try_variant_get(doc, "$.pagina", "int")
+    parsed = docs.select("*", _once(F.try_parse_json("value")).alias("_doc"))
+    pages = parsed.select(F.col("modalidade").cast("string"), number.cast("int").alias("pagina"),
+                          _once(F.coalesce(F.try_variant_get(doc, "$.resposta", "variant"), doc)).alias("env"))
+    limits = (pages.where(env.isNotNull())
+              .select("modalidade", "pagina", announced_pages(env, page_size).alias("n"))
               .groupBy(F.col("modalidade").alias("_m")).agg(F.min_by("n", "pagina").alias("_last")))
     wanted = pages.join(limits, F.col("modalidade") == F.col("_m")).where(F.col("pagina") <= F.col("_last"))
     return (wanted.select("modalidade", "pagina", F.posexplode(_records(env)).alias("pos", "_v"))

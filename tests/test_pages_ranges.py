@@ -46,6 +46,28 @@ def test_paged_source(spark, tmp_path):
         PG.paged_source(spark, f"{tmp_path}/missing")
 
 
+def test_paged_source_by_lines(spark, tmp_path):
+    """Fetch records, one per line, say their own page; broken lines give no rows."""
+    def record(p, env):
+        return json.dumps({"fonte": "x", "pagina": p, "resposta": env})
+
+    (tmp_path / "modalidade=1").mkdir()
+    lines = [record(2, [REC]), "broken", record(1, {"data": [REC, REC], "totalPaginas": 2}), record(3, [REC])]
+    (tmp_path / "modalidade=1" / "x.txt").write_text("\n".join(lines))
+    df = PG.paged_source(spark, f"file://{tmp_path}")
+    assert sorted((r.modalidade, r.pagina, r.pos) for r in df.collect()) == [("1", 1, 0), ("1", 1, 1), ("1", 2, 0)]
+
+
+def test_pages_are_parsed_once(spark, tmp_path):
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson")
+
+    (tmp_path / "modalidade=1").mkdir()
+    (tmp_path / "modalidade=1" / "x.txt").write_text("[]")
+    assert parses(PG.read_pages(spark, f"file://{tmp_path}")) == 1
+    assert parses(PG.paged_source(spark, f"file://{tmp_path}")) == 2  # one for the limits, one for the records
+
+
 def test_paging_stop(spark):
     def kept(counts, max_pages=None):
         df = spark.createDataFrame([("q", i + 1, n) for i, n in enumerate(counts)], "q string, p int, n int")
