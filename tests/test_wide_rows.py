@@ -1,5 +1,6 @@
 """Wide notice rows: compiled code, one parse per record, narrow shuffles."""
 
+from tenderlake.operators import dedupe as W
 from tenderlake.plans import REGISTRY, load_all, query
 from tenderlake.session import HUGE_METHOD
 
@@ -23,3 +24,15 @@ def test_jobs_leave_methods_that_the_jvm_interprets_out(spark):
         del REGISTRY["_limit_probe"]
         spark.conf.set(HUGE_METHOD, own)
     assert seen == ["8000", "20000"]
+
+
+def test_dedupe_fallback_ships_only_the_kept_columns(spark):
+    rows = [("a", 3, "k", "x" * 50), ("b", 1, "k", "y" * 50), ("c", 2, "", "z"), ("d", 4, None, "z"), ("c", 5, "", "z")]
+    x = spark.createDataFrame(rows, "feed string, seq long, key string, raw string")
+    whole = W.dedupe_fallback(x, ["key"], "seq")
+    narrow = W.dedupe_fallback(x, ["key"], "seq", keep=["feed", "seq"])
+    assert narrow.columns == ["feed", "seq", "_dedupe_key"]
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, whole.select(*narrow.columns).collect()))
+    assert {r["seq"] for r in narrow.collect()} == {1, 2, 4}  # "" and NULL keys: the record itself, where they differ
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw" not in plan[plan.index("min_by"):].split(")")[0]
