@@ -1,18 +1,19 @@
 """Relevance decisions: rules, regex dictionaries, thresholds, scorers.
 
 Rules and thresholds are native ``when`` chains.  The pluggable batch scorer
-(R06) is the only Python on the data path: an Arrow-batched
-``mapInPandas`` that hands each task's rows to the scorer in micro-batches.
+(R06) is the only Python on the data path: a
+``mapInArrow`` that hands each task's rows to the scorer in micro-batches.
 """
 
 from __future__ import annotations
 
 from typing import Iterable, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import fixed, lexicon
 from ..functions import text as X
@@ -117,6 +118,7 @@ SCORE_SCHEMA = T.StructType([
     T.StructField("confianca", T.StringType()),
     T.StructField("motivo", T.StringType()),
 ])
+SLICE_ROWS = 600
 FALLBACK = {"serve_para_mim": False, "categoria": "erro_classificacao", "confianca": "baixa",
             "motivo": "erro_classificacao"}
 
@@ -176,7 +178,9 @@ def score(df: DataFrame, text: str, scorer: Scorer | str = "terms", batch_size:
           keep=None) -> DataFrame:
     """Score every row with a pluggable batch scorer.
 
-    Runs as ``mapInPandas`` (Arrow batches, one scorer per task); the
+    Runs as ``mapInArrow`` (one scorer per task); an Arrow batch is worked in
+    slices of ``SLICE_ROWS`` rows or so, and only a slice's texts become Python
+    objects, while its columns pass through as they came.  The
     scorer sees micro-batches of ``batch_size`` texts and must return one
     result per text -- otherwise (or on an exception) that micro-batch gets
     the fallback result (``False``, ``erro_classificacao``, ``baixa``).
@@ -188,17 +192,22 @@ def score(df: DataFrame, text: str, scorer: Scorer | str = "terms", batch_size:
     in_schema = df.select(*keep).schema
     out_schema = T.StructType(list(in_schema.fields) + list(SCORE_SCHEMA.fields))
 
-    def run(it: Iterable[pd.DataFrame]):
-        for pdf in it:
-            res = _score_batches(pdf[text].tolist(), sc, batch_size)
-            r = pd.DataFrame(res, columns=[f.name for f in SCORE_SCHEMA.fields])
-            yield pd.concat([pdf.reset_index(drop=True), r], axis=1)
+    step = batch_size * max(1, SLICE_ROWS // batch_size)  # whole micro-batches
+    types = [(f.name, to_arrow_type(f.dataType)) for f in SCORE_SCHEMA.fields]
+
+    def run(it: Iterable[pa.RecordBatch]):
+        for batch in it:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                res = _score_batches(part.column(text).to_pylist(), sc, batch_size)
+                made = [pa.array([r.get(n) for r in res], t, from_pandas=True) for n, t in types]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *(n for n, _ in types)])
 
     cols = list(dict.fromkeys(keep + [text]))
     src = df.select(*cols)
     if text not in keep:
         out_schema = T.StructType(list(src.schema.fields) + list(SCORE_SCHEMA.fields))
-    return src.mapInPandas(run, out_schema)
+    return src.mapInArrow(run, out_schema)
 
 
 # ----------------------------------------------------------------- R07

@@ -1,6 +1,7 @@
 """Wide notice rows: compiled code, one parse per record, narrow shuffles."""
 
 from tenderlake.operators import dedupe as W
+from tenderlake.operators import relevance as RV
 from tenderlake.plans import REGISTRY, load_all, query
 from tenderlake.session import HUGE_METHOD
 
@@ -36,3 +37,13 @@ def test_dedupe_fallback_ships_only_the_kept_columns(spark):
     assert {r["seq"] for r in narrow.collect()} == {1, 2, 4}  # "" and NULL keys: the record itself, where they differ
     plan = narrow._jdf.queryExecution().optimizedPlan().toString()
     assert "raw" not in plan[plan.index("min_by"):].split(")")[0]
+
+
+def test_scored_rows_pass_through_as_they_came(spark):
+    n = 2 * RV.SLICE_ROWS + 7
+    ids = [None if i % 5 == 0 else 2 ** 53 + i for i in range(n)]
+    rows = [(i, "catraca" if i is None else None if i % 3 == 0 else f"texto {i}", None if i is None else [i]) for i in ids]
+    df = spark.createDataFrame(rows, "id long, t string, own array<long>").coalesce(1)
+    found = RV.score(df, "t", RV.TermScorer(["catraca"], ["texto"]), batch_size=7)
+    assert [tuple(r)[:3] for r in found.collect()] == rows
+    assert [r["serve_para_mim"] for r in found.collect()] == [i is None for i in ids]
