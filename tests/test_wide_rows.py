@@ -1,8 +1,10 @@
 """Wide notice rows: compiled code, one parse per record, narrow shuffles."""
 
+from pyspark.sql import functions as F
+
 from tenderlake.operators import dedupe as W
 from tenderlake.operators import relevance as RV
-from tenderlake.plans import REGISTRY, load_all, query
+from tenderlake.plans import REGISTRY, adapters as A, load_all, query
 from tenderlake.session import HUGE_METHOD
 
 
@@ -47,3 +49,13 @@ def test_scored_rows_pass_through_as_they_came(spark):
     found = RV.score(df, "t", RV.TermScorer(["catraca"], ["texto"]), batch_size=7)
     assert [tuple(r)[:3] for r in found.collect()] == rows
     assert [r["serve_para_mim"] for r in found.collect()] == [i is None for i in ids]
+
+
+def test_feed_texts_are_made_in_a_projection(spark):
+    d = "/root/testdata/sf0.001"
+    f = A.feeds_raw(spark, d)
+    plan = f._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("to_json" in line.lower() or "structstojson" in line.lower() for line in plan if "Generate explode" in line)
+    for feed, own in (("search", A.search_raw), ("consulta", A.consulta_raw)):
+        made = sorted(map(tuple, f.where(F.col("feed") == feed).select("ingest_seq", "raw").collect()))
+        assert made and made == sorted(map(tuple, own(spark, d).collect()))
