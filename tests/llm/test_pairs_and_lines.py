@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tenderlake.llm import decontaminate, jaccard, lines
 from tenderlake.llm.common import components, runs, words
@@ -327,3 +328,27 @@ def test_line_stage_takes_a_tenth(docs):
     six = [*("r" if i % 10 == 5 else x for i, x in enumerate(w)), "s"]  # seven edits
     out = lines.stage(docs([(1, " ".join(w)), (2, " ".join(two)), (3, " ".join(six))]))
     assert sorted(r.doc_id for r in out.collect()) == [1, 3]
+
+
+def test_lines_write_their_first_runs_only(docs, monkeypatch):
+    rng, rows, real = random.Random(3), {}, lines.written
+
+    def spy(spark, df, name, **options):
+        out = real(spark, df, name, **options)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(lines, "written", spy)
+    lines.deduped(docs([(d, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for d in range(40)]), 10).count()
+    assert 0 < rows["line-runs"] <= 40 * (2 * (60 // 9) + 1)
+
+
+def test_words_of_one_character_are_told_apart(spark):
+    code = F.pmod(F.xxhash64("word"), F.lit(1 << 20))
+    twins = [r.both[:2] for r in spark.range(9000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+             .groupBy(code).agg(F.collect_list("word").alias("both")).filter("size(both) > 1").limit(3).collect()]
+    rest = [f"x{i}" for i in range(17)]
+    a, b = ([*rest, *(t[k] for t in twins)] for k in (0, 1))  # three edits, two are allowed
+    df = spark.createDataFrame([(0, a, b), (1, a, a), (2, a, [*rest, a[17], b[18], b[19]]), (3, a, [*rest[1:], *b[17:]])], "k int, w array<string>, w2 array<string>")
+    got = df.select("k", lines.within_edits(F.col("w"), F.col("w2"), 10).alias("near")).collect()
+    assert {r.k: r.near for r in got} == {0: False, 1: True, 2: True, 3: False}
