@@ -10,13 +10,18 @@ one bit of a sketch, so the Hamming distance of two sketches never exceeds the
 sets' symmetric difference, which for linked sets is at most
 (|A| + |B|) * (100 - num) / (100 + num), a 19th of |A| + |B| at 90 and a ninth at
 80.  In the size band whose largest set is ``top`` that is d, the whole part of
-2 * top times that fraction, so of d + 1 sketch pieces one at least is equal.  A piece has so many bits that
+2 * top times that fraction, so of d + 1 + s sketch pieces s + 1 at least are equal.  A piece has so many bits that
 unlike sets hardly ever agree in it, and is held as the XOR of its set bits'
-64-bit hashes: chance meetings would grow with the square of the input.  Bands are a
+64-bit hashes: chance meetings would grow with the square of the input.  Pieces
+without a shingle, or with one, are alike by chance: a text emits its d + 1
+fullest ones only.  Of the equal pieces of two linked sets the fullest (or by its
+hash the first of those) has s others behind it in both sets, so both emit it.  Bands are a
 factor 100 / num wide: linked sets are in the same or in neighbouring bands, and a
 text emits the pieces of its own band and of the next.
 
-Pieces meet on a 64-bit key.  The members of a key with a few of them are
+Pieces meet on a key of 48 bits, a text is named by 48 bits of its set's name
+there: tasks send sorted lists of both, packed, and no key that is met by one set
+alone becomes a row (see ``met_keys``).  The members of a key with a few of them are
 compared with each other.  Within a larger one no pairs are listed: one member
 is compared with the rest on the whole sets, which also tells everybody's
 difference from the members' centre, and so from the member nearest to it (see
@@ -45,10 +50,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bucketed, joined, mix, read, runs, scratch, signed, slices, words, written
+from .common import bucketed, joined, mix, pack, pack_plain, read, runs, scratch, signed, slices, unpack, unpack_plain, words, written
 
 NUM, DEN = 90, 100  # least Jaccard similarity, unless asked otherwise
 SHINGLE = 3  # words, unless asked otherwise
+KEY_BITS = 48  # of a key, where keys meet
+HELD_KEYS = 1 << 21  # that a task lists at once
+PART_BYTES = 1 << 24  # of text, whose keys are one part
+SKETCHED = ["doc_id", "name", "n", "part", "keys", "tags"]
 FEW, FEW_LATER = 6, 16  # members of a key, in the first and in later rounds, that are all compared with each other
 
 
@@ -57,10 +66,12 @@ def band(n: int, num: int = NUM) -> int:
     return int(np.floor(np.log(n) / np.log(DEN / num) + 1e-9))
 
 
-def pieces(b: int, num: int = NUM) -> int:
-    """Sketch pieces in band b: one more than the largest symmetric difference of a link."""
+def pieces(b: int, num: int = NUM) -> tuple[int, int]:
+    """(sketch pieces, those emitted) in band b: one more than the largest symmetric
+    difference of a link are emitted, a quarter of all pieces is not."""
     top = np.floor(np.exp((b + 1) * np.log(DEN / num)) + 1e-6)
-    return int(2 * top * (DEN - num) // (DEN + num)) + 1
+    d = int(2 * top * (DEN - num) // (DEN + num))
+    return d + 1 + (d + 2) // 3, d + 1
 
 
 def sets(h: np.ndarray, row: np.ndarray, rows: int, n: int = SHINGLE) -> list[np.ndarray]:
@@ -82,44 +93,116 @@ def set_name(s: np.ndarray) -> int:
     return int(signed(mix(np.array([mix(s ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64) + np.uint64(s.size)], np.uint64)))[0])
 
 
-def sketch(x: np.ndarray, k: int) -> np.ndarray:
-    """The k pieces of the parity sketch of sorted hashes: a hash's high half
-    gives the piece, all of it the bit; a piece is held as the XOR of its bits' hashes."""
+def sketch(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k pieces of the parity sketch of sorted hashes, and the hashes in each: a hash's
+    high half gives the piece, all of it the bit; a piece is held as the XOR of its bits' hashes."""
     piece = ((x >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-    used, start = np.unique(piece, return_index=True)
+    count = np.bincount(piece.astype(np.int64), minlength=k)
+    used = np.flatnonzero(count)
     out = np.zeros(k, np.uint64)
-    out[used.astype(np.int64)] = np.bitwise_xor.reduceat(mix(x), start)
-    return out
+    out[used] = np.bitwise_xor.reduceat(mix(x), (np.cumsum(count) - count)[used])
+    return out, count
 
 
 def keys(s: np.ndarray, num: int = NUM) -> np.ndarray:
-    """Join keys (band, piece number, piece) of a set, in its own band and the next."""
+    """Join keys (band, piece number, piece) of a set, in its own band and the next: the fullest pieces of each."""
     out, x = [np.zeros(0, np.uint64)], np.sort(mix(s + np.uint64(0x632BE59BD9B4E019)))
     for b in (band(s.size, num), band(s.size, num) + 1) if s.size else ():
-        k = pieces(b, num)
-        if k > 1:  # else only equal sets link
+        k, sent = pieces(b, num)
+        if sent > 1:  # else only equal sets link
             place = mix(np.arange(k, dtype=np.uint64) + np.uint64(b << 32))
-            out.append(mix(sketch(x, k) ^ place) + place)
+            piece, count = sketch(x, k)
+            key = mix(piece ^ place) + place
+            out.append(key[np.lexsort((key, count))[k - sent:]])
     return np.concatenate(out)
 
 
-def sketched(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
-    """(doc_id, name, n, keys) of every row of (doc_id, text); name is NULL for an empty set."""
+def sketched(docs: DataFrame, parts: int, shingle: int = SHINGLE, num: int = NUM) -> DataFrame:
+    """(doc_id, name, n) of every row of (doc_id, text), name is NULL for an empty set;
+    and (part, keys, tags): the sorted keys of many texts that fall to a part, packed,
+    and the tags (name without its last 16 bits) of their texts."""
+    edges = np.array([(i << KEY_BITS) // parts for i in range(1, parts)], np.uint64)
+
+    def listed(found, tags):
+        key = np.concatenate([np.zeros(0, np.uint64), *found]) >> np.uint64(64 - KEY_BITS)
+        tag = np.repeat(np.array(tags, np.uint64), [f.size for f in found])
+        order = np.argsort(key)
+        key, tag = key[order], tag[order]
+        cut = np.concatenate([[0], np.searchsorted(key, edges), [key.size]])
+        own = np.flatnonzero(np.diff(cut))
+        some = [(cut[i], cut[i + 1]) for i in own]
+        none = pa.nulls(own.size, pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, pa.array(own, pa.int32()), pa.array([pack(key[a:b]) for a, b in some], pa.binary()),
+                                           pa.array([pack_plain(tag[a:b]) for a, b in some], pa.binary())], names=SKETCHED)
 
     def run(batches):
+        found, tags, held = [], [], 0
         for batch in batches:
             for part in slices(batch, "text"):
                 h, row, _ = words(part.column("text"))
                 all_sets = sets(h, row, part.num_rows, shingle)
-                found = [signed(keys(s, num)) for s in all_sets]
-                offs = np.concatenate([[0], np.cumsum([f.size for f in found])]).astype(np.int32)
+                names = [set_name(s) if s.size else None for s in all_sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([set_name(s) if s.size else None for s in all_sets], pa.int64()),
-                     pa.array([s.size for s in all_sets], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))],
-                    names=["doc_id", "name", "n", "keys"])
+                    [part.column("doc_id"), pa.array(names, pa.int64()), pa.array([s.size for s in all_sets], pa.int64()),
+                     pa.array(np.arange(part.num_rows) % parts, pa.int32()), pa.nulls(part.num_rows, pa.binary()), pa.nulls(part.num_rows, pa.binary())], names=SKETCHED)
+                for s, name in zip(all_sets, names):
+                    if s.size:
+                        found.append(keys(s, num))
+                        tags.append((name % (1 << 64)) >> 16)
+                        held += found[-1].size
+                if held >= HELD_KEYS:
+                    yield listed(found, tags)
+                    found, tags, held = [], [], 0
+        if held:
+            yield listed(found, tags)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, name long, n long, part int, keys binary, tags binary")
+
+
+def met_keys(rows: DataFrame) -> DataFrame:
+    """Rows of ``sketched``, by part: those of texts as they are, (doc_id, name, n), and
+    (key, tag, size) of the keys that several tags have, once for each tag; size tells how many."""
+
+    def met(lists):
+        key = np.concatenate([unpack(k, np.uint64) for k, _ in lists])
+        tag = np.concatenate([unpack_plain(t, np.uint64) for _, t in lists])
+        order = np.argsort(key, kind="stable")
+        key, tag = key[order], tag[order]
+        same = key[1:] == key[:-1]
+        some = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+        key, tag = key[some], tag[some]
+        order = np.lexsort((tag, key))
+        key, tag = key[order], tag[order]
+        once = np.r_[True, (key[1:] != key[:-1]) | (tag[1:] != tag[:-1])] if key.size else np.zeros(0, bool)
+        key, tag = key[once], tag[once]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if key.size else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, key.size))
+        size = np.repeat(size, size)
+        more = size > 1
+        for at in range(0, int(more.sum()), 1 << 16):
+            chosen = np.flatnonzero(more)[at:at + (1 << 16)]
+            none = pa.nulls(chosen.size, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, *[pa.array(signed(c[chosen])) for c in (key, tag)], pa.array(size[chosen], pa.int64())],
+                                             names=["doc_id", "name", "n", "key", "tag", "size"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, name long, n long, keys array<long>")
+    def run(batches):
+        lists, now = [], None
+        for batch in batches:
+            text = batch.filter(pc.is_null(batch.column("keys")))
+            none = pa.nulls(text.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([text.column("doc_id"), text.column("name"), text.column("n"), none, none, none],
+                                             names=["doc_id", "name", "n", "key", "tag", "size"])
+            packed = batch.filter(pc.is_valid(batch.column("keys")))
+            for part, k, t in zip(packed.column("part").to_pylist(), packed.column("keys"), packed.column("tags")):
+                if part != now and lists:
+                    yield from met(lists)
+                    lists = []
+                now = part
+                lists.append((k.as_py(), t.as_py()))
+        if lists:
+            yield from met(lists)
+
+    return rows.sortWithinPartitions("part").mapInArrow(run, "doc_id long, name long, n long, key long, tag long, size long")
 
 
 def full_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -329,15 +412,16 @@ def classes(docs: DataFrame, slim: DataFrame, open_keys: DataFrame, shingle: int
         return keep(names)
 
 
-def opened(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, name) of every row of ``sketched``, and its keys that several sets share."""
-    spark = rows.sparkSession
+def opened(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, name) of every row of (doc_id, text), and the keys that several sets share."""
+    spark = docs.sparkSession
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(4 * dealt, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES)
     with scratch(spark) as keep:
-        rows = written(spark, rows, "sketches")
-        slim = keep(written(spark, rows.select("doc_id", "n", "name"), "sketch-names"))
-        one = rows.filter("name is not null").dropDuplicates(["name"]).select("name", "n", F.explode("keys").alias("key"))
-        hot = one.groupBy("key").agg((F.min("name") < F.max("name")).alias("more"), F.count("*").alias("size")).filter("more").drop("more")
-        met = written(spark, one.join(hot, "key"), "sketch-met")
+        rows = written(spark, met_keys(sketched(docs, parts, shingle, num).repartition(dealt, "part")), "sketches")
+        slim = keep(written(spark, rows.filter("key is null").select("doc_id", "n", "name"), "sketch-names"))
+        names = slim.filter("name is not null").groupBy("name").agg(F.first("n").alias("n")).withColumn("tag", F.shiftrightunsigned("name", 16))
+        met = written(spark, rows.filter("key is not null").select("key", "tag", "size").join(names, "tag").select("key", "name", "n", "size"), "sketch-met")
         weight = met.groupBy("name").agg(F.sum("size").alias("weight"))  # the middle of a group meets most
         return slim, keep(written(spark, met.drop("size").join(weight, "name").withColumn("root", F.col("name")), "sketch-open"))
 
@@ -346,7 +430,7 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM) -> DataFram
     """(doc_id, n_shingles, component_id, class) of every row of (doc_id, text), linked from ``num`` % on."""
     spark = docs.sparkSession
     with scratch(spark) as keep:
-        slim, open_keys = opened(sketched(docs, shingle, num))
+        slim, open_keys = opened(docs, shingle, num)
         names = classes(docs, slim, open_keys, shingle, num)
         per = slim.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("first"))
         per = per.join(names.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))

@@ -352,3 +352,12 @@ def test_words_of_one_character_are_told_apart(spark):
     df = spark.createDataFrame([(0, a, b), (1, a, a), (2, a, [*rest, a[17], b[18], b[19]]), (3, a, [*rest[1:], *b[17:]])], "k int, w array<string>, w2 array<string>")
     got = df.select("k", lines.within_edits(F.col("w"), F.col("w2"), 10).alias("near")).collect()
     assert {r.k: r.near for r in got} == {0: False, 1: True, 2: True, 3: False}
+
+
+def test_jaccard_unlike_texts_share_no_key(docs):
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(rng.randint(20, 120)))) for i in range(400)]
+    rows += [(400 + i, rows[i][1] + " more") for i in range(3)]
+    slim, met = jaccard.opened(docs(rows).select("doc_id", "text"), 5, 80)
+    assert slim.count() == 403
+    assert {r.name for r in met.collect()} == {r.name for r in slim.filter("doc_id < 3 or doc_id >= 400").collect()}
