@@ -90,3 +90,15 @@ def test_match_pairs_blocks_agree(spark):
     for size in (200, 12, 1):
         assert sorted((r.doc_id, r.keyword) for r in J.match_pairs(docs, kw, "text", lexicon_chars=size).collect()) == want
     assert J.match_pairs(docs, kw.limit(0), "text").count() == 0
+
+
+def test_nested_group_lists_every_notice(spark):
+    rows = [(1, 8, "Pregao", "2026-02-01", "p", "b"), (2, None, "Pregao", "2026-01-01", "p", "Z"), (3, 8, "Pregao", "2026-02-01", "p", "A"),
+            (4, 6, None, None, None, None), (5, 8, "Pregao", "2026-02-01", "p", "B"), (6, 7, "Dispensa", "", "q", "x"), (7, 6, "", "", "", "")]
+    df = spark.createDataFrame(rows, "ingest_seq long, modalidade_id int, modalidade_nome string, encerramento_proposta string,"
+                                     " publicacao_pncp string, objeto_compra string")
+    got = [(r.modalidade, r.modalidadeId, r.codigo_modalidade, r.quantidade, r.parte, [x.ingest_seq for x in r.dados])
+           for r in A.group_by_modality(df, per=2).collect()]
+    assert got == [("Sem modalidade", 6, "6", 2, 1, [4, 7]), ("Dispensa", 7, "7", 1, 1, [6]),
+                   ("Pregao", None, None, 4, 1, [2, 3]), ("Pregao", None, None, 4, 2, [1, 5])]
+    assert A.group_by_modality(df.limit(0)).count() == 0
