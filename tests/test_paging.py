@@ -3,7 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tenderlake import session
 from tenderlake.operators import dedupe as W
 
 
@@ -26,3 +28,18 @@ def test_page_has_no_limit_operator(spark):
         plan = W.page(df, 400, limit, ["n"])._jdf.queryExecution().executedPlan().toString()
         assert "CollectLimit" not in plan and "TakeOrdered" not in plan and "GlobalLimit" not in plan
     assert W.page(df.limit(0), 0, 5, ["n"]).count() == 0
+
+
+def test_positions_are_kept_compressed(spark, tmp_path):
+    """The numbered rows are one compressed table, and rows of few groups are not shuffled to be numbered."""
+    held, before = [], W.stored
+    W.stored = lambda df, name: held.append(before(df, name)) or held[-1]
+    try:
+        df = spark.range(3000).select("id", (F.col("id") % 3).alias("g"), F.concat(F.repeat(F.lit("notice text "), 100), F.col("id")).alias("raw"))
+        got = W.with_index(df, ["id"], "i", num_partitions=4, partition_by=["g"])
+        assert {(r.id, r.i) for r in got.select("id", "i").collect()} == {(k, k // 3 + 1) for k in range(3000)}
+    finally:
+        W.stored = before
+    fs, p = session._hadoop(spark, held[0].scratch)
+    assert fs.getContentSummary(p).getLength() < 3000 * 1200 / 20
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
